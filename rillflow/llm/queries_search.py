@@ -2,5 +2,17 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from pyspark.sql import DataFrame, SparkSession
+
+from rillflow.sources.tables import table
+
+from . import near_dup
+
+
+def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document by two-word shingles at 0.8."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op4_near_dup": op4_near_dup}
 ORACLES: dict[str, str] = {}
