@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
+import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -21,3 +26,17 @@ def get_session(app: str = "rillflow", cpus: int | None = None, partitions: int
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each context: their Python workers need no copy of their own."""
+    context = spark.sparkContext
+    if getattr(context, "_rillflow_shipped", False):
+        return
+    here, folder = Path(__file__).resolve().parent, tempfile.mkdtemp(prefix="rillflow-")
+    with zipfile.ZipFile(f"{folder}/rillflow.zip", "w") as out:
+        for file in sorted(here.rglob("*.py")):
+            out.write(file, file.relative_to(here.parent))
+    context.addPyFile(f"{folder}/rillflow.zip")
+    atexit.register(shutil.rmtree, folder, True)
+    context._rillflow_shipped = True
