@@ -11,6 +11,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from rillflow.session import ship_package
+
 #: A word, here and in the contracts: a run of characters other than blank, tab, LF, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows in one Arrow batch; texts may hold 100 kB and more each, so far fewer than Spark's 10,000.
@@ -40,6 +42,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def arrow_pass(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """mapInArrow in batches small enough for long texts."""
+    ship_package(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df.mapInArrow(fn, schema)
 
