@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rillflow.sources.tables import table
 
-from . import near_dup
+from . import ann, near_dup
 
 
 def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,5 +14,10 @@ def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op4_near_dup": op4_near_dup}
+def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {"op5_ann": op5_ann, "op4_near_dup": op4_near_dup}
 ORACLES: dict[str, str] = {}
