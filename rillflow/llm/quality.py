@@ -93,8 +93,8 @@ def in_band(length: int, whole: float | None, odd_chunks: float | None, bands: B
     return bands.low[k] <= whole <= bands.high[k] and (odd_chunks is None or odd_chunks <= bands.chunk_share)
 
 
-def quality_rules(docs: DataFrame, *keep: str, text: str = "text", bands: Bands = Bands()) -> DataFrame:
-    """One row per document: the columns `keep`, exact counts, ratios and the verdict.
+def quality_rules(docs: DataFrame, *keep: str, text: str = "text", bands: Bands = Bands(), whole: bool = False) -> DataFrame:
+    """One row per document: the columns `keep`, exact counts, ratios and the verdict; with `whole`, the text too.
 
     Null and empty texts count nothing and fail the base rule. Repeated rows are judged each for itself; columns of docs
     other than `keep` and `text` don't matter, whatever their names. One pass without a shuffle.
@@ -112,4 +112,8 @@ def quality_rules(docs: DataFrame, *keep: str, text: str = "text", bands: Bands
     types = [pa.int64()] * 5 + [pa.float64()] * 2 + [pa.bool_()] * 2
     plain = docs.select(*(F.col(c) for c in keep), F.col(text).alias("__text"))
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema[:-1]), *(f"{n} {t}" for n, t in zip(names, ["long"] * 5 + ["double"] * 2 + ["boolean"] * 2, strict=True))])
-    return arrow_pass(plain, rows_pass(judge, names, types, len(keep)), schema)
+    if not whole:
+        return arrow_pass(plain, rows_pass(judge, names, types, len(keep)), schema)
+    plain = plain.withColumnRenamed("__text", text).withColumn("__text", F.col(text))
+    first = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema[:-1])
+    return arrow_pass(plain, rows_pass(judge, names, types, len(keep) + 1), first + schema[schema.index(", n_words") :])

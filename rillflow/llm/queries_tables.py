@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rillflow.sources.tables import table
 
-from . import mixing, quality, sharding, token_counts
+from . import bpe, mixing, quality, sharding, token_counts
 from .common import shared_dir
 
 
@@ -47,5 +47,17 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"), "doc_id")
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op3_token_counts": op3_token_counts, "op7_sharding": op7_sharding, "op8_quality_rules": op8_quality_rules}
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of each text's ids and of what they decode to."""
+    return bpe.encode(table(spark, sf_dir, "documents"), "doc_id", ids=False, digests=True)
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of corpus_pipeline.py, at the top of the repository."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {"op9_bpe": op9_bpe, "pipeline": pipeline, "op1_mixing": op1_mixing, "op3_token_counts": op3_token_counts, "op7_sharding": op7_sharding, "op8_quality_rules": op8_quality_rules}
 ORACLES: dict[str, str] = {}
