@@ -2,30 +2,30 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rillflow import config
-from rillflow.functions.numeric import composite, percent_rank_average, shares, two_way_variance
+from rillflow.functions.numeric import composite, entropy, percent_rank_average, two_way_variance
 
 #: Limits of the verdict ladder.
-RECONCILIATION_MAX, ABSENT_MAX_IQR, WEAK_MAX_IQR, SINGLE_MAX = 0.05, 0.05, 0.10, 0.40
+RECONCILIATION_MAX, ABSENT_MAX_IQR, WEAK_MAX_IQR, SINGLE_MAX = 0.05, 0.05, 0.15, 0.70
 
 
 def components(units: DataFrame, group: str, sources: Sequence[str], irrigated: str, rainfed: str, area: str, unreliable: Sequence = ()) -> DataFrame:
-    """units with c_diversity, c_source, c_size.
+    """units with c_diversity, c_source, c_size; each in [0, 1] or unknown.
 
-    Negative areas are unknown. c_diversity: 4p(1-p) of the rainfed share. c_source: 1 less the largest share of a source,
-    0 for wholly rainfed units, null in groups whose sources don't reconcile. c_size: average-tie percent rank of the area
-    within the group.
+    Negative areas are unknown. c_diversity: 4p(1-p) of the rainfed share, over the aggregate irrigated area. c_source:
+    entropy of the sources over ln of their number; 0 for wholly rainfed units; null without any source, and in groups whose
+    sources don't reconcile. c_size: average-tie percent rank of the area within the group.
     """
-    positive = {c: F.when(F.col(c) >= 0, F.col(c)) for c in (*sources, irrigated, rainfed, area)}
-    total = sum((F.coalesce(positive[c], F.lit(0.0)) for c in sources), F.lit(0.0))
-    mix = F.when(total > 0, 1 - F.array_max(shares([positive[c] for c in sources]))).when(positive[rainfed] > 0, F.lit(0.0))
+    positive = {c: F.when(F.col(c) >= 0, F.col(c).cast("double")) for c in (*sources, irrigated, rainfed)}
+    listed = [positive[c] for c in sources]
+    mix = F.when(F.coalesce(*listed).isNull(), F.lit(None).cast("double")).otherwise(F.coalesce(entropy(listed) / math.log(len(sources)), F.lit(0.0)))
     known = ~F.col(group).isin(*unreliable) if unreliable else F.lit(True)
-    sized = units.withColumn("__area", F.when(positive[area] > 0, positive[area]))
-    return sized.withColumn("c_diversity", two_way_variance(positive[rainfed], positive[irrigated])).withColumn("c_source", F.when(known, mix)).withColumn("c_size", percent_rank_average(F.col("__area"), group)).drop("__area")
+    return units.withColumn("c_diversity", two_way_variance(positive[rainfed], positive[irrigated])).withColumn("c_source", F.when(known, mix)).withColumn("c_size", percent_rank_average(F.col(area), group))
 
 
 def index_of(weights: Mapping[str, float] = config.INDEX_WEIGHTS) -> Column:

@@ -33,7 +33,12 @@ def attach(rows: DataFrame, part: DataFrame, key: str, name: str) -> DataFrame:
 def records(rows: DataFrame, *order: str) -> DataFrame:
     """One row: all rows as an array of structs, in order. For report tables only, whose length is fixed."""
     names = [c for c in rows.columns if c not in order]
-    return rows.agg(F.array_sort(F.collect_list(F.struct(*order, *names))).alias("records"))
+
+    def compare(a: Column, b: Column) -> Column:
+        x, y = (F.struct(*(side[c].alias(c) for c in order)) for side in (a, b))
+        return F.when(x < y, -1).when(x > y, 1).otherwise(0)
+
+    return rows.agg(F.array_sort(F.collect_list(F.struct(*order, *names)), compare).alias("records"))
 
 
 def to_document(*parts: tuple[str, DataFrame]) -> DataFrame:

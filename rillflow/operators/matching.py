@@ -7,12 +7,13 @@ from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql.types import DoubleType
 
 from rillflow import config
 from rillflow.session import ship_package
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio of two strings; null if either is."""
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
