@@ -60,4 +60,19 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op9_bpe": op9_bpe, "pipeline": pipeline, "op1_mixing": op1_mixing, "op3_token_counts": op3_token_counts, "op7_sharding": op7_sharding, "op8_quality_rules": op8_quality_rules}
-ORACLES: dict[str, str] = {}
+_WORDS = r"len(regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+'))"
+#: The excess is reshared until none is above its cap: in order of cap / weight, the sources whose cap is below the level
+#: that the words left would give are capped.
+_MIX = f"""d AS (SELECT doc_id, source, {_WORDS} AS size FROM documents),
+ s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+ w AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN CAST(5 AS DOUBLE) WHEN 1 THEN CAST(2 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS weight, CAST(2 * source_size AS DOUBLE) AS cap, (SELECT CAST(sum(source_size) AS DOUBLE) FROM s) * CAST(1.5 AS DOUBLE) AS budget FROM s),
+ l AS (SELECT *, (budget - COALESCE(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+ f AS (SELECT level AS v FROM l WHERE cap > level * weight ORDER BY cap / weight LIMIT 1),
+ t AS (SELECT source, source_size, least(cap, COALESCE((SELECT v FROM f) * weight, cap)) AS target FROM l),
+ r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM t),
+ c AS (SELECT d.doc_id, d.size, r.source_size, r.target, CAST(floor(rate) AS BIGINT) + CASE WHEN CAST(('0x' || substr(md5('mix|' || COALESCE(CAST(d.doc_id AS VARCHAR), '\\N')), 1, 13)) AS BIGINT) / CAST(4503599627370496 AS DOUBLE) < rate - floor(rate) THEN 1 ELSE 0 END AS copies FROM d JOIN r ON r.source IS NOT DISTINCT FROM d.source)"""
+ORACLES: dict[str, str] = {
+    "op1_mixing": f"WITH {_MIX} SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(copies * size AS BIGINT) AS taken, copies FROM c",
+    "op3_token_counts": f"""WITH k AS (SELECT *, row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) AS place FROM documents), u AS (SELECT source, lang, {_WORDS} AS words, octet_length(encode(COALESCE(text, ''))) AS size FROM k WHERE place = 1 OR text IS NULL)
+ SELECT source, lang, 'words-1' AS tokenizer, count(*) AS n_docs, CAST(sum(words) AS BIGINT) AS n_tokens FROM u GROUP BY 1, 2 UNION ALL SELECT source, lang, 'bytes-1', count(*), CAST(sum(size) AS BIGINT) FROM u GROUP BY 1, 2""",
+}
