@@ -98,7 +98,7 @@ def test_pii_rows(spark, odd):
     assert next(r["redacted"] for r in rows if r["doc_id"] == 50) == "é mail <EMAIL>, ip <IP> and <CARD>; <PHONE>."
 
 
-def exclusion(counts, text, order=3):
+def exclusion(counts, text, order=lm_score.ORDER):
     """Prediction by partial matching byte by byte, with escapes and exclusions."""
     data, total = b"\xff" * order + text + b"\xff", 0.0
     for p in range(order, len(data)):
@@ -129,9 +129,9 @@ def test_lm_scores(spark, sf, odd):
         if held(i):
             continue
         count.update([*t.split(), None])
-        data = b"\xff\xff\xff" + t + b"\xff"
-        for p in range(3, len(data)):
-            for k in range(4):
+        data = b"\xff" * lm_score.ORDER + t + b"\xff"
+        for p in range(lm_score.ORDER, len(data)):
+            for k in range(lm_score.ORDER + 1):
                 c = contexts.setdefault(data[p - k : p], Counter())
                 c[data[p]] += 1
     n, v = sum(count.values()), len(count)
