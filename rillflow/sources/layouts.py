@@ -138,3 +138,8 @@ def table_rows(pages: DataFrame, key: str, html: str) -> DataFrame:
 def geojson_features(spark: SparkSession, path: str) -> DataFrame:
     """Properties and geometry of each feature of a collection."""
     return spark.read.option("multiLine", True).json(path).select(F.explode("features").alias("f")).select("f.*")
+
+
+def json_rows(spark: SparkSession, path: str, field: str) -> DataFrame:
+    """The structs of one array field of a JSON document, as rows: reads a serving document back as a table."""
+    return spark.read.option("multiLine", True).json(path).select(F.explode(field).alias("r")).select("r.*")

@@ -179,3 +179,9 @@ def test_late_events_and_seasons(spark, tmp_path):
     stream = streams.files(spark, f"{tmp_path}/s", rows.schema)
     assert streams.drain(streams.first_seen(stream, "t", "400 days", "e"), "late", "append").count() == 2
     assert streams.drain(streams.sessions(streams.files(spark, f"{tmp_path}/s", rows.schema), "t", "1 day", "400 days", "e"), "sess", "complete").count() == 2
+
+
+def test_documents_are_read_back(spark, tmp_path):
+    (tmp_path / "v.json").write_text('{"schemes": [{"id": 1, "p": 2.5}, {"id": 2, "p": null}], "features": [{"properties": {"n": "a"}, "geometry": {"type": "Point"}}]}')
+    assert [tuple(r) for r in layouts.json_rows(spark, f"{tmp_path}/v.json", "schemes").orderBy("id").collect()] == [(1, 2.5), (2, None)]
+    assert layouts.geojson_features(spark, f"{tmp_path}/v.json").select("properties.n").first()[0] == "a"
