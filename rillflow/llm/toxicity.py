@@ -58,11 +58,12 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(self.margin(at), -30, 30))))
 
 
-def fit(rows: list[tuple[np.ndarray, int]], *, terms: int = 4096, rank: int = 8, epochs: int = 12, rate: float = 0.1, decay: float = 2e-4, seed: int = 11) -> Machine:
+def fit(rows: list[tuple[np.ndarray, int]], *, terms: int = 4096, rank: int = 8, epochs: int = 16, rate: float = 0.1, decay: float = 2e-4, drop: float = 0.1, seed: int = 11) -> Machine:
     """Train on (distinct buckets, label) rows, in the order given, by AdaGrad on the log loss.
 
     Of the buckets, the `terms` whose presence goes furthest with or against the label are kept (G statistic); the rest
-    would only add noise to long texts. Without both labels the machine gives the label's share, or 0 without rows.
+    would only add noise to long texts. In each epoch a share `drop` of a text's terms is left out at random, so that one
+    insult learns to tell without the others. Without both labels the machine gives the label's share, or 0 without rows.
     """
     labels = np.array([y for _, y in rows], np.float64)
     n, positive = len(rows), float(labels.sum()) if len(rows) else 0.0
@@ -91,6 +92,9 @@ def fit(rows: list[tuple[np.ndarray, int]], *, terms: int = 4096, rank: int = 8,
     for _ in range(epochs):
         for k in rng.permutation(n):
             at, y = examples[k]
+            if len(at) > 1:
+                kept = at[rng.random(len(at)) >= drop]
+                at = kept if len(kept) else at
             rows_v = v[at]
             total = rows_v.sum(0)
             margin = bias + w[at].sum() + 0.5 * (total @ total - (rows_v * rows_v).sum())
