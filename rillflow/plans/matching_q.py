@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -286,7 +287,7 @@ def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     def count(kind: str):
         return lambda part, _: seen.append(part.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit(kind)).toPandas())
 
-    path = spark.conf.get("spark.checkpoint.dir", None) or __import__("tempfile").mkdtemp(prefix="rillflow-")
+    path = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="rillflow-")
     daily.gated(_events_stream(spark, sf_dir), split, count("accepted"), count("rejected"), f"{path}/stream-{uuid.uuid4().hex}").awaitTermination()
     out = None
     for part in seen:
