@@ -139,7 +139,7 @@ def weighted_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def iqr_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quantiles with linear interpolation, and the interquartile range."""
-    line = table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.percentile("l_extendedprice", F.array(*(F.lit(q) for q in (0.05, 0.25, 0.5, 0.75, 0.95)))).alias("q"))
+    line = table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.percentile("l_quantity", F.array(*(F.lit(q) for q in (0.05, 0.25, 0.5, 0.75, 0.95)))).alias("q"))
     return line.select("l_returnflag", *(F.get("q", F.lit(k)).alias(n) for k, n in enumerate(("p5", "p25", "p50", "p75", "p95"))), (F.get("q", F.lit(3)) - F.get("q", F.lit(1))).alias("iqr"))
 
 
@@ -250,7 +250,7 @@ ORACLES = {
     "set_ops_ack": f"WITH {FACT}, f AS (SELECT DISTINCT nation, season FROM fact WHERE o_orderstatus = 'P'), k AS (SELECT DISTINCT nation, season FROM fact WHERE amount > 400000) SELECT f.nation, f.season, CASE WHEN k.nation IS NULL THEN 'novel' ELSE 'acknowledged' END AS kind FROM f LEFT JOIN k ON k.nation = f.nation AND k.season = f.season",
     "distinct_keep_first": "SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS k FROM events) z WHERE k = 1",
     "weighted_mean": "SELECT l_suppkey, CASE WHEN sum(CASE WHEN l_returnflag <> 'R' THEN l_quantity END) <> 0 THEN CAST(sum(CASE WHEN l_returnflag <> 'R' THEN round(l_discount * 100) * l_quantity END) AS DOUBLE) / sum(CASE WHEN l_returnflag <> 'R' THEN l_quantity END) END AS mean_discount FROM lineitem GROUP BY l_suppkey",
-    "iqr_quantiles": "SELECT l_returnflag, quantile_cont(l_extendedprice, 0.05) AS p5, quantile_cont(l_extendedprice, 0.25) AS p25, quantile_cont(l_extendedprice, 0.5) AS p50, quantile_cont(l_extendedprice, 0.75) AS p75, quantile_cont(l_extendedprice, 0.95) AS p95, quantile_cont(l_extendedprice, 0.75) - quantile_cont(l_extendedprice, 0.25) AS iqr FROM lineitem GROUP BY l_returnflag",
+    "iqr_quantiles": "SELECT l_returnflag, quantile_cont(l_quantity, 0.05) AS p5, quantile_cont(l_quantity, 0.25) AS p25, quantile_cont(l_quantity, 0.5) AS p50, quantile_cont(l_quantity, 0.75) AS p75, quantile_cont(l_quantity, 0.95) AS p95, quantile_cont(l_quantity, 0.75) - quantile_cont(l_quantity, 0.25) AS iqr FROM lineitem GROUP BY l_returnflag",
     "hist20": "SELECT CAST(least(floor(l_quantity / 50 * 20), 19) AS INT) AS bin, count(*) AS n FROM lineitem GROUP BY 1",
     "class_counts": "SELECT CASE WHEN l_quantity < 10 THEN 0 WHEN l_quantity < 20 THEN 1 WHEN l_quantity < 30 THEN 2 WHEN l_quantity < 40 THEN 3 ELSE 4 END AS class, count(*) AS n FROM lineitem GROUP BY 1",
     "rollup_without_multiple": "WITH s AS (SELECT c_mktsegment, count(DISTINCT c_nationkey % 25) AS k, count(*) AS n FROM customer GROUP BY 1) SELECT 'some' AS region, CAST(sum(n) AS BIGINT) AS n FROM s WHERE k <= 24 HAVING count(*) > 0 UNION ALL SELECT 'all', CAST(sum(n) AS BIGINT) FROM s",
