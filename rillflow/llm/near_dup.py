@@ -25,9 +25,11 @@ REGISTERS = BANDS * ROWS
 SLACK = 0.2
 #: Least ids that a text is compared with at first, and rows of one run that a task holds.
 STARS, HOT_RUN = 4, 1 << 20
-#: Later rounds: rows looked back on, partners taken of a bucket and of all buckets, the least share of equal registers,
-#: and rounds at most (they end where a round finds no link).
+#: Early rounds, which only spare remaining() work: rows looked back on, partners taken of a bucket and of all buckets, the
+#: least share of equal registers, and rounds at most (they end where a round finds no link).
 LOOK_BACK, CLOSEST, PARTNERS, ACROSS, ROUNDS = 256, 2, 24, 0.66, 4
+#: Rows of a bucket that meet in one tile, of each side.
+TILE = 2048
 #: Ids that are broadcast to pick the texts to verify.
 BROADCAST_IDS = 1_000_000
 _CACHE = 400_000
@@ -254,21 +256,98 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["i", "other", "share"])
 
 
-def across(rows: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
-    """Pairs (a < b) within buckets but across components: what the stars can miss.
+def named_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, id, component) of crowded() rows; stored."""
+    return stored(rows.select("key", "id").join(labels.withColumnRenamed("id", "l"), F.col("id") == F.col("l"), "left").select("key", "id", F.coalesce("component", "id").alias("component")), "dup-named")
+
+
+def across(rows: DataFrame, labels: DataFrame, reps: DataFrame, tested: DataFrame) -> DataFrame:
+    """Untested pairs (a < b) within buckets but across components: most of what the stars can miss.
 
     Only buckets that hold several components are looked at again, their rows in the order of another band and dealt by it,
     so that rows shortly before are alike in more than the bucket. Each row brings the CLOSEST of each bucket, and of all
     these its PARTNERS closest: linear in the bucket's size.
     """
-    named = stored(rows.select("key", "id").join(labels.withColumnRenamed("id", "l"), F.col("id") == F.col("l"), "left").select("key", "id", F.coalesce("component", "id").alias("component")), "dup-named")
+    named = named_rows(rows, labels)
     mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
     turn = F.xxhash64(F.substring("registers", F.pmod(F.col("key"), F.lit(BANDS - 2)).cast("int") * 2 * ROWS + 1, F.lit(4 * ROWS)))
     seen = named.join(mixed, "key").join(reps.select(F.col("id").alias("r"), "registers"), F.col("id") == F.col("r")).select("key", turn.alias("turn"), "id", "component", "registers")
     found = arrow_pass(seen.repartitionByRange("key", "turn", "id").sortWithinPartitions("key", "turn", "id"), _across, "i long, other long, share double")
-    once = found.groupBy("i", "other").agg(F.max("share").alias("share"))
-    best = once.withColumn("place", F.row_number().over(W.partitionBy("i").orderBy(F.desc("share"), "other"))).where(F.col("place") <= PARTNERS)
-    return best.select(F.least("i", "other").alias("a"), F.greatest("i", "other").alias("b")).distinct()
+    once = found.groupBy("i", "other").agg(F.max("share").alias("share")).withColumn("a", F.least("i", "other")).withColumn("b", F.greatest("i", "other"))
+    best = once.join(tested, ["a", "b"], "left_anti").withColumn("place", F.row_number().over(W.partitionBy("i").orderBy(F.desc("share"), "other"))).where(F.col("place") <= PARTNERS)
+    return best.select("a", "b").distinct()
+
+
+def _tiles(percent: int):
+    """From (key, p, q, side, id, component, n_shingles, registers), ordered by (key, p, q): the pairs (a < b) of each tile that
+    lie in different components and that _close() would keep. A tile of p < q pairs side p with side q, one of p = q its rows.
+    A pair that shares several bands comes out of the first of them alone."""
+    number = _mix(np.arange(1, BANDS + 1, dtype=np.uint64))
+
+    def pairs(key: int, p: int, q: int, part: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+        side, ids, component, n, regs = part
+        left, right = (np.nonzero(side == s)[0] for s in (p, q))
+        bands, want = regs.view(np.uint64), np.uint64(key & 0xFFFFFFFFFFFFFFFF)
+        out = [np.zeros((0, 2), np.int64)]
+        for k in left.tolist():
+            r = right[right > k] if p == q else right
+            r = r[component[r] != component[k]]
+            r = r[100 * np.minimum(n[r], n[k]) >= percent * np.maximum(n[r], n[k])]
+            if not len(r):
+                continue
+            same = bands[r] == bands[k]
+            first = same.argmax(1)
+            r = r[same.any(1) & ((bands[k][first] ^ number[first]) == want)]
+            r = r[estimate((regs[r] == regs[k]).mean(1), n[r], n[k]) >= percent / 100 - SLACK]
+            out.append(np.stack([np.minimum(ids[r], ids[k]), np.maximum(ids[r], ids[k])], 1))
+        both = np.concatenate(out)
+        return both[:, 0], both[:, 1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, of = [], None
+
+        def out() -> pa.RecordBatch:
+            a, b = pairs(*of, tuple(map(np.concatenate, zip(*waiting, strict=True))))
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            tile = np.stack([batch.column(k).to_numpy() for k in range(3)], 1)
+            columns = [batch.column(k).to_numpy() for k in range(3, 7)] + [np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint16).reshape(-1, REGISTERS)]
+            starts = np.r_[0, np.nonzero((tile[1:] != tile[:-1]).any(1))[0] + 1, len(tile)]
+            for x, y in zip(starts.tolist(), starts[1:].tolist(), strict=False):
+                now = tuple(tile[x].tolist())
+                if waiting and now != of:
+                    yield out()
+                    waiting = []
+                of = now
+                waiting.append(tuple(c[x:y] for c in columns))
+        if waiting:
+            yield out()
+
+    return run
+
+
+def remaining(rows: DataFrame, labels: DataFrame, reps: DataFrame, tested: DataFrame, *, percent: int) -> DataFrame:
+    """All untested pairs (a < b) of all buckets that lie in different components and whose estimate is high enough to verify.
+
+    Once these are verified, no pair that shares a bucket is left out. Rows of a bucket's largest component, which need no
+    comparison among themselves, are dealt to groups of TILE, the other rows to groups of their own; each tile is a pair of
+    groups, so hot buckets are shared by tasks and no task holds more than two groups of rows.
+    """
+    named = named_rows(rows, labels).distinct()
+    sizes = named.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("all"))
+    groups = lambda n: F.ceil(n / TILE).cast("int")
+    mixed = sizes.where(F.col("all") > F.col("main.n")).select("key", F.col("main.component").alias("main"), groups(F.col("main.n")).alias("gm"), groups(F.col("all") - F.col("main.n")).alias("go"))
+    is_main = F.col("component") == F.col("main")
+    dealt = F.xxhash64("id", F.lit(1))
+    side = F.when(is_main, F.pmod(dealt, F.col("gm"))).otherwise(F.col("gm") + F.pmod(dealt, F.col("go"))).cast("long")
+    partner = F.explode(F.when(is_main, F.sequence(F.col("gm"), F.col("gm") + F.col("go") - 1)).otherwise(F.sequence(F.lit(0), F.col("gm") + F.col("go") - 1)))
+    placed = named.join(mixed, "key").withColumn("side", side).withColumn("partner", partner).withColumn("p", F.least("side", "partner").cast("long")).withColumn("q", F.greatest("side", "partner").cast("long"))
+    seen = placed.join(reps.select(F.col("id").alias("r"), "n_shingles", "registers"), F.col("id") == F.col("r")).select("key", "p", "q", "side", "id", "component", "n_shingles", "registers")
+    found = arrow_pass(seen.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q"), _tiles(percent), "a long, b long")
+    return found.join(tested, ["a", "b"], "left_anti")
 
 
 def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, *, doc_id: str, text: str, shingle: int, percent: int) -> DataFrame:
@@ -321,13 +400,17 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     links = verify(tested, reps, docs, **how)
     of_class = components(links)
     for _ in range(ROUNDS):
-        pairs = stored(across(rows, of_class, reps).join(tested, ["a", "b"], "left_anti"), "dup-pairs")
+        pairs = stored(across(rows, of_class, reps, tested), "dup-pairs")
         tested = tested.union(pairs)
         more = verify(pairs, reps, docs, **how)
         if not more.limit(1).count():
             break
         links = links.union(more)
         of_class = components(links)
+    pairs = stored(remaining(rows, of_class, reps, tested, percent=percent), "dup-pairs")
+    more = verify(pairs, reps, docs, **how)
+    if more.limit(1).count():
+        of_class = components(links.union(more))
     copies = usable.join(classes.where("n > 1").select("set_key", "rep"), "set_key").where("id <> rep").select(F.col("id").cast("long").alias("a"), F.col("rep").cast("long").alias("b"))
     label = copies.join(of_class, F.col("b") == F.col("id"), "left").select(F.col("a").alias("id"), F.coalesce("component", "b").alias("component"))
     every = label.union(of_class)

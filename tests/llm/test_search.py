@@ -57,6 +57,16 @@ def test_near_duplicates(spark, shingle):
     assert all(r["kept"] == (r["doc_id"] is None or r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_no_pair_of_a_bucket_is_left_out(spark):
+    """Each text has one true link (0.802) among 299 look-alikes just under the threshold (0.786) that share its buckets."""
+    core = [f"core{k}" for k in range(88)]
+    rows = [(k, " ".join([*core, f"pair{k % 150}", *(f"own{k}-{j}" for j in range(11))])) for k in range(300)]
+    got = near_dup.near_duplicates(spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], SCHEMA), shingle=1).collect()
+    want = brute(rows, 1, 80)
+    assert len({c for _, _, c in want}) == 150
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == want
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_dup.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
