@@ -24,18 +24,19 @@ WINDOW = 8
 class Bands:
     """Limits of the compressed share of a text, by its UTF-8 length.
 
-    edges: lengths at which the next limits start; low and high have one entry more. A chunk is out of its band below
-    chunk_low or above chunk_high; a text with more than chunk_share of its full chunks out of band is rejected.
+    edges: lengths at which the next limits start; low and high have one entry more. high lies between prose and base64 words
+    of the length. A full chunk is out of its band below chunk_low or above chunk_high, a last partial one outside the limits
+    of its length; a text with more than chunk_share of its bytes in chunks out of band is rejected.
     """
 
-    edges: tuple[int, ...] = (160, 320, 640, 1280, 5120, 20480)
-    low: tuple[float, ...] = (0.0, 0.30, 0.25, 0.22, 0.17, 0.12, 0.08)
-    high: tuple[float, ...] = (9.9, 1.05, 0.92, 0.85, 0.80, 0.78, 0.76)
+    edges: tuple[int, ...] = (80, 160, 240, 320, 480, 640, 960, 1280, 2048, 5120, 20480)
+    low: tuple[float, ...] = (0.0, 0.0, 0.30, 0.30, 0.25, 0.25, 0.22, 0.22, 0.17, 0.17, 0.12, 0.08)
+    high: tuple[float, ...] = (1.15, 0.97, 0.925, 0.83, 0.79, 0.76, 0.735, 0.71, 0.70, 0.70, 0.67, 0.65)
     level: int = 3
     chunk: int = 2048
     chunk_low: float = 0.12
-    chunk_high: float = 0.85
-    chunk_share: float = 0.5
+    chunk_high: float = 0.70
+    chunk_share: float = 0.2
 
 
 def repeated_words(words: list[bytes], window: int = WINDOW) -> int:
@@ -71,18 +72,19 @@ def counts(text: str | None) -> tuple[int, int, int, int, int]:
 
 
 def ratios(raw: bytes, bands: Bands, packer: zstandard.ZstdCompressor) -> tuple[float | None, float | None]:
-    """Compressed share of the whole text (None if empty), and the share of full chunks out of their band (None if none is full)."""
+    """Compressed share of the whole text (None if empty), and the share of its bytes in chunks out of their band (None if no chunk is full)."""
     if not raw:
         return None, None
     whole = len(packer.compress(raw)) / len(raw)
-    full = len(raw) // bands.chunk
-    if not full:
+    if len(raw) < bands.chunk:
         return whole, None
     view, out = memoryview(raw), 0
-    for i in range(full):
-        share = len(packer.compress(view[i * bands.chunk : (i + 1) * bands.chunk])) / bands.chunk
-        out += share < bands.chunk_low or share > bands.chunk_high
-    return whole, out / full
+    for i in range(0, len(raw), bands.chunk):
+        part = view[i : i + bands.chunk]
+        share, k = len(packer.compress(part)) / len(part), bisect_right(bands.edges, len(part))
+        low, high = (bands.chunk_low, bands.chunk_high) if len(part) == bands.chunk else (bands.low[k], bands.high[k])
+        out += len(part) * (share < low or share > high)
+    return whole, out / len(raw)
 
 
 def in_band(length: int, whole: float | None, odd_chunks: float | None, bands: Bands) -> bool:

@@ -151,6 +151,21 @@ def test_quality_bands():
     assert verdict(prose) and not verdict(noise) and not verdict(loop) and not verdict(b"")
 
 
+def test_quality_rejects_incompressible_words():
+    rng, bands = random.Random(9), quality.Bands()
+    packer = __import__("zstandard").ZstdCompressor(level=bands.level)
+    verdict = lambda raw: quality.in_band(len(raw), *quality.ratios(raw, bands, packer), bands)
+    cut = lambda raw, k=10: b" ".join(raw[j : j + k] for j in range(0, len(raw), k))
+    base64 = lambda n: cut(__import__("base64").b64encode(rng.randbytes(n))[:n])
+    prose = lambda n: " ".join("".join(rng.choice(["ba", "ke", "li", "mo", "nu", "the", "ing"]) for _ in range(rng.randint(1, 4))) for _ in range(n)).encode()[:n]
+    printable = lambda n: cut(bytes(rng.randint(33, 126) for _ in range(n)))
+    for n in (120, 150, 200, 300, 450, 600, 700, 1200, 2000, 3000, 7000, 15_000, 40_000):
+        assert not verdict(base64(n)) and not verdict(printable(n))
+        assert n < 300 or verdict(prose(n))
+        assert n < 700 or not verdict(prose(3 * n // 10) + b" " + printable(7 * n // 10))
+    assert not verdict(prose(2048) + printable(1500))  # noise in the last partial chunk alone
+
+
 def test_bpe(spark, odd):
     encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.ranks(), special_tokens={})
     rng = random.Random(1)
