@@ -2,8 +2,9 @@
 
 Contexts of up to four bytes form a trie with the counts of the byte that follows, gathered from all training texts. A
 byte unseen in a context costs an escape (method C: distinct / (seen + distinct)) to the next shorter context, in which
-the bytes that the longer one has seen are excluded. The blended distribution of each context is resolved once, on the
-driver, into a table of log probabilities, so that scoring a text is one look-up per byte.
+the bytes that the longer one has seen are excluded. The blended distributions of the most frequent contexts are resolved
+once, on the driver, into a table of log probabilities that travels with the tasks; places in all other contexts are met by
+joins with the counts of their contexts, so that the model has every context of the training texts.
 """
 
 from __future__ import annotations
@@ -21,9 +22,9 @@ from .common import arrow_pass, crc_of_id, stored
 
 #: Stands before and after each text; no UTF-8 text holds it.
 END = 0xFF
-#: Bytes of the longest context, and contexts of each length from two on in the model, the most frequent ones: these bound
-#: its size.
-ORDER, CONTEXTS = 4, {2: 8_192, 3: 32_768, 4: 65_536}
+#: Bytes of the longest context, and the longest contexts that travel with the tasks, the most frequent ones; those of all
+#: other contexts are joined.
+ORDER, CACHED = 4, 65_536
 #: Words whose counts travel with the tasks, the most frequent ones; the counts of all other words are joined.
 HOT_WORDS = 65_536
 #: Bytes of text looked at together, and distinct keys held by a task before it passes them on.
@@ -96,12 +97,13 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Model:
     """table[row, column[byte]]: log10 probability. Rows: 256 contexts of one byte, then `contexts` of two, of three, ...
 
-    Bytes that no training text holds share one column: no context tells them apart.
+    Bytes that no training text holds share one column: no context tells them apart. one: counts by byte and the byte after.
     """
 
     table: np.ndarray
     column: np.ndarray
     contexts: dict[int, np.ndarray]
+    one: np.ndarray
 
 
 class Finder:
@@ -110,6 +112,7 @@ class Finder:
     def __init__(self, model: Model):
         self.flat, self.column, self.width = model.table.reshape(-1), model.column.astype(np.int64), model.table.shape[1]
         two, three = model.contexts[2], model.contexts[3]
+        self.longest = 256 + len(two) + len(three)  # rows from here on are of the longest contexts
         self.rows = np.broadcast_to(np.arange(256, dtype=np.int32), (1 << 16, 256)).copy().reshape(-1)
         self.rows.reshape(256, 1 << 16)[:, two] = 256 + np.arange(len(two), dtype=np.int32)
         self.rows[three] = 256 + len(two) + np.arange(len(three), dtype=np.int32)
@@ -201,16 +204,22 @@ def resolve(pairs: dict[int, tuple[np.ndarray, np.ndarray]]) -> Model:
             ends = contexts[k][start : start + 1024]
             table[at : at + len(ends)] = np.log10(blend([level(j, ends) for j in range(k, -1, -1)]))[:, shown]
             at += len(ends)
-    return Model(table, column, {k: c for k, c in contexts.items() if k > 1})
+    return Model(table, column, {k: c for k, c in contexts.items() if k > 1}, one)
 
 
-def log10_probability(raw: bytes, finder: Finder) -> float:
-    """Of a lower-cased text and its end."""
-    a, total = framed(raw), 0.0
+def log10_probability(raw: bytes, finder: Finder) -> tuple[float, np.ndarray, np.ndarray]:
+    """Of a lower-cased text and its end: the sum over places whose longest context the finder has, then the runs of
+    ORDER + 1 bytes of all other places and how often they come (those of each SLICE by themselves)."""
+    a, total, keys, times = framed(raw), 0.0, [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for k in range(0, len(a) - ORDER, SLICE):
         part = a[k : k + SLICE + ORDER]
-        total += float(finder.flat[finder.row(part) * finder.width + finder.column[part[ORDER:]]].sum(dtype=np.float64))
-    return total
+        row = finder.row(part)
+        there = row >= finder.longest
+        total += float(finder.flat[(row * finder.width + finder.column[part[ORDER:]])[there]].sum(dtype=np.float64))
+        if not there.all():
+            key, n = np.unique(packed(part, ORDER + 1)[~there], return_counts=True)
+            keys.append(key), times.append(n)
+    return total, np.concatenate(keys), np.concatenate(times)
 
 
 def gather(docs: DataFrame, text: str, training) -> tuple[DataFrame, DataFrame]:
@@ -225,19 +234,60 @@ def gather(docs: DataFrame, text: str, training) -> tuple[DataFrame, DataFrame]:
     return stored(grams, "lm-grams"), stored(words, "lm-words")
 
 
+def _keyed(grams: DataFrame, width: int) -> DataFrame:
+    """(context, key, n) of contexts of `width` bytes, key being context * 256 + byte."""
+    keyed = grams.groupBy(F.col("gram").bitwiseAND((1 << 8 * (width + 1)) - 1).alias("key")).agg(F.sum("n").alias("n"))
+    return keyed.select(F.shiftright("key", 8).alias("context"), "key", "n")
+
+
 def model_of(grams: DataFrame) -> Model:
-    """Collects the counts of the most frequent contexts: bounded by CONTEXTS and the 65,536 pairs of bytes."""
-
-    def pairs(width: int) -> tuple[np.ndarray, np.ndarray]:
-        keyed = grams.groupBy(F.col("gram").bitwiseAND((1 << 8 * (width + 1)) - 1).alias("key")).agg(F.sum("n").alias("n"))
-        if width in CONTEXTS:
-            keyed = keyed.withColumn("context", F.shiftright("key", 8))
-            best = keyed.groupBy("context").agg(F.sum("n").alias("m")).orderBy(F.desc("m"), "context").limit(CONTEXTS[width])
-            keyed = keyed.join(F.broadcast(best.select("context")), "context")
+    """Collects the counts of the CACHED most frequent longest contexts and of the shorter ones that these end with, which are
+    all that their distributions need."""
+    spark, pairs, ends = grams.sparkSession, {}, None
+    for width in range(ORDER, 0, -1):
+        keyed = _keyed(grams, width)
+        if width == ORDER:
+            best = keyed.groupBy("context").agg(F.sum("n").alias("m")).orderBy(F.desc("m"), "context").limit(CACHED)
+            ends = best.select("context").toArrow()["context"].to_numpy()
+        if width > 1:
+            ends = np.unique(ends & ((1 << 8 * width) - 1))
+            keyed = keyed.join(F.broadcast(spark.createDataFrame(pa.table({"context": pa.array(ends, pa.int64())}))), "context")
         got = keyed.select("key", "n").toArrow()
-        return got["key"].to_numpy(), got["n"].to_numpy()
+        pairs[width] = got["key"].to_numpy(), got["n"].to_numpy()
+    return resolve(pairs)
+
 
-    return resolve({k: pairs(k) for k in range(1, ORDER + 1)})
+def _resolved(one: np.ndarray):
+    """From (context, bytes, of 4, of 3, of 2: lists of (byte, n) or null): (gram, value), the log10 probability of each byte."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            context = batch.column(0).to_numpy()
+            rows = lambda column: np.repeat(np.arange(n), column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))  # noqa: B023, E731
+            levels = []
+            for k in range(2, 2 + ORDER - 1):
+                column, counts = batch.column(k), np.zeros((n, 256))
+                flat = column.flatten()
+                counts[rows(column), flat.field(0).to_numpy()] = flat.field(1).to_numpy()
+                levels.append(counts)
+            levels += [one[context & 255], np.repeat(one.sum(0, keepdims=True), n, 0)]
+            at, byte = rows(batch.column(1)), batch.column(1).flatten().to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(context[at] << 8 | byte), pa.array(np.log10(blend(levels)[at, byte]))], names=["gram", "value"])
+
+    return run
+
+
+def resolved(wanted: DataFrame, grams: DataFrame, one: np.ndarray) -> DataFrame:
+    """(gram, value) of each wanted gram, from the counts of all contexts that it ends with; stored."""
+    need = wanted.select("gram").distinct().groupBy(F.shiftright("gram", 8).alias("context")).agg(F.collect_list(F.col("gram").bitwiseAND(255)).alias("bytes"))
+    for width in range(ORDER, 1, -1):
+        of = _keyed(grams, width).groupBy(F.col("context").alias(f"c{width}")).agg(F.collect_list(F.struct(F.col("key").bitwiseAND(255).alias("byte"), "n")).alias(f"v{width}"))
+        need = need.join(of, F.col("context").bitwiseAND((1 << 8 * width) - 1) == F.col(f"c{width}"), "left").drop(f"c{width}")
+    found = arrow_pass(need.select("context", "bytes", *(f"v{k}" for k in range(ORDER, 1, -1))), _resolved(one), "gram long, value double")
+    return stored(found, "lm-resolved")
 
 
 def lm_scores(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", mod: int = 7, held: int = 2) -> DataFrame:
@@ -249,7 +299,8 @@ def lm_scores(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", mo
     spark = docs.sparkSession
     remainder = F.coalesce(F.pmod(crc_of_id(F.col(doc_id)), F.lit(mod)), F.lit(-1))
     grams, words = gather(docs, text, remainder != held)
-    model = spark.sparkContext.broadcast(model_of(grams))
+    local = model_of(grams)
+    model = spark.sparkContext.broadcast(local)
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("N"), F.count_if(F.col("n") > 0).alias("V"), F.coalesce(F.max(F.when(F.col("word") == F.lit(b"\n"), F.col("n"))), F.lit(0)).alias("ends")).first()
     total, distinct, ends = sums["N"], sums["V"], sums["ends"]
     real = words.where(F.col("word") != F.lit(b"\n"))
@@ -262,7 +313,7 @@ def lm_scores(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", mo
         for batch in batches:
             if place is None:
                 place = Finder(model.value)
-            cols = [[] for _ in range(7)]
+            cols = [[] for _ in range(9)]
             for raw in batch.column(1).cast(pa.binary()).to_pylist():
                 raw = (raw or b"").lower()
                 tokens = raw.split()
@@ -274,20 +325,23 @@ def lm_scores(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", mo
                     else:
                         rare.append(w)
                         times.append(n)
-                for c, v in zip(cols, (row, len(tokens) + 1, sure, base, rare, times, log10_probability(raw, place)), strict=True):
+                for c, v in zip(cols, (row, len(tokens) + 1, sure, base, rare, times, *log10_probability(raw, place)), strict=True):
                     c.append(v)
                 row += 1
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], names=["id", "row", "n_tokens", "known", "base", "rare", "times", "score"])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], names=["id", "row", "n_tokens", "known", "base", "rare", "times", "score", "grams", "gram_times"])
 
     plain = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("__text"))
-    scored = stored(arrow_pass(plain, score, f"id {dict(plain.dtypes)['id']}, row long, n_tokens long, known long, base double, rare array<binary>, times array<long>, score double"), "lm-scored")
+    scored = stored(arrow_pass(plain, score, f"id {dict(plain.dtypes)['id']}, row long, n_tokens long, known long, base double, rare array<binary>, times array<long>, score double, grams array<long>, gram_times array<long>"), "lm-scored")
     rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w")).select("row", F.col("w.rare").alias("word"), F.col("w.times").alias("times"))
     found = rare.join(real, "word").groupBy("row").agg(F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("rare_base"), F.sum("times").alias("rare_known"))
+    missed = scored.select("row", F.explode(F.arrays_zip("grams", "gram_times")).alias("g")).select("row", F.col("g.grams").alias("gram"), F.col("g.gram_times").alias("times"))
+    values = missed.join(resolved(missed, grams, local.one), "gram").groupBy("row").agg(F.sum(F.col("times") * F.col("value")).alias("missed_score"))
     whole = F.lit(math.log10(total + distinct + 1))
     return (
         scored.select("id", "row", "n_tokens", "known", "base", "score")
         .join(found, "row", "left")
+        .join(values, "row", "left")
         .select(
             F.col("id").alias("doc_id"),
             (F.coalesce(F.pmod(crc_of_id(F.col("id")), F.lit(mod)), F.lit(-1)) == held).alias("held_out"),
@@ -295,6 +349,6 @@ def lm_scores(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", mo
             (F.col("known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
             F.lit(total).cast("long").alias("train_tokens"),
             (F.col("base") + F.coalesce("rare_base", F.lit(0.0)) - F.col("n_tokens") * whole).alias("base_score"),
-            "score",
+            (F.col("score") + F.coalesce("missed_score", F.lit(0.0))).alias("score"),
         )
     )

@@ -149,6 +149,25 @@ def test_lm_scores(spark, sf, odd):
     assert all(r["score"] < 0 for r in rows)
 
 
+def test_lm_keeps_every_context(spark):
+    """Some 190,000 contexts of four bytes: more than travel with the tasks."""
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789,.é ") for _ in range(1500)) for _ in range(130)]
+    texts += [t[:700] + u[700:] for t, u in zip(texts[:40], texts[40:], strict=False)]
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    contexts = {}
+    for i, t in enumerate(texts):
+        data = b"\xff" * lm_score.ORDER + t.encode() + b"\xff"
+        for p in range(lm_score.ORDER, 0 if held(i) else len(data)):
+            for k in range(lm_score.ORDER + 1):
+                contexts.setdefault(data[p - k : p], Counter())[data[p]] += 1
+    assert sum(len(c) == lm_score.ORDER for c in contexts) > 100_000
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    scores = {r["doc_id"]: r["score"] for r in lm_score.lm_scores(docs).collect()}
+    for i in range(0, len(texts), 5):
+        assert scores[i] == pytest.approx(exclusion(contexts, texts[i].encode()), rel=1e-5)
+
+
 def test_lm_without_training_rows(spark):
     i = next(k for k in range(100) if zlib.crc32(str(k).encode()) % 7 == 2)
     row = lm_score.lm_scores(spark.createDataFrame([(i, "ab")], "doc_id long, text string")).first()
