@@ -85,7 +85,8 @@ LONGEST = 18
 #: Characters around a trigger that the field sees.
 AROUND = 48
 _TOKEN = re.compile(r"[^\W0-9_]+|[0-9]+|[^\w\s]|_")
-_TRIGGER = re.compile(r"[0-9]{3}|[\[({<]\s?(?:at|dot)\s?[\])}>]|\b(?:AT|DOT|dot)\b")
+#: Three digits, or digits that go on after signs, blanks or a spelled-out dot; "at" and "dot" as words.
+_TRIGGER = re.compile(r"[0-9]{3}|[0-9](?=(?:[^\w]|_){1,4}[0-9]|[^\w]{1,3}(?:dot|DOT)\b)|\b(?:at|AT|DOT|dot)\b")
 _CUES = {
     "phone": frozenset("phone tel telephone call mobile cell fax sms dial whatsapp".split()),
     "card": frozenset("card visa mastercard amex credit debit pay payment".split()),
@@ -117,10 +118,15 @@ class Tokens:
             return False
         return self.spans[i - 1][1] == self.spans[i][0] and "p" not in (self.types[i - 1], self.types[i])
 
+    def four_bytes(self, i: int, j: int) -> bool:
+        """Whether the numbers among tokens i to j - 1 are four bytes with dots between."""
+        groups = [w for w, t in zip(self.words[i:j], self.types[i:j], strict=True) if t == "d"]
+        return len(groups) == 4 and all(map(_byte, groups)) and sum(w in _DOTS for w in self.words[i:j]) >= 3
+
     def candidate(self, i: int, j: int) -> bool:
         """Whether tokens i to j - 1 can be an entity: enough digits and no words, or an at sign in the midst."""
         words, types = self.words[i:j], self.types[i:j]
-        if self.digits[j] - self.digits[i] >= 7 and types[-1] == "d" and (types[0] == "d" or words[0] in "+("):
+        if self.digits[j] - self.digits[i] >= (4 if self.four_bytes(i, j) else 7) and types[-1] == "d" and (types[0] == "d" or words[0] in "+("):
             return all(t == "d" or w in _JOINS for w, t in zip(words, types, strict=True))
         if types[0] != "p" and types[-1] == "a" and j - i >= 3:
             inner = words[1:-1]
@@ -143,9 +149,14 @@ class Tokens:
                 out.append("north")
         if words[0] == "+" or text.startswith("00"):
             out.append("plus")
-        groups = [w for w, t in zip(words, types, strict=True) if t == "d"]
-        if len(groups) == 4 and all(map(_byte, groups)) and sum(w in _DOTS for w in words) >= 3:
+        elif text.startswith("0"):
+            out.append("zero")
+        if self.four_bytes(i, j):
             out.append("bytes")
+        numbers = [k for k in range(i, j) if self.types[k] == "d"]
+        joins = {self.text[self.spans[a][1] : self.spans[b][0]] for a, b in zip(numbers, numbers[1:], strict=False)}
+        if len(joins) == 1 and "a" not in types:
+            out.append(f"join{joins.pop()[:4]}")
         if "a" in types:
             ats = [k for k, w in enumerate(words) if w in _ATS]
             dots = [k for k, w in enumerate(words) if w in _DOTS]
@@ -271,14 +282,14 @@ def _sentence(rng: random.Random) -> tuple[str, list[Span]]:
 
     def phone() -> str:
         a, b, c = num(3), num(3), num(4)
-        return rng.choice([f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"00{num(2)} {a} {b}{c}", f"({a}) {b} {c}", f"00{num(2)}-{num(3)}-{num(7)}"])
+        return rng.choice([f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"00{num(2)} {a} {b}{c}", f"({a}) {b} {c}", f"00{num(2)}-{num(3)}-{num(7)}", *(sep.join(["0" + rng.choice("123456789"), *(num(2) for _ in range(4))]) for sep in (" ", " ", "-"))])
 
     def email() -> str:
-        at, dot = rng.choice([(" at ", " dot "), (" [at] ", " [dot] "), ("[at]", "[dot]"), (" (at) ", " (dot) "), (" AT ", " DOT "), (" [at] ", "."), ("(at)", ".")])
+        at, dot = rng.choice([(" at ", " dot "), (" [at] ", " [dot] "), ("[at]", "[dot]"), (" (at) ", " (dot) "), (" AT ", " DOT "), (" [at] ", "."), ("(at)", "."), (" at ", ".")])
         return word() + rng.choice(["", num(2), "." + word()]) + at + word() + dot + rng.choice(["com", "org", "net", "de", "fr", "io"])
 
     def ip() -> str:
-        return rng.choice([" dot ", "[.]", "(.)", " . ", "[dot]"]).join(str(rng.randint(0, 255)) for _ in range(4))
+        return rng.choice([" dot ", "[.]", "(.)", " . ", "[dot]"]).join(str(rng.choice([rng.randint(0, 255), rng.randint(0, 15)])) for _ in range(4))
 
     def other() -> str:
         bad = rng.choice("3456") + num(14)
@@ -288,6 +299,7 @@ def _sentence(rng: random.Random) -> tuple[str, list[Span]]:
             f"{num(4)}-{num(2)}-{num(2)}", f"{num(2)}/{num(2)}/{num(4)}", f"{num(4)}-{num(2)}-{num(2)} {num(2)}:{num(2)}:{num(2)}", hexes, f"password={hexes[:18]}", "AKIA" + hexes[:16].upper(), f"v{num(1)}.{num(2)}.{num(3)}",
             num(8), num(10), num(rng.randint(7, 24)), bad, " ".join(num(rng.randint(1, 3)) for _ in range(6)), f"{num(3)},{num(3)},{num(3)}", f"{num(5)}.{num(5)}", f"{num(2)}.{num(2)}.{num(4)}", f"{num(4)} {num(4)} {num(4)}", f"{num(3)} - {num(5)}",
             f"{word()} at {word()} on dot {word()}", f"{word()} (at) {word()}", f"at the dot {word()}", f"{word()} at {word()} . {word()}", f"{num(9)}-{num(1)}", " | ".join(num(4) for _ in range(5)), ", ".join(num(4) for _ in range(4)),
+            ". ".join("1234"), ", ".join(num(2) for _ in range(5)), " ".join(rng.choice("123456789") + num(1) for _ in range(5)), f"{word()} at {word()}.{word()}", f"{word()} at {word()}. {word()}", f"at {num(2)}.{num(1)}. {word()}",
         ])
 
     cues = {"card": ["card", "visa", "card number"], "phone": ["phone", "call", "tel"], "email": ["mail", "contact"], "ip": ["host", "ip"]}
@@ -319,8 +331,9 @@ def trained(sentences: int = 500, epochs: int = 4, seed: int = 7) -> SemiCrf:
         tokens = Tokens(text, 0, len(text))
         starts, ends = {a: k for k, (a, _) in enumerate(tokens.spans)}, {b: k + 1 for k, (_, b) in enumerate(tokens.spans)}
         gold = {(starts[a], ends[b]): kind for a, b, kind in spans if a in starts and b in ends}
-        if all(tokens.candidate(i, j) and j - i <= LONGEST for i, j in gold):
-            examples.append((tokens.segments(), gold))
+        if len(gold) < len(spans) or not all(tokens.candidate(i, j) and j - i <= LONGEST for i, j in gold):
+            raise ValueError(f"an entity of a training sentence is no candidate: {text!r}")
+        examples.append((tokens.segments(), gold))
     for _ in range(epochs):
         for segments, gold in examples:
             for key, g in model.gradient(segments, gold).items():

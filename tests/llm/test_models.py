@@ -87,6 +87,15 @@ def test_field_finds_what_patterns_miss():
     assert pii.all_spans("At the inn, at 10.4. Dot by dot. HEN!! AT!! A.B", model)[1] == []
 
 
+def test_field_finds_short_groups_and_plain_at():
+    model = pii.trained()
+    for kind, made in (("phone", "06 12 34 56 78"), ("phone", "06-12-34-56-78"), ("ip", "8[.]8[.]8[.]8"), ("ip", "10[.]12[.]13[.]14"), ("ip", "10 dot 0 dot 0 dot 1"), ("email", "jane at example.com")):
+        text = f"belo ratu {made}, then mika."
+        assert pii.all_spans(text, model)[1] == [(10, 10 + len(made), kind)]
+    for text in ("We met at noon. Then we left.", "Look at this. It is at home.", "1. One 2. Two 3. Three 4. Four", "scores 3-1, 2-0 and 4-4"):
+        assert pii.all_spans(text, model)[1] == []
+
+
 def test_pii_rows(spark, odd):
     docs = odd.unionByName(spark.createDataFrame([(50, "é mail a.b@c.de, ip 1.2.3.4 and 4111 1111 1111 1111; +1 (456) 555-2186.", "s")], SCHEMA))
     rows = pii.find_pii(docs.withColumnRenamed("source", "spans").withColumnRenamed("spans", "extra"), "doc_id", "text", redact=True).collect()
