@@ -121,6 +121,24 @@ def test_shards_are_even_and_gapless(spark, sf, odd):
     assert sharding.shard(spark.createDataFrame([], SCHEMA), 7).count() == 0
 
 
+def test_written_shards_are_skipped_by_filters(spark, sf, odd, tmp_path):
+    docs = table(spark, sf, "documents").unionByName(odd)
+    sharding.write_shards(docs, f"{tmp_path}/s", 16)
+    files = sorted((tmp_path / "s" / "rows").glob("shard=*/*.parquet"))
+    assert len(files) == 16 and len({f.parent for f in files}) == 16
+    back = spark.read.parquet(f"{tmp_path}/s/rows")
+    assert Counter(map(tuple, back.select(*docs.columns).collect())) == Counter(map(tuple, docs.collect()))
+    for file in files:
+        assert (slots := [r["slot"] for r in spark.read.parquet(str(file)).collect()]) == list(range(len(slots)))
+    for column, low, high in (("source", "src3", "src3"), ("doc_id", 10, 30), ("size", 5000, 10**9)):
+        some = sharding.read_shards(spark, f"{tmp_path}/s", column, low, high)
+        assert len(some.inputFiles()) < 16
+        assert sorted(r["slot"] for r in some.collect()) == sorted(r["slot"] for r in back.where(F.col(column).between(low, high)).collect())
+    assert sharding.read_shards(spark, f"{tmp_path}/s", "doc_id", -9, -1).count() == 0
+    sharding.write_shards(docs.limit(0), f"{tmp_path}/none", 16)
+    assert sharding.read_shards(spark, f"{tmp_path}/none", "doc_id", 0, 9).count() == 0
+
+
 def repeats(text, k=8):
     w = words(text)
     seen = Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
