@@ -185,3 +185,11 @@ def test_documents_are_read_back(spark, tmp_path):
     (tmp_path / "v.json").write_text('{"schemes": [{"id": 1, "p": 2.5}, {"id": 2, "p": null}], "features": [{"properties": {"n": "a"}, "geometry": {"type": "Point"}}]}')
     assert [tuple(r) for r in layouts.json_rows(spark, f"{tmp_path}/v.json", "schemes").orderBy("id").collect()] == [(1, 2.5), (2, None)]
     assert layouts.geojson_features(spark, f"{tmp_path}/v.json").select("properties.n").first()[0] == "a"
+
+
+def test_sensitivity_has_all_five_weightings(spark, sf):
+    from rillflow.plans import matching_q
+
+    rows = {r["scheme"]: r for r in matching_q.index_sensitivity(spark, sf).collect()}
+    assert set(rows) == {"equal", "mechanism_only", "mechanism_heavy", "drop_size", "restore_c3"}
+    assert 0 < rows["restore_c3"]["spearman"] < 1 and 0 <= rows["restore_c3"]["decile_churn"] <= 1
