@@ -20,13 +20,18 @@ BATCH_ROWS = 512
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset a folder made for local runs."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or where that is unset a folder made for local runs.
+
+    Off local mode an unset folder is an error: executors can't see a folder of the driver's machine.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
     made = spark.sparkContext.getCheckpointDir()
     if made:
         return made.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     own = tempfile.mkdtemp(prefix="rillflow-")
     atexit.register(shutil.rmtree, own, True)
     spark.sparkContext.setCheckpointDir(own)
@@ -40,11 +45,21 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def arrow_pass(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """mapInArrow in batches small enough for long texts."""
+def arrow_pass(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, rows: int = BATCH_ROWS) -> DataFrame:
+    """mapInArrow, each batch cut to so many rows: Spark bounds the bytes it sends at once, this what a task makes of them at once."""
     ship_package(df.sparkSession)
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return fn(batch.slice(k, rows) for batch in batches for k in range(0, batch.num_rows, rows))
+
+    return df.mapInArrow(run, schema)
+
+
+def salted(rows: DataFrame, key: str, by: str, table: DataFrame, key_of_table: str, salts: int, how: str = "inner") -> DataFrame:
+    """rows joined with a narrow table that has one row per key; the rows of any one key are dealt to `salts` tasks by `by`."""
+    spread = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    mine = rows.withColumn("__turn", F.pmod(F.xxhash64(by, F.lit(3)), F.lit(salts)).cast("int"))
+    return mine.join(spread, (F.col(key) == F.col(key_of_table)) & (F.col("__turn") == F.col("__salt")), how).drop("__turn", "__salt")
 
 
 def rows_pass(fn: Callable[..., tuple], names: list[str], types: list[pa.DataType], keep: int = 1) -> Callable:

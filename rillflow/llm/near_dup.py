@@ -5,10 +5,16 @@ as a mantissa (10 bits). Every register has a hash of its own over the whole set
 registers would leave most of them empty for short texts. Four registers are one band, exactly a 64-bit key; texts that
 share a band are candidates. Estimates from the registers, corrected for registers that agree by chance, sort out most
 candidates; the rest are compared by their full sets of shingles, and only that makes a link.
+
+Two passes look at the candidates. Stars compare each text with the least ids of its buckets, which finds most links with
+few pairs. Then every pair of a bucket that is still in different components is judged in tiles: a task holds two groups of
+a bucket's rows with their texts, verifies the pairs between them on full sets, and joins what it links on the spot. No pairs
+leave a tile but links between components, one fewer than its components at most.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -17,22 +23,22 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .common import arrow_pass, stored
+from .common import arrow_pass, salted, stored
 
 BANDS, ROWS, MANTISSA = 32, 4, 10
 REGISTERS = BANDS * ROWS
 #: Candidates below the threshold less this are not verified: over five standard deviations of 128 registers at 0.8.
 SLACK = 0.2
-#: Least ids that a text is compared with at first, and rows of one run that a task holds.
+#: Least ids that a text is compared with in stars (tiles meet all others), and rows of one run that a task holds.
 STARS, HOT_RUN = 4, 1 << 20
-#: Early rounds, which only spare remaining() work: rows looked back on, partners taken of a bucket and of all buckets, the
-#: least share of equal registers, and rounds at most (they end where a round finds no link).
-LOOK_BACK, CLOSEST, PARTNERS, ACROSS, ROUNDS = 256, 2, 24, 0.66, 4
-#: Rows of a bucket that meet in one tile, of each side.
-TILE = 2048
+#: Rows and shingles of a bucket that meet in one tile, of each side; a single text can have more.
+TILE, TILE_SHINGLES = 2048, 1 << 18
+#: Tasks that share the rows of one hub or one component.
+SALTS = 16
 #: Ids that are broadcast to pick the texts to verify.
 BROADCAST_IDS = 1_000_000
-_CACHE = 400_000
+#: Bytes of the words whose hashes a worker remembers.
+_CACHE = 16 << 20
 
 
 def words_of(text: str | bytes | None) -> list[bytes]:
@@ -66,16 +72,18 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def shingle_hashes(words: list[bytes], size: int, known: dict[bytes, int]) -> np.ndarray:
-    """Distinct 64-bit hashes of the shingles, sorted. known: hashes of words seen before, for speed."""
-    if len(known) > _CACHE:
+    """Distinct 64-bit hashes of the shingles, sorted. known: hashes of words seen before, for speed; b"" has their bytes."""
+    if known.get(b"", 0) > _CACHE:
         known.clear()
-    get, digest = known.get, xxhash.xxh64_intdigest
+    get, digest, new = known.get, xxhash.xxh64_intdigest, 0
     out = []
     for w in words:
         h = get(w)
         if h is None:
             h = known[w] = digest(w)
+            new += len(w) + 64
         out.append(h)
+    known[b""] = known.get(b"", 0) + new
     h = np.array(out, np.uint64)
     width = min(size, len(h))
     n = len(h) - width + 1
@@ -121,7 +129,11 @@ def estimate(agree: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, *, doc_id: str, text: str, shingle: int) -> DataFrame:
-    """id, n_shingles, and of non-empty sets set_key (128 bits that name the set) and registers; in one pass, stored."""
+    """id, n_shingles, and of non-empty sets set_key (sha256 of the sequence of words) and registers; in one pass, stored.
+
+    Sizes are of full sets. Equal keys mean equal sequences of words, and so equal sets, as far as sha256 goes; texts whose
+    sets alone are equal agree in all registers and are verified like any others.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
@@ -132,20 +144,25 @@ def sketches(docs: DataFrame, *, doc_id: str, text: str, shingle: int) -> DataFr
                 if not words:
                     sizes.append(0), keys.append(None), sigs.append(None)
                     continue
-                hashes = shingle_hashes(words, shingle, known)
-                sizes.append(len(hashes)), keys.append(xxhash.xxh128_digest(hashes.tobytes())), sigs.append(registers(hashes).tobytes())
+                sizes.append(len(shingle_set(words, shingle))), keys.append(hashlib.sha256(b" ".join(words)).digest())
+                sigs.append(registers(shingle_hashes(words, shingle, known)).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())], names=["id", "n_shingles", "set_key", "registers"])
 
     plain = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("__text"))
     return stored(arrow_pass(plain, run, f"id {dict(plain.dtypes)['id']}, n_shingles long, set_key binary, registers binary"), "dup-sketches")
 
 
+@lru_cache(maxsize=1)
+def _numbers() -> np.ndarray:
+    """What sets apart the keys of the bands."""
+    return _mix(np.arange(1, BANDS + 1, dtype=np.uint64))
+
+
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (id, registers): rows (key, id), one for each band; the key is the band's four registers, mixed with its number."""
-    number = _mix(np.arange(1, BANDS + 1, dtype=np.uint64))
     for batch in batches:
         n = batch.num_rows
-        keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64).reshape(n, BANDS) ^ number
+        keys = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64).reshape(n, BANDS) ^ _numbers()
         yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS), pa.int64())], names=["key", "id"])
 
 
@@ -222,8 +239,7 @@ def crowded(reps: DataFrame) -> DataFrame:
     saw, and starts() links the parts.
     """
     rows = arrow_pass(reps.select("id", "registers"), _bands, "key long, id long").repartitionByRange("key", "id").sortWithinPartitions("key", "id")
-    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
-    return stored(rows.mapInArrow(_runs, "key long, id long, least long"), "dup-crowded")
+    return stored(arrow_pass(rows, _runs, "key long, id long, least long", 10_000), "dup-crowded")
 
 
 def candidates(rows: DataFrame) -> DataFrame:
@@ -236,118 +252,153 @@ def candidates(rows: DataFrame) -> DataFrame:
     return best.unionByName(parts.join(least, "key").where("id > a").select("a", F.col("id").alias("b"))).distinct()
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (key, turn, id, component, registers) in order: for each row, of the rows shortly before it in its bucket and in
-    other components, the few that look closest, with the share of equal registers."""
-    before: list[tuple] = []
-    for batch in batches:
-        out: list[tuple] = []
-        for key, _, i, component, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if before and before[-1][0] != key:
-                before = []
-            mine = np.frombuffer(raw, np.uint16)
-            others = [r for r in before if r[2] != component]
-            if others:
-                share = (np.stack([r[3] for r in others]) == mine).mean(1)
-                out += [(i, others[k][1], float(share[k])) for k in np.argsort(-share, kind="stable")[:CLOSEST] if share[k] >= ACROSS]
-            before.append((key, i, component, mine))
-            del before[:-LOOK_BACK]
-        columns = list(zip(*out, strict=True)) or [[], [], []]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["i", "other", "share"])
-
-
 def named_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """(key, id, component) of crowded() rows; stored."""
     return stored(rows.select("key", "id").join(labels.withColumnRenamed("id", "l"), F.col("id") == F.col("l"), "left").select("key", "id", F.coalesce("component", "id").alias("component")), "dup-named")
 
 
-def across(rows: DataFrame, labels: DataFrame, reps: DataFrame, tested: DataFrame) -> DataFrame:
-    """Untested pairs (a < b) within buckets but across components: most of what the stars can miss.
+def hopeful(k: int, r: np.ndarray, n: np.ndarray, regs: np.ndarray, key: int, percent: int) -> np.ndarray:
+    """Of the rows r, those that row k shall be verified with in the bucket `key`: sizes allow it, no earlier band is shared (the
+    pair is met there), and the estimate is high enough."""
+    r = r[100 * np.minimum(n[r], n[k]) >= percent * np.maximum(n[r], n[k])]
+    if not len(r):
+        return r
+    bands = regs.view(np.uint64)
+    same = bands[r] == bands[k]
+    first = same.argmax(1)
+    r = r[same.any(1) & ((bands[k][first] ^ _numbers()[first]) == np.uint64(key & 0xFFFFFFFFFFFFFFFF))]
+    return r[estimate((regs[r] == regs[k]).mean(1), n[r], n[k]) >= percent / 100 - SLACK]
 
-    Only buckets that hold several components are looked at again, their rows in the order of another band and dealt by it,
-    so that rows shortly before are alike in more than the bucket. Each row brings the CLOSEST of each bucket, and of all
-    these its PARTNERS closest: linear in the bucket's size.
-    """
-    named = named_rows(rows, labels)
-    mixed = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    turn = F.xxhash64(F.substring("registers", F.pmod(F.col("key"), F.lit(BANDS - 2)).cast("int") * 2 * ROWS + 1, F.lit(4 * ROWS)))
-    seen = named.join(mixed, "key").join(reps.select(F.col("id").alias("r"), "registers"), F.col("id") == F.col("r")).select("key", turn.alias("turn"), "id", "component", "registers")
-    found = arrow_pass(seen.repartitionByRange("key", "turn", "id").sortWithinPartitions("key", "turn", "id"), _across, "i long, other long, share double")
-    once = found.groupBy("i", "other").agg(F.max("share").alias("share")).withColumn("a", F.least("i", "other")).withColumn("b", F.greatest("i", "other"))
-    best = once.join(tested, ["a", "b"], "left_anti").withColumn("place", F.row_number().over(W.partitionBy("i").orderBy(F.desc("share"), "other"))).where(F.col("place") <= PARTNERS)
-    return best.select("a", "b").distinct()
-
-
-def _tiles(percent: int):
-    """From (key, p, q, side, id, component, n_shingles, registers), ordered by (key, p, q): the pairs (a < b) of each tile that
-    lie in different components and that _close() would keep. A tile of p < q pairs side p with side q, one of p = q its rows.
-    A pair that shares several bands comes out of the first of them alone."""
-    number = _mix(np.arange(1, BANDS + 1, dtype=np.uint64))
-
-    def pairs(key: int, p: int, q: int, part: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
-        side, ids, component, n, regs = part
-        left, right = (np.nonzero(side == s)[0] for s in (p, q))
-        bands, want = regs.view(np.uint64), np.uint64(key & 0xFFFFFFFFFFFFFFFF)
-        out = [np.zeros((0, 2), np.int64)]
-        for k in left.tolist():
-            r = right[right > k] if p == q else right
-            r = r[component[r] != component[k]]
-            r = r[100 * np.minimum(n[r], n[k]) >= percent * np.maximum(n[r], n[k])]
-            if not len(r):
-                continue
-            same = bands[r] == bands[k]
-            first = same.argmax(1)
-            r = r[same.any(1) & ((bands[k][first] ^ number[first]) == want)]
-            r = r[estimate((regs[r] == regs[k]).mean(1), n[r], n[k]) >= percent / 100 - SLACK]
-            out.append(np.stack([np.minimum(ids[r], ids[k]), np.maximum(ids[r], ids[k])], 1))
-        both = np.concatenate(out)
-        return both[:, 0], both[:, 1]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting, of = [], None
+def _partners(k: int, p: int, q: int, side: np.ndarray) -> np.ndarray:
+    """Rows that row k of side p meets in the tile (p, q): all of side q, or, of one group alone, those after k."""
+    r = np.nonzero(side == q)[0]
+    return r[r > k] if p == q else r
 
-        def out() -> pa.RecordBatch:
-            a, b = pairs(*of, tuple(map(np.concatenate, zip(*waiting, strict=True))))
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-        for batch in batches:
-            if not batch.num_rows:
+def _by_tile(batches: Iterator[pa.RecordBatch], judge, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """From (key, p, q, ...), ordered by these three: judge((key, p, q), columns) of each tile, as rows of longs."""
+    waiting: list = []
+    of = None
+
+    def out() -> pa.RecordBatch:
+        got = judge(of, pa.Table.from_batches(waiting).combine_chunks())
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c), pa.int64()) for c in got], names=names)
+
+    for batch in batches:
+        tile = np.stack([batch.column(k).to_numpy() for k in range(3)], 1)
+        starts = np.r_[0, np.nonzero((tile[1:] != tile[:-1]).any(1))[0] + 1, len(tile)]
+        for x, y in zip(starts.tolist(), starts[1:].tolist(), strict=False):
+            now = tuple(tile[x].tolist())
+            if waiting and now != of:
+                yield out()
+                waiting = []
+            of = now
+            waiting.append(batch.slice(x, y - x))
+    if waiting:
+        yield out()
+
+
+def _matrix(tile: pa.Table) -> tuple[np.ndarray, ...]:
+    """side, id, component, n_shingles and registers of a tile's rows."""
+    regs = np.frombuffer(b"".join(tile["registers"].to_pylist()), np.uint16).reshape(-1, REGISTERS)
+    return *(tile[c].to_numpy() for c in ("side", "id", "component", "n_shingles")), regs
+
+
+def _needed(percent: int):
+    """Rows (key, p, q, side, id) of tiles that have anything to verify: what _joined() needs the texts of."""
+
+    def judge(of: tuple[int, int, int], tile: pa.Table) -> tuple[np.ndarray, ...]:
+        key, p, q = of
+        side, ids, component, n, regs = _matrix(tile)
+        want = np.zeros(len(ids), bool)
+        for k in np.nonzero(side == p)[0].tolist():
+            r = _partners(k, p, q, side)
+            r = hopeful(k, r[component[r] != component[k]], n, regs, key, percent)
+            want[r] = True
+            want[k] |= len(r) > 0
+        ids, side = ids[want], side[want]
+        return tuple(np.full(len(ids), x) for x in of) + (side, ids)
+
+    return lambda batches: _by_tile(batches, judge, ["key", "p", "q", "side", "id"])
+
+
+def _joined(shingle: int, percent: int):
+    """Links (a, b) between components of a tile's rows, verified on full sets.
+
+    Pairs whose rows are linked already, directly or by others of the tile, need no look. Shingles are numbered by
+    themselves, not by hashes.
+    """
+
+    def judge(of: tuple[int, int, int], tile: pa.Table) -> tuple[np.ndarray, ...]:
+        key, p, q = of
+        side, ids, component, n, regs = _matrix(tile)
+        component, number, sets = component.copy(), {}, []
+        for raw in tile["t"].to_pylist():
+            sets.append(np.fromiter((number.setdefault(g, len(number)) for g in shingle_set(words_of(raw), shingle)), np.int64))
+        sizes, there, links = np.array([len(s) for s in sets]), np.zeros(len(number) + 1, np.int64), []
+        for k in np.nonzero(side == p)[0].tolist():
+            r = _partners(k, p, q, side)
+            r = hopeful(k, r[component[r] != component[k]], n, regs, key, percent)
+            r = r[sizes[r] > 0]
+            if not len(r) or not sizes[k]:
                 continue
-            tile = np.stack([batch.column(k).to_numpy() for k in range(3)], 1)
-            columns = [batch.column(k).to_numpy() for k in range(3, 7)] + [np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint16).reshape(-1, REGISTERS)]
-            starts = np.r_[0, np.nonzero((tile[1:] != tile[:-1]).any(1))[0] + 1, len(tile)]
-            for x, y in zip(starts.tolist(), starts[1:].tolist(), strict=False):
-                now = tuple(tile[x].tolist())
-                if waiting and now != of:
-                    yield out()
-                    waiting = []
-                of = now
-                waiting.append(tuple(c[x:y] for c in columns))
-        if waiting:
-            yield out()
+            there[sets[k]] = 1
+            # in steps, so that a row with many partners holds few of their sets at once
+            for at in range(0, len(r), 256):
+                part = r[at : at + 256]
+                part = part[component[part] != component[k]]
+                if not len(part):
+                    continue
+                both = np.add.reduceat(there[np.concatenate([sets[x] for x in part])], np.r_[0, np.cumsum(sizes[part])[:-1]])
+                for x in part[100 * both >= percent * (sizes[part] + sizes[k] - both)].tolist():
+                    if component[x] != component[k]:
+                        links.append((min(ids[k], ids[x]), max(ids[k], ids[x])))
+                        component[component == component[x]] = component[k]
+            there[sets[k]] = 0
+        both = np.array(links, np.int64).reshape(-1, 2)
+        return both[:, 0], both[:, 1]
 
-    return run
+    return lambda batches: _by_tile(batches, judge, ["a", "b"])
 
 
-def remaining(rows: DataFrame, labels: DataFrame, reps: DataFrame, tested: DataFrame, *, percent: int) -> DataFrame:
-    """All untested pairs (a < b) of all buckets that lie in different components and whose estimate is high enough to verify.
+def remaining(rows: DataFrame, labels: DataFrame, reps: DataFrame, docs: DataFrame, *, doc_id: str, text: str, shingle: int, percent: int) -> DataFrame:
+    """Links (a < b) that join all components which any pair of any bucket links; stored.
 
-    Once these are verified, no pair that shares a bucket is left out. Rows of a bucket's largest component, which need no
-    comparison among themselves, are dealt to groups of TILE, the other rows to groups of their own; each tile is a pair of
-    groups, so hot buckets are shared by tasks and no task holds more than two groups of rows.
+    Every pair of a bucket whose rows lie in different components, and whose estimate is high enough, is verified. Rows of a
+    bucket's largest component, which need no comparison among themselves, are dealt to groups of TILE rows and TILE_SHINGLES
+    shingles about, the other rows to groups of their own; each tile is a pair of groups, so hot buckets are shared by tasks
+    and no task holds more than two groups of rows. Texts go to those tiles alone that have something to verify.
     """
-    named = named_rows(rows, labels).distinct()
-    sizes = named.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("all"))
-    groups = lambda n: F.ceil(n / TILE).cast("int")
-    mixed = sizes.where(F.col("all") > F.col("main.n")).select("key", F.col("main.component").alias("main"), groups(F.col("main.n")).alias("gm"), groups(F.col("all") - F.col("main.n")).alias("go"))
+    named = named_rows(rows, labels).distinct().join(reps.select(F.col("id").alias("r"), "n_shingles"), F.col("id") == F.col("r")).drop("r")
+    sizes = named.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("m")).groupBy("key").agg(F.max(F.struct("n", "component", "m")).alias("main"), F.sum("n").alias("all"), F.sum("m").alias("every"))
+    groups = lambda n, m: F.greatest(F.ceil(n / TILE), F.ceil(m / TILE_SHINGLES)).cast("int")
+    mixed = sizes.where(F.col("all") > F.col("main.n")).select("key", F.col("main.component").alias("main"), groups(F.col("main.n"), F.col("main.m")).alias("gm"), groups(F.col("all") - F.col("main.n"), F.col("every") - F.col("main.m")).alias("go"))
     is_main = F.col("component") == F.col("main")
     dealt = F.xxhash64("id", F.lit(1))
     side = F.when(is_main, F.pmod(dealt, F.col("gm"))).otherwise(F.col("gm") + F.pmod(dealt, F.col("go"))).cast("long")
     partner = F.explode(F.when(is_main, F.sequence(F.col("gm"), F.col("gm") + F.col("go") - 1)).otherwise(F.sequence(F.lit(0), F.col("gm") + F.col("go") - 1)))
     placed = named.join(mixed, "key").withColumn("side", side).withColumn("partner", partner).withColumn("p", F.least("side", "partner").cast("long")).withColumn("q", F.greatest("side", "partner").cast("long"))
-    seen = placed.join(reps.select(F.col("id").alias("r"), "n_shingles", "registers"), F.col("id") == F.col("r")).select("key", "p", "q", "side", "id", "component", "n_shingles", "registers")
-    found = arrow_pass(seen.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q"), _tiles(percent), "a long, b long")
-    return found.join(tested, ["a", "b"], "left_anti")
+    sketch = reps.select(F.col("id").alias("r"), "registers")
+    first = placed.select("key", "p", "q", "side", "id", "component", "n_shingles").join(sketch, F.col("id") == F.col("r")).drop("r")
+    need = stored(arrow_pass(first.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q"), _needed(percent), "key long, p long, q long, side long, id long"), "dup-needed")
+    named_once = labels.select(F.col("id").alias("l"), "component")
+    texts = texts_of(docs, need.select("id"), doc_id=doc_id, text=text).select(F.col("id").alias("d"), "t")
+    full = (
+        need.join(named_once, F.col("id") == F.col("l"), "left").withColumn("component", F.coalesce("component", "id")).drop("l")
+        .join(reps.select(F.col("id").alias("r"), "n_shingles", "registers"), F.col("id") == F.col("r")).drop("r")
+        .join(texts, F.col("id") == F.col("d")).drop("d")
+    )
+    found = arrow_pass(full.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q"), _joined(shingle, percent), "a long, b long", 64)
+    return stored(found.distinct(), "dup-more")
+
+
+def texts_of(docs: DataFrame, ids: DataFrame, *, doc_id: str, text: str) -> DataFrame:
+    """(id, t) of the documents with these ids; stored."""
+    wanted = stored(ids.distinct(), "dup-wanted")
+    if wanted.count() <= BROADCAST_IDS:  # eight bytes each; with more of them, texts are shuffled to meet their ids
+        wanted = F.broadcast(wanted)
+    return stored(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t")).join(wanted, "id", "left_semi"), "dup-texts")
 
 
 def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, *, doc_id: str, text: str, shingle: int, percent: int) -> DataFrame:
@@ -355,10 +406,7 @@ def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, *, doc_id: str, t
     left, right = (reps.select(F.col("id").alias(k), F.col("n_shingles").alias(f"n_{k}"), F.col("registers").alias(f"r_{k}")) for k in "ab")
     near = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "r_a", "r_b")
     near = stored(arrow_pass(near, _close(percent), "a long, b long"), "dup-near")
-    wanted = stored(near.select(F.col("a").alias("id")).union(near.select("b")).distinct(), "dup-wanted")
-    if wanted.count() <= BROADCAST_IDS:  # eight bytes each; with more of them, texts are shuffled to meet their ids
-        wanted = F.broadcast(wanted)
-    texts = stored(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("t")).join(wanted, "id", "left_semi"), "dup-texts")
+    texts = texts_of(docs, near.select(F.col("a").alias("id")).union(near.select("b")), doc_id=doc_id, text=text)
     both = near.join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b").select("a", "b", "ta", "tb")
     return stored(arrow_pass(both.sortWithinPartitions("a"), _verified(shingle, percent), "a long, b long"), "dup-links")
 
@@ -367,15 +415,18 @@ def components(links: DataFrame) -> DataFrame:
     """(id, component) of every id in the links (a, b), component being the least id reachable.
 
     Labels spread to neighbours and jump along labels until nothing changes; each round is written, so no lineage grows and
-    nothing is collected but a count. Hubs are met by partial minima and by joins that split hot keys.
+    nothing is collected but a count. Hubs and large components are met by partial minima, and the rows of each are dealt to
+    SALTS tasks when labels are joined to them.
     """
     edges = stored(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).where("a <> b").distinct(), "dup-edges")
     labels = stored(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("component")), "dup-labels")
     while True:
-        heard = edges.join(labels, F.col("b") == F.col("id")).groupBy("a").agg(F.min("component").alias("heard"))
+        heard = salted(edges, "b", "a", labels, "id", SALTS).groupBy("a").agg(F.min("component").alias("heard"))
         spread = labels.join(heard, F.col("id") == F.col("a"), "left").select("id", F.col("component").alias("before"), F.least("component", F.coalesce("heard", "component")).alias("component"))
-        jump = spread.select(F.col("id").alias("j"), F.col("component").alias("further"))
-        new = stored(spread.join(jump, F.col("component") == F.col("j"), "left").select("id", "before", F.least("component", F.coalesce("further", "component")).alias("component")), "dup-labels")
+        spread = stored(spread, "dup-spread")
+        named = spread.select(F.col("component").alias("c")).distinct()
+        jump = spread.join(named, F.col("id") == F.col("c"), "left_semi").select(F.col("id").alias("j"), F.col("component").alias("further"))
+        new = stored(salted(spread, "component", "id", jump, "j", SALTS, "left").select("id", "before", F.least("component", F.coalesce("further", "component")).alias("component")), "dup-labels")
         changed = new.where("component <> before").limit(1).count()
         labels = new.select("id", "component")
         if not changed:
@@ -385,8 +436,8 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 2, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document.
 
-    Equal sets are one class, whatever its size, and only classes' least ids are sketched into bands. Texts without words
-    are alone. Rows with a null id keep a null component and are kept; rows that repeat an id are one document, whose links
+    Texts of equal words are one class, whatever its size, and only classes' least ids are sketched into bands. Texts without
+    words are alone; very long texts are held whole by the task that has them. Rows with a null id keep a null component and are kept; rows that repeat an id are one document, whose links
     are those of any of its texts. Ids are integers. Other columns aren't read.
     """
     found = sketches(docs, doc_id=doc_id, text=text, shingle=shingle)
@@ -396,19 +447,9 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     reps = classes.select(F.col("rep").cast("long").alias("id"), "n_shingles", "registers")
     how = {"doc_id": doc_id, "text": text, "shingle": shingle, "percent": percent}
     rows = crowded(reps)
-    tested = stored(candidates(rows), "dup-pairs")
-    links = verify(tested, reps, docs, **how)
+    links = verify(stored(candidates(rows), "dup-pairs"), reps, docs, **how)
     of_class = components(links)
-    for _ in range(ROUNDS):
-        pairs = stored(across(rows, of_class, reps, tested), "dup-pairs")
-        tested = tested.union(pairs)
-        more = verify(pairs, reps, docs, **how)
-        if not more.limit(1).count():
-            break
-        links = links.union(more)
-        of_class = components(links)
-    pairs = stored(remaining(rows, of_class, reps, tested, percent=percent), "dup-pairs")
-    more = verify(pairs, reps, docs, **how)
+    more = remaining(rows, of_class, reps, docs, **how)
     if more.limit(1).count():
         of_class = components(links.union(more))
     copies = usable.join(classes.where("n > 1").select("set_key", "rep"), "set_key").where("id <> rep").select(F.col("id").cast("long").alias("a"), F.col("rep").cast("long").alias("b"))

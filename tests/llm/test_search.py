@@ -67,6 +67,39 @@ def test_no_pair_of_a_bucket_is_left_out(spark):
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == want
 
 
+def test_boilerplate_loses_no_link(spark):
+    """2,000 texts of shared boilerplate: each is linked with one other (0.81), all the rest lie just below (0.78)."""
+    core, n = [f"core{k}" for k in range(262)], 2000
+    rows = [(k, " ".join([*core, *(f"p{k % (n // 2)}-{j}" for j in range(6)), *(f"own{k}-{j}" for j in range(31))])) for k in range(n)]
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {k: k % (n // 2) for k in range(n)}
+
+
+def test_drifting_chains_stay_whole(spark):
+    """Two chains of 1,000 texts, each made from the one before by one new word of 40: only neighbours are linked."""
+    rng, rows = random.Random(5), []
+    ids = list(range(2000))
+    rng.shuffle(ids)
+    for chain in range(2):
+        words = [f"c{chain}w{k}" for k in range(40)]
+        for step in range(1000):
+            words[step % 40] = f"c{chain}s{step}"
+            rows.append((ids[chain * 1000 + step], " ".join(words)))
+    near, far = (near_dup.shingle_set(near_dup.words_of(rows[k][1]), 2) for k in (1, 40))
+    assert near_dup.linked(near_dup.shingle_set(near_dup.words_of(rows[0][1]), 2), near, 80) and not near & far
+    got = {r["doc_id"]: r["component_id"] for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] == min(ids[chain * 1000 : chain * 1000 + 1000]) for chain in range(2) for i in ids[chain * 1000 : chain * 1000 + 1000])
+
+
+def test_tiles_of_a_hot_bucket(spark, monkeypatch):
+    """Groups of seven rows: pairs of different groups meet as well as pairs of one."""
+    monkeypatch.setattr(near_dup, "TILE", 7)
+    core = [f"core{k}" for k in range(88)]
+    rows = [(k, " ".join([*core, f"pair{k % 30}", *(f"own{k}-{j}" for j in range(11))])) for k in range(60)]
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=1).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {k: k % 30 for k in range(60)}
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_dup.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
