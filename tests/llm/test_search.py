@@ -145,12 +145,25 @@ def exact(ids, x, every, k):
         yield int(ids[q]), [(int(ids[i]), float(s[i])) for i in order]
 
 
-def test_multi_index_holds_every_code_within_the_radius():
-    codes = np.random.default_rng(2).integers(0, 256, (400, ann.PARTS), np.uint8)
-    index = ann.MultiIndex(codes)
+def test_probes_hold_every_code_within_the_radius():
+    """Cells of each number of bits, against all distances; each pair is met in one substring."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    codes, x = rng.integers(0, 1 << 16, (400, ann.PARTS), np.uint16), rng.normal(size=(400, 3))
+    codes[::3] ^= np.uint16(1) << rng.integers(0, 16, (134, ann.PARTS)).astype(np.uint16)
+    ids = np.arange(400)
     for radius in (0, 3, 8, 15, 22, 28, 64):
-        want = np.nonzero(np.bitwise_count(codes ^ codes[7]).sum(1) <= radius)[0]
-        assert index.within(codes[7], radius).tolist() == want.tolist()
+        want = set(np.nonzero(np.bitwise_count(codes ^ codes[7]).sum(1) <= radius)[0].tolist()) - {7}
+        for bits in (0, 3, 16):
+            asked = pa.record_batch([pa.array([7]), pa.array([codes[7].tobytes()], pa.binary()), pa.array([b""], pa.binary()), pa.array([radius]), pa.array([radius])], names=["id", "code", "x", "radius", "most"])
+            met = []
+            for routed in ann._routes(bits)(iter([asked])):
+                for part, cell in zip(routed.column(0).to_pylist(), routed.column(1).to_pylist(), strict=True):
+                    rows = np.nonzero(codes[:, part].astype(int) >> (16 - bits) == cell)[0]
+                    if len(rows):
+                        met += [r[2] for r in ann.best_of(ids[rows], ids[rows], x[rows], codes[rows], part, np.array([7]), x[7:8], codes[7:8], np.array([radius]), np.array([radius]), 400)]
+            assert len(met) == len(set(met)) and set(met) == want
 
 
 def test_recall(spark):
@@ -168,6 +181,25 @@ def test_recall(spark):
     assert hits / total >= 0.9
 
 
+def test_hot_cells_and_ties(spark, monkeypatch):
+    """A third of the rows is one vector; cells of many blocks and turns; ids that repeat with different vectors."""
+    monkeypatch.setattr(ann, "BLOCK", 16)
+    monkeypatch.setattr(ann, "QUERIES", 3)
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 8))
+    x[100:200] = x[100]
+    rows = [(int(i), [float(v) for v in x[i]]) for i in rng.permutation(300)] + [(100, [1.0] * 8), (100, [-1.0] * 8)]
+    got = {}
+    for frame in (rows, rows[::-1]):
+        for r in ann.nearest(spark.createDataFrame(frame, "vec_id long, embedding array<double>"), every=20).collect():
+            got.setdefault((r["query_id"], r["rank"]), set()).add((r["vec_id"], r["score"]))
+    assert all(len(v) == 1 for v in got.values())  # whatever the order of rows
+    same = [next(iter(got[120, rank]))[0] for rank in range(1, 6)]
+    assert same == [100, 101, 102, 103, 104]  # ties to the smaller id
+    hits = sum(len({i for i, _ in want} & {next(iter(got[q, r]))[0] for r in range(1, 6)}) for q, want in exact(np.arange(300), x, 20, 5) if q not in (100, 120, 140, 160, 180))
+    assert hits >= 0.9 * 5 * 10
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 1.0]), (4, None), (5, [0.0, 0.0]), (6, [nan, 1.0]), (7, [inf, 1.0]), (8, [None, 1.0]), (9, []), (10, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (50, [-1.0, 0.0]), (0, [1.0, 0.0])]
