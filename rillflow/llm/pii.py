@@ -80,8 +80,8 @@ def base_spans(text: str) -> list[Span]:
 # The field
 
 LABELS = ("O", *KINDS)
-#: Tokens of an entity at most; signs count as tokens.
-LONGEST = 18
+#: Tokens of an entity at most, signs among them, and digits: a card has 19 at most.
+LONGEST, MOST_DIGITS = 18, 19
 #: Characters around a trigger that the field sees.
 AROUND = 48
 _TOKEN = re.compile(r"[^\W0-9_]+|[0-9]+|[^\w\s]|_")
@@ -97,6 +97,9 @@ _NORTH = re.compile(r"\(?\d{3}\)?[ .-]{1,2}\d{3}[ .-]\d{4}")
 _ATS, _DOTS = frozenset(("@", "at", "AT")), frozenset((".", "dot", "DOT"))
 #: What may stand between the digits of an entity.
 _JOINS = frozenset(("+", "(", ")", ".", "-", "/", "_", "[", "]", "dot", "DOT"))
+_SHAPE = str.maketrans("123456789", "000000000")
+#: Scores of shapes that a model remembers, and characters of a shape.
+REMEMBERED, SHAPE = 100_000, 64
 _TLD = frozenset("com org net edu gov io de fr es uk co info".split())
 
 
@@ -108,9 +111,13 @@ class Tokens:
         self.spans = [m.span() for m in _TOKEN.finditer(text, start, end)]
         self.words = [text[a:b] for a, b in self.spans]
         self.types = ["d" if w[0] in "0123456789" else "a" if w[0].isalpha() else "p" for w in self.words]
-        self.digits = [0]
+        self.start, self.form, self.cued = start, text[start:end].translate(_SHAPE), {}
+        self.digits, self.numbers = [0], [0]
         for w, t in zip(self.words, self.types, strict=True):
             self.digits.append(self.digits[-1] + len(w) * (t == "d"))
+            self.numbers.append(self.numbers[-1] + (t == "d"))
+        #: Whether a spelled-out address can be here at all.
+        self.addresses = not _ATS.isdisjoint(self.words) and not _DOTS.isdisjoint(self.words)
 
     def glued(self, i: int) -> bool:
         """Whether letters or digits run over the boundary before token i."""
@@ -120,18 +127,65 @@ class Tokens:
 
     def four_bytes(self, i: int, j: int) -> bool:
         """Whether the numbers among tokens i to j - 1 are four bytes with dots between."""
+        if self.numbers[j] - self.numbers[i] != 4:
+            return False
         groups = [w for w, t in zip(self.words[i:j], self.types[i:j], strict=True) if t == "d"]
-        return len(groups) == 4 and all(map(_byte, groups)) and sum(w in _DOTS for w in self.words[i:j]) >= 3
+        return all(map(_byte, groups)) and sum(w in _DOTS for w in self.words[i:j]) >= 3
+
+    def ending(self, j: int) -> list[int]:
+        """Starts of the candidates that end with token j - 1, nearest first: enough digits and no words between, or an at sign
+        and a dot in the midst of letters."""
+        words, types, digits, out = self.words, self.types, self.digits, []
+        if types[j - 1] == "d":
+            for i in range(j - 1, max(-1, j - LONGEST - 1), -1):
+                n = digits[j] - digits[i]
+                if n > MOST_DIGITS or not (types[i] == "d" or words[i] in _JOINS):
+                    break
+                if (types[i] == "d" or words[i] in ("+", "(")) and (n >= 7 or n >= 4 and self.four_bytes(i, j)):
+                    out.append(i)
+        elif types[j - 1] == "a" and self.addresses:
+            at = dot = False
+            for i in range(j - 3, max(-1, j - LONGEST - 1), -1):
+                inner = words[i + 1]
+                if types[i + 1] == "p" and inner not in ".-_@()[]{}<>":
+                    break
+                at |= inner in _ATS
+                dot |= inner in _DOTS
+                if at and dot and types[i] != "p":
+                    out.append(i)
+        return out
 
     def candidate(self, i: int, j: int) -> bool:
-        """Whether tokens i to j - 1 can be an entity: enough digits and no words, or an at sign in the midst."""
-        words, types = self.words[i:j], self.types[i:j]
-        if self.digits[j] - self.digits[i] >= (4 if self.four_bytes(i, j) else 7) and types[-1] == "d" and (types[0] == "d" or words[0] in "+("):
-            return all(t == "d" or w in _JOINS for w, t in zip(words, types, strict=True))
-        if types[0] != "p" and types[-1] == "a" and j - i >= 3:
-            inner = words[1:-1]
-            return any(w in _ATS for w in inner) and any(w in _DOTS for w in inner) and all(t != "p" or w in ".-_@()[]{}<>" for w, t in zip(inner, types[1:-1], strict=True))
-        return False
+        """Whether tokens i to j - 1 can be an entity."""
+        return i in self.ending(j)
+
+    def shape(self, i: int, j: int) -> tuple | None:
+        """All that features() depends on, digits but for leading zeros left out; None for segments with letters."""
+        if "a" in self.types[i:j]:
+            return None
+        a, b = self.spans[i][0], self.spans[j - 1][1]
+        form, n = self.form[a - self.start : b - self.start], self.digits[j] - self.digits[i]
+        if len(form) > SHAPE:
+            return None
+        text = self.text
+        zeros = 0 if text[a] != "0" else 1 if text[a + 1 : a + 2] != "0" else 2
+        check = luhn(_digits(text[a:b])) if 12 <= n <= 19 else None
+        return form, zeros, check, self.four_bytes(i, j), self.glued(i) or self.glued(j), self.cues(i), self.more(j), self.less(i)
+
+    def cues(self, i: int) -> tuple[str, ...]:
+        """Kinds that the three words before token i speak of."""
+        if (found := self.cued.get(i)) is None:
+            before = [w.lower() for w in self.words[max(0, i - 3) : i]]
+            found = self.cued[i] = tuple(kind for kind, cues in _CUES.items() if any(w in cues for w in before))
+        return found
+
+    def more(self, j: int) -> bool:
+        """Whether digits follow at once."""
+        return j < len(self.words) and self.types[j] == "d" and self.spans[j][0] - self.spans[j - 1][1] <= 1
+
+    def less(self, i: int) -> bool:
+        """Whether digits come right before."""
+        return i > 0 and self.types[i - 1] == "d" and self.spans[i][0] - self.spans[i - 1][1] <= 1
 
     def features(self, i: int, j: int) -> tuple[str, ...]:
         """Of the whole segment."""
@@ -171,23 +225,25 @@ class Tokens:
                 out.append("stray" if gaps > want else "tight")
         if self.glued(i) or self.glued(j):
             out.append("glued")
-        before = [w.lower() for w in self.words[max(0, i - 3) : i]]
-        out += [f"cue-{kind}" for kind, cues in _CUES.items() if any(w in cues for w in before)]
-        if j < len(self.words) and self.types[j] == "d" and self.spans[j][0] - self.spans[j - 1][1] <= 1:
+        out += [f"cue-{kind}" for kind in self.cues(i)]
+        if self.more(j):
             out.append("more")
-        if i and self.types[i - 1] == "d" and self.spans[i][0] - self.spans[i - 1][1] <= 1:
+        if self.less(i):
             out.append("less")
         return tuple(out)
 
+    def outside(self, j: int) -> tuple[str, ...]:
+        """Features of the lone token j - 1 outside of entities."""
+        return (f"type-{self.types[j - 1]}",)
+
     def segments(self) -> list[list[tuple[int, str, tuple[str, ...]]]]:
         """By end: start, label and features of the segments that may end there; a lone token may always be outside."""
         out: list = [[]]
         for j in range(1, len(self.words) + 1):
-            here = [(j - 1, "O", (f"type-{self.types[j - 1]}",))]
-            for i in range(max(0, j - LONGEST), j):
-                if self.candidate(i, j):
-                    feats = self.features(i, j)
-                    here += [(i, kind, feats) for kind in KINDS]
+            here = [(j - 1, "O", self.outside(j))]
+            for i in self.ending(j):
+                feats = self.features(i, j)
+                here += [(i, kind, feats) for kind in KINDS]
             out.append(here)
         return out
 
@@ -202,6 +258,7 @@ class SemiCrf:
 
     def __init__(self) -> None:
         self.w: dict = defaultdict(float)
+        self.known: dict[tuple, tuple[float, ...]] = {}
 
     def score(self, label: str, feats: tuple[str, ...]) -> float:
         return sum(self.w.get((label, f), 0.0) for f in feats)
@@ -248,15 +305,16 @@ class SemiCrf:
             j, before = end, y
         return grad
 
-    def decode(self, segments: list) -> list[tuple[int, int, str]]:
-        """Entities (token start, token end, kind) of the best segmentation; ties go to the first found, outside before inside."""
+    def decode(self, segments: list[list[tuple[int, str, float]]]) -> list[tuple[int, int, str]]:
+        """Entities (token start, token end, kind) of the best segmentation of (start, label, score) lists by end; ties go to the
+        first found, outside before inside."""
         n = len(segments) - 1
         best: list[dict[str, tuple[float, tuple | None]]] = [{"O": (0.0, None)}]
         for j in range(1, n + 1):
             here: dict[str, tuple[float, tuple | None]] = {}
-            for i, y, feats in segments[j]:
+            for i, y, score in segments[j]:
                 x, value = max(((x, v[0] + self.w.get((x, y), 0.0)) for x, v in best[i].items()), key=lambda p: p[1])
-                value += self.score(y, feats)
+                value += score
                 if y not in here or value > here[y][0]:
                     here[y] = value, (i, x)
             best.append(here)
@@ -268,6 +326,58 @@ class SemiCrf:
             j, y = i, x
         return out[::-1]
 
+    def kinds(self, tokens: Tokens, i: int, j: int) -> tuple[float, ...]:
+        """Scores of the segment as each kind; those of shapes seen before are remembered."""
+        shape = tokens.shape(i, j)
+        if shape is not None and (found := self.known.get(shape)) is not None:
+            return found
+        feats = tokens.features(i, j)
+        found = tuple(self.score(kind, feats) for kind in KINDS)
+        if shape is not None:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            self.known[shape] = found
+        return found
+
+    def edge(self, kind: str) -> float:
+        """The most that transitions into and out of a kind can be better than those into and out of a token outside."""
+        w = lambda x, y: self.w.get((x, y), 0.0)
+        return max(w(x, kind) - w(x, "O") for x in LABELS) + max(0.0, *(w(kind, y) - w("O", y) for y in LABELS))
+
+    def entities(self, tokens: Tokens) -> list[tuple[int, int, str]]:
+        """decode() of all segments of the tokens, on the parts alone where an entity can be.
+
+        A segment that is worth less than its tokens outside, even with the best transitions, is in no best segmentation:
+        putting its tokens outside would be better. Between the segments that are left all tokens are outside, so that each
+        run of overlapping ones is decoded by itself, with one token outside after it.
+        """
+        n, away = len(tokens.words), self.w.get(("O", "O"), 0.0)
+        free = {t: self.score("O", (f"type-{t}",)) for t in "dap"}
+        outside = [0.0]
+        for t in tokens.types:
+            outside.append(outside[-1] + free[t] + away)
+        edges = [self.edge(kind) for kind in KINDS]
+        left: dict[int, list[tuple[int, str, float]]] = {}
+        for j in range(1, n + 1):
+            for i in tokens.ending(j):
+                least = outside[j] - outside[i] - away - 1e-9
+                for kind, score, edge in zip(KINDS, self.kinds(tokens, i, j), edges, strict=True):
+                    if score + edge >= least:
+                        left.setdefault(j, []).append((i, kind, score))
+        runs: list[list[int]] = []
+        for j in sorted(left, key=lambda j: min(i for i, _, _ in left[j])):
+            i = min(i for i, _, _ in left[j])
+            if runs and i <= runs[-1][1]:
+                runs[-1][1] = max(runs[-1][1], j)
+            else:
+                runs.append([i, j])
+        out = []
+        for a, b in runs:
+            end = min(b + 1, n)
+            segments = [[]] + [[(j - 1 - a, "O", free[tokens.types[j - 1]]), *((i - a, kind, score) for i, kind, score in left.get(j, ()) if i >= a)] for j in range(a + 1, end + 1)]
+            out += [(i + a, j + a, kind) for i, j, kind in self.decode(segments)]
+        return out
+
 
 def _sentence(rng: random.Random) -> tuple[str, list[Span]]:
     """A sentence of invented words with entities in unusual spellings, or with look-alikes that are none."""
@@ -377,7 +487,7 @@ def added_spans(text: str, base: list[Span], model: SemiCrf) -> list[Span]:
     out = []
     for a, b in stretches:
         tokens = Tokens(text, a, b)
-        out += [(tokens.spans[i][0], tokens.spans[j - 1][1], kind) for i, j, kind in model.decode(tokens.segments())]
+        out += [(tokens.spans[i][0], tokens.spans[j - 1][1], kind) for i, j, kind in model.entities(tokens)]
     return out
 
 
