@@ -45,14 +45,14 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1
     )
 
 
-def rates(docs: DataFrame, *, text: str = "text", source: str = "source", weights: Sequence[int] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """One row per source: __source, source_size, target, rate (0 where the source has no words).
+def rates(sized: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.5, most: float = 2.0) -> DataFrame:
+    """From rows of (source, size), one row per source: __source, source_size, target, rate (0 where the source has no words).
 
     Only (source, words) leaves a task, summed before the shuffle, so a source with a third of the rows costs no more than
     another. The table is written: the optimizer knows its size when it is joined back, and broadcasts it only if that is
     below the session's threshold.
     """
-    sums = docs.select(F.col(source).alias("source"), word_count(F.col(text)).alias("size")).groupBy("source").agg(F.sum("size").alias("source_size"))
+    sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     found = targets(sums, weights, share, most)
     return stored(found.select(F.col("source").alias("__source"), "source_size", "target", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)).alias("rate")), "mix-rates")
 
@@ -69,13 +69,20 @@ def mix(docs: DataFrame, *keep: str, doc_id: str = "doc_id", text: str = "text",
     are decided alike. An empty table gives an empty result. target: weights, share and most of rates().
     """
     sized = docs.select(*(F.col(c) for c in keep), F.col(doc_id).alias("__id"), F.col(source).alias("__of"), word_count(F.col(text)).alias("size"))
-    found = rates(docs, text=text, source=source, **target)
+    sized = stored(sized, "mix-sized")
+    found = rates(sized.select(F.col("__of").alias("source"), "size"), **target)
     return sized.join(found, F.col("__of").eqNullSafe(F.col("__source"))).withColumn("copies", copies(F.col("rate"), F.col("__id"), seed)).drop("__id", "__of", "__source")
 
 
 def emit(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: str = "mix", **target: object) -> DataFrame:
-    """The mixed corpus itself: every document as often as the mix takes it, with the columns of docs."""
-    found = rates(docs, text=text, source=source, **target).select(F.col("__source"), F.col("rate").alias("__rate"))
+    """The mixed corpus itself: every document as often as the mix takes it, with the columns of docs.
+
+    Words are counted in one pass, texts read again to be emitted. Null and empty texts are emitted like any other, at their
+    source's rate; rows that repeat an id are decided alike. docs may have any columns but __source, __rate and __copy.
+    """
+    if clash := {"__source", "__rate", "__copy"} & set(docs.columns):
+        raise ValueError(f"columns of the mix's own names: {sorted(clash)}")
+    found = rates(docs.select(F.col(source).alias("source"), word_count(F.col(text)).alias("size")), **target).select(F.col("__source"), F.col("rate").alias("__rate"))
     return (
         docs.join(found, docs[source].eqNullSafe(F.col("__source")))
         .withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies(F.col("__rate"), F.col(doc_id), seed).cast("int"))))
