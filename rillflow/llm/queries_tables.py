@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from rillflow.sources.tables import table
 
 from . import bpe, mixing, quality, sharding, token_counts
-from .common import shared_dir
+from .common import shared_dir, stored
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,16 +23,20 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The second commit is sent twice, as after a failure; the totals hold it once.
     """
-    docs = table(spark, sf_dir, "documents")
-    rollup = token_counts.TokenRollup(spark, f"{shared_dir(spark)}/rillflow/rollup-{uuid.uuid4().hex}")
     words, size = mixing.word_count(F.col("text")), F.coalesce(F.octet_length("text"), F.lit(0))
+    # one pass over the texts; all commits see these numbers alone
+    docs = stored(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", words.alias("words"), size.cast("long").alias("size"), F.md5("text").alias("key")), "counts-docs")
+    rollup = token_counts.TokenRollup(spark, f"{shared_dir(spark)}/rillflow/rollup-{uuid.uuid4().hex}")
+    words, size = F.col("words"), F.col("size")
     guess = F.ceil(F.coalesce("n_chars", F.lit(0)) / 6)
     rollup.commit("insert", token_counts.inserts(token_counts.counted(docs, "words-1", guess)), token_counts.inserts(token_counts.counted(docs, "bytes-1", size)))
     for _ in range(2):
         rollup.commit("revise", token_counts.revisions(token_counts.counted(docs, "words-1", words, guess.cast("long").alias("old_tokens"))))
-    firsts = docs.groupBy(F.md5("text").alias("__key")).agg(F.min("doc_id").alias("__first"))
-    copies = docs.select("doc_id", "source", "lang", F.md5("text").alias("__key"), words.alias("__words"), size.alias("__size")).join(firsts, "__key").where("doc_id > __first")
-    rollup.commit("delete", *(token_counts.deletes(token_counts.counted(copies, version, F.col(of))) for version, of in (("words-1", "__words"), ("bytes-1", "__size"))))
+    # a text's copies meet as one row for each source and language, however many they are
+    alike = docs.where("key is not null").groupBy("key", "source", "lang", "words", "size").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first"))
+    place = F.row_number().over(W.partitionBy("key").orderBy("first", F.col("source").asc_nulls_first(), F.col("lang").asc_nulls_first()))
+    copies = alike.withColumn("n", F.col("n") - (place == 1).cast("long"))
+    rollup.commit("delete", *(copies.select("source", "lang", F.lit(version).alias("tokenizer"), (-F.col("n")).alias("n_docs"), (-F.col("n") * F.col(of)).alias("n_tokens")) for version, of in (("words-1", "words"), ("bytes-1", "size"))))
     return rollup.totals()
 
 

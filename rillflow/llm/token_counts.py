@@ -1,7 +1,8 @@
 """Token counts as delta-maintained rollups: signed changes update additive totals, one idempotent commit per batch.
 
-A store is a folder: batches/<id> holds one commit's summed changes, in parquet. A commit is written beside and moved into
-place by one rename, so a batch is there whole or not at all, and committing an id again changes nothing.
+A store is a folder: data/ holds each commit's summed changes, in parquet, and commits/<id> is a small file that names those
+of one batch. A commit writes its data first; then the file is moved to its place by a rename that fails if the place is taken.
+So a batch counts whole or not at all, committing an id again changes nothing, and of two writers of an id one gets True.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 import re
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 KEYS = ("source", "lang", "tokenizer")
@@ -41,39 +43,57 @@ class TokenRollup:
 
     def committed(self) -> list[str]:
         """Ids of the batches that are in the totals."""
-        at = self._path(f"{self.path}/batches")
+        at = self._path(f"{self.path}/commits")
         return sorted(s.getPath().getName() for s in self._fs.listStatus(at)) if self._fs.exists(at) else []
 
+    def _claim(self, batch: str, folder: str) -> bool:
+        """Make commits/<batch> name the folder; False where that file is there, whoever put it there and however lately."""
+        jvm, sc = self.spark._jvm, self.spark.sparkContext
+        written, place = self._path(f"{self.path}/staging/{folder}"), self._path(f"{self.path}/commits/{batch}")
+        self._fs.mkdirs(place.getParent())
+        out = self._fs.create(written, False)
+        out.write(bytearray(folder.encode()))
+        out.close()
+        no_options = sc._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.toUri(), self.spark._jsc.hadoopConfiguration())
+        try:
+            files.rename(self._fs.makeQualified(written), self._fs.makeQualified(place), no_options)  # without leave to overwrite
+        except Py4JJavaError as error:
+            if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+                raise
+            self._fs.delete(written, False)
+            return False
+        return True
+
     def commit(self, batch: str, *changes: DataFrame) -> bool:
-        """Add a batch's changes; False, and nothing done, where the id is committed already.
+        """Add a batch's changes; False, and nothing added, where the id is committed already, or is by another writer meanwhile.
 
-        Changes are summed by key before and after one shuffle; keys whose changes cancel out are left out. A run that dies
-        leaves a folder below staging/, which no total reads.
+        Changes are summed by key before and after one shuffle; keys whose changes cancel out are left out. Null keys are
+        keys; repeated rows count each. A batch without changes is committed, and adds nothing. A run that dies leaves a
+        folder of data that no commit names and no total reads.
         """
         if not re.fullmatch(r"[A-Za-z0-9._-]+", batch):
             raise ValueError(f"not a batch id: {batch!r}")
-        target = self._path(f"{self.path}/batches/{batch}")
-        if self._fs.exists(target):
+        if self._fs.exists(self._path(f"{self.path}/commits/{batch}")):
             return False
         union = changes[0].select(*KEYS, "n_docs", "n_tokens")
         for more in changes[1:]:
             union = union.unionByName(more.select(*KEYS, "n_docs", "n_tokens"))
         summed = union.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs <> 0 or n_tokens <> 0")
-        staged = f"{self.path}/staging/{uuid.uuid4().hex}"
-        summed.coalesce(1).write.parquet(staged)
-        self._fs.mkdirs(target.getParent())
-        # rename onto a folder that someone else made meanwhile would nest it, so look again first
-        if self._fs.exists(target) or not self._fs.rename(self._path(staged), target):
-            self._fs.delete(self._path(staged), True)
-            return False
-        return True
+        folder = uuid.uuid4().hex
+        summed.write.parquet(f"{self.path}/data/{folder}")
+        if self._claim(batch, folder):
+            return True
+        self._fs.delete(self._path(f"{self.path}/data/{folder}"), True)
+        return False
 
     def totals(self) -> DataFrame:
         """Totals by key; keys without documents and tokens are gone. Without a batch: empty."""
-        names = self.committed()
-        if not names:
+        if not self.committed():
             return self.spark.createDataFrame([], SCHEMA)
-        read = self.spark.read.schema(SCHEMA).parquet(*(f"{self.path}/batches/{n}" for n in names))
+        # one small file a batch
+        folders = [r["value"] for r in self.spark.read.text(f"{self.path}/commits").collect()]
+        read = self.spark.read.schema(SCHEMA).parquet(*(f"{self.path}/data/{f}" for f in folders))
         return read.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs <> 0 or n_tokens <> 0")
 
 
