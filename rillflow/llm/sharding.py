@@ -95,16 +95,17 @@ def shard(docs: DataFrame, shards: int = 40, *, doc_id: str = "doc_id", text: st
     """
     body = F.coalesce(F.col(text), F.lit(""))
     base = docs.select(F.col(doc_id).alias("doc_id"), *(F.col(c).alias(f"__{c}") for c in by), (F.octet_length(body) + 16).cast("long").alias("size"), F.crc32(body).alias("text_crc32"))
+    base = stored(base, "shard-base")  # texts are read once; all that follows sees these numbers alone
     steps = base
     for c in by:
-        steps = steps.join(stored(place_of_values(docs, c, bits), f"place-{c}"), F.col(f"__{c}").eqNullSafe(F.col(f"__{c}_value"))).drop(f"__{c}_value", f"__{c}")
+        steps = steps.join(stored(place_of_values(base, f"__{c}", bits), f"place-{c}"), F.col(f"__{c}").eqNullSafe(F.col(f"____{c}_value"))).drop(f"____{c}_value", f"__{c}").withColumnRenamed(f"____{c}_step", f"__{c}_step")
     top = (1 << bits) - 1
-    bounds = stored(docs.agg(F.min(doc_id).cast("double").alias("__lo"), F.max(doc_id).cast("double").alias("__hi")), "bounds")
+    bounds = stored(base.agg(F.min("doc_id").cast("double").alias("__lo"), F.max("doc_id").cast("double").alias("__hi")), "bounds")
     steps = steps.crossJoin(F.broadcast(bounds))  # one row
     by_size = F.least(F.floor(F.log2(F.col("size").cast("double")) * 2) - 8, F.lit(top))
     by_id = F.when(F.col("doc_id").isNull() | (F.col("__hi") <= F.col("__lo")), F.lit(top)).otherwise(F.least(F.floor((F.col("doc_id").cast("double") - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * (top + 1)), F.lit(top)))
     curve = hilbert_index([*(F.col(f"__{c}_step") for c in by), F.greatest(by_size, F.lit(0)).cast("long"), by_id.cast("long")], bits)
-    numbered = ranked(steps.select("doc_id", "size", "text_crc32", curve.alias("hilbert")), ["hilbert", "text_crc32", "doc_id"], "shard")
+    numbered = ranked(stored(steps.select("doc_id", "size", "text_crc32", curve.alias("hilbert")), "shard-curve"), ["hilbert", "text_crc32", "doc_id"], "shard")
     of = F.expr(f"cast(__rank * {shards} div __total as int)")
     first = F.expr(f"(shard * __total + {shards - 1}) div {shards}")
     return numbered.withColumn("shard", of).withColumn("slot", (F.col("__rank") - first).cast("long")).drop("__rank", "__total")
