@@ -25,10 +25,10 @@ END = 0xFF
 #: Bytes of the longest context, and the longest contexts that travel with the tasks, the most frequent ones; those of all
 #: other contexts are joined.
 ORDER, CACHED = 4, 65_536
-#: Words whose counts travel with the tasks, the most frequent ones; the counts of all other words are joined.
-HOT_WORDS = 65_536
-#: Bytes of text looked at together, and distinct keys held by a task before it passes them on.
-SLICE, HELD = 1 << 21, 400_000
+#: Words whose counts travel with the tasks, the most frequent ones of so many bytes at most; the counts of all others are joined.
+HOT_WORDS, HOT_BYTES = 65_536, 64
+#: Bytes of text looked at together; distinct keys, and bytes of text whose words, a task holds before it passes them on.
+SLICE, HELD, HELD_BYTES = 1 << 21, 400_000, 1 << 26
 
 
 def framed(raw: bytes) -> np.ndarray:
@@ -56,7 +56,7 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words: Counter = Counter()
     grams: dict[int, int] = {}
     waiting: list[np.ndarray] = []
-    size = ends = 0
+    size = ends = read = 0
 
     def rows(table: dict, of_words: bool) -> pa.RecordBatch:
         keys, nothing = list(table), pa.nulls(len(table), pa.int64() if of_words else pa.binary())
@@ -74,8 +74,10 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw = (raw or b"").lower()  # of bytes: A-Z alone
             ends += 1
             words.update(raw.split())
+            read += len(raw)
+            whole = framed(raw)
             for k in range(0, len(raw) + 1, SLICE):  # a long text in parts that overlap by the context
-                waiting.append(framed(raw) if len(raw) < SLICE else framed(raw)[k : k + SLICE + ORDER])
+                waiting.append(whole[k : k + SLICE + ORDER])
                 size += len(waiting[-1])
                 if size >= SLICE:
                     fold()
@@ -83,9 +85,10 @@ def _statistics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(grams) > HELD:
                 yield rows(grams, False)
                 grams.clear()
-            if len(words) > HELD:
+            if len(words) > HELD or read > HELD_BYTES:
                 yield rows(words, True)
                 words.clear()
+                read = 0
     if waiting:
         fold()
     yield rows(grams, False)
@@ -304,7 +307,8 @@ def lm_scores(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", mo
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("N"), F.count_if(F.col("n") > 0).alias("V"), F.coalesce(F.max(F.when(F.col("word") == F.lit(b"\n"), F.col("n"))), F.lit(0)).alias("ends")).first()
     total, distinct, ends = sums["N"], sums["V"], sums["ends"]
     real = words.where(F.col("word") != F.lit(b"\n"))
-    hot = spark.sparkContext.broadcast(dict(map(tuple, real.orderBy(F.desc("n"), "word").limit(HOT_WORDS).select(F.col("word"), "n").toArrow().to_pandas().itertuples(index=False))))
+    short = real.where(F.octet_length("word") <= HOT_BYTES)
+    hot = spark.sparkContext.broadcast(dict(map(tuple, short.orderBy(F.desc("n"), "word").limit(HOT_WORDS).select(F.col("word"), "n").toArrow().to_pandas().itertuples(index=False))))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

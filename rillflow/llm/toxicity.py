@@ -21,8 +21,8 @@ BUCKETS = 1 << 20
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: Beginnings of words are terms too, for languages that compound and inflect.
 PREFIXES = (4, 5, 6)
-#: Words whose terms a worker remembers before it starts anew.
-CACHE = 400_000
+#: Words whose terms a worker remembers before it starts anew, and characters of such a word.
+CACHE, CACHED_LENGTH = 400_000, 64
 
 
 def word_buckets(word: str) -> tuple[int, ...]:
@@ -145,7 +145,9 @@ def score_texts(docs: DataFrame, machine: Machine, *keep: str, text: str = "text
                     if slots is None:
                         if len(known) >= CACHE:
                             known.clear()
-                        slots = known[w] = tuple(slot[b] for b in word_buckets(w) if b in slot)
+                        slots = tuple(slot[b] for b in word_buckets(w) if b in slot)
+                        if len(w) <= CACHED_LENGTH:
+                            known[w] = slots
                     if slots:
                         at.update(slots)
                 scores.append(machine.score(np.array(sorted(at), np.int64)))
