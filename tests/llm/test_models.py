@@ -35,6 +35,23 @@ def test_machine_learns_pairs():
     assert np.mean([(machine.score(slots(at)) >= 0.5) == y for at, y in rows[1000:]]) > 0.97
 
 
+def test_scores_are_the_plain_pairwise_sum(spark):
+    """Bias, weights and the product of the vectors of every pair of terms, pair by pair."""
+    rng = np.random.default_rng(3)
+    words = [f"word{chr(97 + k)}" for k in range(20)]
+    slot = {b: k for k, b in enumerate(sorted({b for w in words for b in toxicity.word_buckets(w)}))}
+    machine = toxicity.Machine(-0.7, slot, rng.normal(size=len(slot)), rng.normal(size=(len(slot), 4)))
+    texts = [" ".join(rng.choice(words, n)) for n in (1, 2, 5, 12)] + ["unknown", "", None]
+    got = {r["k"]: r["score"] for r in toxicity.score_texts(spark.createDataFrame(list(enumerate(texts)), "k int, text string"), machine, "k").collect()}
+    for k, text in enumerate(texts):
+        at = sorted({slot[b] for w in (text or "").split() for b in toxicity.word_buckets(w) if b in slot})
+        margin = machine.bias + sum(machine.weights[i] for i in at)
+        for x, i in enumerate(at):
+            for j in at[x + 1 :]:
+                margin += sum(machine.vectors[i][d] * machine.vectors[j][d] for d in range(4))
+        assert got[k] == pytest.approx(1 / (1 + math.exp(-max(-30.0, min(30.0, margin)))))
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")

@@ -79,6 +79,14 @@ def test_mixing(spark, sf, odd, which):
         assert total == pytest.approx(1.5 * sum(sizes.values()), rel=0.03)
 
 
+def test_mixing_beside_its_own_names(spark, odd):
+    clash = odd.selectExpr("*", "1 as size", "2 as rate", "3 as target", "4 as copies", "5 as source_size")
+    assert Counter(map(tuple, mixing.emit(clash).select(odd.columns).collect())) == Counter(map(tuple, mixing.emit(odd).collect()))
+    assert Counter(map(tuple, mixing.mix(clash, "doc_id").collect())) == Counter(map(tuple, mixing.mix(odd, "doc_id").collect()))
+    with pytest.raises(ValueError):
+        mixing.emit(odd.selectExpr("*", "1 as __rate"))
+
+
 def test_mixing_nothing(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert mixing.mix(empty, "doc_id").count() == 0 and mixing.emit(empty).count() == 0
@@ -94,10 +102,89 @@ def test_rollup_commits_once(spark, tmp_path):
     assert rollup.commit("3", token_counts.deletes(rows.where("source is null")))
     assert {tuple(r) for r in rollup.totals().collect()} == {("a", "en", "v1", 2, 9)}
     assert token_counts.TokenRollup(spark, f"{tmp_path}/r").committed() == ["1", "2", "3"]
+    assert rollup.commit("4", token_counts.inserts(rows.limit(0))) and not rollup.commit("4", token_counts.inserts(rows))
+    clash = rows.selectExpr("*", "9 as n_docs", "9 as n_tokens", "'x' as batch")
+    assert rollup.commit("5", token_counts.inserts(clash), token_counts.deletes(clash))
+    assert {tuple(r) for r in rollup.totals().collect()} == {("a", "en", "v1", 2, 9)}
     with pytest.raises(ValueError):
         rollup.commit("../x", token_counts.inserts(rows))
 
 
+def test_of_two_writers_of_a_batch_one_commits(spark, tmp_path, monkeypatch):
+    """The second looks before the first has committed, and moves its file after it."""
+    rows = spark.createDataFrame([("a", "en", "v1", 5)], "source string, lang string, tokenizer string, tokens long")
+    first, second = (token_counts.TokenRollup(spark, f"{tmp_path}/r") for _ in range(2))
+    claim, done = second._claim, []
+
+    def late(batch, folder):
+        done.append(first.commit(batch, token_counts.inserts(rows)))
+        return claim(batch, folder)
+
+    monkeypatch.setattr(second, "_claim", late)
+    assert not second.commit("1", token_counts.inserts(rows)) and done == [True]
+    assert {tuple(r) for r in first.totals().collect()} == {("a", "en", "v1", 1, 5)}
+    assert len(list((tmp_path / "r" / "data").iterdir())) == 1
+
+
+def curve_index(point, bits):
+    """Place along the Hilbert curve, one bit plane after another (Skilling's inverse undone step by step)."""
+    x, n = list(point), len(point)
+    q = 1 << (bits - 1)
+    while q > 1:
+        for i in range(n):
+            if x[i] & q:
+                x[0] ^= q - 1
+            else:
+                t = (x[0] ^ x[i]) & (q - 1)
+                x[0] ^= t
+                x[i] ^= t
+        q >>= 1
+    for i in range(1, n):
+        x[i] ^= x[i - 1]
+    t, q = 0, 1 << (bits - 1)
+    while q > 1:
+        if x[n - 1] & q:
+            t ^= q - 1
+        q >>= 1
+    out = 0
+    for b in range(bits - 1, -1, -1):
+        for v in x:
+            out = out << 1 | ((v ^ t) >> b & 1)
+    return out
+
+
+def test_rows_of_the_sharding_query(spark, sf, odd):
+    """All columns of op7's rows by plain Python."""
+    import math
+    import zlib
+
+    docs = table(spark, sf, "documents").selectExpr("*", "1 as shard", "2 as hilbert", "3 as __source", "4 as __part")
+    rows = docs.collect()
+    ids = [r["doc_id"] for r in rows]
+
+    def places(values):
+        count, before, out = Counter(values), 0, {}
+        for v in sorted(count, key=lambda v: (v is None, (v or "").encode())):
+            out[v] = min(math.floor((before + count[v] - count[v] / 2) / len(values) * 32), 31)
+            before += count[v]
+        return out
+
+    source, lang = places([r["source"] for r in rows]), places([r["lang"] for r in rows])
+    lo, hi = min(ids), max(ids)
+    keyed = []
+    for r in rows:
+        size, crc = len((r["text"] or "").encode()) + 16, zlib.crc32((r["text"] or "").encode())
+        point = [source[r["source"]], lang[r["lang"]], max(0, min(math.floor(math.log2(size) * 2) - 8, 31)), min(math.floor((r["doc_id"] - lo) / (hi - lo) * 32), 31)]
+        keyed.append((curve_index(point, 5), crc, r["doc_id"], size))
+    keyed.sort()
+    want, n = set(), len(keyed)
+    for rank, (h, crc, i, size) in enumerate(keyed):
+        s = rank * 40 // n
+        want.add((i, size, crc, h, s, rank - (s * n + 39) // 40))
+    got = sharding.shard(docs, 40).select("doc_id", "size", "text_crc32", "hilbert", "shard", "slot").collect()
+    assert {tuple(r) for r in got} == want and len(got) == n
+
+
 def test_hilbert_steps_to_neighbours(spark):
     for n, bits in ((2, 3), (3, 2), (4, 2)):
         cells = spark.range(1 << n * bits).select(*(F.shiftright("id", k * bits).bitwiseAND((1 << bits) - 1).alias(f"x{k}") for k in range(n)))
@@ -184,12 +271,32 @@ def test_quality_rejects_incompressible_words():
     assert not verdict(prose(2048) + printable(1500))  # noise in the last partial chunk alone
 
 
+def test_quality_verdict_by_another_road(spark, sf, odd):
+    """Bands and chunks of the query's rows, written out; an empty table gives none."""
+    import zstandard
+
+    b, pack = quality.Bands(), zstandard.ZstdCompressor(level=3).compress
+    band = lambda n: sum(n >= e for e in b.edges)
+    for r in quality.quality_rules(odd.unionByName(table(spark, sf, "documents")), "doc_id", whole=True).collect():
+        raw = (r["text"] or "").encode()
+        good = bool(raw) and b.low[band(len(raw))] <= len(pack(raw)) / len(raw) <= b.high[band(len(raw))]
+        if len(raw) >= 2048:
+            odd_bytes = 0
+            for k in range(0, len(raw), 2048):
+                part = raw[k : k + 2048]
+                low, high = (0.12, 0.70) if len(part) == 2048 else (b.low[band(len(part))], b.high[band(len(part))])
+                odd_bytes += len(part) * (not low <= len(pack(part)) / len(part) <= high)
+            good = good and 5 * odd_bytes <= len(raw)
+        assert r["kept"] == (good and not r["base_failed"])
+    assert quality.quality_rules(odd.limit(0), "doc_id").count() == 0
+
+
 def test_bpe(spark, odd):
     encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.ranks(), special_tokens={})
     rng = random.Random(1)
     texts = ["".join(rng.choice("ab '’stréüß漢字🙂  \u0085\n\t\r 12٣.!-") for _ in range(rng.randint(0, 40))) for _ in range(300)] + ["a" * 5000, "=-" * 700, "don't<|endoftext|>"]
     docs = odd.unionByName(spark.createDataFrame([(1000 + k, t, "en", "s", 1) for k, t in enumerate(texts)], SCHEMA))
-    for r in bpe.encode(docs, "doc_id", "text", digests=True).collect():
+    for r in bpe.encode(docs.selectExpr("*", "1 as ids", "2 as n_tokens", "3 as __text"), "doc_id", "text", digests=True).collect():
         ids = encoding.encode_ordinary(r["text"] or "")
         assert list(r["ids"]) == ids and r["n_tokens"] == len(ids)
         assert r["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
