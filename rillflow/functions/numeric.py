@@ -45,6 +45,20 @@ def quadrant(rain: Column, storage: Column, rain_band: Column | float, storage_b
     return F.when(rain.isNull() | storage.isNull(), F.lit(None).cast("string")).when(dry & low, "rain_explains").when(low, "low_despite_rain").when(dry, "held_up").otherwise("both_normal")
 
 
+def moments(value: Column) -> tuple[Column, Column, Column]:
+    """Aggregates: mean, median and sample deviation; the last is null for a single value."""
+    return F.avg(value), F.median(value), F.stddev_samp(value)
+
+
+def band_holds(value: Column, flags: list[tuple[float, float, Column]]) -> Column:
+    """Whether exactly one flagged band (low, high, flag) holds the value, above low and not above high, the first from zero on.
+    Nothing flagged goes with zero alone; null for null."""
+    flagged = F.filter(F.array(*(F.struct(F.lit(float(lo)).alias("lo"), F.lit(float(hi)).alias("hi"), on.alias("on")) for lo, hi, on in flags)), lambda b: b["on"])
+    one = F.get(flagged, F.lit(0))
+    holds = ((value > one["lo"]) | (one["lo"] == 0)) & (value <= one["hi"])
+    return F.when(value.isNull(), F.lit(None).cast("boolean")).when(F.size(flagged) != 1, (F.size(flagged) == 0) & (value == 0)).otherwise(holds)
+
+
 def class_of_value(value: Column, breaks: list[float]) -> Column:
     """Index of the first break above the value; beyond the last one len(breaks); null stays null."""
     out = F.when(value.isNull(), F.lit(None).cast("int"))

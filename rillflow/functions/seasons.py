@@ -33,6 +33,11 @@ def season_to_date(date: Column, target: Column, first_month: int = SEASON_MONTH
     return (day >= 1) & (day <= day_of_season(target, first_month))
 
 
+def in_window(iso: Column, first: str | None = None, last: str | None = None) -> Column:
+    """Whether an ISO date as text lies in an inclusive window; an end that is None is open."""
+    return iso.between(first or "0000-00-00", last or "9999-99-99")
+
+
 def spine(spark: SparkSession, first: str, last: str, name: str = "d") -> DataFrame:
     """Every calendar day from first to last."""
     return spark.range(1).select(F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))).alias(name))

@@ -54,6 +54,11 @@ def shortfall(deviation_points: Column, capacity: Column) -> Column:
     return F.when(deviation_points.isNotNull() & capacity.isNotNull(), F.greatest(-deviation_points / 100 * capacity, F.lit(0.0)))
 
 
+def coverage(release: Column, short: Column) -> Column:
+    """What share of a shortfall the season's release makes up, to two places; null without a shortfall."""
+    return F.when(short > 0, F.round(release / short, 2))
+
+
 def ranked(rows: DataFrame, by: str, key: str, n: int, largest: bool = False) -> DataFrame:
     """The n rows least (or largest) in `by`, nulls left out, ties by key."""
     order = F.desc(by) if largest else F.asc(by)

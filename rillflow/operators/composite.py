@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from rillflow import config
 from rillflow.functions.numeric import composite, entropy, percent_rank_average, two_way_variance
@@ -66,10 +66,30 @@ def verdict(n_rows: Column, n_defined: Column, failing: Column, iqr: Column, sin
     )
 
 
+#: Parts that the values of a column are cut into when they are ranked.
+RANK_PARTS = 256
+
+
+def average_ranks(rows: DataFrame, value: str, rank: str) -> DataFrame:
+    """(value, rank) of each distinct value among all rows, ties sharing their mean rank; no task sees all values.
+
+    Values are counted first, then cut into RANK_PARTS ranges at approximate quantiles, which shift no rank: each range
+    numbers its own values, starting from the counts of the ranges before it, one row a range.
+    """
+    counted = rows.groupBy(value).agg(F.count(F.lit(1)).alias("__n"))
+    cuts = counted.approxQuantile(value, [k / RANK_PARTS for k in range(1, RANK_PARTS)], 1 / (4 * RANK_PARTS))
+    marks = F.array(*(F.lit(float(c)) for c in sorted(set(cuts)))) if cuts else F.array().cast("array<double>")
+    parted = counted.withColumn("__part", F.size(F.filter(marks, lambda m: m < F.col(value))))
+    starts = parted.groupBy("__part").agg(F.sum("__n").alias("__all"))
+    starts = starts.select(F.col("__part").alias("__p"), F.coalesce(F.sum("__all").over(W.orderBy("__part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__start"))
+    before = F.coalesce(F.sum("__n").over(W.partitionBy("__part").orderBy(value).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    return parted.withColumn("__before", before).join(starts, F.col("__part") == F.col("__p")).select(F.col(value).alias(f"__{rank}_of"), (F.col("__start") + F.col("__before") + (F.col("__n") + 1) / 2.0).alias(rank))
+
+
 def spearman(rows: DataFrame, a: str, b: str) -> DataFrame:
     """Rank correlation over rows that have both: average-tie ranks, then Pearson."""
-    both = rows.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    ranked = both.select(percent_rank_average(F.col(a)).alias("ra"), percent_rank_average(F.col(b)).alias("rb"))
+    both = rows.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(F.col(a).cast("double").alias("a"), F.col(b).cast("double").alias("b"))
+    ranked = both.join(average_ranks(both, "a", "ra"), F.col("a") == F.col("__ra_of")).join(average_ranks(both, "b", "rb"), F.col("b") == F.col("__rb_of"))
     return ranked.agg(F.corr("ra", "rb").alias("spearman"), F.count(F.lit(1)).alias("n"))
 
 
@@ -79,7 +99,8 @@ def sensitivity(units: DataFrame, key: str, schemes: Mapping[str, Mapping[str, f
     All weightings come from one scan: each unit is unpacked into one row per scheme.
     """
     options = F.array(*(F.struct(F.lit(n).alias("scheme"), index_of(w).alias("alt")) for n, w in schemes.items()))
-    long = units.select(key, index_of(base).alias("base"), F.explode(options).alias("o")).select(key, "base", "o.scheme", "o.alt").where("base is not null and alt is not null")
+    # to twelve places: values that are equal but for the order of addition are ties
+    long = units.select(key, F.round(index_of(base), 12).alias("base"), F.explode(options).alias("o")).select(key, "base", "o.scheme", F.round("o.alt", 12).alias("alt")).where("base is not null and alt is not null")
     ranked = long.select("scheme", percent_rank_average(F.col("base"), "scheme").alias("rb"), percent_rank_average(F.col("alt"), "scheme").alias("ra"))
     top_base, top_alt = F.col("rb") >= config.TOP_DECILE, F.col("ra") >= config.TOP_DECILE
     return ranked.groupBy("scheme").agg(F.corr("rb", "ra").alias("spearman"), (F.count_if(top_base & ~top_alt) / F.nullif(F.count_if(top_base), F.lit(0))).alias("decile_churn"))

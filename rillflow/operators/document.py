@@ -30,6 +30,14 @@ def attach(rows: DataFrame, part: DataFrame, key: str, name: str) -> DataFrame:
     return rows.join(packed, F.col(key) == F.col("__key"), "left").drop("__key")
 
 
+def children(rows: DataFrame, child: DataFrame, key: str, *order: str, name: str = "children") -> DataFrame:
+    """rows with their child rows as a JSON array of objects in order, "" where there are none."""
+    fields = [c for c in child.columns if c != key]
+    listed = F.array_sort(F.collect_list(F.struct(*order, *(c for c in fields if c not in order))))
+    packed = child.groupBy(F.col(key).alias("__key")).agg(F.to_json(listed, {"ignoreNullFields": "false"}).alias(name))
+    return rows.join(packed, F.col(key) == F.col("__key"), "left").drop("__key").withColumn(name, F.coalesce(name, F.lit("")))
+
+
 def records(rows: DataFrame, *order: str) -> DataFrame:
     """One row: all rows as an array of structs, in order. For report tables only, whose length is fixed."""
     names = [c for c in rows.columns if c not in order]

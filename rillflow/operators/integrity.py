@@ -116,6 +116,47 @@ def require_complete(spine: DataFrame, *held: DataFrame, date: str = "d", code:
         raise GateError(f"missing days: {missing}", code)
 
 
+def date_agreement(requested: Column, printed: Column) -> Column:
+    """Status of a document by its own date line: ok, date_mismatch, or no_date where it has none that reads as a date."""
+    from rillflow.functions.seasons import parse_day_first
+
+    own = parse_day_first(printed)
+    return F.when(own.isNull(), "no_date").when(own == requested, "ok").otherwise("date_mismatch")
+
+
+def require_not_absent(day: str, absent: DataFrame, date: str = "d", code: int = 1) -> None:
+    """Raises if the day that is reported on is listed as absent: the two can't both be true."""
+    if absent.where(F.col(date) == F.lit(day).cast("date")).limit(1).count():
+        raise GateError(f"{day} is reported and listed as absent", code)
+
+
+def canonical_labels(rows: DataFrame, dimension: DataFrame, key: str, label: str) -> DataFrame:
+    """rows with `label` as the dimension has it and `repaired`, whether that changed it. Keys that it lacks keep theirs."""
+    known = dimension.select(F.col(key).alias("__key"), F.col(label).alias("__label"))
+    joined = rows.join(known, F.col(key) == F.col("__key"), "left")
+    changed = F.col("__key").isNotNull() & ~F.col(label).eqNullSafe(F.col("__label"))
+    return joined.withColumn("repaired", changed).withColumn(label, F.when(changed, F.col("__label")).otherwise(F.col(label))).drop("__key", "__label")
+
+
+def outside_box(points: DataFrame, lon: str, lat: str, box: tuple[float, float, float, float]) -> DataFrame:
+    """Points outside (least lon, least lat, largest lon, largest lat); those without a position are none."""
+    return points.where(F.col(lon).isNotNull() & F.col(lat).isNotNull() & ~(F.col(lon).between(box[0], box[2]) & F.col(lat).between(box[1], box[3])))
+
+
+def require_in_box(points: DataFrame, key: str, lon: str, lat: str, box: tuple[float, float, float, float], code: int = 1) -> None:
+    """Raises if a source's point lies outside."""
+    bad = outside_box(points, lon, lat, box).select(key).orderBy(key).limit(5).collect()
+    if bad:
+        raise GateError(f"outside the box: {[r[0] for r in bad]}", code)
+
+
+def require_total(differences: DataFrame, code: int = 1) -> None:
+    """Raises if model.set_audit() finds anything."""
+    bad = differences.orderBy("difference", "key").limit(5).collect()
+    if bad:
+        raise GateError(f"crosswalk not total: {[tuple(r) for r in bad]}", code)
+
+
 def staleness_days(rows: DataFrame, date: str, today: str) -> int:
     """Days from the newest row to today."""
     newest = rows.agg(F.datediff(F.lit(today).cast("date"), F.max(date)).alias("gap")).first()["gap"]

@@ -96,6 +96,12 @@ def area_rules(name: Column, index_name: Column, gca: Column, cca: Column, cca2:
     )
 
 
+def id_mismatches(rows: DataFrame, names: DataFrame, printed: str, name: str, resolved: str) -> DataFrame:
+    """Rows whose printed id isn't the one that their name resolves to, with both; names that resolve to nothing aren't judged."""
+    known = names.select(F.col(name).alias("__name"), F.col(resolved).alias("by_name"))
+    return rows.join(known, F.col(name) == F.col("__name")).where(~F.col(printed).eqNullSafe(F.col("by_name"))).drop("__name")
+
+
 def duplicate_tuples(rows: DataFrame, values: Sequence[str], name: str) -> DataFrame:
     """Tuples of values that several rows share (nulls equal), with all their names: every member is suspect."""
     return rows.groupBy(*values).agg(F.count(F.lit(1)).alias("n"), F.array_join(F.array_sort(F.collect_list(name)), ",").alias("names")).where("n > 1")
@@ -103,7 +109,7 @@ def duplicate_tuples(rows: DataFrame, values: Sequence[str], name: str) -> DataF
 
 def assign_in_order(pairs: DataFrame, block: str, left: str, right: str, order: Sequence[str]) -> DataFrame:
     """Sequential assignment within blocks: in `order`, each left row takes its best free right row. Depends on the order,
-    so a block is one group; blocks are small by construction (one name key)."""
+    so a block is one group: it must be a key of bounded groups (one name key), never a place or a kind of thing."""
     columns = [block, left, right, *[c for c in order if c not in (block, left, right)]]
     kinds = dict(pairs.dtypes)
 

@@ -52,6 +52,16 @@ def join_audit(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return both.agg(F.count_if(F.col("__l") & F.col("__r")).alias("matched"), F.count_if(F.col("__l") & F.col("__r").isNull()).alias("left_only"), F.count_if(F.col("__r") & F.col("__l").isNull()).alias("right_only"))
 
 
+def set_audit(**pairs: tuple[DataFrame, DataFrame, str]) -> DataFrame:
+    """(difference, key): for each name -> (a, b, column), keys of a that b lacks. Keys are told as text; nulls are no keys."""
+    out = None
+    for name, (a, b, column) in pairs.items():
+        left = a.select(F.col(column).cast("string").alias("key")).where("key is not null").distinct()
+        found = left.join(b.select(F.col(column).cast("string").alias("key")), "key", "left_anti").select(F.lit(name).alias("difference"), "key")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def ambiguous_keys_dropped(names: DataFrame, key: str, value: str) -> DataFrame:
     """key -> value where the key has one value only."""
     return names.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(value).alias(value), F.max(value).alias("__other")).where(F.col(value) == F.col("__other")).drop("__other")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rillflow.functions import numeric, text
 from rillflow.operators import composite, geo, integrity, matching, model
 from rillflow.plans.facts import FACT, fact
-from rillflow.sources import layouts
+from rillflow.session import work_dir
+from rillflow.sources import daily as sources, layouts
 from rillflow.sources.tables import table
 from rillflow.streaming import daily
 
@@ -91,8 +91,8 @@ def fuzzy_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sequential_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers take parts of their nation's block in order, each part once."""
-    pairs = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")).select(F.col("s_nationkey").alias("block"), F.col("l_suppkey").alias("a"), F.col("l_partkey").alias("b"), "l_quantity").distinct()
+    """Suppliers take parts of a block of five parts in order, each part once. A block's size doesn't grow with the table."""
+    pairs = table(spark, sf_dir, "lineitem").select(F.floor(F.col("l_partkey") / 5).alias("block"), F.col("l_suppkey").alias("a"), F.col("l_partkey").alias("b"), "l_quantity").distinct()
     return matching.assign_in_order(pairs, "block", "a", "b", ["l_quantity", "a", "b"])
 
 
@@ -187,7 +187,8 @@ def index_sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     share = F.col("s4") / F.nullif(sum((F.col(f"s{k}") for k in range(1, 5)), F.col("s0")), F.lit(0))
     c = _components(spark, sf_dir).withColumn("c_constraint", share * (1 - F.least(F.col("c_nationkey"), F.lit(24)) / 24))
-    return composite.sensitivity(c, "c_custkey", SCHEMES)
+    found = composite.sensitivity(c, "c_custkey", SCHEMES)
+    return found.select("scheme", micro(F.col("spearman")).alias("spearman_micro"), micro(F.col("decile_churn")).alias("churn_micro"))
 
 
 def crosswalk_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,12 +201,8 @@ def band_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether exactly one flagged band holds the value; nothing flagged goes with zero; null for null."""
     bands = ((0, 25), (25, 50), (50, 75), (75, 100))
     v = F.when(F.col("event_type") != "error", F.col("value"))
-    base = table(spark, sf_dir, "events").select("event_id", v.alias("v"), (F.floor("value") % 5).cast("int").alias("flag"))
-    flagged = F.filter(F.array(*(F.struct(F.lit(float(lo)).alias("lo"), F.lit(float(hi)).alias("hi"), (F.col("flag") == k).alias("on")) for k, (lo, hi) in enumerate(bands))), lambda b: b["on"])
-    one = F.get(flagged, F.lit(0))
-    holds = ((F.col("v") == 0) & (one["lo"] == 0)) | ((F.col("v") > one["lo"]) & (F.col("v") <= one["hi"])) | ((one["lo"] == 0) & (F.col("v") <= one["hi"]))
-    ok = F.when(F.col("v").isNull(), F.lit(None).cast("boolean")).when(F.size(flagged) != 1, (F.size(flagged) == 0) & (F.col("v") == 0)).otherwise(holds)
-    return base.select("event_id", ok.alias("ok"))
+    flag = (F.floor("value") % 5).cast("int")
+    return table(spark, sf_dir, "events").select("event_id", numeric.band_holds(v, [(lo, hi, flag == k) for k, (lo, hi) in enumerate(bands)]).alias("ok"))
 
 
 def rejected_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,18 +249,27 @@ def html_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def html_leaf_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of innermost tables."""
-    return layouts.table_rows(table(spark, sf_dir, "pages"), "page_id", "html")
+    """Rows of innermost tables, of pages made of parts: a frame with one table of names and one of sizes in its cells, written
+    as carelessly as pages are."""
+    p = table(spark, sf_dir, "part")
+    row = lambda a, b: F.concat(F.lit("<TR><td>"), a, F.lit("\n<td class='x'> "), b, F.lit("</tr>"))
+    one = F.concat(F.lit("<table>"), row(F.col("p_name"), F.col("p_brand")), F.lit("</table>"))
+    two = F.concat(F.lit("<TABLE border=1><tr><th>size</th></tr>"), row(F.col("p_size").cast("string"), F.lit("")), F.lit("</TABLE>"))
+    html = F.concat(F.lit("<html><body><table><tr><td>outer "), one, F.lit("</td><td>"), two, F.lit("</td></tr></table></body>"))
+    found = layouts.table_rows(p.select(F.col("p_partkey").alias("page_id"), html.alias("html")), "page_id", "html")
+    return found.select("page_id", "table_no", "row_no", F.array_join("cells", "|").alias("cells"))
 
 
 def geo_distance_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Kilometres from customers' points to their nation's outline."""
-    names = [r[0] for r in table(spark, sf_dir, "nation").orderBy("n_nationkey").limit(25).select("n_name").collect()]
-    boxes = {n: [[(k % 5 * 10, k // 5 * 10), (k % 5 * 10 + 8, k // 5 * 10), (k % 5 * 10 + 8, k // 5 * 10 + 8), (k % 5 * 10, k // 5 * 10 + 8)]] for k, n in enumerate(names)}
-    km = geo.distance_function(spark, boxes)
-    c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    lon, lat = F.col("n_nationkey") % 5 * 10.0 + F.col("c_custkey") % 10, F.floor(F.col("n_nationkey") / 5) * 10.0 + F.col("c_custkey") % 9
-    return c.select("c_custkey", km(F.col("n_name"), lon, lat).alias("km"))
+    """Metres from customers' points to their nation's outline: a square with a square hole, read from GeoJSON features."""
+    n = table(spark, sf_dir, "nation")
+    west, south = F.col("n_nationkey") % 5 * 10.0, F.floor(F.col("n_nationkey") / 5) * 10.0
+    square = lambda lo, hi: F.array(*(F.array(west + x, south + y) for x, y in ((lo, lo), (hi, lo), (hi, hi), (lo, hi), (lo, lo))))
+    features = n.select(F.struct("n_name").alias("properties"), F.struct(F.lit("Polygon").alias("type"), F.array(square(0.0, 8.0), square(3.0, 6.0)).alias("coordinates")).alias("geometry"))
+    km = geo.distance_function(spark, geo.outlines_of(features, "n_name"))
+    c = table(spark, sf_dir, "customer").join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+    lon, lat = west + F.col("c_custkey") % 10, south + F.col("c_custkey") % 9
+    return c.select("c_custkey", F.round(km(F.col("n_name"), lon, lat) * 1000, 0).cast("long").alias("metres"))
 
 
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -284,23 +290,20 @@ def stream_daily_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches split by a gate: accepted and rejected rows by kind; none is lost."""
-    seen: list[DataFrame] = []
+    path = f"{work_dir(spark)}/stream-{uuid.uuid4().hex}"
 
     def split(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
         ok = F.coalesce(F.col("value") >= 10, F.lit(False))
         return batch.where(ok), batch.where(~ok)
 
     def count(kind: str):
-        return lambda part, _: seen.append(part.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit(kind)).toPandas())
+        # a folder for each kind and batch: a batch that is tried again replaces its own rows
+        return lambda part, number: part.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{path}/out/kind={kind}/batch={number}")
 
-    path = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="rillflow-")
-    daily.gated(_events_stream(spark, sf_dir), split, count("accepted"), count("rejected"), f"{path}/stream-{uuid.uuid4().hex}").awaitTermination()
-    out = None
-    for part in seen:
-        if len(part):
-            frame = spark.createDataFrame(part)
-            out = frame if out is None else out.unionByName(frame)
-    return out.groupBy("kind", "event_type").agg(F.sum("n").alias("n"))
+    daily.gated(_events_stream(spark, sf_dir), split, count("accepted"), count("rejected"), f"{path}/checkpoint").awaitTermination()
+    if not sources.exists(spark, f"{path}/out"):
+        return spark.createDataFrame([], "kind string, event_type string, n long")
+    return spark.read.schema("event_type string, n long, kind string, batch long").parquet(f"{path}/out").groupBy("kind", "event_type").agg(F.sum("n").alias("n"))
 
 
 QUERIES = {
@@ -362,6 +365,23 @@ ORACLES = {
     "headed_lines": "SELECT r_name AS owner, CAST(n_nationkey AS VARCHAR) AS number, n_name AS rest FROM nation JOIN region ON r_regionkey = n_regionkey",
     "html_links": f"""WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, '{_LINK}', 1)) AS href, unnest(regexp_extract_all(html, '{_LINK}', 2)) AS label, unnest(generate_series(1, len(regexp_extract_all(html, '{_LINK}', 1)))) AS pos FROM pages), k AS (SELECT *, row_number() OVER (PARTITION BY page_id, href ORDER BY pos) AS r FROM l)
  SELECT page_id, href, trim(regexp_replace(regexp_replace(label, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS label FROM k WHERE r = 1""",
+    "sequential_assignment": """WITH RECURSIVE p AS (SELECT DISTINCT l_partkey // 5 AS block, l_suppkey AS a, l_partkey AS b, l_quantity FROM lineitem),
+ o AS (SELECT *, row_number() OVER (PARTITION BY block ORDER BY l_quantity, a, b) AS k FROM p),
+ r AS (SELECT DISTINCT block, CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS ga, CAST([] AS BIGINT[]) AS gb, CAST(NULL AS BIGINT) AS a, CAST(NULL AS BIGINT) AS b FROM p
+   UNION ALL SELECT o.block, o.k, CASE WHEN list_contains(r.ga, o.a) OR list_contains(r.gb, o.b) THEN r.ga ELSE list_append(r.ga, o.a) END, CASE WHEN list_contains(r.ga, o.a) OR list_contains(r.gb, o.b) THEN r.gb ELSE list_append(r.gb, o.b) END,
+     CASE WHEN list_contains(r.ga, o.a) OR list_contains(r.gb, o.b) THEN NULL ELSE o.a END, o.b FROM r JOIN o ON o.block = r.block AND o.k = r.k + 1)
+ SELECT block, a, b FROM r WHERE a IS NOT NULL""",
+    "html_leaf_tables": "SELECT p_partkey AS page_id, 0 AS table_no, 0 AS row_no, p_name || '|' || p_brand AS cells FROM part UNION ALL SELECT p_partkey, 1, 0, 'size' FROM part UNION ALL SELECT p_partkey, 1, 1, CAST(p_size AS VARCHAR) || '|' FROM part",
+    "geo_distance_tiers": """WITH c AS (SELECT c_custkey, CAST(c_custkey % 10 AS DOUBLE) AS x, CAST(c_custkey % 9 AS DOUBLE) AS y, (n_nationkey // 5) * 10 + c_custkey % 9 AS lat FROM customer JOIN nation ON n_nationkey = c_nationkey),
+ k AS (SELECT *, 111.32 * cos(radians(lat)) AS kx, 110.57 AS ky FROM c)
+ SELECT c_custkey, CAST(round(1000 * CASE WHEN x > 8 THEN sqrt(((x - 8) * kx) ** 2 + (greatest(y - 8, 0) * ky) ** 2) WHEN x > 3 AND x < 6 AND y > 3 AND y < 6 THEN least((x - 3) * kx, (6 - x) * kx, (y - 3) * ky, (6 - y) * ky) ELSE 0 END) AS BIGINT) AS metres FROM k""",
+    "index_sensitivity": f"""WITH {_COMP}, cc AS (SELECT *, CASE WHEN {_TOTAL} <> 0 THEN s4 / {_TOTAL} * (1 - least(c_nationkey, 24) / CAST(24 AS DOUBLE)) END AS c_constraint FROM comp),
+ b AS (SELECT c_custkey, {_INDEX} AS base, c_diversity AS d, c_source AS s, c_size AS z, c_constraint AS k FROM cc),
+ l AS (SELECT 'equal' AS scheme, base, (d + s + z) / 3 AS alt FROM b UNION ALL SELECT 'mechanism_only', base, d FROM b UNION ALL SELECT 'mechanism_heavy', base, CAST(0.7 AS DOUBLE) * d + CAST(0.2 AS DOUBLE) * s + CAST(0.1 AS DOUBLE) * z FROM b
+   UNION ALL SELECT 'drop_size', base, CAST(0.6 AS DOUBLE) * d + CAST(0.4 AS DOUBLE) * s FROM b UNION ALL SELECT 'restore_c3', base, CAST(0.5 AS DOUBLE) * d + CAST(0.25 AS DOUBLE) * s + CAST(0.15 AS DOUBLE) * k + CAST(0.1 AS DOUBLE) * z FROM b),
+ m AS (SELECT scheme, round(base, 12) AS base, round(alt, 12) AS alt FROM l WHERE base IS NOT NULL AND alt IS NOT NULL),
+ r AS (SELECT scheme, {_RANK.format(v='base', p='scheme,')} AS rb, {_RANK.format(v='alt', p='scheme,')} AS ra FROM m)
+ SELECT scheme, CAST(floor(corr(rb, ra) * 1e6 + 0.5) AS BIGINT) AS spearman_micro, CAST(floor(CAST(count(*) FILTER (WHERE rb >= CAST(0.9 AS DOUBLE) AND ra < CAST(0.9 AS DOUBLE)) AS DOUBLE) / nullif(count(*) FILTER (WHERE rb >= CAST(0.9 AS DOUBLE)), 0) * 1e6 + 0.5) AS BIGINT) AS churn_micro FROM r GROUP BY scheme""",
     "stream_daily_counts": "SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",
     "stream_daily_dedup": "SELECT event_id, user_id FROM events",
     "stream_gate": "SELECT CASE WHEN value >= 10 THEN 'accepted' ELSE 'rejected' END AS kind, event_type, count(*) AS n FROM events GROUP BY 1, 2",

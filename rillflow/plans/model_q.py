@@ -20,8 +20,8 @@ def coverage_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 def calendar_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Days on which a nation ordered nothing, of one season."""
     spine = seasons.spine(spark, "2000-06-01", "2000-10-31")
-    present = fact(spark, sf_dir).where("nation = 'FRANCE'")
-    reasons = fact(spark, sf_dir).where("nation = 'GERMANY'").groupBy("d").agg(F.count(F.lit(1)).alias("n_germany"))
+    present = fact(spark, sf_dir).where("nation = 'NATION_6'")
+    reasons = fact(spark, sf_dir).where("nation = 'NATION_7'").groupBy("d").agg(F.count(F.lit(1)).alias("n_other"))
     return model.missing_dates(spine, present, reasons)
 
 
@@ -181,9 +181,9 @@ def duplicate_keys_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ledger_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three ledgers of days: later ones win, and days that are only downloaded come in if absent."""
     rows = fact(spark, sf_dir)
-    first = rows.where("nation = 'FRANCE'").groupBy("d").agg(F.count(F.lit(1)).alias("n"), F.lit("ok").alias("status"))
-    second = rows.where("nation = 'GERMANY'").groupBy("d").agg(F.count(F.lit(1)).alias("n"), F.lit("again").alias("status"))
-    only = rows.where("nation = 'CHINA'").groupBy("d").agg(F.lit("downloaded").alias("status"))
+    first = rows.where("nation = 'NATION_6'").groupBy("d").agg(F.count(F.lit(1)).alias("n"), F.lit("ok").alias("status"))
+    second = rows.where("nation = 'NATION_7'").groupBy("d").agg(F.count(F.lit(1)).alias("n"), F.lit("again").alias("status"))
+    only = rows.where("nation = 'NATION_18'").groupBy("d").agg(F.lit("downloaded").alias("status"))
     return model.append_absent(model.merge_ledger([first, second], "d"), only, "d")
 
 
@@ -207,10 +207,10 @@ def failure_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def anniversary_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first forty days of a work list, the target's anniversaries ahead."""
+    """A work list of all days, the target's anniversaries ahead, with each day's place."""
     days = fact(spark, sf_dir).select("d").distinct()
     anniversary = (F.month("d") == 7) & (F.dayofmonth("d") == 31)
-    return days.select("d", anniversary.alias("anniversary")).orderBy(F.when(anniversary, 0).otherwise(1), "d").limit(40)
+    return days.select("d", anniversary.alias("anniversary")).orderBy(F.when(anniversary, 0).otherwise(1), "d")
 
 
 def token_and_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,8 +232,8 @@ _GATES = f"""{_DAILY}, v AS (SELECT c.region, c.season, c.dos, CAST(c.total AS D
  l AS (SELECT *, lag(v) OVER (PARTITION BY copy, region, season ORDER BY dos) AS p FROM both_)"""
 ORACLES = {
     "coverage_by_date": f"WITH {FACT} SELECT d, count(*) AS n_rows, count(DISTINCT o_custkey) AS n_entities, count(*) FILTER (WHERE o_orderstatus = 'O') AS n_open, count(*) FILTER (WHERE amount > 100000) AS n_large FROM fact GROUP BY d",
-    "calendar_gaps": f"WITH {FACT}, sp AS (SELECT CAST(unnest(generate_series(DATE '2000-06-01', DATE '2000-10-31', INTERVAL 1 DAY)) AS DATE) AS d), g AS (SELECT d, count(*) AS n_germany FROM fact WHERE nation = 'GERMANY' GROUP BY d) SELECT sp.d, g.n_germany FROM sp LEFT JOIN (SELECT DISTINCT d FROM fact WHERE nation = 'FRANCE') f ON f.d = sp.d LEFT JOIN g ON g.d = sp.d WHERE f.d IS NULL",
-    "calendar_gap_runs": f"WITH {FACT}, sp AS (SELECT CAST(unnest(generate_series(DATE '2000-06-01', DATE '2000-10-31', INTERVAL 1 DAY)) AS DATE) AS d), m AS (SELECT sp.d FROM sp LEFT JOIN (SELECT DISTINCT d FROM fact WHERE nation = 'FRANCE') f ON f.d = sp.d WHERE f.d IS NULL), r AS (SELECT d, date_diff('day', DATE '2000-01-01', d) - row_number() OVER (ORDER BY d) AS g FROM m) SELECT min(d) AS first_day, max(d) AS last_day, count(*) AS n_days FROM r GROUP BY g",
+    "calendar_gaps": f"WITH {FACT}, sp AS (SELECT CAST(unnest(generate_series(DATE '2000-06-01', DATE '2000-10-31', INTERVAL 1 DAY)) AS DATE) AS d), g AS (SELECT d, count(*) AS n_other FROM fact WHERE nation = 'NATION_7' GROUP BY d) SELECT sp.d, g.n_other FROM sp LEFT JOIN (SELECT DISTINCT d FROM fact WHERE nation = 'NATION_6') f ON f.d = sp.d LEFT JOIN g ON g.d = sp.d WHERE f.d IS NULL",
+    "calendar_gap_runs": f"WITH {FACT}, sp AS (SELECT CAST(unnest(generate_series(DATE '2000-06-01', DATE '2000-10-31', INTERVAL 1 DAY)) AS DATE) AS d), m AS (SELECT sp.d FROM sp LEFT JOIN (SELECT DISTINCT d FROM fact WHERE nation = 'NATION_6') f ON f.d = sp.d WHERE f.d IS NULL), r AS (SELECT d, date_diff('day', DATE '2000-01-01', d) - row_number() OVER (ORDER BY d) AS g FROM m) SELECT min(d) AS first_day, max(d) AS last_day, count(*) AS n_days FROM r GROUP BY g",
     "dim_latest_with_drift": f"WITH {FACT}, r AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY d DESC, o_orderkey DESC) AS k FROM fact), a AS (SELECT o_custkey, count(DISTINCT o_orderpriority) AS n_priorities, count(DISTINCT o_orderstatus) AS n_statuses FROM fact GROUP BY 1) SELECT r.o_custkey, d AS d_latest, CAST(amount AS DOUBLE) AS amount_latest, o_orderpriority AS o_orderpriority_latest, n_priorities, n_statuses FROM r JOIN a ON a.o_custkey = r.o_custkey WHERE k = 1",
     "latest_by_max_by": "SELECT user_id, event_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events) z WHERE k = 1",
     "monotonicity_gate": f"WITH {_GATES.format(v='CASE WHEN dos = 40 THEN v / 2 ELSE v END', n='n')} SELECT copy, count(*) AS n, count(*) FILTER (WHERE v < p - CAST(0.001 AS DOUBLE)) AS n_falls, COALESCE(max(CASE WHEN v < p THEN p - v END), 0) AS worst_fall FROM l GROUP BY copy",
@@ -256,10 +256,10 @@ ORACLES = {
     "rollup_without_multiple": "WITH s AS (SELECT c_mktsegment, count(DISTINCT c_nationkey % 25) AS k, count(*) AS n FROM customer GROUP BY 1) SELECT 'some' AS region, CAST(sum(n) AS BIGINT) AS n FROM s WHERE k <= 24 HAVING count(*) > 0 UNION ALL SELECT 'all', CAST(sum(n) AS BIGINT) FROM s",
     "set_valued_groups": "SELECT l_partkey, count(DISTINCT n_regionkey) AS n_regions, CASE WHEN count(DISTINCT n_regionkey) > 1 THEN 'multiple' ELSE CAST(min(n_regionkey) AS VARCHAR) END AS region FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey GROUP BY l_partkey",
     "duplicate_keys_dropped": f"WITH {FACT} SELECT o_custkey, d, o_orderkey FROM (SELECT o_custkey, d, o_orderkey, count(*) OVER (PARTITION BY o_custkey, d) AS n FROM fact) z WHERE n = 1",
-    "ledger_merge": f"WITH {FACT}, a AS (SELECT d, count(*) AS n, 'ok' AS status FROM fact WHERE nation = 'FRANCE' GROUP BY d), b AS (SELECT d, count(*) AS n, 'again' AS status FROM fact WHERE nation = 'GERMANY' GROUP BY d), m AS (SELECT * FROM b UNION ALL SELECT * FROM a WHERE d NOT IN (SELECT d FROM b)) SELECT d, n, status FROM m UNION ALL SELECT DISTINCT d, NULL, 'downloaded' FROM fact WHERE nation = 'CHINA' AND d NOT IN (SELECT d FROM m)",
+    "ledger_merge": f"WITH {FACT}, a AS (SELECT d, count(*) AS n, 'ok' AS status FROM fact WHERE nation = 'NATION_6' GROUP BY d), b AS (SELECT d, count(*) AS n, 'again' AS status FROM fact WHERE nation = 'NATION_7' GROUP BY d), m AS (SELECT * FROM b UNION ALL SELECT * FROM a WHERE d NOT IN (SELECT d FROM b)) SELECT d, n, status FROM m UNION ALL SELECT DISTINCT d, NULL, 'downloaded' FROM fact WHERE nation = 'NATION_18' AND d NOT IN (SELECT d FROM m)",
     "upsert_days": f"WITH {FACT}, nw AS (SELECT nation, season, count(*) FILTER (WHERE amount > 150000) AS n FROM fact WHERE season >= 2000 GROUP BY 1, 2), od AS (SELECT nation, season, count(*) AS n FROM fact WHERE season <= 2000 GROUP BY 1, 2) SELECT * FROM nw UNION ALL SELECT od.* FROM od LEFT JOIN nw ON nw.nation = od.nation AND nw.season = od.season WHERE nw.nation IS NULL",
     "absence_classes": "WITH a AS (SELECT user_id, CASE WHEN value > 95 THEN 'ok' WHEN value < 2 THEN 'missing' WHEN event_type = 'view' THEN 'empty' ELSE 'error' END AS o FROM events) SELECT user_id, CASE WHEN count(*) FILTER (WHERE o = 'ok') > 0 THEN 'found' WHEN count(*) FILTER (WHERE o = 'missing') > 0 THEN 'missing' WHEN count(*) FILTER (WHERE o = 'empty') = count(*) THEN 'empty_upstream' ELSE 'failed' END AS status FROM a GROUP BY user_id",
     "failure_runs": "WITH e AS (SELECT user_id, ts, event_id, value < 40 AS f, sum(CASE WHEN value < 40 THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS b FROM events WHERE value IS NOT NULL), r AS (SELECT *, sum(CASE WHEN f THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, b ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS k FROM e) SELECT user_id, event_id FROM r WHERE f AND k % 3 = 0",
-    "anniversary_first": f"WITH {FACT}, x AS (SELECT DISTINCT d FROM fact) SELECT d, EXTRACT(month FROM d) = 7 AND EXTRACT(day FROM d) = 31 AS anniversary FROM x ORDER BY CASE WHEN EXTRACT(month FROM d) = 7 AND EXTRACT(day FROM d) = 31 THEN 0 ELSE 1 END, d LIMIT 40",
+    "anniversary_first": f"WITH {FACT}, x AS (SELECT DISTINCT d FROM fact) SELECT d, EXTRACT(month FROM d) = 7 AND EXTRACT(day FROM d) = 31 AS anniversary FROM x ORDER BY CASE WHEN EXTRACT(month FROM d) = 7 AND EXTRACT(day FROM d) = 31 THEN 0 ELSE 1 END, d",
     "token_and_hash": f"WITH {FACT}, x AS (SELECT DISTINCT d FROM fact) SELECT d, to_base64(encode(CAST(d AS VARCHAR))) AS token, upper(sha256(CAST(d AS VARCHAR))) AS sha FROM x",
 }

@@ -28,6 +28,19 @@ def get_session(app: str = "rillflow", cpus: int | None = None, partitions: int
     )
 
 
+def work_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, for what is written on the way: spark.checkpoint.dir, or in local mode, where
+    that is unset, a folder of its own that goes with the process."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or getattr(spark, "_rillflow_work", None)
+    if found:
+        return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    spark._rillflow_work = tempfile.mkdtemp(prefix="rillflow-")
+    atexit.register(shutil.rmtree, spark._rillflow_work, True)
+    return spark._rillflow_work
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the executors, once for each context: their Python workers need no copy of their own."""
     context = spark.sparkContext

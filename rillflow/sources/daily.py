@@ -62,3 +62,18 @@ def publish(rows: DataFrame, views: dict[str, str | None]) -> None:
     """Temp views from one frame: name -> predicate, None for all rows."""
     for name, predicate in views.items():
         (rows.where(predicate) if predicate else rows).createOrReplaceTempView(name)
+
+
+def dates_held(spark: SparkSession, path: str, partition: str = "report_date") -> DataFrame:
+    """The dates that a folder written by write_days() holds, from the names of its folders: no file is opened."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in files.listStatus(at)] if files.exists(at) else []
+    days = sorted(n.partition("=")[2] for n in names if n.startswith(f"{partition}="))
+    return spark.createDataFrame([(d,) for d in days], f"{partition} string").select(F.col(partition).cast("date").alias(partition))
+
+
+def publish_tables(rows: DataFrame, path: str, parts: dict[str, str | None]) -> None:
+    """Tables from one frame below a folder, each replaced whole: name -> predicate, None for all rows."""
+    for name, predicate in parts.items():
+        (rows.where(predicate) if predicate else rows).write.mode("overwrite").parquet(f"{path}/{name}")

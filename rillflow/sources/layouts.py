@@ -36,6 +36,12 @@ def valid_rows(rows: DataFrame, first: str) -> tuple[DataFrame, DataFrame]:
     return rows.where(ok), rows.where(~ok).withColumn("reason", reason)
 
 
+def with_fallback(ruled: DataFrame, aligned: DataFrame, page: str) -> DataFrame:
+    """Rows of the first extraction, and of the second for those pages alone where the first found none; `method` tells which."""
+    rest = aligned.join(ruled.select(page).distinct(), page, "left_anti")
+    return ruled.withColumn("method", F.lit("ruled")).unionByName(rest.withColumn("method", F.lit("aligned")), allowMissingColumns=True)
+
+
 def bucket_of(value: Column, edges: Sequence[float]) -> Column:
     """Index of the half-open interval [edge, next) that holds the value; null outside."""
     out = F.when(F.lit(False), F.lit(None).cast("int"))

@@ -37,6 +37,13 @@ def test_canonical_names(spark):
 def test_names(spark):
     out = column(spark, ["Aji - II", "Bhadar (P)", "Raval-2", "Machchhu Dam", None], "string", text.split_name)
     assert [tuple(r) for r in out] == [("aji", "2", False), ("bhadar", "p", True), ("raval", "2", False), ("machchhu", "", False), ("", "", False)]
+    names = ["ii", "xii", "Shetrunji  iv ", "Und (a) ", "Dam 8", "Dam7", "Ozat–2", "Venu (II)", "a-vii", "Moj & Co. (left bank) 3", "(b)", "Phophal_ii"]
+    found = [("", "2", False), ("xii", "", False), ("shetrunji", "4", False), ("und", "a", True), ("8", "", False), ("dam7", "", False), ("ozat", "2", False), ("venuii", "", False), ("a", "7", False), ("mojandco", "3", False), ("", "b", True), ("phophalii", "", False)]
+    assert [tuple(r) for r in column(spark, names, "string", text.split_name)] == found
+    assert column(spark, ["  Kachchh", "DEVBHUMI  dwarka", "Surat", " ", None], "string", text.parent_district) == ["kutch", "jamnagar", "surat", None, None]
+    assert column(spark, ["a-b-c", "a", None], "string", lambda c: text.key_part(c, 2)) == ["c", None, None]
+    assert column(spark, ["81", "18", None], "string", lambda c: text.has_prefix(c, "8")) == [True, False, False]
+    assert column(spark, ["D", "E", "N", None], "string", lambda c: text.band_of(c, {"deficit": ("D", "LD"), "surplus": ("E",)})) == ["deficit", "surplus", "normal", None]
     assert column(spark, ["machchhu", "machhu", "phodarness", "fodaraness"], "string", text.fold_sounds) == ["mc", "mc", "fdrns", "fdrns"]
 
 

@@ -1,6 +1,7 @@
 """Composite operators on hand-written rows."""
 
 import datetime as dt
+import json
 
 import numpy as np
 import pytest
@@ -131,9 +132,58 @@ def test_verdicts(spark):
 
 
 def test_outlines():
-    box = np.array([(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)])
-    assert geo.km_outside([box], 0.5, 0.5) == 0 and geo.km_outside([box], 1.005, 0.5) == 0
-    assert geo.km_outside([box], 2.0, 0.5) == pytest.approx(111.32, rel=1e-3)
+    square = lambda lo, hi: np.array([(lo, lo), (hi, lo), (hi, hi), (lo, hi)])
+    at = lambda polygons, *points: geo.km_outside(polygons, *(np.array(c, float) for c in zip(*points, strict=True))).tolist()
+    assert at([[square(0.0, 1.0)]], (0.5, 0.5), (1.005, 0.5)) == [0, 0]
+    assert at([[square(0.0, 1.0)]], (2.0, 0.5))[0] == pytest.approx(111.32, rel=1e-3)
+    ring = [square(0.0, 8.0), square(3.0, 6.0)]
+    hole, solid, edge = at([ring], (4.0, 4.5), (1.0, 1.0), (3.005, 4.0))
+    assert hole == pytest.approx(111.32 * np.cos(np.radians(4.5)), rel=1e-6) and solid == 0 and edge == 0  # a hole is outside
+    assert at([ring, [square(3.0, 6.0)]], (4.0, 4.5)) == [0]  # filled by an island
+
+
+def test_outlines_from_features(spark, tmp_path):
+    (tmp_path / "f.json").write_text(json.dumps({"type": "FeatureCollection", "features": [
+        {"type": "Feature", "properties": {"name": "a"}, "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [8, 0], [8, 8], [0, 8], [0, 0]], [[3, 3], [6, 3], [6, 6], [3, 6], [3, 3]]]}},
+        {"type": "Feature", "properties": {"name": "b"}, "geometry": {"type": "Polygon", "coordinates": [[[20, 0], [21, 0], [21, 1], [20, 1], [20, 0]]]}}]}))
+    km = geo.distance_function(spark, geo.outlines_of(layouts.geojson_features(spark, str(tmp_path / "f.json")), "name"))
+    rows = spark.createDataFrame([(1, "a", 1.0, 1.0), (2, "a", 4.5, 4.5), (3, "b", 20.5, 0.5), (4, "c", 0.0, 0.0), (5, "a", None, 1.0), (6, None, 1.0, 1.0)], "k int, n string, x double, y double")
+    got = {r["k"]: r["km"] for r in rows.select("k", km("n", "x", "y").alias("km")).collect()}
+    assert got[1] == 0 and got[2] > 100 and got[3] == 0 and got[4] is None and got[5] is None and got[6] is None
+
+
+def test_guards_raise(spark):
+    days = spark.createDataFrame([(DAY,)], "d date")
+    with pytest.raises(integrity.GateError):
+        integrity.require_not_absent(str(DAY), days)
+    integrity.require_not_absent("2024-06-02", days)
+    points = spark.createDataFrame([(1, 5.0, 5.0), (2, 50.0, 5.0), (3, None, 5.0)], "k int, lon double, lat double")
+    with pytest.raises(integrity.GateError, match="2"):
+        integrity.require_in_box(points, "k", "lon", "lat", (0, 0, 10, 10))
+    integrity.require_in_box(points.where("k <> 2"), "k", "lon", "lat", (0, 0, 10, 10))
+    a, b = spark.createDataFrame([(1,), (2,)], "k int"), spark.createDataFrame([(2,), (None,)], "k int")
+    found = model.set_audit(only_a=(a, b, "k"), only_b=(b, a, "k"))
+    assert [tuple(r) for r in found.collect()] == [("only_a", "1")]
+    with pytest.raises(integrity.GateError):
+        integrity.require_total(found)
+    integrity.require_total(model.set_audit(same=(a, a, "k")))
+
+
+def test_ranks_of_parts_are_ranks(spark):
+    values = [float(v) for v in np.random.default_rng(4).integers(0, 40, 300)] + [None]
+    rows = spark.createDataFrame([(v,) for v in values], "v double")
+    got = {r[0]: r[1] for r in composite.average_ranks(rows.where("v is not null"), "v", "rk").collect()}
+    for v in set(values[:-1]):
+        below = sum(x < v for x in values[:-1])
+        assert got[v] == below + (values.count(v) + 1) / 2
+    assert composite.spearman(rows.limit(0).withColumn("w", F.col("v")), "v", "w").first()["n"] == 0
+
+
+def test_a_stream_of_nothing_is_split_into_nothing(spark, tmp_path):
+    from rillflow.plans import matching_q
+
+    spark.createDataFrame([], "event_id long, ts timestamp, user_id long, event_type string, value double, props string").write.parquet(str(tmp_path / "events.parquet"))
+    assert matching_q.stream_gate(spark, str(tmp_path)).count() == 0
 
 
 def test_document(spark):
@@ -192,4 +242,4 @@ def test_sensitivity_has_all_five_weightings(spark, sf):
 
     rows = {r["scheme"]: r for r in matching_q.index_sensitivity(spark, sf).collect()}
     assert set(rows) == {"equal", "mechanism_only", "mechanism_heavy", "drop_size", "restore_c3"}
-    assert 0 < rows["restore_c3"]["spearman"] < 1 and 0 <= rows["restore_c3"]["decile_churn"] <= 1
+    assert 0 < rows["restore_c3"]["spearman_micro"] < 1_000_000 and 0 <= rows["restore_c3"]["churn_micro"] <= 1_000_000
