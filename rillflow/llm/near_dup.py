@@ -33,6 +33,8 @@ SLACK = 0.2
 STARS, HOT_RUN = 4, 1 << 20
 #: Rows and shingles of a bucket that meet in one tile, of each side; a single text can have more.
 TILE, TILE_SHINGLES = 2048, 1 << 18
+#: Pairs of rows that are compared at once.
+PAIRS = 1 << 15
 #: Tasks that share the rows of one hub or one component.
 SALTS = 16
 #: Ids that are broadcast to pick the texts to verify.
@@ -257,17 +259,18 @@ def named_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(rows.select("key", "id").join(labels.withColumnRenamed("id", "l"), F.col("id") == F.col("l"), "left").select("key", "id", F.coalesce("component", "id").alias("component")), "dup-named")
 
 
-def hopeful(k: int, r: np.ndarray, n: np.ndarray, regs: np.ndarray, key: int, percent: int) -> np.ndarray:
-    """Of the rows r, those that row k shall be verified with in the bucket `key`: sizes allow it, no earlier band is shared (the
-    pair is met there), and the estimate is high enough."""
-    r = r[100 * np.minimum(n[r], n[k]) >= percent * np.maximum(n[r], n[k])]
-    if not len(r):
-        return r
+def hopeful(left: np.ndarray, right: np.ndarray, key: np.ndarray, component: np.ndarray, n: np.ndarray, regs: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of rows shall be verified in the bucket `key` of the left one: components differ, sizes allow it, no earlier
+    band is shared (the pair is met there), and the estimate is high enough."""
+    good = np.nonzero((component[left] != component[right]) & (100 * np.minimum(n[left], n[right]) >= percent * np.maximum(n[left], n[right])))[0]
     bands = regs.view(np.uint64)
-    same = bands[r] == bands[k]
+    same = bands[left[good]] == bands[right[good]]
     first = same.argmax(1)
-    r = r[same.any(1) & ((bands[k][first] ^ _numbers()[first]) == np.uint64(key & 0xFFFFFFFFFFFFFFFF))]
-    return r[estimate((regs[r] == regs[k]).mean(1), n[r], n[k]) >= percent / 100 - SLACK]
+    met = same.any(1) & ((bands[left[good], first] ^ _numbers()[first]) == key[left[good]].view(np.uint64))
+    good = good[met]
+    agree = (regs[left[good]] == regs[right[good]]).mean(1)
+    good, agree = good[agree >= percent / 100 - SLACK], agree[agree >= percent / 100 - SLACK]  # estimates are never above it
+    return good[estimate(agree, n[left[good]], n[right[good]]) >= percent / 100 - SLACK]
 
 
 def _partners(k: int, p: int, q: int, side: np.ndarray) -> np.ndarray:
@@ -276,6 +279,28 @@ def _partners(k: int, p: int, q: int, side: np.ndarray) -> np.ndarray:
     return r[r > k] if p == q else r
 
 
+def _tile_pairs(tile: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs that meet in the tiles of these rows (key, p, q in order), some PAIRS at a time, whatever the tiles' sizes."""
+    starts = np.r_[0, np.nonzero((tile[1:] != tile[:-1]).any(1))[0] + 1, len(tile)]
+    lefts, rights, held = [], [], 0
+    for x, y in zip(starts.tolist(), starts[1:].tolist(), strict=False):
+        _, p, q = tile[x].tolist()
+        a, b = (x + np.nonzero(side[x:y] == s)[0] for s in (p, q))
+        step = max(1, PAIRS // max(1, len(b)))
+        for at in range(0, len(a), step):
+            some = a[at : at + step]
+            left, right = np.repeat(some, len(b)), np.tile(b, len(some))
+            if p == q:
+                left, right = left[right > left], right[right > left]
+            lefts.append(left), rights.append(right)
+            held += len(left)
+            if held >= PAIRS:
+                yield np.concatenate(lefts), np.concatenate(rights)
+                lefts, rights, held = [], [], 0
+    if held:
+        yield np.concatenate(lefts), np.concatenate(rights)
+
+
 def _by_tile(batches: Iterator[pa.RecordBatch], judge, names: list[str]) -> Iterator[pa.RecordBatch]:
     """From (key, p, q, ...), ordered by these three: judge((key, p, q), columns) of each tile, as rows of longs."""
     waiting: list = []
@@ -306,21 +331,37 @@ def _matrix(tile: pa.Table) -> tuple[np.ndarray, ...]:
 
 
 def _needed(percent: int):
-    """Rows (key, p, q, side, id) of tiles that have anything to verify: what _joined() needs the texts of."""
+    """Rows (key, p, q, side, id) of tiles that have anything to verify: what _joined() needs the texts of.
 
-    def judge(of: tuple[int, int, int], tile: pa.Table) -> tuple[np.ndarray, ...]:
-        key, p, q = of
-        side, ids, component, n, regs = _matrix(tile)
+    Most tiles are small, so that those of a whole batch are judged at once; a tile that goes on in the next batch waits for it.
+    """
+
+    def judge(rows: pa.Table) -> pa.RecordBatch:
+        tile = np.stack([rows[c].to_numpy() for c in ("key", "p", "q")], 1)
+        side, ids, component, n, regs = _matrix(rows)
         want = np.zeros(len(ids), bool)
-        for k in np.nonzero(side == p)[0].tolist():
-            r = _partners(k, p, q, side)
-            r = hopeful(k, r[component[r] != component[k]], n, regs, key, percent)
-            want[r] = True
-            want[k] |= len(r) > 0
-        ids, side = ids[want], side[want]
-        return tuple(np.full(len(ids), x) for x in of) + (side, ids)
+        for left, right in _tile_pairs(tile, side):
+            good = hopeful(left, right, tile[:, 0], component, n, regs, percent)
+            want[left[good]] = want[right[good]] = True
+        return pa.RecordBatch.from_arrays([pa.array(c[want]) for c in (*(np.ascontiguousarray(c) for c in tile.T), side, ids)], names=["key", "p", "q", "side", "id"])
 
-    return lambda batches: _by_tile(batches, judge, ["key", "p", "q", "side", "id"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            last = tuple(batch.column(k)[batch.num_rows - 1].as_py() for k in range(3))
+            same = np.logical_and.reduce([batch.column(k).to_numpy() == last[k] for k in range(3)])
+            end = int(np.argmax(same))  # where the batch's last tile starts
+            if end:
+                yield judge(pa.Table.from_batches([*waiting, batch.slice(0, end)]).combine_chunks())
+                waiting = []
+            elif waiting and tuple(waiting[-1].column(k)[0].as_py() for k in range(3)) != last:
+                yield judge(pa.Table.from_batches(waiting).combine_chunks())
+                waiting = []
+            waiting.append(batch.slice(end))
+        if waiting:
+            yield judge(pa.Table.from_batches(waiting).combine_chunks())
+
+    return run
 
 
 def _joined(shingle: int, percent: int):
@@ -333,14 +374,15 @@ def _joined(shingle: int, percent: int):
     def judge(of: tuple[int, int, int], tile: pa.Table) -> tuple[np.ndarray, ...]:
         key, p, q = of
         side, ids, component, n, regs = _matrix(tile)
-        component, number, sets = component.copy(), {}, []
+        component, keys, number, sets = component.copy(), np.full(len(ids), key, np.int64), {}, []
         for raw in tile["t"].to_pylist():
             sets.append(np.fromiter((number.setdefault(g, len(number)) for g in shingle_set(words_of(raw), shingle)), np.int64))
         sizes, there, links = np.array([len(s) for s in sets]), np.zeros(len(number) + 1, np.int64), []
         for k in np.nonzero(side == p)[0].tolist():
             r = _partners(k, p, q, side)
-            r = hopeful(k, r[component[r] != component[k]], n, regs, key, percent)
-            r = r[sizes[r] > 0]
+            r = r[(component[r] != component[k]) & (sizes[r] > 0)]
+            if len(r):
+                r = r[hopeful(np.full(len(r), k), r, keys, component, n, regs, percent)]
             if not len(r) or not sizes[k]:
                 continue
             there[sets[k]] = 1
@@ -381,7 +423,7 @@ def remaining(rows: DataFrame, labels: DataFrame, reps: DataFrame, docs: DataFra
     placed = named.join(mixed, "key").withColumn("side", side).withColumn("partner", partner).withColumn("p", F.least("side", "partner").cast("long")).withColumn("q", F.greatest("side", "partner").cast("long"))
     sketch = reps.select(F.col("id").alias("r"), "registers")
     first = placed.select("key", "p", "q", "side", "id", "component", "n_shingles").join(sketch, F.col("id") == F.col("r")).drop("r")
-    need = stored(arrow_pass(first.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q"), _needed(percent), "key long, p long, q long, side long, id long"), "dup-needed")
+    need = stored(arrow_pass(first.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q"), _needed(percent), "key long, p long, q long, side long, id long", 4096), "dup-needed")
     named_once = labels.select(F.col("id").alias("l"), "component")
     texts = texts_of(docs, need.select("id"), doc_id=doc_id, text=text).select(F.col("id").alias("d"), "t")
     full = (
