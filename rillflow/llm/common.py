@@ -38,11 +38,31 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+def own_dir(spark: SparkSession) -> str:
+    """The folder of this application's tables within the shared one."""
+    return f"{shared_dir(spark)}/rillflow/{spark.sparkContext.applicationId}"
+
+
+def remove_tables(spark: SparkSession, *frames: DataFrame) -> None:
+    """Delete the tables of these frames, if they are of stored(), or, without any, all tables of this application.
+
+    Results that are still to be computed from them fail: save those first.
+    """
+    at = lambda path: spark._jvm.org.apache.hadoop.fs.Path(path)
+    own = own_dir(spark)
+    files = at(own).getFileSystem(spark._jsc.hadoopConfiguration())
+    for path in [getattr(f, "_rillflow_path", None) for f in frames] if frames else [own]:
+        if path:
+            files.delete(at(path), True)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write df as a parquet table in the shared folder and read it back: lineage ends there, and lost executors cost no recomputation."""
-    path = f"{shared_dir(df.sparkSession)}/rillflow/{label}-{uuid.uuid4().hex}"
+    path = f"{own_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._rillflow_path = path  # for remove_tables()
+    return out
 
 
 def arrow_pass(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, rows: int = BATCH_ROWS) -> DataFrame:

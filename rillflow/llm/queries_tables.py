@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from rillflow.sources.tables import table
 
 from . import bpe, mixing, quality, sharding, token_counts
-from .common import shared_dir, stored
+from .common import own_dir, stored
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,7 +26,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     words, size = mixing.word_count(F.col("text")), F.coalesce(F.octet_length("text"), F.lit(0))
     # one pass over the texts; all commits see these numbers alone
     docs = stored(table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", words.alias("words"), size.cast("long").alias("size"), F.md5("text").alias("key")), "counts-docs")
-    rollup = token_counts.TokenRollup(spark, f"{shared_dir(spark)}/rillflow/rollup-{uuid.uuid4().hex}")
+    rollup = token_counts.TokenRollup(spark, f"{own_dir(spark)}/rollup-{uuid.uuid4().hex}")
     words, size = F.col("words"), F.col("size")
     guess = F.ceil(F.coalesce("n_chars", F.lit(0)) / 6)
     rollup.commit("insert", token_counts.inserts(token_counts.counted(docs, "words-1", guess)), token_counts.inserts(token_counts.counted(docs, "bytes-1", size)))

@@ -53,6 +53,21 @@ def test_run(spark, sf):
     assert corpus_pipeline.run(spark, sf).count() > 0 and corpus_pipeline.ORACLE_SQL is None
 
 
+def test_tables_go_when_they_are_done_with(spark, sf):
+    from rillflow.llm import common
+
+    kept = common.stored(spark.range(3), "kept")
+    gone = common.stored(spark.range(3), "gone")
+    common.remove_tables(spark, gone)
+    assert kept.count() == 3
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(common.own_dir(spark))
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = lambda: {s.getPath().getName().rsplit("-", 1)[0] for s in files.listStatus(path)}
+    assert "kept" in names() and "gone" not in names()
+    common.remove_tables(spark, spark.read.parquet(f"{sf}/region.parquet"))
+    assert spark.read.parquet(f"{sf}/region.parquet").count() == 5  # never what others wrote
+
+
 def test_nothing_passes_through(spark, sf):
     docs = spark.createDataFrame([], SCHEMA)
     for _, stage in corpus_pipeline.STAGES:
