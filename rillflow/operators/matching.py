@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from difflib import SequenceMatcher
 
@@ -27,7 +28,10 @@ def ratio(a: Column, b: Column) -> Column:
 def blocked_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], stem: str, least: float = config.NAME_OK) -> DataFrame:
     """Pairs within equal blocks: exact stems first; only left rows without an exact partner are compared by likeness.
 
-    Columns of left are prefixed l_, of right r_. score is 1 for exact ones.
+    Columns of left are prefixed l_, of right r_. score is 1 for exact ones. Distinct stems are compared, each pair once, and
+    only those that share two letters in a row: of two stems of T letters together and a ratio of r, at most (1 - r) * T lie
+    outside of what matches, which leaves a run of more than one letter as soon as T * (1.5 * r - 1) > 1. Shorter ones are
+    compared with all of the block whose lengths allow the ratio.
     """
     ship_package(left.sparkSession)
     a = left.select(*(F.col(c).alias(f"l_{c}") for c in left.columns))
@@ -35,10 +39,24 @@ def blocked_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], stem:
     on = [F.col(f"l_{c}") == F.col(f"r_{c}") for c in block]
     exact = a.join(b, [*on, F.col(f"l_{stem}") == F.col(f"r_{stem}")]).withColumn("score", F.lit(1.0))
     rest = a.join(exact.select(f"l_{stem}", *(f"l_{c}" for c in block)).distinct(), [f"l_{stem}", *(f"l_{c}" for c in block)], "left_anti").select(*a.columns)
+    l, r = f"l_{stem}", f"r_{stem}"
+    keys = [f"l_{c}" for c in block]
+    mine = rest.select(*keys, l).where(F.col(l).isNotNull()).distinct()
+    theirs = b.select(*(F.col(f"r_{c}").alias(f"__{c}") for c in block), r).where(F.col(r).isNotNull()).distinct()
+    same = [F.col(f"l_{c}") == F.col(f"__{c}") for c in block]
     # sizes too far apart can't reach the ratio: 2 * min / (sum) bounds it
-    x, y = F.char_length(f"l_{stem}"), F.char_length(f"r_{stem}")
-    fuzzy = rest.join(b, [*on, 2 * F.least(x, y) >= least * (x + y)]).withColumn("score", ratio(F.col(f"l_{stem}"), F.col(f"r_{stem}"))).where(F.col("score") >= least)
-    return exact.unionByName(fuzzy)
+    x, y = F.char_length(l), F.char_length(r)
+    near = 2 * F.least(x, y) >= least * (x + y)
+    short = math.floor(1 / (1.5 * least - 1)) if least > 2 / 3 else None
+    grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(c) - 1, F.lit(1))), lambda i: F.substring(c, i, F.lit(2))))
+    if short is None:
+        pairs = mine.join(theirs, [*same, near])
+    else:
+        by_gram = mine.where(x > short).withColumn("__g", F.explode(grams(F.col(l)))).join(theirs.withColumn("__h", F.explode(grams(F.col(r)))), [*same, F.col("__g") == F.col("__h"), near])
+        pairs = by_gram.select(*keys, l, r).distinct().unionByName(mine.where(x <= short).join(theirs, [*same, near]).select(*keys, l, r))
+    scored = pairs.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col(l).alias("__l"), F.col(r).alias("__r")).withColumn("score", ratio(F.col("__l"), F.col("__r"))).where(F.col("score") >= least)
+    fuzzy = rest.join(scored, [*(F.col(k) == F.col(f"__{k}") for k in keys), F.col(l) == F.col("__l")]).join(b, [*on, F.col(r) == F.col("__r")])
+    return exact.unionByName(fuzzy.select(*exact.columns))
 
 
 def best_candidate(pairs: DataFrame, key: str, *order: Column) -> DataFrame:

@@ -120,6 +120,21 @@ def test_likeness_only_where_no_exact_partner(spark):
     assert out == {("1", "machhu"): 1.0, ("2", "machchhu"): pytest.approx(12 / 14)} or out == {("1", "machhu"): 1.0}
 
 
+@pytest.mark.parametrize("least", [0.6, 0.7, 0.86])
+def test_blocks_lose_no_likeness(spark, least):
+    """Against all pairs of a block, at ratios that allow short runs."""
+    from difflib import SequenceMatcher
+
+    rng = np.random.default_rng(6)
+    stems = ["".join(rng.choice(list("abcd"), rng.integers(1, 9))) for _ in range(120)]
+    left = [(k % 2, s, k) for k, s in enumerate(stems[:60])] + [(0, None, 98), (0, stems[0], 99)]
+    right = [(k % 2, s, k) for k, s in enumerate(stems[60:])] + [(1, None, 98)]
+    got = matching.blocked_pairs(spark.createDataFrame(left, "b int, s string, k int"), spark.createDataFrame(right, "b int, s string, k int"), ["b"], "s", least).collect()
+    held = {(b, s) for b, s, _ in right}
+    want = {(i, j) for b, s, i in left for c, t, j in right if b == c and s and t and (s == t or ((b, s) not in held and SequenceMatcher(None, s, t).ratio() >= least))}
+    assert {(r["l_k"], r["r_k"]) for r in got} == want and len(got) == len(want)
+
+
 def test_assignment_uses_each_once(spark):
     pairs = spark.createDataFrame([("x", 1, 10, 0.1), ("x", 2, 10, 0.2), ("x", 2, 11, 0.3)], "b string, l int, r int, s double")
     assert {tuple(r)[1:] for r in matching.assign_in_order(pairs, "b", "l", "r", ["s", "l", "r"]).collect()} == {(1, 10), (2, 11)}
