@@ -206,7 +206,24 @@ _GRID_SQL = " UNION ALL ".join(
     for r in RAIN_GRID
     for s in STORAGE_GRID
 )
+_JSON = "COALESCE(CAST({} AS VARCHAR), 'null')".format
+_FLAG = "CASE WHEN {} THEN 'true' ELSE 'false' END".format
+#: The nested document, put together as text.
+_DOCUMENT = f"""WITH {_DAILY}, {_DEVIATION.removeprefix(FACT + ", ")},
+ q AS (SELECT *, row_number() OVER (PARTITION BY region ORDER BY start_seq) AS k FROM runs WHERE qualifies), c AS (SELECT * FROM runs WHERE is_current), reg AS (SELECT DISTINCT region FROM cum),
+ x AS (SELECT reg.region, CASE WHEN l.ls IS NULL THEN 'not_evaluable' WHEN q.region IS NULL THEN 'never_below' WHEN q.start_seq = 0 THEN 'below_from_start' ELSE 'crossed' END AS kind, CASE WHEN q.start_seq > 0 THEN q.start_day END AS cross_day, CASE WHEN NOT q.is_current THEN q.end_day END AS run_end_day,
+   CASE WHEN NOT q.is_current THEN (SELECT min(e.dos) FROM ev e WHERE e.region = reg.region AND e.seq = q.end_seq + 1) END AS recovered_day, c.region IS NOT NULL AS below, c.start_day AS c_start, c.run_length AS c_length, c.qualifies AS c_qualifies
+   FROM reg LEFT JOIN lastseq l ON l.region = reg.region LEFT JOIN q ON q.region = reg.region AND q.k = 1 LEFT JOIN c ON c.region = reg.region),
+ days AS (SELECT region, season, '{{' || string_agg('"' || dos || '":' || total, ',' ORDER BY dos) || '}}' AS j FROM cum WHERE season >= 1997 GROUP BY 1, 2),
+ series AS (SELECT region, '{{' || string_agg('"' || season || '":' || j, ',' ORDER BY season) || '}}' AS j FROM days GROUP BY 1),
+ regions AS (SELECT string_agg('{{"region":"' || s.region || '","series":' || s.j || ',"crossover":{{"case":"' || x.kind || '","cross_day":' || {_JSON('cross_day')} || ',"run_end_day":' || {_JSON('run_end_day')} || ',"recovered_day":' || {_JSON('recovered_day')} || ',"currently_below":' || {_FLAG('below')}
+   || ',"current_run":' || CASE WHEN below THEN '{{"start_day":' || c_start || ',"length":' || c_length || ',"qualifies":' || {_FLAG('c_qualifies')} || '}}' ELSE 'null' END || '}}}}', ',' ORDER BY s.region) AS j FROM series s JOIN x ON x.region = s.region),
+ low AS (SELECT string_agg('{{"rain":' || rain || ',"nation":"' || nation || '"}}', ',' ORDER BY rain, nation) AS j FROM (SELECT * FROM dev WHERE rain IS NOT NULL ORDER BY rain, nation LIMIT 10) z),
+ quads AS (SELECT string_agg('{{"q":' || COALESCE('"' || q || '"', 'null') || ',"n":' || n || '}}', ',' ORDER BY q NULLS FIRST) AS j FROM (SELECT {_QUADRANT.format(r=20.0, s=10.0)} AS q, count(*) AS n FROM dev GROUP BY 1) z),
+ meta AS (SELECT '{{"report_date":"{TARGET}","n_entities":' || count(*) || ',"regions":[' || string_agg(DISTINCT '"' || region || '"', ',' ORDER BY '"' || region || '"') || ']}}' AS j FROM dev)
+ SELECT '{{"meta":' || meta.j || ',"regions":[' || regions.j || '],"lowest":[' || low.j || '],"quadrants":[' || quads.j || ']}}' AS document FROM meta, regions, low, quads"""
 ORACLES = {
+    "view_document_json": _DOCUMENT,
     "same_date_deviation": f"""WITH {FACT}, s AS (SELECT region, season, sum(amount) AS total FROM fact WHERE {TO_DATE} AND d <= DATE '{TARGET}' AND season BETWEEN 1997 AND 2001 GROUP BY region, season),
  a AS (SELECT region, CAST(max(CASE WHEN season = 2001 THEN total END) AS DOUBLE) AS current_total, count(*) FILTER (WHERE season < 2001) AS n_years, CAST(sum(CASE WHEN season < 2001 THEN total END) AS DOUBLE) AS ps, CAST(min(CASE WHEN season < 2001 THEN total END) AS DOUBLE) AS prior_min, CAST(max(CASE WHEN season < 2001 THEN total END) AS DOUBLE) AS prior_max FROM s GROUP BY region)
  SELECT region, current_total, n_years, ps / n_years AS prior_mean, prior_min, prior_max, CASE WHEN ps / n_years > 0 THEN CAST(100.0 AS DOUBLE) * (current_total - ps / n_years) / (ps / n_years) END AS deviation_pct FROM a""",
