@@ -475,6 +475,19 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def with_links(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """Labels of components() after more links (a, b): only the components that these join are looked at again."""
+    if not more.limit(1).count():
+        return labels
+    known = labels.select(F.col("id").alias("l"), "component")
+    of = lambda rows, end: rows.join(known.withColumnRenamed("component", f"c_{end}"), F.col(end) == F.col("l"), "left").drop("l").withColumn(end, F.coalesce(f"c_{end}", end))
+    between = of(of(more.select("a", "b"), "a"), "b").select("a", "b")
+    alone = more.select(F.col("a").alias("id")).union(more.select("b")).distinct().join(labels.select("id"), "id", "left_anti").select("id", F.col("id").alias("component"))
+    found = components(between).select(F.col("id").alias("l"), F.col("component").alias("now"))
+    every = labels.select("id", "component").union(alone)
+    return stored(salted(every, "component", "id", found, "l", SALTS, "left").select("id", F.coalesce("now", "component").alias("component")), "dup-labels")
+
+
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 2, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document.
 
@@ -491,9 +504,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     rows = crowded(reps)
     links = verify(stored(candidates(rows), "dup-pairs"), reps, docs, **how)
     of_class = components(links)
-    more = remaining(rows, of_class, reps, docs, **how)
-    if more.limit(1).count():
-        of_class = components(links.union(more))
+    of_class = with_links(of_class, remaining(rows, of_class, reps, docs, **how))
     copies = usable.join(classes.where("n > 1").select("set_key", "rep"), "set_key").where("id <> rep").select(F.col("id").cast("long").alias("a"), F.col("rep").cast("long").alias("b"))
     label = copies.join(of_class, F.col("b") == F.col("id"), "left").select(F.col("a").alias("id"), F.coalesce("component", "b").alias("component"))
     every = label.union(of_class)
