@@ -295,5 +295,7 @@ def test_lm_keeps_every_context(spark):
 def test_lm_without_training_rows(spark):
     i = next(k for k in range(100) if zlib.crc32(str(k).encode()) % 7 == 2)
     row = lm_score.lm_scores(spark.createDataFrame([(i, "ab")], "doc_id long, text string")).first()
+    clash = spark.createDataFrame([(1, "a b a"), (2, "b"), (i, "a")], "doc_id long, text string").selectExpr("*", "1 as score", "2 as id", "3 as `row`", "4 as held_out", "5 as word", "6 as gram", "7 as n")
+    assert sorted(map(str, lm_score.lm_scores(clash).collect())) == sorted(map(str, lm_score.lm_scores(clash.select("doc_id", "text")).collect()))
     assert (row["n_known"], row["train_tokens"], row["base_score"]) == (0, 0, 0.0) and row["score"] == pytest.approx(-3 * math.log10(256), rel=1e-5)
     assert lm_score.lm_scores(spark.createDataFrame([], "doc_id long, text string")).count() == 0
