@@ -288,6 +288,25 @@ def stream_daily_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.drain(daily.first_seen(events.unionByName(events), "ts", "40 days", "event_id"), f"rillflow_dedup_{uuid.uuid4().hex}", "append").select("event_id", "user_id")
 
 
+def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of each user, closed by six hours without an event, from a stream in complete mode."""
+    found = daily.sessions(_events_stream(spark, sf_dir).where("ts is not null"), "ts", "6 hours", "1 day", "user_id")
+    return daily.drain(found, f"rillflow_sessions_{uuid.uuid4().hex}").select("user_id", F.unix_micros("started").alias("started_micros"), "n")
+
+
+def first_of_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each user and kind, the least in all columns: the batch form of de-duplication."""
+    return daily.distinct_keys(table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "value"), ["user_id", "event_type"])
+
+
+def row_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by their first cell: numbered ones are kept, the others go aside with the reason."""
+    k = F.col("p_partkey") % 5
+    first = F.when(k == 0, F.lit("Sr. No")).when(k == 1, F.lit(None).cast("string")).when(k == 2, F.lit("--")).otherwise(F.concat(F.lit(" "), F.col("p_partkey").cast("string")))
+    good, rest = layouts.valid_rows(table(spark, sf_dir, "part").select("p_partkey", first.alias("cell")), "cell")
+    return good.withColumn("reason", F.lit(None).cast("string")).unionByName(rest).select("p_partkey", "reason")
+
+
 def stream_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches split by a gate: accepted and rejected rows by kind; none is lost."""
     path = f"{work_dir(spark)}/stream-{uuid.uuid4().hex}"
@@ -310,7 +329,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         vocab_repair, cell_clean, split_name_fold, dms_parse, ordinal_block_match, one_to_one_claims, best_candidates, ambiguous_name_join, duplicate_triples, fuzzy_match, sequential_assignment, match_tiers, area_rules, diversity_entropy, composite_index, index_status, pct_rank_avg,
-        verdict_ladder, spearman, index_sensitivity, crosswalk_explode, band_consistency, rejected_fields, outside_vocabulary, layout_by_width, grid_reassembly, headed_lines, html_links, html_leaf_tables, geo_distance_tiers, stream_daily_counts, stream_daily_dedup, stream_gate,
+        verdict_ladder, spearman, index_sensitivity, crosswalk_explode, band_consistency, rejected_fields, outside_vocabulary, layout_by_width, grid_reassembly, headed_lines, html_links, html_leaf_tables, geo_distance_tiers, stream_sessions, first_of_key, row_validity, stream_daily_counts, stream_daily_dedup, stream_gate,
     )
 }
 
@@ -382,6 +401,10 @@ ORACLES = {
  m AS (SELECT scheme, round(base, 12) AS base, round(alt, 12) AS alt FROM l WHERE base IS NOT NULL AND alt IS NOT NULL),
  r AS (SELECT scheme, {_RANK.format(v='base', p='scheme,')} AS rb, {_RANK.format(v='alt', p='scheme,')} AS ra FROM m)
  SELECT scheme, CAST(floor(corr(rb, ra) * 1e6 + 0.5) AS BIGINT) AS spearman_micro, CAST(floor(CAST(count(*) FILTER (WHERE rb >= CAST(0.9 AS DOUBLE) AND ra < CAST(0.9 AS DOUBLE)) AS DOUBLE) / nullif(count(*) FILTER (WHERE rb >= CAST(0.9 AS DOUBLE)), 0) * 1e6 + 0.5) AS BIGINT) AS churn_micro FROM r GROUP BY scheme""",
+    "stream_sessions": """WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens FROM events WHERE ts IS NOT NULL), s AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM e)
+ SELECT user_id, epoch_us(min(ts)) AS started_micros, count(*) AS n FROM s GROUP BY user_id, k""",
+    "first_of_key": "SELECT user_id, event_type, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS k FROM events) z WHERE k = 1",
+    "row_validity": "SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'header' WHEN 1 THEN 'no first cell' WHEN 2 THEN 'not a number' END AS reason FROM part",
     "stream_daily_counts": "SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2",
     "stream_daily_dedup": "SELECT event_id, user_id FROM events",
     "stream_gate": "SELECT CASE WHEN value >= 10 THEN 'accepted' ELSE 'rejected' END AS kind, event_type, count(*) AS n FROM events GROUP BY 1, 2",
