@@ -15,6 +15,8 @@ from rillflow.session import ship_package
 
 #: A word, here and in the contracts: a run of characters other than blank, tab, LF, VT, FF and CR.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows that one task writes of a table whose size is known, and tasks that such a table has at least, if its plan has as many.
+TABLE_ROWS, TABLE_TASKS = 1 << 16, 8
 #: Rows in one Arrow batch; texts may hold 100 kB and more each, so far fewer than Spark's 10,000.
 BATCH_ROWS = 512
 
@@ -56,9 +58,15 @@ def remove_tables(spark: SparkSession, *frames: DataFrame) -> None:
             files.delete(at(path), True)
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write df as a parquet table in the shared folder and read it back: lineage ends there, and lost executors cost no recomputation."""
+def stored(df: DataFrame, label: str, rows: int | None = None) -> DataFrame:
+    """Write df as a parquet table in the shared folder and read it back: lineage ends there, and lost executors cost no recomputation.
+
+    rows: a bound of its rows, where one is known. Tasks that would write less than TABLE_ROWS each are then run as one, so that a
+    small table isn't hundreds of files; a larger one keeps its partitions.
+    """
     path = f"{own_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    if rows is not None:
+        df = df.coalesce(max(TABLE_TASKS, -(-rows // TABLE_ROWS)))
     df.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._rillflow_path = path  # for remove_tables()

@@ -256,7 +256,7 @@ def candidates(rows: DataFrame) -> DataFrame:
 
 def named_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """(key, id, component) of crowded() rows; stored."""
-    return stored(rows.select("key", "id").join(labels.withColumnRenamed("id", "l"), F.col("id") == F.col("l"), "left").select("key", "id", F.coalesce("component", "id").alias("component")), "dup-named")
+    return stored(rows.select("key", "id").join(labels.withColumnRenamed("id", "l"), F.col("id") == F.col("l"), "left").select("key", "id", F.coalesce("component", "id").alias("component")), "dup-named", rows.count())
 
 
 def hopeful(left: np.ndarray, right: np.ndarray, key: np.ndarray, component: np.ndarray, n: np.ndarray, regs: np.ndarray, percent: int) -> np.ndarray:
@@ -432,12 +432,12 @@ def remaining(rows: DataFrame, labels: DataFrame, reps: DataFrame, docs: DataFra
         .join(texts, F.col("id") == F.col("d")).drop("d")
     )
     found = arrow_pass(full.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q"), _joined(shingle, percent), "a long, b long", 64)
-    return stored(found.distinct(), "dup-more")
+    return stored(found.distinct(), "dup-more", need.count())
 
 
 def texts_of(docs: DataFrame, ids: DataFrame, *, doc_id: str, text: str) -> DataFrame:
     """(id, t) of the documents with these ids; stored."""
-    wanted = stored(ids.distinct(), "dup-wanted")
+    wanted = stored(ids.distinct(), "dup-wanted", ids.count())
     if wanted.count() <= BROADCAST_IDS:  # eight bytes each; with more of them, texts are shuffled to meet their ids
         wanted = F.broadcast(wanted)
     return stored(docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("t")).join(wanted, "id", "left_semi"), "dup-texts")
@@ -447,28 +447,29 @@ def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, *, doc_id: str, t
     """The pairs that are links: estimated by registers, then compared by full sets; stored."""
     left, right = (reps.select(F.col("id").alias(k), F.col("n_shingles").alias(f"n_{k}"), F.col("registers").alias(f"r_{k}")) for k in "ab")
     near = pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "r_a", "r_b")
-    near = stored(arrow_pass(near, _close(percent), "a long, b long"), "dup-near")
+    near = stored(arrow_pass(near, _close(percent), "a long, b long"), "dup-near", pairs.count())
     texts = texts_of(docs, near.select(F.col("a").alias("id")).union(near.select("b")), doc_id=doc_id, text=text)
     both = near.join(texts.select(F.col("id").alias("a"), F.col("t").alias("ta")), "a").join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b").select("a", "b", "ta", "tb")
     return stored(arrow_pass(both.sortWithinPartitions("a"), _verified(shingle, percent), "a long, b long"), "dup-links")
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(id, component) of every id in the links (a, b), component being the least id reachable.
+def components(links: DataFrame, most: int | None = None) -> DataFrame:
+    """(id, component) of every id in the links (a, b), component being the least id reachable. most: a bound of the links, if known.
 
     Labels spread to neighbours and jump along labels until nothing changes; each round is written, so no lineage grows and
     nothing is collected but a count. Hubs and large components are met by partial minima, and the rows of each are dealt to
     SALTS tasks when labels are joined to them.
     """
-    edges = stored(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).where("a <> b").distinct(), "dup-edges")
-    labels = stored(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("component")), "dup-labels")
+    edges = stored(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).where("a <> b").distinct(), "dup-edges", None if most is None else 2 * most)
+    n = edges.count()  # no fewer than the ids
+    labels = stored(edges.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("component")), "dup-labels", n)
     while True:
         heard = salted(edges, "b", "a", labels, "id", SALTS).groupBy("a").agg(F.min("component").alias("heard"))
         spread = labels.join(heard, F.col("id") == F.col("a"), "left").select("id", F.col("component").alias("before"), F.least("component", F.coalesce("heard", "component")).alias("component"))
-        spread = stored(spread, "dup-spread")
+        spread = stored(spread, "dup-spread", n)
         named = spread.select(F.col("component").alias("c")).distinct()
         jump = spread.join(named, F.col("id") == F.col("c"), "left_semi").select(F.col("id").alias("j"), F.col("component").alias("further"))
-        new = stored(salted(spread, "component", "id", jump, "j", SALTS, "left").select("id", "before", F.least("component", F.coalesce("further", "component")).alias("component")), "dup-labels")
+        new = stored(salted(spread, "component", "id", jump, "j", SALTS, "left").select("id", "before", F.least("component", F.coalesce("further", "component")).alias("component")), "dup-labels", n)
         changed = new.where("component <> before").limit(1).count()
         labels = new.select("id", "component")
         if not changed:
@@ -477,15 +478,16 @@ def components(links: DataFrame) -> DataFrame:
 
 def with_links(labels: DataFrame, more: DataFrame) -> DataFrame:
     """Labels of components() after more links (a, b): only the components that these join are looked at again."""
-    if not more.limit(1).count():
+    added = more.count()
+    if not added:
         return labels
     known = labels.select(F.col("id").alias("l"), "component")
     of = lambda rows, end: rows.join(known.withColumnRenamed("component", f"c_{end}"), F.col(end) == F.col("l"), "left").drop("l").withColumn(end, F.coalesce(f"c_{end}", end))
     between = of(of(more.select("a", "b"), "a"), "b").select("a", "b")
     alone = more.select(F.col("a").alias("id")).union(more.select("b")).distinct().join(labels.select("id"), "id", "left_anti").select("id", F.col("id").alias("component"))
-    found = components(between).select(F.col("id").alias("l"), F.col("component").alias("now"))
+    found = components(between, added).select(F.col("id").alias("l"), F.col("component").alias("now"))
     every = labels.select("id", "component").union(alone)
-    return stored(salted(every, "component", "id", found, "l", SALTS, "left").select("id", F.coalesce("now", "component").alias("component")), "dup-labels")
+    return stored(salted(every, "component", "id", found, "l", SALTS, "left").select("id", F.coalesce("now", "component").alias("component")), "dup-labels", labels.count() + 2 * added)
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 2, percent: int = 80) -> DataFrame:
@@ -498,18 +500,19 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     found = sketches(docs, doc_id=doc_id, text=text, shingle=shingle)
     usable = found.where("id is not null and set_key is not null")
     classes = usable.groupBy("set_key").agg(F.min("id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers"), F.count(F.lit(1)).alias("n"))
-    classes = stored(classes, "dup-classes")
+    n = found.count()
+    classes = stored(classes, "dup-classes", n)
     reps = classes.select(F.col("rep").cast("long").alias("id"), "n_shingles", "registers")
     how = {"doc_id": doc_id, "text": text, "shingle": shingle, "percent": percent}
     rows = crowded(reps)
-    links = verify(stored(candidates(rows), "dup-pairs"), reps, docs, **how)
-    of_class = components(links)
+    links = verify(stored(candidates(rows), "dup-pairs", rows.count()), reps, docs, **how)
+    of_class = components(links, links.count())
     of_class = with_links(of_class, remaining(rows, of_class, reps, docs, **how))
     copies = usable.join(classes.where("n > 1").select("set_key", "rep"), "set_key").where("id <> rep").select(F.col("id").cast("long").alias("a"), F.col("rep").cast("long").alias("b"))
     label = copies.join(of_class, F.col("b") == F.col("id"), "left").select(F.col("a").alias("id"), F.coalesce("component", "b").alias("component"))
     every = label.union(of_class)
     # an id with several texts can be in several classes
-    twice = stored(every.groupBy("id").agg(F.min("component").alias("component"), F.max("component").alias("other")), "dup-members")
+    twice = stored(every.groupBy("id").agg(F.min("component").alias("component"), F.max("component").alias("other")), "dup-members", n)
     odd = twice.where("component <> other").select(F.col("component").alias("a"), F.col("other").alias("b"))
     if odd.limit(1).count():
         joined = components(every.select(F.col("id").alias("a"), F.col("component").alias("b")))
