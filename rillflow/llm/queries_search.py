@@ -1,12 +1,12 @@
-"""Queries that search: near duplicates and nearest neighbours."""
+"""Queries that search or turn vectors: near duplicates, nearest neighbours and whitening."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rillflow.sources.tables import table
 
-from . import ann, near_dup
+from . import ann, near_dup, whitening
 
 
 def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,7 +19,13 @@ def op5_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {"op5_ann": op5_ann, "op4_near_dup": op4_near_dup}
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four whitened coordinates of every vector."""
+    found = whitening.whitened(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").cast("long"))
+
+
+QUERIES = {"op5_ann": op5_ann, "op4_near_dup": op4_near_dup, "op11_whitening": op11_whitening}
 _WORDS = r"regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+')"
 #: All links by a prefix filter, which loses none: of two sets that overlap so far, the rarest parts share a shingle.
 _NEAR = f"""WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS w FROM documents),
