@@ -1,4 +1,4 @@
-"""Queries on tables of documents that need no model: mixing, token counts, sharding, quality, encoding and the pipeline."""
+"""Queries on tables of documents that need no model: mixing, token counts, sharding, quality, encoding, spellings, secrets and the pipeline."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from rillflow.sources.tables import table
 
-from . import bpe, mixing, quality, sharding, token_counts
+from . import bpe, mixing, quality, secrets, sharding, token_counts
 from .common import own_dir, stored
 
 
@@ -56,6 +56,15 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), "doc_id", ids=False, digests=True)
 
 
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, by a ledger of blobs that starts empty."""
+    ledger = secrets.BlobLedger(spark, f"{own_dir(spark)}/ledger-{uuid.uuid4().hex}")
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"), ledger)
+    of = lambda *rules: F.filter("spans", lambda s: s["kind"].isin(*(r.kind for r in rules)))
+    counts = [F.size(of(r)).cast("long").alias(f"n_{r.kind}") for r in secrets.BASE]
+    return found.select(F.col("path").alias("doc_id"), *counts, F.sha2(secrets.listed(of(*secrets.BASE)), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline.py, at the top of the repository."""
     import corpus_pipeline
@@ -63,7 +72,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {"op9_bpe": op9_bpe, "pipeline": pipeline, "op1_mixing": op1_mixing, "op3_token_counts": op3_token_counts, "op7_sharding": op7_sharding, "op8_quality_rules": op8_quality_rules}
+QUERIES = {"op9_bpe": op9_bpe, "pipeline": pipeline, "op1_mixing": op1_mixing, "op3_token_counts": op3_token_counts, "op7_sharding": op7_sharding, "op8_quality_rules": op8_quality_rules, "op13_secrets": op13_secrets}
 _WORDS = r"len(regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+'))"
 #: The excess is reshared until none is above its cap: in order of cap / weight, the sources whose cap is below the level
 #: that the words left would give are capped.
