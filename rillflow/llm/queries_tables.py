@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from rillflow.sources.tables import table
 
-from . import bpe, mixing, quality, secrets, sharding, token_counts
+from . import bpe, mixing, quality, secrets, sharding, spelling, token_counts
 from .common import own_dir, stored
 
 
@@ -56,6 +56,11 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), "doc_id", ids=False, digests=True)
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and root of every word of all documents."""
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
 def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, by a ledger of blobs that starts empty."""
     ledger = secrets.BlobLedger(spark, f"{own_dir(spark)}/ledger-{uuid.uuid4().hex}")
@@ -72,7 +77,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {"op9_bpe": op9_bpe, "pipeline": pipeline, "op1_mixing": op1_mixing, "op3_token_counts": op3_token_counts, "op7_sharding": op7_sharding, "op8_quality_rules": op8_quality_rules, "op13_secrets": op13_secrets}
+QUERIES = {"op9_bpe": op9_bpe, "pipeline": pipeline, "op1_mixing": op1_mixing, "op3_token_counts": op3_token_counts, "op7_sharding": op7_sharding, "op8_quality_rules": op8_quality_rules, "op12_spelling": op12_spelling, "op13_secrets": op13_secrets}
 _WORDS = r"len(regexp_extract_all(COALESCE(text, ''), '[^\x20\x09-\x0D]+'))"
 #: The excess is reshared until none is above its cap: in order of cap / weight, the sources whose cap is below the level
 #: that the words left would give are capped.
