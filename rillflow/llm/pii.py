@@ -1,8 +1,8 @@
 """Personal data: exact patterns, and a semi-Markov conditional random field that adds what the patterns miss.
 
 The field scores whole candidate segments (digits, separators, checksum, words before), and dynamic programming over
-segments of bounded length picks boundaries and kinds jointly. It runs on the stretches around digits and spelled-out
-"at" and "dot" that no pattern covers, so plain prose costs one scan. It is trained here, on sentences from a seeded rule.
+segments of bounded length picks boundaries and kinds jointly. It finds what it would find in the whole text between the
+patterns' matches, but looks only where a candidate can be, so plain prose costs one scan. It is trained here, on sentences from a seeded rule.
 """
 
 from __future__ import annotations
@@ -82,11 +82,13 @@ def base_spans(text: str) -> list[Span]:
 LABELS = ("O", *KINDS)
 #: Tokens of an entity at most, signs among them, and digits: a card has 19 at most.
 LONGEST, MOST_DIGITS = 18, 19
-#: Characters around a trigger that the field sees.
-AROUND = 48
+#: Tokens that the field sees before and after what a candidate can be part of: three words of context, and one token outside.
+BEFORE, AFTER = LONGEST + 3, LONGEST + 1
 _TOKEN = re.compile(r"[^\W0-9_]+|[0-9]+|[^\w\s]|_")
-#: Three digits, or digits that go on after signs, blanks or a spelled-out dot; "at" and "dot" as words.
-_TRIGGER = re.compile(r"[0-9]{3}|[0-9](?=(?:[^\w]|_){1,4}[0-9]|[^\w]{1,3}(?:dot|DOT)\b)|\b(?:at|AT|DOT|dot)\b")
+#: What every candidate of digits lies in, but for signs before it, and the sign or word that every candidate of letters holds.
+_NUMBERS = re.compile(r"[0-9](?:[0-9\s+().\-/_\[\]]|dot|DOT)*+")
+_AT = re.compile(r"@|(?<![^\W0-9_])(?:at|AT)(?![^\W0-9_])")
+_DOT = re.compile(r"\.|dot|DOT")
 _CUES = {
     "phone": frozenset("phone tel telephone call mobile cell fax sms dial whatsapp".split()),
     "card": frozenset("card visa mastercard amex credit debit pay payment".split()),
@@ -98,7 +100,7 @@ _ATS, _DOTS = frozenset(("@", "at", "AT")), frozenset((".", "dot", "DOT"))
 #: What may stand between the digits of an entity.
 _JOINS = frozenset(("+", "(", ")", ".", "-", "/", "_", "[", "]", "dot", "DOT"))
 _SHAPE = str.maketrans("123456789", "000000000")
-#: Scores of shapes that a model remembers, and characters of a shape.
+#: Scores of shapes and features that a model remembers, and characters of a shape.
 REMEMBERED, SHAPE = 100_000, 64
 _TLD = frozenset("com org net edu gov io de fr es uk co info".split())
 
@@ -327,16 +329,16 @@ class SemiCrf:
         return out[::-1]
 
     def kinds(self, tokens: Tokens, i: int, j: int) -> tuple[float, ...]:
-        """Scores of the segment as each kind; those of shapes seen before are remembered."""
+        """Scores of the segment as each kind; those of shapes, or else of features, seen before are remembered."""
         shape = tokens.shape(i, j)
         if shape is not None and (found := self.known.get(shape)) is not None:
             return found
         feats = tokens.features(i, j)
-        found = tuple(self.score(kind, feats) for kind in KINDS)
-        if shape is not None:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[shape] = found
+        if (found := self.known.get(feats)) is None:
+            found = tuple(self.score(kind, feats) for kind in KINDS)
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
+        self.known[feats if shape is None else shape] = found
         return found
 
     def edge(self, kind: str) -> float:
@@ -454,40 +456,50 @@ def trained(sentences: int = 500, epochs: int = 4, seed: int = 7) -> SemiCrf:
     return model
 
 
-def added_spans(text: str, base: list[Span], model: SemiCrf) -> list[Span]:
-    """Entities of the field that overlap no base span."""
-    covered, last = [], -1
-    for a, b, _ in base:
-        if a <= last:
-            covered[-1] = (covered[-1][0], max(b, covered[-1][1]))
-        else:
-            covered.append((a, b))
-        last = covered[-1][1]
-    stretches: list[list[int]] = []
-    k = 0
-    for m in _TRIGGER.finditer(text):
-        while k < len(covered) and covered[k][1] <= m.start():
-            k += 1
-        if k < len(covered) and covered[k][0] < m.end():
+def _step(found: Iterator[re.Match], tokens: int, at: int) -> int:
+    """End of so many matches, or of all where there are fewer."""
+    for m, _ in zip(found, range(tokens), strict=False):
+        at = m.end()
+    return at
+
+
+def stretches(text: str) -> list[list[int]]:
+    """Parts of a text that hold all candidates of the field and what it looks at around them; they start and end with tokens.
+
+    Every candidate of digits lies in a run of digits, joins and blanks with four digits or more, every other one around an
+    "at" near a dot. From there a part goes on by tokens, however long these are, in both directions.
+    """
+    marks = [(*m.span(), False) for m in _NUMBERS.finditer(text) if m.end() - m.start() >= 4 and len(_digits(m.group())) >= 4]
+    marks += [(*m.span(), True) for m in _AT.finditer(text)]
+    if not marks:
+        return []
+    out: list[list[int]] = []
+    n, back = len(text), text[::-1]  # tokens read backwards are the same tokens
+    for start, end, spoken in sorted(marks):
+        a = n - _step(_TOKEN.finditer(back, n - start), BEFORE, n - start)
+        b = _step(_TOKEN.finditer(text, end), AFTER, end)
+        if spoken and not _DOT.search(text, a, b):
             continue
-        # not into a base span on either side, and on to white space, so that no token is cut
-        low = covered[k - 1][1] if k else 0
-        high = covered[k][0] if k < len(covered) else len(text)
-        a, b = max(low, m.start() - AROUND), min(high, m.end() + AROUND)
-        edge = max(low, a - AROUND)
-        while a > edge and not text[a - 1].isspace():
-            a -= 1
-        edge = min(high, b + AROUND)
-        while b < edge and not text[b].isspace():
-            b += 1
-        if stretches and a <= stretches[-1][1]:
-            stretches[-1][1] = max(b, stretches[-1][1])
+        if out and a <= out[-1][1]:
+            out[-1][0], out[-1][1] = min(a, out[-1][0]), max(b, out[-1][1])
         else:
-            stretches.append([a, b])
+            out.append([a, b])
+    return out
+
+
+def added_spans(text: str, base: list[Span], model: SemiCrf) -> list[Span]:
+    """Entities of the field between base spans: what it finds in each whole gap, looked for in the parts where anything can be."""
+    gaps, last = [], 0
+    for a, b, _ in base:
+        if a > last:
+            gaps.append((last, a))
+        last = max(last, b)
     out = []
-    for a, b in stretches:
-        tokens = Tokens(text, a, b)
-        out += [(tokens.spans[i][0], tokens.spans[j - 1][1], kind) for i, j, kind in model.entities(tokens)]
+    for low, high in [*gaps, (last, len(text))]:
+        gap = text[low:high]
+        for a, b in stretches(gap):
+            tokens = Tokens(gap, a, b)
+            out += [(low + tokens.spans[i][0], low + tokens.spans[j - 1][1], kind) for i, j, kind in model.entities(tokens)]
     return out
 
 

@@ -299,3 +299,39 @@ def test_lm_without_training_rows(spark):
     assert sorted(map(str, lm_score.lm_scores(clash).collect())) == sorted(map(str, lm_score.lm_scores(clash.select("doc_id", "text")).collect()))
     assert (row["n_known"], row["train_tokens"], row["base_score"]) == (0, 0, 0.0) and row["score"] == pytest.approx(-3 * math.log10(256), rel=1e-5)
     assert lm_score.lm_scores(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def whole_field(text, base, model):
+    """What the field finds in each whole gap between base spans."""
+    out, last = [], 0
+    for a, b, _ in [*base, (len(text), len(text), "")]:
+        if a > last:
+            tokens = pii.Tokens(text[last:a], 0, a - last)
+            out += [(last + tokens.spans[i][0], last + tokens.spans[j - 1][1], kind) for i, j, kind in model.entities(tokens)]
+        last = max(last, b)
+    return out
+
+
+PIECES = ["at", " at ", "@", ".", "dot", " dot ", "[at]", "(.)", "x" * 60, "word", "5", "555 ", "1234", "12.", "+", "(", ")", "-", "_", "/", " ", "\n", ",", ";", "phone ", "card", "com", "é", "at5", "4111 1111 1111 1111", "a@b.co", "10.0.0.1 ", "  ", "{", "}", "<", ">", "[", "]"]
+
+
+def test_the_field_sees_all_that_it_would_find(spark):
+    """Made texts and documents: what is found in parts of a text is what is found in the whole of it."""
+    model, rng = pii.trained(), random.Random(6)
+    made = ["".join(rng.choice(PIECES) for _ in range(rng.randint(1, 60))) for _ in range(10_000)]
+    docs = [r["text"] or "" for r in table(spark, "/root/testdata/sf0.01", "documents").select("text").collect()]
+    for text in made + docs:
+        base = pii.base_spans(text)
+        assert pii.added_spans(text, base, model) == whole_field(text, base, model), text[:200]
+
+
+def test_spelled_out_addresses_are_found_whole():
+    model = pii.trained()
+    for text, want in (
+        ("write to john @ example . com now", (9, 29)),
+        ("mail john@example . com now", (5, 23)),
+        ("contact john [@] example [.] com now", (8, 32)),
+        ("mail " + 100 * "a" + " at example dot com now", (5, 124)),
+    ):
+        spans = pii.all_spans(text, model)[1]
+        assert spans == [(*want, "email")] and pii.redacted(text, spans) == f"{text[: want[0]]}<EMAIL>{text[want[1] :]}"
