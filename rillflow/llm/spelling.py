@@ -25,6 +25,8 @@ from .common import arrow_pass, stored
 
 #: Code points from which on parts of words are named by hashes.
 LONG = 64
+#: Words that one task takes apart.
+TOGETHER = 1 << 16
 #: Words, and their bytes, whose counts a task holds before it hands them on.
 HELD, HELD_BYTES = 200_000, 32 << 20
 _MODULUS = (1 << 127) - 1
@@ -138,7 +140,9 @@ def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def neighbours(vocabulary: DataFrame) -> DataFrame:
     """(wid, n_near, best) of the words (wid, word, n) that have a neighbour; best is (-n, wid) of the most frequent, least in order."""
-    rows = stored(arrow_pass(vocabulary, _parted, "wid long, n long, place int, before string, after string, less string", 4096), "spell-parts")
+    # a word makes some ten rows: what is one small file is work for several tasks
+    dealt = vocabulary.repartition(-(-vocabulary.count() // TOGETHER) or 1, "wid")
+    rows = stored(arrow_pass(dealt, _parted, "wid long, n long, place int, before string, after string, less string", 4096), "spell-parts")
     group = W.partitionBy("place", "before", "after")
     best = group.orderBy(F.desc("n"), "wid").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     rank = lambda n, wid: F.struct((-F.col(n)).alias("less"), F.col(wid).alias("wid"))
