@@ -6,10 +6,11 @@ import atexit
 import os
 import shutil
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(app: str = "rillflow", cpus: int | None = None, partitions: int | None = None) -> SparkSession:
@@ -53,3 +54,10 @@ def ship_package(spark: SparkSession) -> None:
     context.addPyFile(f"{folder}/rillflow.zip")
     atexit.register(shutil.rmtree, folder, True)
     context._rillflow_shipped = True
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """df as a parquet table in the shared folder, read back: what follows is computed from it, and lost executors cost no more."""
+    path = f"{work_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
