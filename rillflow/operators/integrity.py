@@ -17,6 +17,19 @@ class GateError(RuntimeError):
         self.code = code
 
 
+def judged_readings(rows: DataFrame, series: Sequence[str], date: str, value: str, daily: str, fall: float = config.FALL_TOLERANCE, step: float = config.STEP_TOLERANCE) -> DataFrame:
+    """Each day's reading of a running total beside the one before: fell, and residual and broken where the step is of one day.
+
+    Days without a value are no readings; of several readings of a day the least (value, daily) counts. fell is null for the
+    first reading; residual and broken are null where the day's own figure is missing or the step is longer.
+    """
+    day = rows.where(F.col(value).isNotNull() & F.col(date).isNotNull()).groupBy(*series, date).agg(F.min(F.struct(F.col(value).cast("double").alias("v"), F.col(daily).cast("double").alias("d"))).alias("__r"))
+    w = W.partitionBy(*series).orderBy(date)
+    before, gap = F.lag("__r.v").over(w), F.datediff(F.col(date), F.lag(date).over(w))
+    residual = F.when(gap == 1, F.abs((F.col("__r.v") - before) - F.col("__r.d")))
+    return day.select(*series, date, F.col("__r.v").alias(value), (F.col("__r.v") < before - fall).alias("fell"), residual.alias("residual"), (residual > step).alias("broken"))
+
+
 def monotonicity(rows: DataFrame, series: Sequence[str], order: Sequence[str], value: str, tolerance: float = config.FALL_TOLERANCE) -> DataFrame:
     """One row: steps (the first of each series counts), falls beyond the tolerance, and the largest fall of any size."""
     before = F.lag(value).over(W.partitionBy(*series).orderBy(*order))

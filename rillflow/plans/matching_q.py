@@ -279,19 +279,19 @@ def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily counts by kind from a stream in complete mode: the same rows as a batch."""
-    return daily.drain(daily.daily_counts(_events_stream(spark, sf_dir), "ts", "1 day", "event_type"), f"rillflow_daily_{uuid.uuid4().hex}")
+    return daily.landed(daily.daily_counts(_events_stream(spark, sf_dir), "ts", "1 day", "event_type"), f"{work_dir(spark)}/daily-{uuid.uuid4().hex}", "complete")
 
 
 def stream_daily_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event once from a stream that repeats all of them."""
     events = _events_stream(spark, sf_dir).select("event_id", "ts", "user_id")
-    return daily.drain(daily.first_seen(events.unionByName(events), "ts", "40 days", "event_id"), f"rillflow_dedup_{uuid.uuid4().hex}", "append").select("event_id", "user_id")
+    return daily.landed(daily.first_seen(events.unionByName(events), "ts", "40 days", "event_id"), f"{work_dir(spark)}/dedup-{uuid.uuid4().hex}").select("event_id", "user_id")
 
 
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions of each user, closed by six hours without an event, from a stream in complete mode."""
     found = daily.sessions(_events_stream(spark, sf_dir).where("ts is not null"), "ts", "6 hours", "1 day", "user_id")
-    return daily.drain(found, f"rillflow_sessions_{uuid.uuid4().hex}").select("user_id", F.unix_micros("started").alias("started_micros"), "n")
+    return daily.landed(found, f"{work_dir(spark)}/sessions-{uuid.uuid4().hex}", "complete").select("user_id", F.unix_micros("started").alias("started_micros"), "n")
 
 
 def first_of_key(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 #: Modules with QUERIES (name -> function) and ORACLES (name -> SQL).
-MODULES: tuple[str, ...] = ("seasons_q", "capacity_q", "model_q", "matching_q", "audit_q", "files_q", "formats_q", "places_q")
+MODULES: tuple[str, ...] = ("seasons_q", "capacity_q", "model_q", "matching_q", "audit_q", "files_q", "formats_q", "places_q", "streams_q")
 
 
 def _merged(attribute: str) -> dict:

@@ -28,7 +28,7 @@ def sessions(events: DataFrame, time: str, gap: str, late: str, *keys: str) -> D
 
 
 def drain(stream: DataFrame, name: str, mode: str = "complete", checkpoint: str | None = None) -> DataFrame:
-    """Runs a stream over what is there now and returns its memory table; for tests and small results."""
+    """Runs a stream over what is there now and returns its memory table, which the driver holds: for tests. Jobs use landed()."""
     writer = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True)
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
@@ -37,6 +37,28 @@ def drain(stream: DataFrame, name: str, mode: str = "complete", checkpoint: str
     return stream.sparkSession.table(name)
 
 
+def landed(stream: DataFrame, path: str, mode: str = "append", checkpoint: str | None = None) -> DataFrame:
+    """Runs a stream over what is there now into a folder, each batch to a part of its own, and returns the rows that hold.
+
+    mode append: the rows of all batches; complete: those of the last. A batch that is run again replaces its part. Nothing
+    passes through the driver.
+    """
+    spark = stream.sparkSession
+
+    def step(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    stream.writeStream.outputMode(mode).foreachBatch(step).option("checkpointLocation", checkpoint or f"{path}-checkpoint").trigger(availableNow=True).start().awaitTermination()
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    numbers = [int(f.getPath().getName().removeprefix("batch=")) for f in files.listStatus(at)] if files.exists(at) else []
+    if not numbers:
+        return spark.createDataFrame([], stream.schema)
+    if mode == "complete":
+        return spark.read.schema(stream.schema).parquet(f"{path}/batch={max(numbers)}")
+    return spark.read.schema(f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in stream.schema)}, batch long").parquet(path)
+
+
 def gated(stream: DataFrame, gate: Callable[[DataFrame], tuple[DataFrame, DataFrame]], accept: Callable[[DataFrame, int], None], reject: Callable[[DataFrame, int], None], checkpoint: str):
     """Each batch is split by the gate into rows to accept and rows to reject; both are written, none is dropped."""
 
