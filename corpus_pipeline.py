@@ -24,16 +24,19 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, the one with the least id; documents without an id stay."""
+    """One document of each group of near duplicates, the one with the least id; documents without an id stay.
+
+    Rows that repeat an id are one group, and the least by text, language, source and size of it stays.
+    """
     judged = near_dup.near_duplicates(docs, shingle=SHINGLE, percent=PERCENT)
     gone = judged.where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
     left = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti").select(*COLUMNS)
     twice = stored(docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("__twice")).agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "pipeline-twice")
     if not twice.limit(1).count():
         return left
-    # rows that repeat an id are one group
     again = left.join(twice, F.col("doc_id") == F.col("__twice"), "left_semi")
-    return left.join(twice, F.col("doc_id") == F.col("__twice"), "left_anti").unionByName(again.dropDuplicates(["doc_id"]))
+    least = again.groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("least")).select("doc_id", "least.*")
+    return left.join(twice, F.col("doc_id") == F.col("__twice"), "left_anti").unionByName(least)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
