@@ -114,7 +114,8 @@ def fit(rows: list[tuple[np.ndarray, int]], *, terms: int = 4096, rank: int = 8,
 def training_rows(docs: DataFrame, labels: DataFrame, *, doc_id: str, text: str, label: str, bound: int) -> list[tuple[np.ndarray, int]]:
     """Distinct buckets and label of at most `bound` labelled documents, those with the least md5 of the id.
 
-    The sample's ids are bounded by `bound`, and so is what is broadcast; texts are turned to buckets where they lie.
+    The sample's ids are bounded by `bound`, and so is what is broadcast. Of several texts of an id the one with the least md5
+    teaches, so that the rows that come to the driver are bounded too.
     """
     usable = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("__id")).agg(F.max(label).cast("int").alias("__label"))
     chosen = stored(usable.where(F.pmod(crc_of_id(F.col("__id")), F.lit(4)) != 2).orderBy(F.md5(F.col("__id").cast("string")), "__id").limit(bound), "toxic-sample")
@@ -124,7 +125,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, *, doc_id: str, text: str,
             out = [sorted({b for w in text_words(t) for b in word_buckets(w)}) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int32()))], names=["id", "label", "at"])
 
-    near = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(chosen), "__id").select("__id", "__label", "__text")
+    all_near = docs.select(F.col(doc_id).alias("__id"), F.col(text).alias("__text")).join(F.broadcast(chosen), "__id")
+    near = all_near.groupBy("__id", "__label").agg(F.min_by("__text", F.md5("__text")).alias("__text"))
     found = arrow_pass(near, buckets, f"id {dict(near.dtypes)['__id']}, label int, at array<int>").toArrow()
     rows = sorted(zip(found["id"].to_pylist(), found["label"].to_pylist(), (np.asarray(x.values, np.int64) for x in found["at"]), strict=True), key=lambda r: (r[0], r[1], len(r[2])))
     return [(at, y) for _, y, at in rows]

@@ -70,6 +70,14 @@ def test_toxicity_of_odd_rows(spark, odd):
     assert toxicity.toxicity(odd.limit(0), labels.limit(0)).count() == 0
 
 
+def test_the_bound_bounds_rows_where_ids_repeat(spark):
+    docs = spark.range(4000).selectExpr("id % 50 AS doc_id", "concat('word', id, ' more') AS text")
+    labels = spark.range(50).selectExpr("id AS doc_id", "int(id % 2) AS toxic")
+    rows = toxicity.training_rows(docs, labels, doc_id="doc_id", text="text", label="toxic", bound=12)
+    again = toxicity.training_rows(docs.repartition(7), labels, doc_id="doc_id", text="text", label="toxic", bound=12)
+    assert len(rows) == 12 and [(at.tolist(), y) for at, y in rows] == [(at.tolist(), y) for at, y in again]
+
+
 def plain_spans(text):
     out = []
     patterns = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))

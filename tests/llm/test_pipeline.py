@@ -74,3 +74,13 @@ def test_nothing_passes_through(spark, sf):
         docs = stage(spark, docs, sf)
         if "text" in docs.columns:
             assert docs.count() == 0
+
+
+def test_the_least_of_rows_that_repeat_an_id_stays(spark, sf):
+    """Not whichever comes first: reruns over other partitions keep the same text."""
+    line = " ".join(f"word{k}" for k in range(40))
+    rows = [(1, f"{line} {k} {'x ' * k}", "en", None if k == 3 else "s", k) for k in range(9)] + [(2, line[::-1], "en", "s", 1)]
+    keep = dict(corpus_pipeline.STAGES)["near duplicates"]
+    for parts in (1, 5):
+        got = {r["doc_id"]: r["text"] for r in keep(spark, spark.createDataFrame(rows, SCHEMA).repartition(parts), sf).collect()}
+        assert got == {1: min(r[1] for r in rows[:9]), 2: line[::-1]}
