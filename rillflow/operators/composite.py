@@ -8,14 +8,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from rillflow import config
-from rillflow.functions.numeric import composite, entropy, percent_rank_average, two_way_variance
+from rillflow.functions.numeric import composite, entropy, two_way_variance
+from rillflow.operators import order
 
 #: Limits of the verdict ladder.
 RECONCILIATION_MAX, ABSENT_MAX_IQR, WEAK_MAX_IQR, SINGLE_MAX = 0.05, 0.05, 0.15, 0.70
 
 
-def components(units: DataFrame, group: str, sources: Sequence[str], irrigated: str, rainfed: str, area: str, unreliable: Sequence = ()) -> DataFrame:
-    """units with c_diversity, c_source, c_size; each in [0, 1] or unknown.
+def components(units: DataFrame, key: str, group: str, sources: Sequence[str], irrigated: str, rainfed: str, area: str, unreliable: Sequence = ()) -> DataFrame:
+    """units, told apart by key, with c_diversity, c_source, c_size; each in [0, 1] or unknown.
 
     Negative areas are unknown. c_diversity: 4p(1-p) of the rainfed share, over the aggregate irrigated area. c_source:
     entropy of the sources over ln of their number; 0 for wholly rainfed units; null without any source, and in groups whose
@@ -25,7 +26,8 @@ def components(units: DataFrame, group: str, sources: Sequence[str], irrigated:
     listed = [positive[c] for c in sources]
     mix = F.when(F.coalesce(*listed).isNull(), F.lit(None).cast("double")).otherwise(F.coalesce(entropy(listed) / math.log(len(sources)), F.lit(0.0)))
     known = ~F.col(group).isin(*unreliable) if unreliable else F.lit(True)
-    return units.withColumn("c_diversity", two_way_variance(positive[rainfed], positive[irrigated])).withColumn("c_source", F.when(known, mix)).withColumn("c_size", percent_rank_average(F.col(area), group))
+    told = units.withColumn("c_diversity", two_way_variance(positive[rainfed], positive[irrigated])).withColumn("c_source", F.when(known, mix))
+    return order.percent_ranks(told, [group], area, "c_size", key)
 
 
 def index_of(weights: Mapping[str, float] = config.INDEX_WEIGHTS) -> Column:
@@ -47,10 +49,10 @@ def integrity_mask(sown: Column, irrigated: Column, rainfed: Column, area: Colum
     return out
 
 
-def top_decile(index: Column, covered: Column, *partition: str) -> Column:
-    """1 in the top decile of its group, 0 below, null outside the coverage or without an index."""
-    rank = percent_rank_average(index, *partition)
-    return F.when(covered & index.isNotNull(), (rank >= config.TOP_DECILE).cast("int"))
+def top_decile(units: DataFrame, key: str, group: Sequence[str], index: str, covered: Column, top: str = "top") -> DataFrame:
+    """units with `top`: 1 in the top decile of its group, 0 below, null outside the coverage or without an index."""
+    ranked = order.percent_ranks(units.withColumn("__covered", covered), group, index, "__decile", key)
+    return ranked.withColumn(top, F.when(F.col("__covered") & F.col(index).isNotNull(), (F.col("__decile") >= config.TOP_DECILE).cast("int"))).drop("__covered", "__decile")
 
 
 def verdict(n_rows: Column, n_defined: Column, failing: Column, iqr: Column, single: Column, least_rows: int = 0) -> Column:
@@ -101,6 +103,6 @@ def sensitivity(units: DataFrame, key: str, schemes: Mapping[str, Mapping[str, f
     options = F.array(*(F.struct(F.lit(n).alias("scheme"), index_of(w).alias("alt")) for n, w in schemes.items()))
     # to twelve places: values that are equal but for the order of addition are ties
     long = units.select(key, F.round(index_of(base), 12).alias("base"), F.explode(options).alias("o")).select(key, "base", "o.scheme", F.round("o.alt", 12).alias("alt")).where("base is not null and alt is not null")
-    ranked = long.select("scheme", percent_rank_average(F.col("base"), "scheme").alias("rb"), percent_rank_average(F.col("alt"), "scheme").alias("ra"))
+    ranked = order.percent_ranks(order.percent_ranks(long, ["scheme"], "base", "rb", key), ["scheme"], "alt", "ra", key)
     top_base, top_alt = F.col("rb") >= config.TOP_DECILE, F.col("ra") >= config.TOP_DECILE
     return ranked.groupBy("scheme").agg(F.corr("rb", "ra").alias("spearman"), (F.count_if(top_base & ~top_alt) / F.nullif(F.count_if(top_base), F.lit(0))).alias("decile_churn"))

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rillflow.functions import numeric, text
-from rillflow.operators import composite, geo, integrity, matching, model
+from rillflow.operators import composite, geo, integrity, matching, model, order
 from rillflow.plans.facts import FACT, fact
 from rillflow.session import work_dir
 from rillflow.sources import daily as sources, layouts
@@ -140,7 +140,7 @@ def diversity_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return composite.components(_units(spark, sf_dir), "c_nationkey", [f"s{k}" for k in range(5)], "irr", "rest", "c_acctbal", (3, 7))
+    return composite.components(_units(spark, sf_dir), "c_custkey", "c_nationkey", [f"s{k}" for k in range(5)], "irr", "rest", "c_acctbal", (3, 7))
 
 
 def composite_index(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,21 +154,22 @@ def index_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _components(spark, sf_dir).withColumn("index", composite.index_of())
     kind = composite.status(F.col("index"), F.col("c_source"), F.col("c_diversity"), F.col("c_nationkey").isin(3, 7), F.col("irr").isNull())
     mask = composite.integrity_mask((F.col("irr") + F.col("rest")), F.col("irr"), F.col("rest"), F.col("c_acctbal"))
-    return c.select("c_custkey", kind.alias("status"), mask.alias("integrity_fail"), composite.top_decile(F.col("c_size"), F.col("c_nationkey") < 20, "c_nationkey").alias("top"))
+    told = c.select("c_custkey", "c_nationkey", "c_size", kind.alias("status"), mask.alias("integrity_fail"))
+    return composite.top_decile(told, "c_custkey", ["c_nationkey"], "c_size", F.col("c_nationkey") < 20).select("c_custkey", "status", "integrity_fail", "top")
 
 
 def pct_rank_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Percent rank with averaged ties, nulls kept."""
     e = table(spark, sf_dir, "events").select("event_id", "user_id", F.when(F.col("event_type") != "error", F.floor("value")).alias("v"))
-    return e.select("event_id", numeric.percent_rank_average(F.col("v"), "user_id").alias("rank"))
+    return order.percent_ranks(e, ["user_id"], "v", "rank", "event_id").select("event_id", "rank")
 
 
 def verdict_ladder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A verdict per nation from one aggregation."""
+    """A verdict per nation from one aggregation and exact quartiles."""
     u = _units(spark, sf_dir).withColumn("p", F.when(F.col("irr") + F.col("rest") > 0, F.col("rest") / (F.col("irr") + F.col("rest"))))
-    a = u.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"), F.count("p").alias("n_defined"), F.percentile("p", F.array(F.lit(0.25), F.lit(0.75))).alias("q"), (F.count_if(F.col("p") >= 0.95) / F.count("p")).alias("single"), (F.count_if(F.col("s0") > 3) / F.count(F.lit(1))).alias("failing"))
-    iqr = F.get("q", F.lit(1)) - F.get("q", F.lit(0))
-    return a.select("c_nationkey", "n", composite.verdict(F.col("n"), F.col("n_defined"), F.col("failing"), iqr, F.col("single"), 5).alias("verdict"))
+    a = u.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"), F.count("p").alias("n_defined"), (F.count_if(F.col("p") >= 0.95) / F.count("p")).alias("single"), (F.count_if(F.col("s0") > 3) / F.count(F.lit(1))).alias("failing"))
+    q = order.quantiles(u, ["c_nationkey"], "p", {"low": 0.25, "high": 0.75})
+    return a.join(q, "c_nationkey", "left").select("c_nationkey", "n", composite.verdict(F.col("n"), F.col("n_defined"), F.col("failing"), F.col("high") - F.col("low"), F.col("single"), 5).alias("verdict"))
 
 
 def spearman(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from rillflow.functions import numeric, seasons, text
-from rillflow.operators import integrity, model
+from rillflow.operators import integrity, model, order
 from rillflow.plans.facts import FACT, fact
 from rillflow.plans.seasons_q import _DAILY, _daily
 from rillflow.sources.daily import union_by_name
@@ -139,8 +139,8 @@ def weighted_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def iqr_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quantiles with linear interpolation, and the interquartile range."""
-    line = table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(F.percentile("l_quantity", F.array(*(F.lit(q) for q in (0.05, 0.25, 0.5, 0.75, 0.95)))).alias("q"))
-    return line.select("l_returnflag", *(F.get("q", F.lit(k)).alias(n) for k, n in enumerate(("p5", "p25", "p50", "p75", "p95"))), (F.get("q", F.lit(3)) - F.get("q", F.lit(1))).alias("iqr"))
+    found = order.quantiles(table(spark, sf_dir, "lineitem").select("l_returnflag", "l_quantity"), ["l_returnflag"], "l_quantity", {"p5": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95})
+    return found.withColumn("iqr", F.col("p75") - F.col("p25"))
 
 
 def hist20(spark: SparkSession, sf_dir: str) -> DataFrame:

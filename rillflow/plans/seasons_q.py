@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rillflow.functions import numeric, seasons
-from rillflow.operators import baseline, crossover, document
+from rillflow.operators import baseline, crossover, document, order
 from rillflow.plans.facts import FACT, TARGET, TO_DATE, fact
 
 EPS = 0.25  # of a nation's orders in the window; shares of real capacities are far closer
@@ -136,7 +136,7 @@ def quadrant_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upper_median_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The upper median deviation of a region's nations."""
-    return _deviation(spark, sf_dir).where("rain is not null").groupBy("region").agg(numeric.upper_median(F.col("rain")).alias("median_rain"), F.count(F.lit(1)).alias("n"))
+    return order.upper_medians(_deviation(spark, sf_dir), ["region"], "rain", "median_rain")
 
 
 def facet_order(spark: SparkSession, sf_dir: str) -> DataFrame:
