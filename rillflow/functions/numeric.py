@@ -59,6 +59,11 @@ def band_holds(value: Column, flags: list[tuple[float, float, Column]]) -> Colum
     return F.when(value.isNull(), F.lit(None).cast("boolean")).when(F.size(flagged) != 1, (F.size(flagged) == 0) & (value == 0)).otherwise(holds)
 
 
+def total_holds(total: Column, part: Column, tolerance: float = 0.001) -> Column:
+    """Whether a running total is no less than one of its parts, but for rounding; null where either is."""
+    return total >= part - tolerance
+
+
 def class_of_value(value: Column, breaks: list[float]) -> Column:
     """Index of the first break above the value; beyond the last one len(breaks); null stays null."""
     out = F.when(value.isNull(), F.lit(None).cast("int"))

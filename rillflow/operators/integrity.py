@@ -76,6 +76,23 @@ def reconcile(parts: DataFrame, printed: DataFrame, entity: str, columns: Sequen
     return joined.select("n_parts", F.col(f"g.{count}").alias("n_printed"), *(r.alias(f"residual_{c}") for r, c in zip(residual, columns, strict=True)), ok.alias("ok"))
 
 
+def reconcile_days(parts: DataFrame, printed: DataFrame, date: str, entity: str, columns: Sequence[str], label: str, count: str, tolerance: float | None = None) -> DataFrame:
+    """reconcile() for each day of the parts: (date, n_parts, n_printed, residual_*, ok).
+
+    ok is false where the day has no printed total, or one of its figures is missing: a day that can't be checked doesn't pass.
+    """
+    total = printed.where(F.lower(F.trim(F.col(label))) == "total")
+    grand = total.groupBy(F.col(date).alias("__day")).agg(F.max_by(F.struct(F.col(count).alias("n"), *(F.col(c).alias(f"c{k}") for k, c in enumerate(columns))), F.struct(count, *columns)).alias("g"))
+    sums = parts.groupBy(date).agg(F.count_distinct(entity).alias("n_parts"), *(F.sum(c).alias(f"__sum{k}") for k, c in enumerate(columns)))
+    joined = sums.join(grand, F.col(date) == F.col("__day"), "left")
+    allowed = F.lit(tolerance) if tolerance is not None else F.col("n_parts") * 2 * config.ROUNDING
+    residual = [F.abs(F.col(f"__sum{k}") - F.col(f"g.c{k}")) for k in range(len(columns))]
+    ok = F.coalesce(F.col("n_parts") == F.col("g.n"), F.lit(False))
+    for r in residual:
+        ok = ok & F.coalesce(r <= allowed, F.lit(False))
+    return joined.select(date, "n_parts", F.col("g.n").alias("n_printed"), *(r.alias(f"residual_{c}") for r, c in zip(residual, columns, strict=True)), ok.alias("ok"))
+
+
 def outside_vocabulary(rows: DataFrame, column: str, vocabulary: Sequence[str]) -> DataFrame:
     """Values outside a closed vocabulary, with counts; null is outside."""
     return rows.where(~F.coalesce(F.col(column).isin(*vocabulary), F.lit(False))).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
@@ -106,6 +123,18 @@ def verify_days(rows: DataFrame, date: str, entity: str, expected: int, vocabula
     return counts.select(date, F.array_compact(F.array(*found)).alias("problems"))
 
 
+def add_problems(verdicts: DataFrame, date: str, *more: DataFrame) -> DataFrame:
+    """verify_days() verdicts with further problems (date, check, summary), after its own and in the order given; days without
+    a verdict get one."""
+    out = verdicts
+    for found in more:
+        extra = found.groupBy(F.col(date).alias("__day")).agg(F.array_sort(F.collect_set(F.struct("check", "summary"))).alias("__more"))
+        both = out.join(extra, F.col(date) == F.col("__day"), "full_outer")
+        none = F.array().cast("array<struct<check:string,summary:string>>")
+        out = both.select(F.coalesce(date, "__day").alias(date), F.concat(F.coalesce("problems", none), F.coalesce("__more", none)).alias("problems"))
+    return out
+
+
 def quarantine(rows: DataFrame, verdicts: DataFrame, date: str) -> tuple[DataFrame, DataFrame]:
     """Rows of days without problems, and the others."""
     good = verdicts.where(F.size("problems") == 0).select(date)

@@ -66,6 +66,25 @@ def days_of_water(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("c_custkey", micro(numeric.days_of_water(F.col("c_acctbal"), flow)).alias("days_micro"), (F.floor(F.col("c_acctbal") / numeric.at_least_one(F.col("c_custkey") % 3))).cast("long").alias("share"))
 
 
+def total_below_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rain rows made of order lines whose running total is below the day's own figure, with the reason."""
+    line = table(spark, sf_dir, "lineitem")
+    rain = line.select(F.to_date("l_shipdate").alias("report_date"), F.col("l_orderkey").alias("scheme_id"), F.when(F.col("l_linenumber") < 6, F.floor("l_quantity").cast("int")).alias("cumm_rainfall_mm"), (F.col("l_linenumber") * 5).cast("int").alias("rain_last_24h_mm"))
+    return reservoirs.rain_failures(rain)
+
+
+def day_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of each day against totals printed for it: some without one, some off by more than rounding can make."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").cast("decimal(18,2)").alias("price"), F.lit(1).alias("one"))
+    k = F.dayofmonth("day")
+    sums = o.groupBy("day").agg(F.count_distinct("o_orderkey").alias("n"), F.sum("price").alias("price"), F.sum("one").alias("one"))
+    printed = sums.where(k % 7 != 0).select("day", F.when(k % 2 == 0, " TOTAL ").otherwise("Total").alias("label"), (F.col("n") + (k % 11 == 0).cast("int")).alias("n"), (F.col("price") + F.when(k % 5 == 0, 1000).otherwise(0)).alias("price"), F.col("one"))
+    part = printed.withColumn("label", F.lit("a part")).withColumn("n", F.col("n") + 1)
+    smaller = printed.withColumn("n", F.lit(0).cast("long")).withColumn("price", F.lit(-1).cast("decimal(18,2)"))
+    found = integrity.reconcile_days(o, printed.unionByName(part).unionByName(smaller), "day", "o_orderkey", ["price", "one"], "label", "n")
+    return found.select("day", "n_parts", "n_printed", F.col("residual_price").cast("double").alias("residual_price"), "ok")
+
+
 def date_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether a document's own date line names the day that was asked for."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"))
@@ -271,7 +290,7 @@ def bound_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        same_calendar_date_report, live_capacity_report, days_of_water, date_agreement, contradicted_days, label_regression, outside_box, crosswalk_totality, id_cross_check, parent_districts, canonical_names, key_parts, header_kinds, group_moments, children_json, string_date_window,
+        total_below_part, day_reconciliation, same_calendar_date_report, live_capacity_report, days_of_water, date_agreement, contradicted_days, label_regression, outside_box, crosswalk_totality, id_cross_check, parent_districts, canonical_names, key_parts, header_kinds, group_moments, children_json, string_date_window,
         fallback_tables, quarantined_days, gate_verdicts, parse_work_list, confirmed_flips, checked_join, appended_log, bound_parameters,
     )
 }
@@ -289,6 +308,11 @@ _HELD = f"""{FACT}, s AS (SELECT * FROM fact WHERE EXTRACT(month FROM d) BETWEEN
    FROM t LEFT JOIN (SELECT p.*, COALESCE(t2.live <> 0 AND abs(p.live - t2.live) / abs(t2.live) <= {EPS}, FALSE) AS ok FROM p JOIN t t2 ON t2.region = p.region WHERE p.live_pct IS NOT NULL) q ON q.region = t.region GROUP BY 1, 2)"""
 _PARENT = "CASE f " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in names.PARENT_DISTRICTS.items()) + " ELSE f END"
 ORACLES = {
+    "total_below_part": """WITH r AS (SELECT CAST(l_shipdate AS DATE) AS report_date, l_orderkey AS scheme_id, CASE WHEN l_linenumber < 6 THEN CAST(floor(l_quantity) AS INT) END AS c, CAST(l_linenumber * 5 AS INT) AS d FROM lineitem)
+ SELECT report_date, scheme_id, 'cumulative rainfall ' || CAST(c AS VARCHAR) || ' is less than the 24-hour figure ' || CAST(d AS VARCHAR) AS reason FROM r WHERE c < d - CAST(0.001 AS DOUBLE)""",
+    "day_reconciliation": """WITH s AS (SELECT CAST(o_orderdate AS DATE) AS day, count(DISTINCT o_orderkey) AS n, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS price FROM orders GROUP BY 1),
+ p AS (SELECT *, day(day) AS k FROM s), q AS (SELECT *, CASE WHEN k % 7 <> 0 THEN n + CASE WHEN k % 11 = 0 THEN 1 ELSE 0 END END AS n_printed, CASE WHEN k % 7 <> 0 THEN CAST(CASE WHEN k % 5 = 0 THEN 1000 ELSE 0 END AS DOUBLE) END AS residual_price FROM p)
+ SELECT day, n AS n_parts, n_printed, residual_price, COALESCE(n = n_printed AND residual_price <= n * 2 * CAST(0.005 AS DOUBLE), FALSE) AS ok FROM q""",
     "same_calendar_date_report": f"""WITH {_HELD}, e AS (SELECT *, gross_pct - mean AS dev, CASE WHEN n_used > 0 THEN greatest(-(gross_pct - mean) / 100 * gross, 0) END AS short FROM g)
  SELECT region, {_MICRO('gross_pct')} AS pct_micro, {_MICRO('mean')} AS mean_micro, {_MICRO('dev')} AS deviation_micro, n_used, years_used, n_used = 0 AS orphan, {_MICRO('short')} AS short_micro, CASE WHEN short > 0 THEN CAST(round(round(n_live / short, 2) * 100) AS BIGINT) END AS coverage_pct FROM e""",
     "live_capacity_report": f"""WITH {_HELD}, b AS (SELECT g.region, g.gross_pct - g.mean AS gd, l.live_pct - l.mean AS ld, l.n_used AS n_live_years FROM g JOIN l ON l.region = g.region), w AS (SELECT count(*) = count(ld) AS every FROM b)

@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from rillflow import config
 from rillflow.functions import names, numeric, seasons, text
 from rillflow.operators import baseline, capacity, crossover, document, integrity, model
+from rillflow.session import written
 from rillflow.sources import daily, layouts
 
-#: Columns of the detail statement, in the order of the wide layout; the narrow one lacks taluka.
+#: Columns of the detail statement, in the order of the wide layout; the narrow one lacks taluka.
 DETAIL = (
     "sr_no", "scheme_id", "district", "taluka", "scheme_name", "region", "dam_type", "osl_m", "frl_m", "pwl_m", "design_gross_mcm", "design_live_mcm", "design_dead_mcm", "present_gross_mcm", "present_live_mcm", "present_dead_mcm",
     "pct_filling_src", "rf", "crf", "warning", "inflow_cusecs", "outflow_river_cusecs", "outflow_canal_cusecs", "location_id",
@@ -131,20 +132,48 @@ def _target(storage: DataFrame, date: str | None) -> str:
     return date
 
 
+def season_release(storage: DataFrame, target: Column) -> DataFrame:
+    """(scheme_id, release_mcm): what left a scheme in the target's season up to the day, each report's flow for one day;
+    unknown flows count as 0, and only here."""
+    rows = storage.where(seasons.season_to_date(F.col("report_date"), target) & (F.year("report_date") == F.year(target)))
+    flow = F.coalesce("outflow_river_cusecs", F.lit(0.0)) + F.coalesce("outflow_canal_cusecs", F.lit(0.0))
+    return rows.groupBy("scheme_id").agg((F.sum(flow) * config.CUSEC_DAY_MCM_INTEGRAL).alias("release_mcm"))
+
+
 def report_deviation(storage: DataFrame, season_capacity: DataFrame, date: str | None = None, *, top: int = 20, eps: float = config.CAPACITY_EPS) -> dict[str, DataFrame]:
-    """today (each scheme beside its comparable years), worst (ranked), orphans, regions and state on the day."""
+    """today (each scheme beside its comparable years, gross and live), worst (ranked), orphans, regions and state on the day.
+
+    Live deviations have a like-for-like test on live capacities of their own. worst is ranked by them where every scheme has
+    one, else by gross ones; its column ranked_by says which. A shortfall is of live capacity where that and the live deviation
+    are known, and release_covers the share of it that the season's release makes up.
+    """
     day = _target(storage, date)
     target = F.lit(day).cast("date")
-    caps = season_capacity.select("scheme_id", "season", "season_capacity_mcm", (F.col("capacity_class") == "mid_season").alias("mid"))
-    rows = storage.withColumn("season", F.year("report_date")).join(caps, ["scheme_id", "season"], "left")
+    live = ["season_live_capacity_mcm", "live_capacity_class"]
+    have = [c for c in live if c in season_capacity.columns]
+    caps = season_capacity.select("scheme_id", "season", "season_capacity_mcm", (F.col("capacity_class") == "mid_season").alias("mid"), *have)
+    for c in live:
+        if c not in have:
+            caps = caps.withColumn(c, F.lit(None).cast("double" if c.endswith("mcm") else "string"))
+    caps = caps.withColumn("live_mid", F.coalesce(F.col("live_capacity_class") == "mid_season", F.lit(False)))
+    rows = storage.withColumn("season", F.year("report_date")).withColumn("live_pct", numeric.percent(F.col("present_live_mcm"), F.col("design_live_mcm"))).join(caps, ["scheme_id", "season"], "left")
     today = rows.where(F.col("report_date") == target)
-    prior = rows.where(seasons.same_calendar_date(F.col("report_date"), target) & F.col("pct_filling").isNotNull())
-    marked = baseline.comparable(prior.select("scheme_id", "season", "season_capacity_mcm", "pct_filling", "mid"), today.select("scheme_id", "season_capacity_mcm"), "scheme_id", "season_capacity_mcm", "mid", eps)
-    out = baseline.deviations(today.select("scheme_id", "scheme_name", "district", "region", "season_capacity_mcm", "pct_filling", "days_water_at_release"), baseline.baseline(marked, "scheme_id", "season", "pct_filling"), "scheme_id", "pct_filling")
-    out = out.withColumn("shortfall_mcm", baseline.shortfall(F.col("deviation"), F.col("season_capacity_mcm")))
+    prior = rows.where(seasons.same_calendar_date(F.col("report_date"), target))
+
+    def found(capacity: str, pct: str, mid: str) -> DataFrame:
+        marked = baseline.comparable(prior.where(F.col(pct).isNotNull()).select("scheme_id", "season", capacity, pct, mid), today.select("scheme_id", capacity), "scheme_id", capacity, mid, eps)
+        return baseline.baseline(marked, "scheme_id", "season", pct)
+
+    out = baseline.deviations(today.select("scheme_id", "scheme_name", "district", "region", "season_capacity_mcm", "pct_filling", "live_pct", "design_live_mcm", "days_water_at_release"), found("season_capacity_mcm", "pct_filling", "mid"), "scheme_id", "pct_filling")
+    alive = found("season_live_capacity_mcm", "live_pct", "live_mid").select("scheme_id", F.col("n_used").alias("live_years"), F.col("prior_mean").alias("live_mean"))
+    out = out.join(alive, "scheme_id", "left").withColumn("live_deviation", F.when(F.col("live_years") > 0, F.col("live_pct") - F.col("live_mean"))).drop("live_years", "live_mean")
+    gross_short, live_short = baseline.shortfall(F.col("deviation"), F.col("season_capacity_mcm")), baseline.shortfall(F.col("live_deviation"), F.col("design_live_mcm"))
+    out = out.withColumn("shortfall_mcm", gross_short).withColumn("live_shortfall_mcm", live_short).join(season_release(storage, target), "scheme_id", "left")
+    out = written(out.withColumn("release_covers", baseline.coverage(F.col("release_mcm"), F.col("live_shortfall_mcm"))), "deviation")
+    by = baseline.rank_column(out, "live_deviation", "deviation")
     region = today.groupBy("region").agg(F.count(F.lit(1)).alias("n"), numeric.percent(F.sum("present_gross_mcm"), F.sum("design_gross_mcm")).alias("pct"))
     years = rows.where((F.col("report_date") == target) | seasons.same_calendar_date(F.col("report_date"), target)).groupBy("season").agg(numeric.percent(F.sum("present_gross_mcm"), F.sum("design_gross_mcm")).alias("pct"), F.count(F.lit(1)).alias("n"))
-    return {"today": out, "worst": baseline.ranked(out, "deviation", "scheme_id", top), "orphans": out.where("orphan").select("scheme_id", "years_dropped"), "regions": region, "state": years}
+    return {"today": out, "worst": baseline.ranked(out, by, "scheme_id", top).withColumn("ranked_by", F.lit(by)), "orphans": out.where("orphan").select("scheme_id", "years_dropped"), "regions": region, "state": years}
 
 
 def _season_series(storage: DataFrame, season_capacity: DataFrame, target: Column, n_priors: int) -> DataFrame:
@@ -176,18 +205,56 @@ def build_view(star: Star, season_capacity: DataFrame, date: str | None = None,
     rain_now = star.storage.where(F.col("report_date") == target).select("scheme_id", "crf")
     rain_before = star.storage.where(seasons.same_calendar_date(F.col("report_date"), target)).groupBy("scheme_id").agg(F.avg("crf").alias("crf_mean"))
     schemes = report["today"].join(rain_now, "scheme_id").join(rain_before, "scheme_id", "left").withColumn("rain_dev_pct", baseline.proportional(F.col("crf"), F.col("crf_mean")))
-    schemes = schemes.withColumn("quadrant", numeric.quadrant(F.col("rain_dev_pct"), F.col("deviation"), config.RAIN_BAND, config.STORAGE_BAND))
+    schemes = schemes.withColumn("quadrant", numeric.quadrant(F.col("rain_dev_pct"), F.coalesce("live_deviation", "deviation"), config.RAIN_BAND, config.STORAGE_BAND))
     counts = schemes.groupBy("quadrant").agg(F.count(F.lit(1)).alias("n"))
     meta = star.storage.agg(F.struct(F.lit(day).alias("report_date"), F.count_distinct("report_date").alias("dates_loaded"), F.count_distinct("scheme_id").alias("n_schemes"), F.min("report_date").cast("string").alias("first"), F.max("report_date").cast("string").alias("last")).alias("meta"))
-    worst = report["worst"].select("deviation", "scheme_id", "scheme_name", "pct_filling", "prior_mean")
+    worst = report["worst"].select("deviation", "scheme_id", "scheme_name", "pct_filling", "prior_mean", "live_deviation", "ranked_by")
     volume = baseline.ranked(report["today"], "shortfall_mcm", "scheme_id", 10, largest=True).select("shortfall_mcm", "scheme_id", "scheme_name")
-    columns = ["scheme_id", "scheme_name", "region", "pct_filling", "deviation", "years_used", "years_dropped", "rain_dev_pct", "quadrant"]
+    columns = ["scheme_id", "scheme_name", "region", "pct_filling", "deviation", "years_used", "years_dropped", "rain_dev_pct", "quadrant", "live_pct", "live_deviation", "live_shortfall_mcm", "release_mcm", "release_covers", "days_water_at_release"]
     return document.to_document(("meta", meta), ("state", document.records(told(state), "region")), ("regions", document.records(told(series.select("region", "season", "dos", "pct")), "region")), ("deviation_pp", document.records(worst, "deviation", "scheme_id")), ("deviation_volume", document.records(volume, "shortfall_mcm", "scheme_id")), ("schemes", document.records(schemes.select(*columns), "scheme_id")), ("quadrants", document.records(counts, "quadrant")))
 
 
-def load_days(rows: DataFrame, path: str, *, expected: int = config.EXPECTED_ENTITIES) -> DataFrame:
-    """Verifies whole days and writes those without problems, replacing only them; returns all verdicts (date, problems)."""
-    verdicts = integrity.verify_days(rows, "report_date", "scheme_id", expected, {"warning": names.WARNINGS, "region": tuple(dict.fromkeys(names.REGIONS.values()))}).persist()
+#: Figures of the statement that the printed grand total repeats.
+RECONCILED = ("design_gross_mcm", "present_gross_mcm")
+
+
+def rain_failures(rain: DataFrame) -> DataFrame:
+    """(report_date, scheme_id, reason) of rain rows that contradict themselves: a running total below the day's own figure."""
+    holds = numeric.total_holds(F.col("cumm_rainfall_mm"), F.col("rain_last_24h_mm"))
+    reason = F.format_string("cumulative rainfall %s is less than the 24-hour figure %s", "cumm_rainfall_mm", "rain_last_24h_mm")
+    return rain.where(~holds).select("report_date", "scheme_id", reason.alias("reason"))
+
+
+def day_problems(rows: DataFrame, *, printed: DataFrame | None = None, documents: DataFrame | None = None, rain: DataFrame | None = None) -> list[DataFrame]:
+    """Problems (report_date, check, summary) of whole days beyond counts and vocabularies.
+
+    printed: (report_date, label, n_schemes, design_gross_mcm, present_gross_mcm), the abstract's rows, whose total the day's
+    rows must make. documents: (report_date, date_line), whose own date must be the day. rain: rows of the rain statement.
+    """
+    out = []
+    if printed is not None:
+        bad = integrity.reconcile_days(rows, printed, "report_date", "scheme_id", RECONCILED, "label", "n_schemes").where(~F.col("ok"))
+        why = F.when(F.col("n_printed").isNull(), "no total printed").otherwise(F.concat_ws(", ", F.format_string("%d of %d schemes", "n_parts", "n_printed"), *(F.format_string(f"{c} off by %.3f", f"residual_{c}") for c in RECONCILED)))
+        out.append(bad.select("report_date", F.lit("reconcile").alias("check"), why.alias("summary")))
+    if documents is not None:
+        status = integrity.date_agreement(F.col("report_date"), F.col("date_line"))
+        # a document without a readable date says nothing against the day
+        out.append(documents.where(status == "date_mismatch").select("report_date", F.lit("date").alias("check"), F.format_string("the document says %s", "date_line").alias("summary")))
+    if rain is not None:
+        out.append(rain_failures(rain).groupBy("report_date").agg(F.count(F.lit(1)).alias("n")).select("report_date", F.lit("rain").alias("check"), F.format_string("%d running totals below their day", "n").alias("summary")))
+    return out
+
+
+def load_days(rows: DataFrame, path: str, *, expected: int = config.EXPECTED_ENTITIES, printed: DataFrame | None = None, documents: DataFrame | None = None, rain: DataFrame | None = None, districts: DataFrame | None = None) -> DataFrame:
+    """Verifies whole days and writes those without problems, replacing only them; returns all verdicts (date, problems).
+
+    districts: (scheme_id, district) as they are to be; labels that drifted from them are put right before anything is judged.
+    The others are those of day_problems().
+    """
+    if districts is not None:
+        rows = integrity.canonical_labels(rows, districts, "scheme_id", "district").drop("repaired")
+    judged = integrity.verify_days(rows, "report_date", "scheme_id", expected, {"warning": names.WARNINGS, "region": tuple(dict.fromkeys(names.REGIONS.values()))})
+    verdicts = written(integrity.add_problems(judged, "report_date", *day_problems(rows, printed=printed, documents=documents, rain=rain)), "verdicts")
     good, _ = integrity.quarantine(rows, verdicts, "report_date")
     daily.write_days(good, path)
     return verdicts
@@ -208,11 +275,17 @@ def confirm_flip(storage: DataFrame, transitions: DataFrame, before: str, after:
     return both.select("scheme_id", (near("__b", "value_before") & near("__a", "value_after")).alias("flipped"))
 
 
-def update_day(spark: SparkSession, rows: DataFrame, path: str, *, rain: str = "", today: str, expected: int = config.EXPECTED_ENTITIES, max_stale_days: int = config.MAX_STALE_DAYS, acknowledged: DataFrame | None = None) -> Star:
-    """One day's rows in: verified, written, and the loaded data held to every gate. Raises (4) if the day fails."""
-    bad = load_days(rows, path, expected=expected).where(F.size("problems") > 0).select("report_date").limit(5).collect()
+def update_day(spark: SparkSession, rows: DataFrame, path: str, *, rain: str = "", today: str, expected: int = config.EXPECTED_ENTITIES, max_stale_days: int = config.MAX_STALE_DAYS, acknowledged: DataFrame | None = None, printed: DataFrame | None = None, documents: DataFrame | None = None, rain_rows: DataFrame | None = None, districts: DataFrame | None = None, absent: DataFrame | None = None) -> Star:
+    """One day's rows in: verified, written, and the loaded data held to every gate.
+
+    Raises (4) if a day fails one of load_days()'s checks, and (1) if a day that came is listed in absent (report_date).
+    """
+    if absent is not None:
+        for (day,) in rows.select("report_date").distinct().join(absent.select("report_date"), "report_date", "left_semi").orderBy("report_date").limit(1).collect():
+            integrity.require_not_absent(str(day), absent, "report_date")
+    bad = load_days(rows, path, expected=expected, printed=printed, documents=documents, rain=rain_rows, districts=districts).where(F.size("problems") > 0).orderBy("report_date").limit(5).collect()
     if bad:
-        raise integrity.GateError(f"unverified days: {[str(r[0]) for r in bad]}", 4)
+        raise integrity.GateError(f"unverified days: {[(str(r[0]), [p['check'] for p in r['problems']]) for r in bad]}", 4)
     star = build_star(spark, path, rain)
     check_capacity(star.storage, acknowledged)
     check_rainfall(star.storage, star.rain)

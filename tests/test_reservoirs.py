@@ -93,3 +93,62 @@ def test_work_list(spark):
     frame = lambda days, **more: spark.createDataFrame([(d, *more.values()) for d in days], ["report_date", *more])
     out = job.work_list(frame(["a", "b", "c", "d"]), frame(["a", "b"]), frame(["a"], status="ok").unionByName(frame(["b"], status="unverified")), frame(["d"]))
     assert sorted(r[0] for r in out.collect()) == ["b", "c"]
+
+
+def printed_of(rows, **wrong):
+    """The abstract's lines of each day: parts and their total, some figures wrong."""
+    total = rows.groupBy("report_date").agg(F.lit("Total").alias("label"), F.count(F.lit(1)).cast("int").alias("n_schemes"), F.sum("design_gross_mcm").alias("design_gross_mcm"), F.sum("present_gross_mcm").alias("present_gross_mcm"))
+    part = total.withColumn("label", F.lit("SG")).withColumn("n_schemes", F.lit(1))
+    return total.withColumns(wrong).unionByName(part)
+
+
+def halted(spark, tmp_path, rows, **how):
+    with pytest.raises(GateError) as error:
+        job.update_day(spark, rows, f"{tmp_path}/d", today="2024-07-11", expected=3, **how)
+    return error.value.code, str(error.value)
+
+
+def test_each_check_alone_stops_the_load(spark, tmp_path):
+    """Reconciliation, the document's date, rain below its day, a day listed as absent: each with its code, and nothing written."""
+    rows = archive(spark).where("report_date >= '2024-07-01'").persist()
+    fine = {"printed": printed_of(rows), "documents": rows.select("report_date", F.concat(F.lit("Date :- "), F.date_format("report_date", "dd-MM-yyyy")).alias("date_line")).distinct(), "rain_rows": rows.select("report_date", "scheme_id", F.col("crf").alias("cumm_rainfall_mm"), F.col("rf").alias("rain_last_24h_mm"))}
+    at = F.col("report_date") == "2024-07-04"
+    wrong = {
+        "reconcile": {"printed": printed_of(rows, design_gross_mcm=F.col("design_gross_mcm") + F.when(at, 5).otherwise(0))},
+        "date": {"documents": fine["documents"].withColumn("date_line", F.when(at, "Date :- 03-07-2024").otherwise(F.lit("no date")))},
+        "rain": {"rain_rows": fine["rain_rows"].withColumn("cumm_rainfall_mm", F.when(at & (F.col("scheme_id") == 2), 2.9).otherwise(F.col("cumm_rainfall_mm")))},
+    }
+    for check, change in wrong.items():
+        code, message = halted(spark, tmp_path, rows, **(fine | change))
+        assert code == 4 and "2024-07-04" in message and f"['{check}']" in message and message.count("2024-") == 1
+    code, message = halted(spark, tmp_path, rows.where("report_date = '2024-07-04'"), printed=printed_of(rows).where("label = 'SG'"))
+    assert code == 4 and "reconcile" in message  # a day without a printed total
+    assert halted(spark, tmp_path, rows, absent=rows.where(at).select("report_date"))[0] == 1
+    drifted = rows.withColumn("district", F.when(at, "Bot ad").otherwise(F.col("district")))
+    star = job.update_day(spark, drifted, f"{tmp_path}/e", today="2024-07-11", expected=3, districts=spark.createDataFrame([(s, "Botad") for s in (1, 2, 3)], "scheme_id int, district string"), absent=rows.where("false").select("report_date"), **fine)
+    assert {r["district"] for r in star.storage.select("district").distinct().collect()} == {"Botad"} and star.storage.count() == 30
+    # days that fail stay out, the others are there
+    verdicts = job.load_days(rows, f"{tmp_path}/f", expected=3, **{k.removesuffix("_rows"): v for k, v in (fine | wrong["rain"]).items()})
+    assert {str(r["report_date"]): [p["summary"] for p in r["problems"]] for r in verdicts.where("size(problems) > 0").collect()} == {"2024-07-04": ["1 running totals below their day"]}
+    assert spark.read.parquet(f"{tmp_path}/f").select("report_date").distinct().count() == 9
+
+
+def test_rain_that_contradicts_itself_is_named(spark):
+    rain = spark.createDataFrame([(1, 5.0, 5.0005), (2, 5.0, 5.002), (3, None, 9.0), (4, 1.0, None)], "scheme_id int, cumm_rainfall_mm double, rain_last_24h_mm double").withColumn("report_date", F.lit("2024-07-01").cast("date"))
+    assert [(r["scheme_id"], r["reason"]) for r in job.rain_failures(rain).collect()] == [(2, "cumulative rainfall 5.0 is less than the 24-hour figure 5.002")]
+
+
+def test_live_figures_rank_where_every_scheme_has_them(spark, tmp_path):
+    archive(spark).withColumn("pct_filling", F.col("pct_filling_src")).withColumn("days_water_at_release", F.lit(None).cast("double")).write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    caps, _ = job.check_capacity(rows)
+    report = job.report_deviation(rows, caps, "2024-07-10")
+    today = {r["scheme_id"]: r for r in report["today"].collect()}
+    live = lambda s, year: 100 * (100.0 * s + (50 if s == 3 and year < 2022 else 0)) * (50 + s - (2024 - year) + (-20 if s == 1 and year == 2024 else 0)) / 110 / ((100.0 * s + (50 if s == 3 and year < 2022 else 0)) * 0.9)
+    want = live(1, 2024) - sum(live(1, y) for y in range(2020, 2024)) / 4
+    assert today[1]["live_deviation"] == pytest.approx(want) and today[1]["live_shortfall_mcm"] == pytest.approx(-want / 100 * 90)
+    assert today[1]["release_mcm"] == pytest.approx(80 * 40 * 0.0024466) and today[1]["release_covers"] == round(today[1]["release_mcm"] / today[1]["live_shortfall_mcm"], 2)
+    assert {r["ranked_by"] for r in report["worst"].collect()} == {"live_deviation"} and today[2]["release_mcm"] == 0
+    some = rows.withColumn("present_live_mcm", F.when((F.col("scheme_id") == 2) & (F.col("report_date") == "2024-07-10"), None).otherwise(F.col("present_live_mcm")))
+    report = job.report_deviation(some, caps, "2024-07-10")
+    assert {r["ranked_by"] for r in report["worst"].collect()} == {"deviation"} and report["worst"].count() == 3
