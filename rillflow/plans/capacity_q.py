@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rillflow.operators import capacity
+from rillflow.operators import capacity, summaries
 from rillflow.sources.tables import table
 
 KEY, ORDER = ["l_partkey", "season"], ["d", "l_orderkey", "l_linenumber"]
@@ -49,7 +49,15 @@ def change_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capacity.change_date(rows, ["l_partkey"], "d", "v", "old", "new")
 
 
-QUERIES = {f.__name__: f for f in (capacity_runs, season_capacity_class, near_equal_clusters, restatements, change_date)}
+def folded_capacity_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of each part and season from summaries of three sets of days, merged: the same as from all rows at once."""
+    lines = _lines(spark, sf_dir)
+    parts = [summaries.summarize(lines.where(F.dayofmonth("d") % 3 == k), KEY, "d", "v") for k in range(3)]
+    out = summaries.classify(summaries.merge(KEY, parts[2], summaries.merge(KEY, parts[0], parts[1])), KEY)
+    return out.select(*KEY, "capacity_class", F.col("capacity").alias("season_capacity"), "n_days", "n_values", "n_major", "n_minor")
+
+
+QUERIES = {f.__name__: f for f in (capacity_runs, season_capacity_class, near_equal_clusters, restatements, change_date, folded_capacity_class)}
 
 _LINES = """li AS (SELECT l_partkey, l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS d, CAST(EXTRACT(year FROM l_shipdate) AS INT) AS season, l_discount AS v FROM lineitem WHERE EXTRACT(month FROM l_shipdate) BETWEEN 6 AND 10),
  st AS (SELECT *, CASE WHEN v = lag(v) OVER (PARTITION BY l_partkey, season ORDER BY d, l_orderkey, l_linenumber) THEN 0 ELSE 1 END AS s FROM li),
@@ -74,3 +82,8 @@ ORACLES = {
     "change_date": f"""WITH {_LINES} SELECT l_partkey, max(CASE WHEN abs(v - CAST(0.02 AS DOUBLE)) <= CAST(0.005 AS DOUBLE) * CAST(0.02 AS DOUBLE) THEN d END) AS last_old, min(CASE WHEN abs(v - CAST(0.05 AS DOUBLE)) <= CAST(0.005 AS DOUBLE) * CAST(0.05 AS DOUBLE) THEN d END) AS first_new,
  count(*) FILTER (WHERE NOT abs(v - CAST(0.02 AS DOUBLE)) <= CAST(0.005 AS DOUBLE) * CAST(0.02 AS DOUBLE) AND NOT abs(v - CAST(0.05 AS DOUBLE)) <= CAST(0.005 AS DOUBLE) * CAST(0.05 AS DOUBLE)) AS n_neither FROM li GROUP BY l_partkey""",
 }
+#: One row a day: the least discount of it.
+ORACLES["folded_capacity_class"] = ORACLES["season_capacity_class"].replace(
+    "SELECT l_partkey, l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS d, CAST(EXTRACT(year FROM l_shipdate) AS INT) AS season, l_discount AS v FROM lineitem WHERE EXTRACT(month FROM l_shipdate) BETWEEN 6 AND 10",
+    "SELECT l_partkey, 0 AS l_orderkey, 0 AS l_linenumber, CAST(l_shipdate AS DATE) AS d, CAST(EXTRACT(year FROM l_shipdate) AS INT) AS season, min(l_discount) AS v FROM lineitem WHERE EXTRACT(month FROM l_shipdate) BETWEEN 6 AND 10 GROUP BY ALL",
+)
