@@ -1,10 +1,11 @@
-"""Queries on places: distances to outlines of several parents, and a placement run with its exclusions."""
+"""Queries on places: distances to outlines of several parents, a placement run with its exclusions, grids of pages."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rillflow.operators import outlines, placement
+from rillflow.sources import layouts
 from rillflow.sources.tables import table
 
 
@@ -43,7 +44,22 @@ def placement_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.placed.select("id", "source_id", "tier", F.lit(None).cast("string").alias("reason")).unionByName(done.excluded.select("id", "source_id", F.lit(None).cast("string").alias("tier"), "reason"))
 
 
-QUERIES = {f.__name__: f for f in (outline_parents, placement_run)}
+def page_grids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers' names as characters on pages, each page with a ruled grid of its own place and width, put together by cells."""
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("page"), (2 + F.col("c_custkey") % 3).alias("w"), (F.col("c_custkey") % 7 * 1.3).alias("shift"), "c_name")
+    chars = c.select("page", "w", "shift", F.posexplode(F.split("c_name", "")).alias("at", "char")).withColumn("x0", F.col("shift") + F.col("at") * 3.0 + 0.5)
+    # two lines of a cell: the second half of a cell's characters stands below the first and further left
+    line = (F.col("at") % F.col("w") >= F.floor(F.col("w") / 2 + 0.5)).cast("int")
+    characters = chars.select("page", "x0", (F.col("x0") + 2).alias("x1"), (F.col("shift") + line * 6.0 + 1).alias("top"), (F.col("shift") + line * 6.0 + 6).alias("bottom"), "char")
+    rule = lambda x0, x1, top, bottom: F.struct(x0.alias("x0"), x1.alias("x1"), top.alias("top"), bottom.alias("bottom"))
+    s, w = F.col("shift"), F.col("w")
+    upright = F.transform(F.sequence(F.lit(0), F.floor(12 / w).cast("int")), lambda k: rule(s + k * w * 3.0, s + k * w * 3.0 + 1, s, s + 30.0))
+    flat = F.transform(F.array(F.lit(0), F.lit(15)), lambda k: rule(s, s + 60.0, s + k, s + k + 1.0))
+    rects = c.select("page", F.explode(F.concat(upright, flat)).alias("r")).select("page", "r.*")
+    return layouts.reassemble_pages(characters, rects, "page").select("page", F.col("col").cast("long").alias("col"), "cell")
+
+
+QUERIES = {f.__name__: f for f in (outline_parents, placement_run, page_grids)}
 _KM = "sqrt((greatest(-{x}, {x} - 8, 0) * kx) ** 2 + (greatest(-{y}, {y} - 8, 0) * 110.57) ** 2)"
 _HOLE = "({x} > 3 AND {x} < 6 AND {y} > 3 AND {y} < 6)"
 _IN = "({x} >= 0 AND {x} < 8 AND {y} >= 0 AND {y} < 8 AND NOT ({x} >= 3 AND {x} < 6 AND {y} >= 3 AND {y} < 6))"
@@ -54,6 +70,8 @@ def _metres(x: str, y: str) -> str:
 
 
 ORACLES = {
+    "page_grids": """WITH c AS (SELECT c_custkey AS page, 2 + c_custkey % 3 AS w, c_name FROM customer), k AS (SELECT page, w, c_name, unnest(generate_series(0, 12 // w - 1)) AS col FROM c)
+ SELECT page, CAST(col AS BIGINT) AS col, substr(c_name, col * w + 1, w) AS cell FROM k WHERE col * w < length(c_name)""",
     "outline_parents": f"""WITH c AS (SELECT c_custkey, c_nationkey AS o, (c_nationkey + 1 + c_custkey % 3) % 25 AS p FROM customer),
  x AS (SELECT *, CAST(o % 5 * 10 + c_custkey % 10 AS DOUBLE) AS lon, CAST(o // 5 * 10 + c_custkey % 9 AS DOUBLE) AS lat FROM c),
  y AS (SELECT *, lon - o % 5 * 10 AS xa, lat - o // 5 * 10 AS ya, lon - p % 5 * 10 AS xb, lat - p // 5 * 10 AS yb, 111.32 * cos(radians(lat)) AS kx FROM x)

@@ -8,6 +8,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
+from rillflow.operators import intervals
 from rillflow.session import ship_package
 
 
@@ -59,6 +60,26 @@ def reassemble(characters: DataFrame, page: str, x_edges: Sequence[float], y_edg
     return placed.groupBy(page, "row", "col").agg(F.array_join(F.transform(F.array_sort(F.collect_list("at")), lambda a: a["c"]), "").alias("cell"))
 
 
+def ruled_edges(rects: DataFrame, page: str, low: str, high: str, thin: float = 2.0, least: int = 2) -> DataFrame:
+    """(page, edge): places of the rules of each page, thin rectangles whose sides are `low` and `high`, to a tenth; pages with
+    fewer than `least` are left out."""
+    edges = rects.where(F.col(high) - F.col(low) < thin).select(page, F.round(low, 1).alias("edge")).distinct()
+    return edges.withColumn("__n", F.count(F.lit(1)).over(W.partitionBy(page))).where(F.col("__n") >= least).drop("__n")
+
+
+def reassemble_pages(characters: DataFrame, rects: DataFrame, page: str, least_x: int = 2, least_y: int = 2) -> DataFrame:
+    """reassemble() with each page's own grid, measured off its rules (x0, x1, top, bottom): (page, row, col, cell).
+
+    Characters outside the grid, and pages with too few rules, have no cells.
+    """
+    columns = intervals.between_edges(ruled_edges(rects, page, "x0", "x1", least=least_x), [page], "edge")
+    rows = intervals.between_edges(ruled_edges(rects, page, "top", "bottom", least=least_y), [page], "edge")
+    placed = intervals.interval_join(characters.select(page, "x0", "x1", "top", "bottom", "char"), (F.col("x0") + F.col("x1")) / 2, columns, [page], "col")
+    placed = intervals.interval_join(placed, (F.col("top") + F.col("bottom")) / 2, rows, [page], "row")
+    at = F.struct(F.round(F.col("top") / 1.5).alias("line"), "x0", F.col("char").alias("c"))
+    return placed.groupBy(page, "row", "col").agg(F.array_join(F.transform(F.array_sort(F.collect_list(at)), lambda a: a["c"]), "").alias("cell"))
+
+
 def headed_lines(texts: DataFrame, key: str, text: str, header: str, numbered: str) -> DataFrame:
     """Numbered lines with the last header line before them: key, line_no, owner, number, rest.
 
