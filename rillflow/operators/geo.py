@@ -87,6 +87,10 @@ def distance_function(spark: SparkSession, outlines: Mapping[str, Sequence[Seque
 def outlines_of(features: DataFrame, name: str) -> dict[str, list[list[Ring]]]:
     """Outlines by a property's value, from the features of a GeoJSON collection: polygons and multipolygons, holes kept."""
     shape = F.to_json(F.col("geometry.coordinates"))
+    # a vertex has two commas at most, so that what is too much for the driver is seen before it gets there
+    commas = features.agg(F.sum(F.char_length(shape) - F.char_length(F.replace(shape, F.lit(","), F.lit("")))).alias("n")).first()["n"] or 0
+    if commas // 2 > MOST_VERTICES:
+        raise ValueError(f"about {commas // 2} vertices; outlines.km_outside() takes any number")
     out: dict[str, list[list[Ring]]] = {}
     for n, kind, text in features.select(F.col(f"properties.{name}"), F.col("geometry.type"), shape).collect():
         at = json.loads(text)
