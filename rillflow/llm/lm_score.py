@@ -18,13 +18,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .common import arrow_pass, crc_of_id, stored
+from .common import arrow_pass, crc_of_id, salted, stored
 
 #: Stands before and after each text; no UTF-8 text holds it.
 END = 0xFF
 #: Bytes of the longest context, and the longest contexts that travel with the tasks, the most frequent ones; those of all
 #: other contexts are joined.
 ORDER, CACHED = 4, 65_536
+#: Tasks that share the contexts of one ending.
+SALTS = 16
 #: Words whose counts travel with the tasks, the most frequent ones of so many bytes at most; the counts of all others are joined.
 HOT_WORDS, HOT_BYTES = 65_536, 64
 #: Bytes of text looked at together; distinct keys, and bytes of text whose words, a task holds before it passes them on.
@@ -288,7 +290,12 @@ def resolved(wanted: DataFrame, grams: DataFrame, one: np.ndarray) -> DataFrame:
     need = wanted.select("gram").distinct().groupBy(F.shiftright("gram", 8).alias("context")).agg(F.collect_list(F.col("gram").bitwiseAND(255)).alias("bytes"))
     for width in range(ORDER, 1, -1):
         of = _keyed(grams, width).groupBy(F.col("context").alias(f"c{width}")).agg(F.collect_list(F.struct(F.col("key").bitwiseAND(255).alias("byte"), "n")).alias(f"v{width}"))
-        need = need.join(of, F.col("context").bitwiseAND((1 << 8 * width) - 1) == F.col(f"c{width}"), "left").drop(f"c{width}")
+        need = need.withColumn("ends", F.col("context").bitwiseAND((1 << 8 * width) - 1))
+        if width == 2:  # very many contexts end with the same two bytes, of which there are 65,536 at most
+            need = salted(need, "ends", "context", of, "c2", SALTS, "left")
+        else:
+            need = need.join(of, F.col("ends") == F.col(f"c{width}"), "left")
+        need = need.drop("ends", f"c{width}")
     found = arrow_pass(need.select("context", "bytes", *(f"v{k}" for k in range(ORDER, 1, -1))), _resolved(one), "gram long, value double")
     return stored(found, "lm-resolved")
 

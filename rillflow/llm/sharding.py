@@ -111,9 +111,13 @@ def shard(docs: DataFrame, shards: int = 40, *, doc_id: str = "doc_id", text: st
     return numbered.withColumn("shard", of).withColumn("slot", (F.col("__rank") - first).cast("long")).drop("__rank", "__total")
 
 
+#: Rows of one file of a shard; a large shard has many, written by many tasks.
+FILE_ROWS = 1 << 17
+
+
 def write_shards(docs: DataFrame, path: str, shards: int = 40, *, doc_id: str = "doc_id", text: str = "text", by: Sequence[str] = ("source", "lang"), bits: int = 5) -> None:
-    """Write the rows of docs, with shard, slot and size, to a new folder: each shard one file in the curve's order, and beside
-    them a table of each shard's count and its minima and maxima of `by`, size and id.
+    """Write the rows of docs, with shard, slot and size, to a new folder: each shard files of FILE_ROWS rows at most, each
+    a run of the curve's order, and beside them a table of each file's count and its minima and maxima of `by`, size and id.
 
     Rows alike in id, size and crc are numbered on both sides, so that none is lost or doubled. Columns of docs must not be
     called shard, slot or size.
@@ -129,19 +133,21 @@ def write_shards(docs: DataFrame, path: str, shards: int = 40, *, doc_id: str =
     right = found.withColumn("__k2", F.row_number().over(W.partitionBy("__id2", "size", "__crc2").orderBy("shard", "slot")))
     same = F.col("__id").eqNullSafe(F.col("__id2")) & (F.col("__size") == F.col("size")) & (F.col("__crc") == F.col("__crc2")) & (F.col("__k") == F.col("__k2"))
     rows = left.join(right, same).select(*docs.columns, "size", "slot", "shard")
-    rows.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(f"{path}/rows")
+    run = F.floor(F.col("slot") / FILE_ROWS)
+    rows.repartition("shard", run).sortWithinPartitions("shard", "slot").write.option("maxRecordsPerFile", FILE_ROWS).partitionBy("shard").parquet(f"{path}/rows")
     spark = docs.sparkSession
     spark.createDataFrame([(rows.schema.json(),)], "schema string").write.parquet(f"{path}/schema")
     written = spark.read.schema(rows.schema).parquet(f"{path}/rows")
     limits = [f(c).alias(f"{name}_{c}") for c in dict.fromkeys([*by, "size", doc_id]) for name, f in (("min", F.min), ("max", F.max))]
-    written.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), *limits).coalesce(1).write.parquet(f"{path}/bounds")
+    of_file = F.regexp_extract(F.input_file_name(), "[^/]+$", 0).alias("file")
+    written.groupBy("shard", of_file).agg(F.count(F.lit(1)).alias("n"), *limits).coalesce(1).write.parquet(f"{path}/bounds")
 
 
 def read_shards(spark: SparkSession, path: str, column: str, low, high) -> DataFrame:
-    """Rows of write_shards() with low <= column <= high, from the files of those shards alone whose bounds allow it."""
+    """Rows of write_shards() with low <= column <= high, from those files alone whose bounds allow it."""
     schema = StructType.fromJson(json.loads(spark.read.parquet(f"{path}/schema").first()["schema"]))
-    hit = spark.read.parquet(f"{path}/bounds").where((F.col(f"max_{column}") >= low) & (F.col(f"min_{column}") <= high)).select("shard").orderBy("shard").collect()
+    hit = spark.read.parquet(f"{path}/bounds").where((F.col(f"max_{column}") >= low) & (F.col(f"min_{column}") <= high)).select("shard", "file").orderBy("shard", "file").collect()
     if not hit:
         return spark.createDataFrame([], schema)
-    files = [f"{path}/rows/shard={r['shard']}" for r in hit]
+    files = [f"{path}/rows/shard={r['shard']}/{r['file']}" for r in hit]
     return spark.read.schema(schema).option("basePath", f"{path}/rows").parquet(*files).where(F.col(column).between(low, high))

@@ -304,6 +304,32 @@ def test_bpe(spark, odd):
     assert bpe.encode(spark.createDataFrame([], SCHEMA), "doc_id").count() == 0
 
 
+@pytest.mark.parametrize(("name", "value"), [("DICTIONARY", 8), ("DICTIONARY_TEXTS", 4)])
+def test_words_outside_the_dictionary_are_folded_alike(spark, monkeypatch, name, value):
+    """A dictionary of eight words, and one from a sample of four texts: most words are folded where they are met."""
+    monkeypatch.setattr(bpe, name, value)
+    encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.ranks(), special_tokens={})
+    docs = table(spark, "/root/testdata/sf0.001", "documents")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.select("doc_id", "text").collect()}
+    got = bpe.encode(docs, "doc_id", digests=True).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert list(r["ids"]) == encoding.encode_ordinary(texts[r["doc_id"]]) and r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
+
+
+def test_large_shards_are_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sharding, "FILE_ROWS", 100)
+    docs = spark.range(1500).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'en' AS lang", "if(id % 3 = 0, 'a', 'b') AS source", "1L AS n_chars")
+    sharding.write_shards(docs, f"{tmp_path}/s", 3)
+    bounds = spark.read.parquet(f"{tmp_path}/s/bounds").collect()
+    assert len(bounds) >= 15 and all(r["n"] <= 100 for r in bounds) and sum(r["n"] for r in bounds) == 1500
+    for r in bounds:
+        slots = [x["slot"] for x in spark.read.parquet(f"{tmp_path}/s/rows/shard={r['shard']}/{r['file']}").collect()]
+        assert slots == sorted(slots)
+    some = sharding.read_shards(spark, f"{tmp_path}/s", "doc_id", 10, 20)
+    assert sorted(r["doc_id"] for r in some.collect()) == list(range(10, 21)) and len(some.inputFiles()) < len(bounds)
+
+
 def test_bpe_by_higher_order_functions(spark):
     frame = spark.createDataFrame([("",), ("a",), (" the",), ("héllo",), ("漢字漢字",), ("antiontion",), (None,)], "w string")
     ids = bpe.fold_merges(F.col("w"), bpe.rank_map(bpe.ranks()))
