@@ -3,10 +3,13 @@
 A store is a folder: data/ holds each commit's summed changes, in parquet, and commits/<id> is a small file that names those
 of one batch. A commit writes its data first; then the file is moved to its place by a rename that fails if the place is taken.
 So a batch counts whole or not at all, committing an id again changes nothing, and of two writers of an id one gets True.
+compact() sums what is committed into one folder, named by a file compactions/<number> that is put to its place alike: totals
+then read that folder and the batches that came since.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 
@@ -47,17 +50,21 @@ class TokenRollup:
         return sorted(s.getPath().getName() for s in self._fs.listStatus(at)) if self._fs.exists(at) else []
 
     def _claim(self, batch: str, folder: str) -> bool:
-        """Make commits/<batch> name the folder; False where that file is there, whoever put it there and however lately."""
+        """Make commits/<batch> name the folder; False where that file is there."""
+        return self._put(f"commits/{batch}", folder)
+
+    def _put(self, place: str, content: str) -> bool:
+        """A file with this content at its place; False where one is there, whoever put it there and however lately."""
         jvm, sc = self.spark._jvm, self.spark.sparkContext
-        written, place = self._path(f"{self.path}/staging/{folder}"), self._path(f"{self.path}/commits/{batch}")
-        self._fs.mkdirs(place.getParent())
+        written, at = self._path(f"{self.path}/staging/{uuid.uuid4().hex}"), self._path(f"{self.path}/{place}")
+        self._fs.mkdirs(at.getParent())
         out = self._fs.create(written, False)
-        out.write(bytearray(folder.encode()))
+        out.write(bytearray(content.encode()))
         out.close()
         no_options = sc._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
-        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.toUri(), self.spark._jsc.hadoopConfiguration())
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.toUri(), self.spark._jsc.hadoopConfiguration())
         try:
-            files.rename(self._fs.makeQualified(written), self._fs.makeQualified(place), no_options)  # without leave to overwrite
+            files.rename(self._fs.makeQualified(written), self._fs.makeQualified(at), no_options)  # without leave to overwrite
         except Py4JJavaError as error:
             if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
                 raise
@@ -87,14 +94,43 @@ class TokenRollup:
         self._fs.delete(self._path(f"{self.path}/data/{folder}"), True)
         return False
 
+    def _compacted(self) -> tuple[int, str | None, list[str]]:
+        """Number, folder and batches of the newest compaction; (0, None, []) before the first."""
+        at = self._path(f"{self.path}/compactions")
+        last = max((int(s.getPath().getName()) for s in self._fs.listStatus(at)), default=0) if self._fs.exists(at) else 0
+        if not last:
+            return 0, None, []
+        told = json.loads(self.spark.read.text(f"{self.path}/compactions/{last}", wholetext=True).first()["value"])
+        return last, told["folder"], told["batches"]
+
+    def _summed(self) -> tuple[int, list[str], DataFrame]:
+        """Number of the newest compaction, batches in the totals, and the totals by key."""
+        number, folder, covered = self._compacted()
+        batches = self.committed()
+        since = sorted(set(batches) - set(covered))
+        # one small file for each batch since the last compaction
+        folders = [r["value"] for r in self.spark.read.text([f"{self.path}/commits/{b}" for b in since]).collect()] if since else []
+        read = self.spark.read.schema(SCHEMA).parquet(*(f"{self.path}/data/{f}" for f in [*([folder] if folder else []), *folders]))
+        return number, batches, read.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs <> 0 or n_tokens <> 0")
+
     def totals(self) -> DataFrame:
         """Totals by key; keys without documents and tokens are gone. Without a batch: empty."""
-        if not self.committed():
-            return self.spark.createDataFrame([], SCHEMA)
-        # one small file a batch
-        folders = [r["value"] for r in self.spark.read.text(f"{self.path}/commits").collect()]
-        read = self.spark.read.schema(SCHEMA).parquet(*(f"{self.path}/data/{f}" for f in folders))
-        return read.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).where("n_docs <> 0 or n_tokens <> 0")
+        return self._summed()[2] if self.committed() else self.spark.createDataFrame([], SCHEMA)
+
+    def compact(self) -> bool:
+        """Sum all batches that are committed now; False if there are none since the last time, or another writer was first.
+
+        Totals are the same before, while and after; batches that are committed meanwhile are read beside it.
+        """
+        if not set(self.committed()) - set(self._compacted()[2]):
+            return False
+        number, batches, sums = self._summed()
+        folder = uuid.uuid4().hex
+        sums.coalesce(1).write.parquet(f"{self.path}/data/{folder}")  # a row for each source, language and tokenizer
+        if self._put(f"compactions/{number + 1}", json.dumps({"folder": folder, "batches": batches})):
+            return True
+        self._fs.delete(self._path(f"{self.path}/data/{folder}"), True)
+        return False
 
 
 def counted(docs: DataFrame, tokenizer: str, tokens: Column, *more: Column) -> DataFrame:

@@ -153,6 +153,38 @@ def curve_index(point, bits):
     return out
 
 
+def test_compaction_changes_no_total(spark, tmp_path, monkeypatch):
+    """Before and after, with batches that come meanwhile, of two writers, and committing a covered batch again."""
+    rows = lambda k: spark.createDataFrame([("s", "en", "t", 1, k), ("s", None, "t", -1, k)], "source string, lang string, tokenizer string, n_docs long, n_tokens long")
+    first, second = (token_counts.TokenRollup(spark, f"{tmp_path}/r") for _ in range(2))
+    told = lambda rollup: sorted(map(str, rollup.totals().collect()))
+    assert not first.compact() and told(first) == []
+    for k in range(4):
+        first.commit(f"b{k}", rows(k))
+    want = told(first)
+    assert first.compact() and told(first) == told(second) == want and not second.compact()
+    assert not second.commit("b1", rows(9)) and told(first) == want  # covered, and still committed
+    first.commit("b4", rows(4))
+    assert told(second) != want
+    real, want = second._summed, told(second)
+
+    def meanwhile():
+        out = real()
+        if not meant:
+            meant.append(first.commit("b5", rows(5)))
+        return out
+
+    meant: list = []
+    monkeypatch.setattr(second, "_summed", meanwhile)
+    assert second.compact()  # b5 came after its list was made: it is read beside the sum
+    monkeypatch.setattr(second, "_summed", real)
+    assert meant == [True] and first.committed() == [f"b{k}" for k in range(6)]
+    assert {(r["lang"], r["n_docs"], r["n_tokens"]) for r in first.totals().collect()} == {("en", 6, 15), (None, -6, 15)}
+    put = second._put
+    monkeypatch.setattr(second, "_put", lambda *a: (first.compact(), put(*a))[1])
+    assert first.commit("b6", rows(0)) and not second.compact() and {(r["lang"], r["n_docs"], r["n_tokens"]) for r in second.totals().collect()} == {("en", 7, 15), (None, -7, 15)}
+
+
 def test_rows_of_the_sharding_query(spark, sf, odd):
     """All columns of op7's rows by plain Python."""
     import math
