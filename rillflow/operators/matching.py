@@ -25,13 +25,35 @@ def ratio(a: Column, b: Column) -> Column:
     return similarity(a, b)
 
 
+#: Tasks that share the stems of a block that have one pair of letters.
+SALTS = 4
+
+
+def _letter_pairs(rows: DataFrame, columns: Sequence[str], stem: str, name: str) -> DataFrame:
+    """rows with the stem's pairs of neighbouring letters, each with how often it came before: a set that counts repeats."""
+    listed = F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(stem) - 1, F.lit(1))), lambda i: F.substring(stem, i, F.lit(2)))
+    numbered = F.transform(F.col("__listed"), lambda g, i: F.concat(g, F.size(F.filter(F.slice("__listed", 1, i), lambda h: h == g)).cast("string")))
+    return rows.where(F.char_length(stem) > 1).select(*columns, listed.alias("__listed")).select(*columns, numbered.alias(name))
+
+
+def _rarest(rows: DataFrame, key: Sequence[str], stem: str, rare: DataFrame, least: float) -> DataFrame:
+    """One row for each of a stem's rarest pairs, all but as many as any partner must share, less one."""
+    pairs = rows.columns[-1]
+    size = F.char_length(stem)
+    share = F.ceil((size + F.ceil(size * (least / (2 - least)) - 1e-9)) * (1.5 * least - 1) - 1 - 1e-9)
+    each = rows.withColumn("__t", F.explode(pairs)).join(rare.withColumnRenamed("__t", "__of"), F.col("__t") == F.col("__of")).drop("__of")
+    place = F.row_number().over(W.partitionBy(*key).orderBy("__df", "__t"))
+    return each.withColumn("__place", place).where(F.col("__place") <= F.size(pairs) - F.greatest(share, F.lit(1)) + 1).drop("__place", "__df")
+
+
 def blocked_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], stem: str, least: float = config.NAME_OK) -> DataFrame:
     """Pairs within equal blocks: exact stems first; only left rows without an exact partner are compared by likeness.
 
-    Columns of left are prefixed l_, of right r_. score is 1 for exact ones. Distinct stems are compared, each pair once, and
-    only those that share two letters in a row: of two stems of T letters together and a ratio of r, at most (1 - r) * T lie
-    outside of what matches, which leaves a run of more than one letter as soon as T * (1.5 * r - 1) > 1. Shorter ones are
-    compared with all of the block whose lengths allow the ratio.
+    Columns of left are prefixed l_, of right r_. score is 1 for exact ones. Distinct stems are compared, each pair once. Of two
+    stems of T letters together and a ratio of r, at most (1 - r) * T letters lie outside of what matches, and no more pieces than
+    that plus one match, so that they share c = T * (1.5 * r - 1) - 1 pairs of neighbouring letters at least, repeats counted. So only
+    stems meet that share one of their rarest pairs, all but c - 1 of them, and of these only those that share c are compared.
+    Where c isn't positive, stems are compared with all of the block whose lengths allow the ratio. None is lost.
     """
     ship_package(left.sparkSession)
     a = left.select(*(F.col(c).alias(f"l_{c}") for c in left.columns))
@@ -48,12 +70,19 @@ def blocked_pairs(left: DataFrame, right: DataFrame, block: Sequence[str], stem:
     x, y = F.char_length(l), F.char_length(r)
     near = 2 * F.least(x, y) >= least * (x + y)
     short = math.floor(1 / (1.5 * least - 1)) if least > 2 / 3 else None
-    grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.char_length(c) - 1, F.lit(1))), lambda i: F.substring(c, i, F.lit(2))))
     if short is None:
         pairs = mine.join(theirs, [*same, near])
     else:
-        by_gram = mine.where(x > short).withColumn("__g", F.explode(grams(F.col(l)))).join(theirs.withColumn("__h", F.explode(grams(F.col(r)))), [*same, F.col("__g") == F.col("__h"), near])
-        pairs = by_gram.select(*keys, l, r).distinct().unionByName(mine.where(x <= short).join(theirs, [*same, near]).select(*keys, l, r))
+        every = _letter_pairs(mine, [*keys, l], l, "__p").unionByName(_letter_pairs(theirs.select(*(F.col(f"__{c}").alias(k) for c, k in zip(block, keys, strict=True)), F.col(r).alias(l)), [*keys, l], l, "__p"))
+        rare = every.select(F.explode("__p").alias("__t")).groupBy("__t").agg(F.count(F.lit(1)).alias("__df"))
+        few_l = _rarest(_letter_pairs(mine.where(x > short), [*keys, l], l, "__p"), [*keys, l], l, rare, least)
+        few_r = _rarest(_letter_pairs(theirs, [*(f"__{c}" for c in block), r], r, "__q"), [*(f"__{c}" for c in block), r], r, rare, least)
+        # a pair of letters that very many stems of a block have is met in several tasks
+        few_l = few_l.withColumn("__salt", F.pmod(F.xxhash64(l), F.lit(SALTS)).cast("int"))
+        few_r = few_r.withColumnRenamed("__t", "__u").withColumn("__turn", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        by_pair = few_l.join(few_r, [*same, F.col("__t") == F.col("__u"), F.col("__salt") == F.col("__turn"), near])
+        enough = F.size(F.array_intersect("__p", "__q")) >= (x + y) * (1.5 * least - 1) - 1 - 1e-9
+        pairs = by_pair.where(enough).select(*keys, l, r).distinct().unionByName(mine.where(x <= short).join(theirs, [*same, near]).select(*keys, l, r))
     scored = pairs.select(*(F.col(k).alias(f"__{k}") for k in keys), F.col(l).alias("__l"), F.col(r).alias("__r")).withColumn("score", ratio(F.col("__l"), F.col("__r"))).where(F.col("score") >= least)
     fuzzy = rest.join(scored, [*(F.col(k) == F.col(f"__{k}") for k in keys), F.col(l) == F.col("__l")]).join(b, [*on, F.col(r) == F.col("__r")])
     return exact.unionByName(fuzzy.select(*exact.columns))

@@ -135,6 +135,29 @@ def test_blocks_lose_no_likeness(spark, least):
     assert {(r["l_k"], r["r_k"]) for r in got} == want and len(got) == len(want)
 
 
+@pytest.mark.parametrize("least", [0.67, 0.8, 0.86, 0.95])
+def test_long_stems_lose_no_likeness(spark, least):
+    """Names of 8 to 40 letters, misspelt, with letters that repeat and one pair of letters that most have."""
+    from difflib import SequenceMatcher
+
+    rng = np.random.default_rng(8)
+    letters = list("aaeiknrst")
+    base = ["".join(rng.choice(letters, rng.integers(8, 40))) + "ra" for _ in range(25)] + ["banana" * 5, "anan" * 8]
+
+    def misspelt(s):
+        out = list(s)
+        for _ in range(rng.integers(0, 5)):
+            at = int(rng.integers(0, len(out)))
+            out[at : at + 1] = [str(rng.choice(letters))] * int(rng.integers(0, 3))
+        return "".join(out)
+
+    left, right = [(0, misspelt(s), k) for k, s in enumerate(base * 2)], [(0, misspelt(s), k) for k, s in enumerate(base * 2)]
+    got = matching.blocked_pairs(spark.createDataFrame(left, "b int, s string, k int"), spark.createDataFrame(right, "b int, s string, k int"), ["b"], "s", least).collect()
+    held = {s for _, s, _ in right}
+    want = {(i, j) for _, s, i in left for _, t, j in right if s == t or (s not in held and SequenceMatcher(None, s, t).ratio() >= least)}
+    assert {(r["l_k"], r["r_k"]) for r in got} == want and len(got) == len(want) > 10
+
+
 def test_assignment_uses_each_once(spark):
     pairs = spark.createDataFrame([("x", 1, 10, 0.1), ("x", 2, 10, 0.2), ("x", 2, 11, 0.3)], "b string, l int, r int, s double")
     assert {tuple(r)[1:] for r in matching.assign_in_order(pairs, "b", "l", "r", ["s", "l", "r"]).collect()} == {(1, 10), (2, 11)}
