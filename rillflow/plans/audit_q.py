@@ -129,8 +129,8 @@ def outside_box(spark: SparkSession, sf_dir: str) -> DataFrame:
 def crosswalk_totality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four differences between two sets and the crosswalk between them; any of them halts a load."""
     old = table(spark, sf_dir, "supplier").where("s_suppkey % 11 <> 0").select(F.col("s_suppkey").alias("old"))
-    new = table(spark, sf_dir, "customer").where("c_custkey % 13 <> 0 and c_custkey <= 120").select(F.col("c_custkey").alias("new"))
-    walk = table(spark, sf_dir, "part").where("p_partkey <= 110").select(F.col("p_partkey").alias("old"), (F.col("p_partkey") + 1).alias("new"))
+    new = table(spark, sf_dir, "customer").where("c_custkey % 13 <> 0").select(F.col("c_custkey").alias("new"))
+    walk = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("old"), (F.col("p_partkey") + 1).alias("new"))
     found = model.set_audit(old_not_in_crosswalk=(old, walk, "old"), crosswalk_not_in_old=(walk, old, "old"), new_not_in_crosswalk=(new, walk, "new"), crosswalk_not_in_new=(walk, new, "new"))
     halted = False
     try:
@@ -257,7 +257,7 @@ def parse_work_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def confirmed_flips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether every member reads the old value before a change and the new one after it."""
-    c = table(spark, sf_dir, "customer").where("c_custkey <= 300").select(F.col("c_custkey").alias("scheme_id"), (F.col("c_custkey") * 10).cast("double").alias("old"))
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("scheme_id"), (F.col("c_custkey") * 10).cast("double").alias("old"))
     new = F.when(F.col("scheme_id") % 5 == 0, F.col("old")).otherwise(F.col("old") * 2)
     before = c.select(F.lit("2001-06-30").cast("date").alias("report_date"), "scheme_id", F.col("old").alias("design_gross_mcm"))
     after = c.where("scheme_id % 7 <> 0").select(F.lit("2001-07-01").cast("date").alias("report_date"), "scheme_id", new.alias("design_gross_mcm"))
@@ -322,7 +322,7 @@ ORACLES = {
     "contradicted_days": f"WITH {FACT}, h AS (SELECT DISTINCT d FROM fact WHERE nation = 'NATION_6'), a AS (SELECT DISTINCT d FROM fact WHERE nation = 'NATION_7') SELECT d, d = (SELECT min(d) FROM h) AS refused FROM h WHERE d IN (SELECT d FROM a)",
     "label_regression": "WITH c AS (SELECT c_custkey, c_mktsegment, CASE WHEN c_custkey % 4 = 0 THEN lower(c_mktsegment) WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END AS l FROM customer) SELECT c_custkey, CASE WHEN c_custkey % 5 <> 0 THEN c_mktsegment ELSE l END AS label, c_custkey % 5 <> 0 AND l IS DISTINCT FROM c_mktsegment AS repaired FROM c",
     "outside_box": "WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 9 <> 0 THEN CAST(c_custkey % 50 AS DOUBLE) END AS lon, CAST(c_custkey % 31 AS DOUBLE) AS lat FROM customer) SELECT c_custkey, lon, lat, TRUE AS halted FROM c WHERE lon IS NOT NULL AND NOT (lon BETWEEN 2 AND 45 AND lat BETWEEN 1 AND 29)",
-    "crosswalk_totality": """WITH o AS (SELECT s_suppkey AS k FROM supplier WHERE s_suppkey % 11 <> 0), n AS (SELECT c_custkey AS k FROM customer WHERE c_custkey % 13 <> 0 AND c_custkey <= 120), w AS (SELECT p_partkey AS o, p_partkey + 1 AS n FROM part WHERE p_partkey <= 110),
+    "crosswalk_totality": """WITH o AS (SELECT s_suppkey AS k FROM supplier WHERE s_suppkey % 11 <> 0), n AS (SELECT c_custkey AS k FROM customer WHERE c_custkey % 13 <> 0), w AS (SELECT p_partkey AS o, p_partkey + 1 AS n FROM part),
  f AS (SELECT 'old_not_in_crosswalk' AS difference, k FROM o WHERE k NOT IN (SELECT o FROM w) UNION SELECT 'crosswalk_not_in_old', o FROM w WHERE o NOT IN (SELECT k FROM o) UNION SELECT 'new_not_in_crosswalk', k FROM n WHERE k NOT IN (SELECT n FROM w) UNION SELECT 'crosswalk_not_in_new', n FROM w WHERE n NOT IN (SELECT k FROM n))
  SELECT difference, CAST(k AS VARCHAR) AS key, TRUE AS halted FROM f""",
     "id_cross_check": "WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN c_custkey + 1 WHEN c_custkey % 17 = 0 THEN NULL ELSE c_custkey END AS printed FROM customer WHERE c_custkey % 3 <> 0) SELECT c_custkey, printed, c_custkey AS by_name FROM c WHERE printed IS DISTINCT FROM c_custkey",
@@ -341,7 +341,7 @@ ORACLES = {
  SELECT 'backward_loose' AS gate, CAST(0 AS INT) AS code UNION ALL SELECT 'backward_strict', CASE WHEN falls > 0 THEN 3 ELSE 0 END FROM f UNION ALL SELECT 'acknowledged', 0 UNION ALL SELECT 'not_acknowledged', CASE WHEN count(*) > 0 THEN 2 ELSE 0 END FROM fact WHERE nation = 'NATION_18' UNION ALL SELECT 'complete', 0 UNION ALL SELECT 'incomplete', 3 UNION ALL SELECT 'off_season', 1
  UNION ALL SELECT 'in_season', 0 UNION ALL SELECT 'newest ' || CAST(n6 AS VARCHAR), CAST(date_diff('day', newest, DATE '2001-12-31') AS INT) FROM w""",
     "parse_work_list": f"WITH {FACT}, sp AS (SELECT CAST(unnest(generate_series(DATE '1999-06-01', DATE '1999-10-31', INTERVAL 1 DAY)) AS DATE) AS report_date), h AS (SELECT DISTINCT d FROM fact WHERE nation = 'NATION_6' AND EXTRACT(day FROM d) % 4 <> 0) SELECT report_date FROM sp WHERE EXTRACT(day FROM report_date) <> 9 AND report_date NOT IN (SELECT d FROM h)",
-    "confirmed_flips": "SELECT c_custkey AS scheme_id, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_custkey % 5 <> 0 END AS flipped FROM customer WHERE c_custkey <= 300",
+    "confirmed_flips": "SELECT c_custkey AS scheme_id, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_custkey % 5 <> 0 END AS flipped FROM customer",
     "checked_join": "SELECT c_custkey, c_name, count(*) AS n FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2",
     "appended_log": f"WITH {FACT}, a AS (SELECT d, count(*) AS n FROM fact WHERE nation = 'NATION_6' GROUP BY d) SELECT d, n, NULL AS note FROM a UNION ALL SELECT d, count(*), 'late' FROM fact WHERE nation = 'NATION_7' AND d NOT IN (SELECT d FROM a) GROUP BY d",
     "bound_parameters": "SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_totalprice > 100000 AND o_orderdate < TIMESTAMP '2000-01-01' GROUP BY 1",

@@ -158,11 +158,12 @@ def class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rollup_without_multiple(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """By region without customers' segments that lie in several, and the total with them."""
-    seg = table(spark, sf_dir, "customer").groupBy("c_mktsegment").agg(F.size(F.collect_set(F.col("c_nationkey") % 25)).alias("n_nations"), F.count(F.lit(1)).alias("n"))
-    named = seg.withColumn("region", F.when(F.col("n_nations") > 24, "multiple").otherwise("some"))
-    by = named.where("region <> 'multiple'").groupBy("region").agg(F.sum("n").alias("n"))
-    return by.unionByName(named.agg(F.lit("all").alias("region"), F.sum("n").alias("n")))
+    """Orders by the region of their suppliers, without those of several, and the total with them."""
+    line, sup, nation = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
+    regions = line.select("l_orderkey", "l_suppkey").join(sup, F.col("l_suppkey") == F.col("s_suppkey")).join(nation, F.col("s_nationkey") == F.col("n_nationkey")).groupBy("l_orderkey").agg(F.collect_set("n_regionkey").alias("r"))
+    named = regions.select(F.when(F.size("r") > 1, "multiple").otherwise(F.get("r", F.lit(0)).cast("string")).alias("region"))
+    by = named.where("region <> 'multiple'").groupBy("region").agg(F.count(F.lit(1)).alias("n"))
+    return by.unionByName(named.agg(F.lit("all").alias("region"), F.count(F.lit(1)).alias("n")))
 
 
 def set_valued_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,7 +254,7 @@ ORACLES = {
     "iqr_quantiles": "SELECT l_returnflag, quantile_cont(l_quantity, 0.05) AS p5, quantile_cont(l_quantity, 0.25) AS p25, quantile_cont(l_quantity, 0.5) AS p50, quantile_cont(l_quantity, 0.75) AS p75, quantile_cont(l_quantity, 0.95) AS p95, quantile_cont(l_quantity, 0.75) - quantile_cont(l_quantity, 0.25) AS iqr FROM lineitem GROUP BY l_returnflag",
     "hist20": "SELECT CAST(least(floor(l_quantity / 50 * 20), 19) AS INT) AS bin, count(*) AS n FROM lineitem GROUP BY 1",
     "class_counts": "SELECT CASE WHEN l_quantity < 10 THEN 0 WHEN l_quantity < 20 THEN 1 WHEN l_quantity < 30 THEN 2 WHEN l_quantity < 40 THEN 3 ELSE 4 END AS class, count(*) AS n FROM lineitem GROUP BY 1",
-    "rollup_without_multiple": "WITH s AS (SELECT c_mktsegment, count(DISTINCT c_nationkey % 25) AS k, count(*) AS n FROM customer GROUP BY 1) SELECT 'some' AS region, CAST(sum(n) AS BIGINT) AS n FROM s WHERE k <= 24 HAVING count(*) > 0 UNION ALL SELECT 'all', CAST(sum(n) AS BIGINT) FROM s",
+    "rollup_without_multiple": "WITH s AS (SELECT l_orderkey, count(DISTINCT n_regionkey) AS k, min(n_regionkey) AS r FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey GROUP BY l_orderkey) SELECT CAST(r AS VARCHAR) AS region, count(*) AS n FROM s WHERE k = 1 GROUP BY r UNION ALL SELECT 'all', count(*) FROM s",
     "set_valued_groups": "SELECT l_partkey, count(DISTINCT n_regionkey) AS n_regions, CASE WHEN count(DISTINCT n_regionkey) > 1 THEN 'multiple' ELSE CAST(min(n_regionkey) AS VARCHAR) END AS region FROM lineitem JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey GROUP BY l_partkey",
     "duplicate_keys_dropped": f"WITH {FACT} SELECT o_custkey, d, o_orderkey FROM (SELECT o_custkey, d, o_orderkey, count(*) OVER (PARTITION BY o_custkey, d) AS n FROM fact) z WHERE n = 1",
     "ledger_merge": f"WITH {FACT}, a AS (SELECT d, count(*) AS n, 'ok' AS status FROM fact WHERE nation = 'NATION_6' GROUP BY d), b AS (SELECT d, count(*) AS n, 'again' AS status FROM fact WHERE nation = 'NATION_7' GROUP BY d), m AS (SELECT * FROM b UNION ALL SELECT * FROM a WHERE d NOT IN (SELECT d FROM b)) SELECT d, n, status FROM m UNION ALL SELECT DISTINCT d, NULL, 'downloaded' FROM fact WHERE nation = 'NATION_18' AND d NOT IN (SELECT d FROM m)",
