@@ -98,3 +98,40 @@ def change_date(rows: DataFrame, key: Sequence[str], date: str, value: str, old:
     """Last day that reads the old value and first that reads the new one, with the days that read neither."""
     is_old, is_new = (F.abs(F.col(value) - F.col(x)) <= eps * F.abs(F.col(x)) for x in (old, new))
     return rows.groupBy(*key).agg(F.max(F.when(is_old, F.col(date))).alias("last_old"), F.min(F.when(is_new, F.col(date))).alias("first_new"), F.count_if(~is_old & ~is_new).alias("n_neither"))
+
+
+def change_bracket(rows: DataFrame, key: Sequence[str], date: str, value: str, old: str, new: str, eps: float = CAPACITY_EPS) -> DataFrame:
+    """Where a value changed from old to new, and how far that can be said: key, last_old, first_new, n_third, n_unread, n_absent, verdict.
+
+    n_third and n_unread count the days between the two that read another value, or nothing; n_absent the days without a row.
+    verdict, the first that holds: never_new, never_old, old_again (the old value is read on or after the first day of the new),
+    third_value, exact (no day between), else bracket. Days without a date don't count.
+    """
+    near = lambda x: F.coalesce(F.abs(F.col(value) - F.col(x)) <= eps * F.abs(F.col(x)), F.lit(False))
+    day = F.col(date)
+    ends = rows.where(day.isNotNull()).groupBy(*key).agg(F.max(F.when(near(old), day)).alias("last_old"), F.min(F.when(near(new), day)).alias("first_new"))
+    names = [F.col(k).alias(f"__k{n}") for n, k in enumerate(key)]
+    on = (day > F.col("__from")) & (day < F.col("__to"))
+    for n, k in enumerate(key):
+        on = on & F.col(k).eqNullSafe(F.col(f"__k{n}"))
+    inner = rows.join(ends.where("last_old < first_new").select(*names, F.col("last_old").alias("__from"), F.col("first_new").alias("__to")), on)
+    between = inner.groupBy(*(F.col(k).alias(f"__k{n}") for n, k in enumerate(key))).agg(
+        F.count_distinct(F.when(F.col(value).isNotNull(), day)).alias("n_third"),
+        F.count_distinct(F.when(F.col(value).isNull(), day)).alias("n_unread"),
+        F.count_distinct(day).alias("__days"),
+    )
+    same = F.lit(True)
+    for n, k in enumerate(key):
+        same = same & F.col(k).eqNullSafe(F.col(f"__k{n}"))
+    gap = F.datediff("first_new", "last_old") - 1
+    count = lambda c: F.coalesce(c, F.lit(0)).cast("long")
+    verdict = (
+        F.when(F.col("first_new").isNull(), "never_new")
+        .when(F.col("last_old").isNull(), "never_old")
+        .when(F.col("last_old") >= F.col("first_new"), "old_again")
+        .when(count(F.col("n_third")) > 0, "third_value")
+        .when(gap == 0, "exact")
+        .otherwise("bracket")
+    )
+    absent = F.when(F.col("last_old") < F.col("first_new"), gap - count(F.col("__days"))).otherwise(0).cast("long")
+    return ends.join(between, same, "left").select(*key, "last_old", "first_new", count(F.col("n_third")).alias("n_third"), count(F.col("n_unread")).alias("n_unread"), F.coalesce(absent, F.lit(0)).alias("n_absent"), verdict.alias("verdict"))

@@ -49,6 +49,12 @@ def change_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capacity.change_date(rows, ["l_partkey"], "d", "v", "old", "new")
 
 
+def change_bracket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Between which days a part's discount turned from one value to another, and whether that can be said; some days are unread."""
+    rows = _lines(spark, sf_dir).withColumn("v", F.when(F.col("l_orderkey") % 3 != 0, F.col("v"))).withColumn("old", F.lit(0.02)).withColumn("new", F.lit(0.05))
+    return capacity.change_bracket(rows, ["l_partkey"], "d", "v", "old", "new")
+
+
 def folded_capacity_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of each part and season from summaries of three sets of days, merged: the same as from all rows at once."""
     lines = _lines(spark, sf_dir)
@@ -57,7 +63,7 @@ def folded_capacity_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(*KEY, "capacity_class", F.col("capacity").alias("season_capacity"), "n_days", "n_values", "n_major", "n_minor")
 
 
-QUERIES = {f.__name__: f for f in (capacity_runs, season_capacity_class, near_equal_clusters, restatements, change_date, folded_capacity_class)}
+QUERIES = {f.__name__: f for f in (capacity_runs, season_capacity_class, near_equal_clusters, restatements, change_date, change_bracket, folded_capacity_class)}
 
 _LINES = """li AS (SELECT l_partkey, l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS d, CAST(EXTRACT(year FROM l_shipdate) AS INT) AS season, l_discount AS v FROM lineitem WHERE EXTRACT(month FROM l_shipdate) BETWEEN 6 AND 10),
  st AS (SELECT *, CASE WHEN v = lag(v) OVER (PARTITION BY l_partkey, season ORDER BY d, l_orderkey, l_linenumber) THEN 0 ELSE 1 END AS s FROM li),
@@ -87,3 +93,9 @@ ORACLES["folded_capacity_class"] = ORACLES["season_capacity_class"].replace(
     "SELECT l_partkey, l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS d, CAST(EXTRACT(year FROM l_shipdate) AS INT) AS season, l_discount AS v FROM lineitem WHERE EXTRACT(month FROM l_shipdate) BETWEEN 6 AND 10",
     "SELECT l_partkey, 0 AS l_orderkey, 0 AS l_linenumber, CAST(l_shipdate AS DATE) AS d, CAST(EXTRACT(year FROM l_shipdate) AS INT) AS season, min(l_discount) AS v FROM lineitem WHERE EXTRACT(month FROM l_shipdate) BETWEEN 6 AND 10 GROUP BY ALL",
 )
+ORACLES["change_bracket"] = """WITH r AS (SELECT l_partkey, CAST(l_shipdate AS DATE) AS d, CASE WHEN l_orderkey % 3 <> 0 THEN l_discount END AS v FROM lineitem WHERE EXTRACT(month FROM l_shipdate) BETWEEN 6 AND 10),
+ n AS (SELECT *, COALESCE(abs(v - CAST(0.02 AS DOUBLE)) <= CAST(0.005 AS DOUBLE) * CAST(0.02 AS DOUBLE), FALSE) AS o, COALESCE(abs(v - CAST(0.05 AS DOUBLE)) <= CAST(0.005 AS DOUBLE) * CAST(0.05 AS DOUBLE), FALSE) AS w FROM r),
+ e AS (SELECT l_partkey, max(CASE WHEN o THEN d END) AS last_old, min(CASE WHEN w THEN d END) AS first_new FROM n GROUP BY 1),
+ b AS (SELECT n.l_partkey, count(DISTINCT CASE WHEN v IS NOT NULL THEN d END) AS third, count(DISTINCT CASE WHEN v IS NULL THEN d END) AS unread, count(DISTINCT d) AS days FROM n JOIN e ON e.l_partkey = n.l_partkey AND d > last_old AND d < first_new GROUP BY 1)
+ SELECT e.l_partkey, last_old, first_new, COALESCE(third, 0) AS n_third, COALESCE(unread, 0) AS n_unread, CAST(CASE WHEN last_old < first_new THEN first_new - last_old - 1 - COALESCE(days, 0) ELSE 0 END AS BIGINT) AS n_absent,
+ CASE WHEN first_new IS NULL THEN 'never_new' WHEN last_old IS NULL THEN 'never_old' WHEN last_old >= first_new THEN 'old_again' WHEN COALESCE(third, 0) > 0 THEN 'third_value' WHEN first_new - last_old = 1 THEN 'exact' ELSE 'bracket' END AS verdict FROM e LEFT JOIN b ON b.l_partkey = e.l_partkey"""

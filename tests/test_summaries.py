@@ -75,3 +75,13 @@ def test_a_day_is_folded_into_its_season_alone(spark, tmp_path):
     assert rows_of(spark.read.parquet(path).select(*KEY, *summaries.RUN)) == rows_of(summaries.summarize(frame(changed), KEY, "d", "v"))
     assert summaries.add_day(spark, path, frame(rows).limit(0), KEY, "d", "v", "season").count() == 0
     assert rows_of(summaries.classify(spark.read.parquet(path).select(*KEY, *summaries.RUN), KEY)) == rows_of(capacity.classify(frame(changed), KEY, ["d"], "v")) and F
+
+
+def test_where_a_value_changed_and_how_far_that_can_be_said(spark):
+    """Exact, with unread and absent days between, a third value, the old one again, and values that never come."""
+    series = {
+        "exact": {0: 1.0, 1: 1.0, 2: 2.0}, "bracket": {0: 1.0, 1: None, 4: 2.0, 5: None}, "third": {0: 1.0, 1: 7.0, 2: None, 3: 2.0}, "again": {0: 1.0, 1: 2.0, 2: 1.0}, "never_new": {0: 1.0, 1: None}, "never_old": {0: None, 1: 2.0}, "near": {0: 1.001, 1: 1.999},
+    }
+    rows = [(k, DAY + datetime.timedelta(n), v, 1.0, 2.0) for k, days in series.items() for n, v in days.items()] + [("exact", None, 1.0, 1.0, 2.0), (None, DAY, 1.0, 1.0, 2.0)]
+    got = {r["k"]: (r["n_third"], r["n_unread"], r["n_absent"], r["verdict"]) for r in capacity.change_bracket(spark.createDataFrame(rows, "k string, d date, v double, o double, w double"), ["k"], "d", "v", "o", "w").collect()}
+    assert got == {"exact": (0, 0, 0, "exact"), "bracket": (0, 1, 2, "bracket"), "third": (1, 1, 0, "third_value"), "again": (0, 0, 0, "old_again"), "never_new": (0, 0, 0, "never_new"), "never_old": (0, 0, 0, "never_old"), "near": (0, 0, 0, "exact"), None: (0, 0, 0, "never_new")}
