@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from rillflow import config
 from rillflow.functions import names, numeric, seasons, text
 from rillflow.operators import baseline, capacity, crossover, document, integrity, model
+from rillflow.plans.journal import Journal
 from rillflow.session import written
 from rillflow.sources import daily, layouts
 
@@ -294,6 +295,42 @@ def update_day(spark: SparkSession, rows: DataFrame, path: str, *, rain: str = "
     return star
 
 
+def resume_update(spark: SparkSession, rows: DataFrame, path: str, journal: str, out_dir: str, *, rain: str = "", today: str, top: int = 20, acknowledged: DataFrame | None = None, **checks) -> dict[str, int]:
+    """A load in steps that a journal remembers: load (verified days written), gates, report (worst and orphans as CSV).
+
+    A run that died goes on with the step it died in, and one that is done does nothing; rows that differ in anything are
+    another load. A gate that trips leaves a halt, and nothing runs until Journal.lift(). checks are those of load_days().
+    Each step's number: rows loaded, capacities classified, schemes ranked.
+    """
+    book = Journal(spark, journal)
+    # the same rows in any order have the same sums
+    mark = rows.select(F.xxhash64(*rows.columns).alias("h")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.pmod("h", F.lit(1_000_000_007))).alias("a"), F.sum(F.pmod("h", F.lit(998_244_353))).alias("b")).first()
+    key = {"path": path, "rows": [mark["n"], mark["a"], mark["b"]]}
+
+    def load() -> int:
+        verdicts = load_days(rows, path, **checks)
+        bad = verdicts.where(F.size("problems") > 0).orderBy("report_date").limit(5).collect()
+        if bad:
+            raise integrity.GateError(f"unverified days: {[(str(r[0]), [p['check'] for p in r['problems']]) for r in bad]}", 4)
+        return mark["n"]
+
+    def gates() -> int:
+        star = build_star(spark, path, rain)
+        found, _ = check_capacity(star.storage, acknowledged)
+        check_rainfall(star.storage, star.rain)
+        return found.count()
+
+    def report() -> int:
+        star = build_star(spark, path, rain)
+        caps, _ = check_capacity(star.storage, acknowledged)
+        out = report_deviation(star.storage, caps, today, top=top)
+        daily.write_csv(out["worst"].select("scheme_id", "deviation", "live_deviation", "ranked_by"), f"{out_dir}/worst.csv")
+        daily.write_csv(out["orphans"], f"{out_dir}/orphans.csv")
+        return out["today"].count()
+
+    return {"load": book.step("load", key, load), "gates": book.step("gates", key, gates), "report": book.step("report", {**key, "today": today, "top": top}, report)}
+
+
 def run_pipeline(spark: SparkSession, storage: str, rain: str = "", *, date: str | None = None, top: int = 20, acknowledged: DataFrame | None = None, out_dir: str | None = None, after: Sequence[Callable[[Star], None]] = ()) -> tuple[dict[str, DataFrame], DataFrame]:
     """Star schema, both gates, report and document, in order; the first gate that trips halts the rest."""
     star = build_star(spark, storage, rain)

@@ -152,3 +152,40 @@ def test_live_figures_rank_where_every_scheme_has_them(spark, tmp_path):
     some = rows.withColumn("present_live_mcm", F.when((F.col("scheme_id") == 2) & (F.col("report_date") == "2024-07-10"), None).otherwise(F.col("present_live_mcm")))
     report = job.report_deviation(some, caps, "2024-07-10")
     assert {r["ranked_by"] for r in report["worst"].collect()} == {"deviation"} and report["worst"].count() == 3
+
+
+def test_a_load_that_dies_goes_on(spark, tmp_path, monkeypatch):
+    """Killed in each step in turn, and halted by a gate: the end is that of an undisturbed run."""
+    archive(spark).where("report_date >= '2023-07-01' and day(report_date) in (1, 5, 10)").write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    run = lambda at, rows=rows: job.resume_update(spark, rows, f"{tmp_path}/{at}/days", f"{tmp_path}/{at}/journal", f"{tmp_path}/{at}/out", today="2024-07-10", expected=3)
+    state = lambda at: (sorted(map(str, spark.read.parquet(f"{tmp_path}/{at}/days").collect())), sorted(map(str, spark.read.csv(f"{tmp_path}/{at}/out/worst.csv").collect())))
+    want = run("whole")
+    assert want == {"load": rows.count(), "gates": 6, "report": 3}
+
+    class Killed(Exception):
+        pass
+
+    for k, name in enumerate(("load_days", "check_rainfall", "report_deviation")):
+        real, calls = getattr(job, name), []
+
+        def dies(*a, real=real, calls=calls, **b):
+            calls.append(1)
+            out = real(*a, **b)
+            if len(calls) == 1:
+                raise Killed
+            return out
+
+        monkeypatch.setattr(job, name, dies)
+        with pytest.raises(Killed):
+            run(f"killed-{k}")
+        assert run(f"killed-{k}") == want and state(f"killed-{k}") == state("whole") and len(calls) == 2
+        monkeypatch.setattr(job, name, real)
+    short = rows.where("not (scheme_id = 3 and report_date = '2024-07-05')")
+    with pytest.raises(GateError) as error:
+        run("halted", short)
+    assert error.value.code == 4
+    with pytest.raises(GateError, match="halted at load"):
+        run("halted")
+    job.Journal(spark, f"{tmp_path}/halted/journal").lift()
+    assert run("halted") == want and state("halted") == state("whole")
