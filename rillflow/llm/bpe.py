@@ -1,8 +1,9 @@
 """Byte-level BPE encoding and decoding with the ranks of a public vocabulary.
 
-Spark's higher-order functions fold the ranked merges over the byte arrays of distinct words, with the ranks as a literal
-map: that makes the dictionary of the most frequent words. Texts are then split and looked up in one Arrow pass, which
-folds the same merges for words outside the dictionary. Decoding concatenates the binary pieces of the ids.
+Spark's higher-order functions fold the ranked merges over the bytes of distinct words, with the ranks as a literal table. An
+Arrow pass splits texts and numbers their words, new ones listed; Spark folds what is listed; a second Arrow pass puts the ids
+in the words' places. A dictionary of frequent words, folded alike, spares most repetitions. Decoding concatenates the binary
+pieces of the ids.
 """
 
 from __future__ import annotations
@@ -10,14 +11,15 @@ from __future__ import annotations
 import base64
 import hashlib
 import json
-import uuid
 import zlib
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -26,8 +28,14 @@ from .common import arrow_pass, stored
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Words in the dictionary, texts it is chosen from, and words a worker remembers beside it. None of these changes an id.
 DICTIONARY, DICTIONARY_TEXTS, REMEMBERED = 32_768, 4096, 400_000
-#: Parts of the literal rank map: a look-up in one map literal compares key by key.
-_PARTS = 16_384
+#: Words of more code points are cut where no piece of the vocabulary crosses; parts of more bytes are folded by rounds.
+LONG, ROUNDS = 64, 128
+#: Code points that a task remembers, and places of words that it turns into ids at once.
+_REMEMBERED_CHARS, _PLACES = 1 << 24, 1 << 20
+#: Places and buckets of the literal table of pairs, and buckets of that of whole words.
+_SLOTS, _BUCKETS, _WHOLE = 1 << 17, 49_999, 16_384
+#: Ids have 20 bits; the highest of them is no rank.
+_SHIFT, _NO_RANK = 1 << 20, (1 << 20) - 1
 
 
 @lru_cache(maxsize=4)
@@ -37,58 +45,141 @@ def ranks(path: str | None = None) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
 
 
-def rank_map(table: dict[bytes, int]) -> Column:
-    """The ranks as a literal: an array of maps from hexadecimal digits of a piece to its rank, by crc32 of the digits."""
-    parts: list[dict[str, int]] = [{} for _ in range(_PARTS)]
-    for piece, rank in table.items():
-        digits = piece.hex()
-        parts[zlib.crc32(digits.encode()) % _PARTS][digits] = rank
-    return F.from_json(F.lit(json.dumps(parts)), "array<map<string,int>>")
+def _placed(pairs: dict[int, int]) -> tuple[list[int], list[int | None], list[int | None]]:
+    """Each key's place is (key % 1000003 + shift of its bucket) % size: shifts by bucket, and keys and values by place."""
+    size = _SLOTS
+    while size < 1.3 * len(pairs):
+        size *= 2
+    buckets: dict[int, list[int]] = {}
+    for key in pairs:
+        buckets.setdefault(key % _BUCKETS, []).append(key)
+    shifts, keys, values = [0] * _BUCKETS, [None] * size, [None] * size
+    for bucket, members in sorted(buckets.items(), key=lambda b: -len(b[1])):
+        bases = [k % 1_000_003 for k in members]
+        start = bucket * 7919
+        for shift in range(start, start + size):
+            places = [(b + shift) % size for b in bases]
+            if all(keys[x] is None for x in places) and len({*places}) == len(places):
+                break
+        else:
+            raise ValueError("no place for a pair")
+        shifts[bucket] = shift % size
+        for x, k in zip(places, members, strict=True):
+            keys[x], values[x] = k, pairs[k]
+    return shifts, keys, values
 
 
-def fold_merges(word: Column, table: Column) -> Column:
+def rank_map(table: dict[bytes, int]) -> Column:
+    """The ranks as a literal: of pairs of neighbours by their ids, of pairs of bytes, of whole words by their bytes, and of single bytes."""
+    if table and max(table.values()) >= _NO_RANK:
+        raise ValueError("ranks are too large")
+    pairs: dict[int, int] = {}
+    whole: list[list[str]] = [[] for _ in range(_WHOLE)]
+    ids: list[list[int]] = [[] for _ in range(_WHOLE)]
+    for piece, rank in table.items():
+        part = zlib.crc32(piece) % _WHOLE
+        whole[part].append(piece.hex())
+        ids[part].append(rank)
+        for at in range(1, len(piece)):
+            left, right = table.get(piece[:at]), table.get(piece[at:])
+            if left is not None and right is not None:
+                pairs[left * _SHIFT + right] = rank
+    shifts, keys, values = _placed(pairs)
+    two = [table.get(bytes([k >> 8, k & 255])) for k in range(1 << 16)]
+    found = {"shifts": shifts, "keys": keys, "values": values, "two": two, "whole": whole, "ids": ids, "bytes": [table.get(bytes([k])) for k in range(256)]}
+    schema = "shifts array<int>, keys array<bigint>, values array<bigint>, two array<bigint>, whole array<array<string>>, ids array<array<int>>, bytes array<bigint>"
+    return F.from_json(F.lit(json.dumps(found)), schema)
+
+
+def fold_merges(word: Column, table: Column, whole: Column | None = None) -> Column:
     """Ids of one word's UTF-8 bytes: the ranked merges, folded by higher-order functions. Null for null, empty for "".
 
-    State: the pieces so far as hexadecimal digits, and the rank of each pair of neighbours (null: none). A step joins the
-    leftmost pair of the least rank; a word of n bytes takes n - 1 steps at most.
+    State: a number for each piece so far, from its highest bits: the rank of the pair with the next piece, which is the id of
+    the joined one, where it begins, and its id. A step joins the pair of the least number, so the leftmost of the least rank;
+    a word of n bytes takes n - 1 steps at most. In words of more than ROUNDS bytes a step joins all pairs of the least rank,
+    wherever that comes to the same; their state has ids and ranks as two arrays.
+    whole: false where the word is part of a longer one, so that it isn't an id only because it is in the vocabulary.
     """
     # bound once: the literal is large, and plans and their descriptions would repeat it at each use
-    return _let(table, lambda t: _folded(word, t))
+    return _let(table, lambda t: _folded(word, t, F.lit(True) if whole is None else whole))
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _folded(word: Column, table: Column) -> Column:
-    none, all_ = F.array().cast("array<int>"), F.lit(1 << 20)
+def _folded(word: Column, table: Column, whole: Column) -> Column:
+    gone = F.lit(-1).cast("bigint")
+
+    def rank(left: Column, right: Column) -> Column:
+        key = F.shiftleft(left, 20).bitwiseOR(right)
+        place = (key % 1_000_003 + F.get(table["shifts"], key % _BUCKETS)) % F.size(table["keys"])
+        return _let(place, lambda x: F.when(F.get(table["keys"], x) == key, F.get(table["values"], x)))
+
+    def state(pieces: Column, pairs: Column) -> Column:
+        return F.struct(pieces.alias("p"), pairs.alias("r"))
+
+    def packed(pair: Column, rest: Column) -> Column:
+        return F.shiftleft(F.coalesce(pair, F.lit(_NO_RANK)), 40).bitwiseOR(rest)
+
+    def step(so_far: Column, _: Column) -> Column:
+        piece = lambda x: x.bitwiseAND(F.lit(_SHIFT - 1))
+        low = lambda x, bits: x.bitwiseAND(F.lit(bits))
+
+        def join(least: Column) -> Column:
+            new = F.shiftright(least, 40)
+            first = lambda i: packed(rank(new, piece(F.get(so_far, i + 2))), low(least, (1 << 40) - _SHIFT).bitwiseOR(new))
+            before = lambda x: packed(rank(piece(x), new), low(x, (1 << 40) - 1))
+            found = F.transform(so_far, lambda x, i: F.when(x == least, first(i)).when(F.get(so_far, i + 1) == least, before(x)).when(F.get(so_far, i - 1) == least, gone).otherwise(x))
+            return F.array_remove(found, gone)
+
+        return _let(F.array_min(so_far), lambda m: F.when(m < (_NO_RANK << 40), join(m)).otherwise(so_far))
+
+    def all_at_once(so_far: Column, _: Column) -> Column:
+        pieces, pairs = so_far["p"], so_far["r"]
+
+        def joined(least: Column, here: Column) -> Column:
+            marked = F.transform(pieces, lambda x, i: F.when(F.get(here, i), least).when(F.coalesce(F.get(here, i - 1), F.lit(False)), F.lit(-1).cast("bigint")).otherwise(x))
+            return _let(F.filter(marked, lambda x: x >= 0), lambda p: state(p, neighbours(p)))
+
+        def round_(least: Column) -> Column:
+            # of pairs that overlap, the first, third and so on
+            marks = F.array_join(F.transform(pairs, lambda r: F.when(r == least, F.lit("1")).otherwise(F.lit("0"))), "")
+            every = F.transform(F.split(F.regexp_replace(marks, "11", "10"), ""), lambda c: c == "1")
+
+            def checked(here: Column) -> Column:
+                # one by one it comes to the same unless a join makes a pair of lower rank, be it for a while
+                between = F.array_min(F.transform(here, lambda h, i: F.when(h, rank(least, F.get(pieces, i + 2)))))
+                first = F.array_position(pairs, least).cast("int") - 1
+                alike = lambda new: F.coalesce(F.least(between, F.array_min(new["r"])) > least, F.lit(True))
+                return _let(joined(least, here), lambda new: F.when(alike(new), new).otherwise(joined(least, F.transform(pairs, lambda _, i: i == first))))
 
-    def rank(piece: Column) -> Column:
-        return F.element_at(F.element_at(table, F.pmod(F.crc32(piece), F.lit(_PARTS)).cast("int") + 1), piece)
+            return _let(every, checked)
 
-    def step(state: Column, _: Column) -> Column:
-        pieces, pairs = state["p"], state["r"]
+        # once there is nothing to join, no later step looks at the pieces
+        ended = state(pieces, F.array().cast("array<bigint>"))
+        return F.when(F.size(pairs) == 0, so_far).otherwise(_let(F.array_min(pairs), lambda m: F.when(m.isNull(), ended).otherwise(round_(m))))
 
-        def join(at: Column) -> Column:
-            def rest(joined: Column) -> Column:
-                left = F.when(at > 1, F.array(rank(F.concat(F.element_at(pieces, F.greatest(at - 1, F.lit(1))), joined)))).otherwise(none)
-                right = F.when(at + 1 < F.size(pieces), F.array(rank(F.concat(joined, F.element_at(pieces, F.least(at + 2, F.size(pieces))))))).otherwise(none)
-                return F.struct(
-                    F.concat(F.slice(pieces, 1, at - 1), F.array(joined), F.slice(pieces, at + 2, all_)).alias("p"),
-                    F.concat(F.slice(pairs, 1, F.greatest(at - 2, F.lit(0))), left, right, F.slice(pairs, at + 2, all_)).alias("r"),
-                )
+    def neighbours(pieces: Column) -> Column:
+        return F.transform(pieces, lambda x, i: rank(x, F.get(pieces, i + 1)))
 
-            return _let(F.concat(F.element_at(pieces, at), F.element_at(pieces, at + 1)), rest)
+    def start(digits: Column) -> Column:
+        steps = F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1)))
+        # each byte as one character, so that strings are split by bytes
+        codes = F.transform(F.split(F.decode(F.encode(word, "utf-8"), "iso-8859-1"), ""), F.ascii)
 
-        return F.when(F.array_min(pairs).isNull(), state).otherwise(_let(F.array_position(pairs, F.array_min(pairs)).cast("int"), join))
+        id_ = lambda x: F.get(table["bytes"], x)
+        two = lambda c, x, i: F.get(table["two"], x * 256 + F.get(c, i + 1))
+        row = lambda c: F.transform(c, lambda x, i: packed(two(c, x, i), F.shiftleft(i.cast("bigint"), 20).bitwiseOR(id_(x))))
+        rows = lambda c: state(F.transform(c, id_), F.transform(c, lambda x, i: two(c, x, i)))
+        short = _let(codes, lambda c: F.aggregate(steps, row(c), step, lambda s: F.transform(s, lambda x: x.bitwiseAND(F.lit(_SHIFT - 1)))))
+        long = _let(codes, lambda c: F.aggregate(steps, rows(c), all_at_once, lambda s: s["p"]))
+        known = F.get(F.get(table["ids"], part), F.array_position(F.get(table["whole"], part), digits) - 1)
+        folded = F.when(n <= ROUNDS, short).otherwise(long).cast("array<int>")
+        return _let(F.when(whole, known), lambda k: F.when(k.isNotNull(), F.array(k)).otherwise(folded))
 
-    digits, n = F.lower(F.hex(F.encode(word, "utf-8"))), F.octet_length(word)
-    places = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
-    first = F.transform(places, lambda i: F.substring(digits, 2 * i - 1, F.lit(2)))
-    pairs = F.when(n > 1, F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: rank(F.substring(digits, 2 * i - 1, F.lit(4))))).otherwise(none)
-    start = F.struct(first.alias("p"), pairs.alias("r"))
-    folded = F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), start, step, lambda s: F.transform(s["p"], rank))
-    return F.when(word.isNull(), F.lit(None)).when(n == 0, none).when(rank(digits).isNotNull(), F.array(rank(digits))).otherwise(folded)
+    n, part = F.octet_length(word), F.crc32(F.encode(word, "utf-8")) % _WHOLE
+    return F.when(word.isNull(), F.lit(None)).when(n == 0, F.array().cast("array<int>")).otherwise(_let(F.lower(F.hex(F.encode(word, "utf-8"))), start))
 
 
 def decode(ids: Column, path: str | None = None) -> Column:
@@ -101,11 +192,9 @@ def decode(ids: Column, path: str | None = None) -> Column:
 
 
 def merged(piece: bytes, table: dict[bytes, int]) -> list[int]:
-    """Ids of a piece of text by the same fold, for words outside the dictionary."""
+    """Ids of a piece of text by the same fold in plain Python, to compare with; encode() doesn't use it."""
     if (whole := table.get(piece)) is not None:
         return [whole]
-    if len(piece) > 128:
-        return _merged_long(piece, table)
     parts = [piece[k : k + 1] for k in range(len(piece))]
     none = 1 << 30
     pairs = [table.get(piece[k : k + 2], none) for k in range(len(piece) - 1)]
@@ -120,45 +209,86 @@ def merged(piece: bytes, table: dict[bytes, int]) -> list[int]:
     return [table[p] for p in parts]
 
 
-def _merged_long(piece: bytes, table: dict[bytes, int]) -> list[int]:
-    """merged() with a heap, in n log n: a run of one character can be as long as a text."""
-    from heapq import heapify, heappop, heappush
-
-    n = len(piece)
-    end, before, after = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
-    alive = [True] * n
-    heap = [(r, k, k + 2) for k in range(n - 1) if (r := table.get(piece[k : k + 2])) is not None]
-    heapify(heap)
-    while heap:
-        _, k, stop = heappop(heap)
-        if not alive[k] or after[k] >= n or end[after[k]] != stop:
-            continue
-        gone = after[k]
-        alive[gone], end[k], after[k] = False, stop, after[gone]
-        if after[k] < n:
-            before[after[k]] = k
-            if (r := table.get(piece[k : end[after[k]]])) is not None:
-                heappush(heap, (r, k, end[after[k]]))
-        if (p := before[k]) >= 0 and (r := table.get(piece[p:stop])) is not None:
-            heappush(heap, (r, p, stop))
-    return [table[piece[k : end[k]]] for k in range(n) if alive[k]]
-
-
-class Words(dict):
-    """Little-endian ids by word; what isn't there is folded and remembered, up to a bound."""
-
-    def __init__(self, known: dict[str, bytes], table: dict[bytes, int]):
-        super().__init__(known)
-        self.known, self.table, self.most = known, table, len(known) + REMEMBERED
+def cut(word: str, table: dict[bytes, int], longest: int) -> list[str]:
+    """The word in parts such that no piece of the vocabulary that occurs in it lies in two of them: no merge crosses a cut."""
+    raw, parts, begun, clear = word.encode(), [], 0, 0
+    for at in range(len(raw)):
+        if at and at >= clear and raw[at] & 0xC0 != 0x80:
+            parts.append(raw[begun:at].decode())
+            begun = at
+        # pieces that start here reach to clear at most
+        clear = max(clear, next((at + n for n in range(min(longest, len(raw) - at), 1, -1) if raw[at : at + n] in table), 0))
+    return [*parts, raw[begun:].decode()]
+
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= self.most:
+class Numbers(dict):
+    """Words by number. A word that isn't there gets the next one and is listed in `fresh`, to be folded; parts of long words are 1-tuples."""
+
+    def __init__(self, known: dict[str, int], table: dict[bytes, int]):
+        super().__init__(known)
+        self.known, self.table, self.longest = known, table, max(map(len, table), default=1)
+        self.fresh, self.chars, self.long = [], 0, False
+
+    def __missing__(self, word: str | tuple[str]) -> int:
+        if len(word) > LONG:
+            self.long = True
+            return 0
+        return self.add(word)
+
+    def add(self, word: str | tuple[str]) -> int:
+        number = self[word] = len(self)
+        self.fresh.append(word)
+        self.chars += len(word[0] if isinstance(word, tuple) else word)
+        return number
+
+    def forget(self) -> None:
+        """Only the known words, once others are many: between texts."""
+        if len(self) >= len(self.known) + REMEMBERED or self.chars >= _REMEMBERED_CHARS:
             self.clear()
             self.update(self.known)
-        value = np.array(merged(word.encode("utf-8", "surrogatepass"), self.table), "<u4").tobytes()
-        if len(word) <= 64:
-            self[word] = value
-        return value
+            self.chars = 0
+
+    def places(self, words: list[str]) -> list[int]:
+        self.long = False
+        found = list(map(self.__getitem__, words))
+        if not self.long:
+            return found
+        found = []
+        for word in words:
+            parts = cut(word, self.table, self.longest) if len(word) > LONG and word not in self else [word]
+            if len(parts) > 1:
+                found += [self[p] if p in self else self.add(p) for p in ((p,) for p in parts)]
+            else:
+                found.append(self[word] if word in self else self.add(word))
+        return found
+
+
+class Folded:
+    """Ids by the number of their word, as they come from the fold."""
+
+    def __init__(self, known: list[bytes]):
+        self.ids, self.ends = np.frombuffer(b"".join(known), "<i4").copy(), np.cumsum([0, *(len(k) // 4 for k in known)])
+        self.n, self.size = len(known), len(self.ids)
+
+    def put(self, at: int, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """The next words, of which the first has number `at`; what had this number or a higher one is gone."""
+        if at > self.n:
+            raise ValueError("words are missing")
+        self.n, self.size = at, int(self.ends[at])
+        if self.size + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.size], np.empty(self.size + 2 * len(ids) + 1024, "<i4")])
+        if self.n + len(sizes) >= len(self.ends):
+            self.ends = np.concatenate([self.ends[: self.n + 1], np.empty(self.n + 2 * len(sizes) + 1024, np.int64)])
+        self.ids[self.size : self.size + len(ids)] = ids
+        self.ends[self.n + 1 : self.n + 1 + len(sizes)] = self.size + np.cumsum(sizes)
+        self.n, self.size = self.n + len(sizes), self.size + len(ids)
+
+    def look(self, places: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of these words, one after the other, and where each row's begin and end; `rows` says that for places."""
+        starts = self.ends[places]
+        ends = np.concatenate([[0], np.cumsum(self.ends[places + 1] - starts)])
+        sizes = np.diff(ends)
+        return self.ids[np.repeat(starts - ends[:-1], sizes) + np.arange(ends[-1])], ends[rows]
 
 
 @lru_cache(maxsize=2)
@@ -166,10 +296,6 @@ def _splitter(pattern: str):
     return regex.compile(pattern).findall
 
 
-#: What a worker keeps from one task to the next, by the run's name.
-_KEPT: dict = {}
-
-
 def dictionary(docs: DataFrame, text: str, path: str | None, pattern: str) -> dict[str, bytes]:
     """Ids of frequent words, folded by Spark: at most DICTIONARY of them, counted in about DICTIONARY_TEXTS texts."""
     spark, java = docs.sparkSession, "(?U)" + pattern
@@ -190,33 +316,61 @@ def encode(docs: DataFrame, *keep: str, text: str = "text", path: str | None = N
     """`keep` and n_tokens of each row; with ids the ids, with digests ids_sha256 and decoded_sha256 of the decoded ids.
 
     Null and empty texts have no tokens. Each match of the pattern is encoded by itself, over the whole text, without
-    special tokens. Rows are encoded each for itself, in one pass without a shuffle. Columns not in `keep` don't matter.
+    special tokens. Rows are encoded each for itself, without a shuffle. Columns not in `keep` don't matter.
     """
     spark: SparkSession = docs.sparkSession
     table = ranks(path)
-    name = uuid.uuid4().hex
-    sent = spark.sparkContext.broadcast((dictionary(docs, text, path, pattern), table))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _KEPT:
-            _KEPT.clear()
-            known, own = sent.value
-            _KEPT[name] = Words(known, own)
-        split, look = _splitter(pattern), _KEPT[name].__getitem__
+    known = dictionary(docs, text, path, pattern)
+    sent = spark.sparkContext.broadcast(({w: k for k, w in enumerate(known)}, list(known.values()), table))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, _, own = sent.value
+        numbers, find = Numbers(known, own), _splitter(pattern)
         for batch in batches:
-            packed = [b"".join(map(look, split(t))) if t else b"" for t in batch.column(len(keep)).to_pylist()]
-            columns, names = [pa.array([len(p) // 4 for p in packed], pa.int64())], ["n_tokens"]
-            if ids or digests:
-                columns.append(pa.array([np.frombuffer(p, "<i4") for p in packed], pa.list_(pa.int32())))
-                names.append("ids")
-            if digests:
-                columns.append(pa.array([hashlib.sha256(p).hexdigest() for p in packed], pa.string()))
-                names.append("ids_sha256")
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *columns], names=[*batch.schema.names[: len(keep)], *names])
+            places, fresh, first = [], [], []
+            for t in batch.column(len(keep)).to_pylist():
+                numbers.forget()
+                numbers.fresh = []
+                first.append(len(numbers))
+                places.append(np.array(numbers.places(find(t)), "<u4").tobytes() if t else b"")
+                fresh.append([(w[0], False) if isinstance(w, tuple) else (w, True) for w in numbers.fresh])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[: len(keep)], pa.array(places, pa.binary()), pa.array(first, pa.int32()), pa.array(fresh, pa.list_(pa.struct([("w", pa.string()), ("whole", pa.bool_())])))],
+                names=[*batch.schema.names[: len(keep)], "__places", "__first", "__fresh"],
+            )
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        folded = Folded(sent.value[1])
+        for whole in batches:
+            first = whole.column(len(keep) + 1).to_numpy()
+            fresh = pc.list_value_length(whole.column(len(keep) + 2)).to_numpy()
+            size = np.cumsum(pc.binary_length(whole.column(len(keep))).to_numpy().astype(np.int64) // 4)
+            # rows whose words are numbered on from those of the row before, and not too many places
+            again = np.flatnonzero((first[1:] != first[:-1] + fresh[:-1]) | (size[1:] // _PLACES != size[:-1] // _PLACES)) + 1
+            for a, b in zip([0, *again], [*again, whole.num_rows], strict=True):
+                batch = whole.slice(a, b - a)
+                words = batch.column(len(keep) + 2).flatten()
+                values = words.flatten()
+                if words.null_count or values.null_count:
+                    raise ValueError("the vocabulary lacks a byte")
+                folded.put(int(first[a]), values.to_numpy(), pc.list_value_length(words).to_numpy())
+                packed = batch.column(len(keep)).to_pylist()
+                found, at = folded.look(np.frombuffer(b"".join(packed), "<u4").astype(np.int64), np.cumsum([0, *(len(p) // 4 for p in packed)]))
+                columns, names = [pa.array(np.diff(at), pa.int64())], ["n_tokens"]
+                if ids or digests:
+                    columns.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(found, pa.int32())))
+                    names.append("ids")
+                if digests:
+                    columns.append(pa.array([hashlib.sha256(found[i:j]).hexdigest() for i, j in pairwise(at)], pa.string()))
+                    names.append("ids_sha256")
+                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *columns], names=[*batch.schema.names[: len(keep)], *names])
 
     plain = docs.select(*(F.col(c) for c in keep), F.col(text).alias("__text"))
-    schema = [*(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema[:-1]), "n_tokens long"] + ["ids array<int>"] * (ids or digests) + ["ids_sha256 string"] * digests
-    found = arrow_pass(plain, run, ", ".join(schema))
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema[:-1]]
+    cut_up = arrow_pass(plain, split, ", ".join([*kept, "__places binary", "__first int", "__fresh array<struct<w:string,whole:boolean>>"]))
+    fold = _let(rank_map(table), lambda t: F.transform("__fresh", lambda x: _folded(x["w"], t, x["whole"])))
+    schema = [*kept, "n_tokens long"] + ["ids array<int>"] * (ids or digests) + ["ids_sha256 string"] * digests
+    found = arrow_pass(cut_up.select(*keep, "__places", "__first", fold.alias("__fresh")), join, ", ".join(schema))
     if not digests:
         return found
     found = found.withColumn("decoded_sha256", F.sha2(decode(F.col("ids"), path), 256))

@@ -349,6 +349,51 @@ def test_words_outside_the_dictionary_are_folded_alike(spark, monkeypatch, name,
         assert list(r["ids"]) == encoding.encode_ordinary(texts[r["doc_id"]]) and r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
 
 
+def test_every_word_is_folded_by_spark(spark, monkeypatch):
+    """With a table of single bytes for the fold, all ids are of single bytes: no other code makes ids."""
+    bytes_ = {k: v for k, v in bpe.ranks().items() if len(k) == 1}
+    whole = bpe.rank_map
+    monkeypatch.setattr(bpe, "rank_map", lambda table: whole(bytes_))
+    monkeypatch.setattr(bpe, "DICTIONARY", 8)
+    docs = table(spark, "/root/testdata/sf0.001", "documents").limit(50)
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.select("doc_id", "text").collect()}
+    for r in bpe.encode(docs, "doc_id").collect():
+        assert list(r["ids"]) == [bytes_[bytes([b])] for b in texts[r["doc_id"]].encode()]
+
+
+def test_long_words_are_cut_and_folded_alike(spark):
+    encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.ranks(), special_tokens={})
+    rng = random.Random(2)
+    words = ["a" * 50_000, " " * 3001 + "x", "=-" * 2000, "na" * 1500] + ["".join(rng.choice(a) for _ in range(3000)) for a in ("acgt", "abcdefghijklmnopqrstuvwxyz", "éèçàù", "漢字語文本日", "=-#*")]
+    docs = spark.createDataFrame([(k, f"{w} {w[:200]} end") for k, w in enumerate([*words, *words])], "doc_id long, text string")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in bpe.encode(docs, "doc_id", digests=True).collect():
+        assert list(r["ids"]) == encoding.encode_ordinary(texts[r["doc_id"]])
+        assert r["decoded_sha256"] == hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest()
+    parts = bpe.cut(words[5], bpe.ranks(), 33)
+    assert "".join(parts) == words[5] and len(parts) > 10 and [i for p in parts for i in bpe.merged(p.encode(), bpe.ranks())] == encoding.encode_ordinary(words[5])
+
+
+def test_words_that_a_task_forgets_are_numbered_again(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 3)
+    table_, rng = bpe.ranks(), random.Random(3)
+    of = lambda words: [np.array(bpe.merged(w.encode(), table_), "<i4") for w in words]
+    known = ["the", " zq"]
+    numbers, folded = bpe.Numbers({w: k for k, w in enumerate(known)}, table_), bpe.Folded([i.tobytes() for i in of(known)])
+    firsts = []
+    for _ in range(200):
+        words = [rng.choice(["the", " zq", "xyzzy", " plugh", "qqq", "wvw", "b", "zz zz"]) for _ in range(rng.randint(1, 6))]
+        numbers.forget()
+        numbers.fresh = []
+        firsts.append(len(numbers))
+        places = numbers.places(words)
+        fresh = of(numbers.fresh)
+        folded.put(firsts[-1], np.concatenate([np.empty(0, "<i4"), *fresh]), np.array([len(f) for f in fresh], np.int64))
+        found, at = folded.look(np.array(places), np.array([0, len(places)]))
+        assert found.tolist() == np.concatenate(of(words)).tolist() and at.tolist() == [0, len(found)]
+    assert firsts.count(2) > 5 and max(firsts) < 12
+
+
 def test_large_shards_are_several_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(sharding, "FILE_ROWS", 100)
     docs = spark.range(1500).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'en' AS lang", "if(id % 3 = 0, 'a', 'b') AS source", "1L AS n_chars")
