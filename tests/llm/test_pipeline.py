@@ -84,3 +84,14 @@ def test_the_least_of_rows_that_repeat_an_id_stays(spark, sf):
     for parts in (1, 5):
         got = {r["doc_id"]: r["text"] for r in keep(spark, spark.createDataFrame(rows, SCHEMA).repartition(parts), sf).collect()}
         assert got == {1: min(r[1] for r in rows[:9]), 2: line[::-1]}
+
+
+def test_encoding_stage_folds_every_word_in_spark(spark, sf, monkeypatch):
+    """With a table of single bytes for the fold, all ids of the stage are of single bytes."""
+    bytes_ = {k: v for k, v in bpe.ranks().items() if len(k) == 1}
+    whole = bpe.rank_map
+    monkeypatch.setattr(bpe, "rank_map", lambda table: whole(bytes_))
+    monkeypatch.setattr(bpe, "DICTIONARY", 1)
+    docs = spark.createDataFrame([(1, "unwonted words, unwonted", "en", "s", 24), (2, None, "en", "s", None)], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r["ids"] for r in corpus_pipeline.encode_texts(spark, docs, sf).collect()}
+    assert list(got[1]) == [bytes_[bytes([b])] for b in b"unwonted words, unwonted"] and list(got[2]) == []
