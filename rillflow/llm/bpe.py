@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding with the ranks of a public vocabulary.
 
-Spark's higher-order functions fold the ranked merges over the bytes of distinct words, with the ranks as a literal table. An
-Arrow pass splits texts and numbers their words, new ones listed; Spark folds what is listed; a second Arrow pass puts the ids
-in the words' places. A dictionary of frequent words, folded alike, spares most repetitions. Decoding concatenates the binary
+Spark's higher-order functions fold the ranked merges over the bytes of distinct words, with the ranks as arrays. An
+Arrow pass splits texts and numbers their words, new ones listed, a row for each batch of texts; Spark joins that with the one
+row of the ranks and folds what is listed; a second Arrow pass puts the ids in the words' places. A dictionary of frequent words, folded alike, spares most repetitions. Decoding concatenates the binary
 pieces of the ids.
 """
 
@@ -12,9 +12,10 @@ import base64
 import hashlib
 import json
 import zlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import pairwise
+from itertools import chain, pairwise
 
 import numpy as np
 import public_tokenizers
@@ -27,11 +28,13 @@ from .common import arrow_pass, stored
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Words in the dictionary, texts it is chosen from, and words a worker remembers beside it. None of these changes an id.
-DICTIONARY, DICTIONARY_TEXTS, REMEMBERED = 32_768, 4096, 400_000
+DICTIONARY, DICTIONARY_TEXTS, REMEMBERED = 262_144, 32_768, 400_000
 #: Words of more code points are cut where no piece of the vocabulary crosses; parts of more bytes are folded by rounds.
 LONG, ROUNDS = 64, 128
 #: Code points that a task remembers, and places of words that it turns into ids at once.
 _REMEMBERED_CHARS, _PLACES = 1 << 24, 1 << 20
+#: Groups of the dictionary's words, and rows of one Arrow batch of their counts.
+_PACKS, _SLICE = 1024, 1 << 16
 #: Places and buckets of the literal table of pairs, and buckets of that of whole words.
 _SLOTS, _BUCKETS, _WHOLE = 1 << 17, 49_999, 16_384
 #: Ids have 20 bits; the highest of them is no rank.
@@ -241,9 +244,12 @@ class Numbers(dict):
         self.chars += len(word[0] if isinstance(word, tuple) else word)
         return number
 
+    def full(self) -> bool:
+        return len(self) >= len(self.known) + REMEMBERED or self.chars >= _REMEMBERED_CHARS
+
     def forget(self) -> None:
         """Only the known words, once others are many: between texts."""
-        if len(self) >= len(self.known) + REMEMBERED or self.chars >= _REMEMBERED_CHARS:
+        if self.full():
             self.clear()
             self.update(self.known)
             self.chars = 0
@@ -266,8 +272,10 @@ class Numbers(dict):
 class Folded:
     """Ids by the number of their word, as they come from the fold."""
 
-    def __init__(self, known: list[bytes]):
-        self.ids, self.ends = np.frombuffer(b"".join(known), "<i4").copy(), np.cumsum([0, *(len(k) // 4 for k in known)])
+    def __init__(self, known: list[bytes] | pa.ListArray):
+        if not isinstance(known, pa.ListArray):
+            known = pa.array([np.frombuffer(k, "<i4") for k in known], pa.list_(pa.int32()))
+        self.ids, self.ends = known.flatten().to_numpy().copy(), np.cumsum(np.concatenate([[0], pc.list_value_length(known).to_numpy()]))
         self.n, self.size = len(known), len(self.ids)
 
     def put(self, at: int, ids: np.ndarray, sizes: np.ndarray) -> None:
@@ -296,20 +304,53 @@ def _splitter(pattern: str):
     return regex.compile(pattern).findall
 
 
-def dictionary(docs: DataFrame, text: str, path: str | None, pattern: str) -> dict[str, bytes]:
-    """Ids of frequent words, folded by Spark: at most DICTIONARY of them, counted in about DICTIONARY_TEXTS texts."""
-    spark, java = docs.sparkSession, "(?U)" + pattern
-    share = min(1.0, DICTIONARY_TEXTS / max(docs.count(), 1))
-    texts = docs.select(F.col(text).alias("t")).where("t is not null").sample(False, share, 1) if share < 1 else docs.select(F.col(text).alias("t"))
-    words = texts.select(F.explode(F.regexp_extract_all("t", F.lit(java), F.lit(0))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    best = stored(words.where("octet_length(word) between 2 and 64").orderBy(F.desc("n"), "word").limit(DICTIONARY), "bpe-words")
+def _rank_row(spark: SparkSession, table: dict[bytes, int]) -> DataFrame:
+    """One row with the literal of the ranks, written: plans that join it hold no literal, and the driver not their text."""
     longest = spark.conf.get("spark.sql.maxPlanStringLength")
-    spark.conf.set("spark.sql.maxPlanStringLength", "20000")  # else the driver keeps the literal's text with each plan
+    spark.conf.set("spark.sql.maxPlanStringLength", "20000")  # else the driver keeps the literal's text with the plan
     try:
-        got = best.select("word", fold_merges(F.col("word"), rank_map(ranks(path))).alias("ids")).toArrow()
+        return stored(spark.range(1).select(rank_map(table).alias("__ranks")), "bpe-ranks")
     finally:
         spark.conf.set("spark.sql.maxPlanStringLength", longest)
-    return {w: np.array(i, "<u4").tobytes() for w, i in zip(got["word"].to_pylist(), got["ids"].to_pylist(), strict=True)}
+
+
+def dictionary(docs: DataFrame, text: str, ranks_: DataFrame, pattern: str) -> pa.Table:
+    """Frequent words (w) and their ids, folded by Spark: at most DICTIONARY of them, counted in about DICTIONARY_TEXTS texts.
+
+    They are all words of some count or a higher one, the least count at which they aren't too many.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, counts = _splitter(pattern), Counter()
+
+        def listed() -> Iterator[pa.RecordBatch]:
+            found = pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], names=["w", "n"])
+            yield from (found.slice(k, _SLICE) for k in range(0, found.num_rows, _SLICE))
+            counts.clear()
+
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                counts.update(w for w in find(t) if len(w) <= LONG)
+                if len(counts) >= REMEMBERED:
+                    yield from listed()
+        yield from listed()
+
+    spark = docs.sparkSession
+    share = min(1.0, DICTIONARY_TEXTS / max(docs.count(), 1))
+    texts = docs.select(F.col(text).alias("t")).where("t is not null")
+    seen = arrow_pass(texts.sample(False, share, 1) if share < 1 else texts, count, "w string, n long")
+    counts = stored(seen.where("octet_length(w) between 2 and 64").groupBy("w").agg(F.sum("n").alias("n")), "bpe-words")
+    least, total = None, 0
+    for r in sorted(counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).collect(), key=lambda r: -r["n"]):
+        total += r["words"]
+        if total > DICTIONARY:
+            break
+        least = r["n"]
+    best = counts.where(F.col("n") >= F.lit(least)) if least is not None else counts.limit(0)
+    # a row for some hundred words, since each row is joined with the ranks; dealt by number, for one task would fold all
+    packs = best.withColumn("b", F.pmod(F.xxhash64("w"), F.lit(_PACKS))).repartition(4 * spark.sparkContext.defaultParallelism, "b").groupBy("b").agg(F.collect_list("w").alias("w"))
+    folded = packs.crossJoin(F.broadcast(ranks_)).select("w", F.transform("w", lambda w: fold_merges(w, F.col("__ranks"))).alias("ids")).toArrow()
+    return pa.table({"w": folded["w"].combine_chunks().flatten(), "ids": folded["ids"].combine_chunks().flatten()})
 
 
 def encode(docs: DataFrame, *keep: str, text: str = "text", path: str | None = None, pattern: str = public_tokenizers.PATTERN, ids: bool = True, digests: bool = False) -> DataFrame:
@@ -320,42 +361,50 @@ def encode(docs: DataFrame, *keep: str, text: str = "text", path: str | None = N
     """
     spark: SparkSession = docs.sparkSession
     table = ranks(path)
-    known = dictionary(docs, text, path, pattern)
-    sent = spark.sparkContext.broadcast(({w: k for k, w in enumerate(known)}, list(known.values()), table))
+    ranks_ = _rank_row(spark, table)
+    sent = spark.sparkContext.broadcast((dictionary(docs, text, ranks_, pattern), table))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, _, own = sent.value
-        numbers, find = Numbers(known, own), _splitter(pattern)
+        known, own = sent.value
+        numbers, find = Numbers({w: k for k, w in enumerate(known["w"].to_pylist())}, own), _splitter(pattern)
+
+        def row(texts: pa.RecordBatch, places: list[list[int]], first: int) -> pa.RecordBatch:
+            at = np.cumsum([0, *map(len, places)])
+            flat = np.fromiter(chain.from_iterable(places), np.int32, int(at[-1]))
+            rows = [*texts.columns[: len(keep)], pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat))]
+            message = pa.RecordBatch.from_arrays(rows, names=[*texts.schema.names[: len(keep)], "__places"])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, message.schema) as out:
+                out.write_batch(message)
+            fresh = [(w[0], False) if isinstance(w, tuple) else (w, True) for w in numbers.fresh]
+            columns = [pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([first], pa.int32()), pa.array([fresh], pa.list_(pa.struct([("w", pa.string()), ("whole", pa.bool_())])))]
+            return pa.RecordBatch.from_arrays(columns, names=["__texts", "__first", "__fresh"])
+
         for batch in batches:
-            places, fresh, first = [], [], []
-            for t in batch.column(len(keep)).to_pylist():
-                numbers.forget()
-                numbers.fresh = []
-                first.append(len(numbers))
-                places.append(np.array(numbers.places(find(t)), "<u4").tobytes() if t else b"")
-                fresh.append([(w[0], False) if isinstance(w, tuple) else (w, True) for w in numbers.fresh])
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(keep)], pa.array(places, pa.binary()), pa.array(first, pa.int32()), pa.array(fresh, pa.list_(pa.struct([("w", pa.string()), ("whole", pa.bool_())])))],
-                names=[*batch.schema.names[: len(keep)], "__places", "__first", "__fresh"],
-            )
+            begun, places, n = 0, [], 0
+            for k, t in enumerate([*batch.column(len(keep)).to_pylist(), ""]):
+                if k == batch.num_rows or n >= _PLACES or numbers.full():
+                    if places:
+                        yield row(batch.slice(begun, k - begun), places, first)
+                    begun, places, n = k, [], 0
+                if not places:
+                    numbers.forget()
+                    numbers.fresh, first = [], len(numbers)
+                places.append(numbers.places(find(t)) if t else [])
+                n += len(places[-1])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        folded = Folded(sent.value[1])
-        for whole in batches:
-            first = whole.column(len(keep) + 1).to_numpy()
-            fresh = pc.list_value_length(whole.column(len(keep) + 2)).to_numpy()
-            size = np.cumsum(pc.binary_length(whole.column(len(keep))).to_numpy().astype(np.int64) // 4)
-            # rows whose words are numbered on from those of the row before, and not too many places
-            again = np.flatnonzero((first[1:] != first[:-1] + fresh[:-1]) | (size[1:] // _PLACES != size[:-1] // _PLACES)) + 1
-            for a, b in zip([0, *again], [*again, whole.num_rows], strict=True):
-                batch = whole.slice(a, b - a)
-                words = batch.column(len(keep) + 2).flatten()
+        folded = Folded(sent.value[0]["ids"].combine_chunks())
+        for batch in batches:
+            for k in range(batch.num_rows):
+                rows = pa.ipc.open_stream(batch.column(0)[k].as_buffer()).read_next_batch()
+                words = batch.column(2).slice(k, 1).flatten()
                 values = words.flatten()
                 if words.null_count or values.null_count:
                     raise ValueError("the vocabulary lacks a byte")
-                folded.put(int(first[a]), values.to_numpy(), pc.list_value_length(words).to_numpy())
-                packed = batch.column(len(keep)).to_pylist()
-                found, at = folded.look(np.frombuffer(b"".join(packed), "<u4").astype(np.int64), np.cumsum([0, *(len(p) // 4 for p in packed)]))
+                folded.put(batch.column(1)[k].as_py(), values.to_numpy(), pc.list_value_length(words).to_numpy())
+                places = rows.column(len(keep))
+                found, at = folded.look(places.values.to_numpy(), places.offsets.to_numpy())
                 columns, names = [pa.array(np.diff(at), pa.int64())], ["n_tokens"]
                 if ids or digests:
                     columns.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(found, pa.int32())))
@@ -363,14 +412,15 @@ def encode(docs: DataFrame, *keep: str, text: str = "text", path: str | None = N
                 if digests:
                     columns.append(pa.array([hashlib.sha256(found[i:j]).hexdigest() for i, j in pairwise(at)], pa.string()))
                     names.append("ids_sha256")
-                yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *columns], names=[*batch.schema.names[: len(keep)], *names])
+                yield pa.RecordBatch.from_arrays([*rows.columns[: len(keep)], *columns], names=[*rows.schema.names[: len(keep)], *names])
 
     plain = docs.select(*(F.col(c) for c in keep), F.col(text).alias("__text"))
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema[:-1]]
-    cut_up = arrow_pass(plain, split, ", ".join([*kept, "__places binary", "__first int", "__fresh array<struct<w:string,whole:boolean>>"]))
-    fold = _let(rank_map(table), lambda t: F.transform("__fresh", lambda x: _folded(x["w"], t, x["whole"])))
+    # a row for each batch of texts, which is joined with the row of the ranks
+    cut_up = arrow_pass(plain, split, "__texts binary, __first int, __fresh array<struct<w:string,whole:boolean>>")
+    fold = F.transform("__fresh", lambda x: fold_merges(x["w"], F.col("__ranks"), x["whole"]))
     schema = [*kept, "n_tokens long"] + ["ids array<int>"] * (ids or digests) + ["ids_sha256 string"] * digests
-    found = arrow_pass(cut_up.select(*keep, "__places", "__first", fold.alias("__fresh")), join, ", ".join(schema))
+    found = arrow_pass(cut_up.crossJoin(F.broadcast(ranks_)).select("__texts", "__first", fold.alias("__fresh")), join, ", ".join(schema))
     if not digests:
         return found
     found = found.withColumn("decoded_sha256", F.sha2(decode(F.col("ids"), path), 256))

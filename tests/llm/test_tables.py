@@ -415,3 +415,15 @@ def test_bpe_by_higher_order_functions(spark):
             assert r["ids"] is None and r["back"] is None
         else:
             assert r["ids"] == (bpe.merged(r["w"].encode(), bpe.ranks()) if r["w"] else []) and bytes(r["back"]) == r["w"].encode()
+
+
+def test_the_dictionary_is_all_words_of_a_count(spark, monkeypatch):
+    """As many counts as fit, whole, from the most frequent on; folded in many tasks, to the ids of the plain fold."""
+    monkeypatch.setattr(bpe, "DICTIONARY", 5)
+    texts = ["ab cd ef gh"] * 3 + [" ef gh ij kl"] * 4 + ["mn"] * 9 + [None, ""]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = bpe.dictionary(docs, "text", bpe._rank_row(spark, bpe.ranks()), public_tokenizers.PATTERN)
+    assert set(got["w"].to_pylist()) == {"mn", " ef", " gh", " ij", " kl"}  # with "ab" and " cd" there would be seven
+    assert all(ids == bpe.merged(w.encode(), bpe.ranks()) for w, ids in zip(got["w"].to_pylist(), got["ids"].to_pylist(), strict=True))
+    monkeypatch.setattr(bpe, "DICTIONARY", 0)
+    assert bpe.dictionary(docs, "text", bpe._rank_row(spark, bpe.ranks()), public_tokenizers.PATTERN).num_rows == 0
