@@ -52,8 +52,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every text; none of null and empty ones. Rows that repeat are encoded each."""
-    return bpe.encode(docs, "doc_id", "lang", "source")
+    """Ids of every text, and digests of them and of what they decode to; no ids of null and empty ones. Rows that repeat are encoded each."""
+    return bpe.encode(docs, "doc_id", "lang", "source", digests=True)
 
 
 STAGES = [

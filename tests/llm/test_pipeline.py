@@ -1,5 +1,6 @@
 """The pipeline's stages against brute force, and on odd rows."""
 
+import hashlib
 from collections import Counter
 
 import pytest
@@ -95,3 +96,16 @@ def test_encoding_stage_folds_every_word_in_spark(spark, sf, monkeypatch):
     docs = spark.createDataFrame([(1, "unwonted words, unwonted", "en", "s", 24), (2, None, "en", "s", None)], "doc_id long, text string, lang string, source string, n_chars long")
     got = {r["doc_id"]: r["ids"] for r in corpus_pipeline.encode_texts(spark, docs, sf).collect()}
     assert list(got[1]) == [bytes_[bytes([b])] for b in b"unwonted words, unwonted"] and list(got[2]) == []
+
+
+def test_encoding_stage_decodes_its_ids(spark, sf):
+    texts = [(1, "unwonted words, 漢字"), (2, None), (3, "")]
+    docs = spark.createDataFrame([(k, t, "en", "s", 1) for k, t in texts], SCHEMA)
+    got = {r["doc_id"]: r["decoded_sha256"] for r in corpus_pipeline.encode_texts(spark, docs, sf).collect()}
+    assert got == {k: hashlib.sha256((t or "").encode()).hexdigest() for k, t in texts}
+
+
+def test_plans_of_the_encoder_hold_no_ranks(spark, sf):
+    """The driver keeps the text of plans; the literal of the ranks is megabytes of it."""
+    docs = spark.createDataFrame([(1, "some words", "en", "s", 10)], SCHEMA)
+    assert len(bpe.encode(docs, "doc_id")._jdf.queryExecution().toString()) < 100_000
