@@ -35,12 +35,16 @@ LONG, ROUNDS = 64, 128
 _REMEMBERED_CHARS, _PLACES = 1 << 24, 1 << 20
 #: Groups of the dictionary's words, and rows of one Arrow batch of their counts.
 _PACKS, _SLICE = 1024, 1 << 16
-#: Places and buckets of the literal table of pairs, and buckets of that of whole words.
-_SLOTS, _BUCKETS, _WHOLE = 1 << 17, 49_999, 16_384
+#: Places of the table of pairs for each of them, those that are tried at once, and what free ones hold; buckets of the table of whole words.
+_PLACES_EACH, _TRIES, _FREE, _WHOLE = 8, 1 << 16, 1 << 62, 16_384
 #: Ids have 20 bits; the highest of them is no rank.
 _SHIFT, _NO_RANK = 1 << 20, (1 << 20) - 1
 
 
+#: Arrays that rank_map() makes of the ranks.
+_KINDS = "begins array<bigint>, rows array<bigint>, two array<bigint>, whole array<array<string>>, ids array<array<int>>"
+
+
 @lru_cache(maxsize=4)
 def ranks(path: str | None = None) -> dict[bytes, int]:
     """Ranks of byte pieces, from a local file of the driver."""
@@ -48,101 +52,112 @@ def ranks(path: str | None = None) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
 
 
-def _placed(pairs: dict[int, int]) -> tuple[list[int], list[int | None], list[int | None]]:
-    """Each key's place is (key % 1000003 + shift of its bucket) % size: shifts by bucket, and keys and values by place."""
-    size = _SLOTS
-    while size < 1.3 * len(pairs):
-        size *= 2
-    buckets: dict[int, list[int]] = {}
-    for key in pairs:
-        buckets.setdefault(key % _BUCKETS, []).append(key)
-    shifts, keys, values = [0] * _BUCKETS, [None] * size, [None] * size
-    for bucket, members in sorted(buckets.items(), key=lambda b: -len(b[1])):
-        bases = [k % 1_000_003 for k in members]
-        start = bucket * 7919
-        for shift in range(start, start + size):
-            places = [(b + shift) % size for b in bases]
-            if all(keys[x] is None for x in places) and len({*places}) == len(places):
-                break
-        else:
-            raise ValueError("no place for a pair")
-        shifts[bucket] = shift % size
-        for x, k in zip(places, members, strict=True):
-            keys[x], values[x] = k, pairs[k]
-    return shifts, keys, values
-
-
-def rank_map(table: dict[bytes, int]) -> Column:
-    """The ranks as a literal: of pairs of neighbours by their ids, of pairs of bytes, of whole words by their bytes, and of single bytes."""
+def _placed(pairs: dict[int, dict[int, int]]) -> tuple[list[int | None], np.ndarray]:
+    """Where the row of each left id begins, and the rows laid over each other: at begin + right is left << 20 | rank.
+
+    Rows are put where none of their places is taken, longest first; free places hold what is no entry of any row.
+    """
+    size = _PLACES_EACH * max(sum(map(len, pairs.values())), 1)
+    rows, begins = np.full(2 * size + max(map(max, pairs.values()), default=0), _FREE, np.int64), [None] * (1 + max(pairs, default=0))
+    for left, row in sorted(pairs.items(), key=lambda r: (-len(r[1]), r[0])):
+        rights, values = np.fromiter(row.keys(), np.int64, len(row)), np.fromiter(row.values(), np.int64, len(row))
+        start, tries = left * 7919 % size, 16
+        while not (free := (rows[np.arange(start, start + tries)[:, None] + rights] == _FREE).all(1)).any():
+            start, tries = start + tries, max(16, min(2 * tries, _TRIES // len(rights)))
+        begins[left] = start + int(free.argmax())
+        rows[begins[left] + rights] = (left << 20) | values
+    rows = rows[: np.flatnonzero(rows != _FREE).max(initial=0) + 1]
+    return begins, rows
+
+
+def rank_map(table: dict[bytes, int]) -> pa.Table:
+    """The ranks as one row: of pairs of neighbours by their ids, of pairs of bytes, and of whole words by their bytes."""
     if table and max(table.values()) >= _NO_RANK:
         raise ValueError("ranks are too large")
-    pairs: dict[int, int] = {}
+    pairs: dict[int, dict[int, int]] = {}
     whole: list[list[str]] = [[] for _ in range(_WHOLE)]
     ids: list[list[int]] = [[] for _ in range(_WHOLE)]
     for piece, rank in table.items():
         part = zlib.crc32(piece) % _WHOLE
-        whole[part].append(piece.hex())
+        whole[part].append(piece.hex().upper())
         ids[part].append(rank)
         for at in range(1, len(piece)):
             left, right = table.get(piece[:at]), table.get(piece[at:])
             if left is not None and right is not None:
-                pairs[left * _SHIFT + right] = rank
-    shifts, keys, values = _placed(pairs)
-    two = [table.get(bytes([k >> 8, k & 255])) for k in range(1 << 16)]
-    found = {"shifts": shifts, "keys": keys, "values": values, "two": two, "whole": whole, "ids": ids, "bytes": [table.get(bytes([k])) for k in range(256)]}
-    schema = "shifts array<int>, keys array<bigint>, values array<bigint>, two array<bigint>, whole array<array<string>>, ids array<array<int>>, bytes array<bigint>"
-    return F.from_json(F.lit(json.dumps(found)), schema)
+                pairs.setdefault(left, {})[right] = rank
+    begins, rows = _placed(pairs)
+    bytes_ = [table.get(bytes([k])) for k in range(256)]
+    # by two bytes, 256 for none: the first state of the first; the edge's is last
+    two = [None if bytes_[k] is None else table.get(bytes([k, n]) if n < 256 else b"", _NO_RANK) << 40 | bytes_[k] for k in range(256) for n in range(257)]
+    found = {"begins": pa.array(begins, pa.int64()), "rows": pa.array(rows), "two": pa.array(two, pa.int64()), "whole": pa.array(whole, pa.list_(pa.string())), "ids": pa.array(ids, pa.list_(pa.int32()))}
+    return pa.table({k: pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v) for k, v in found.items()})
 
 
-def fold_merges(word: Column, table: Column, whole: Column | None = None) -> Column:
+def fold_merges(word: Column, table: Column | pa.Table, whole: Column | None = None) -> Column:
     """Ids of one word's UTF-8 bytes: the ranked merges, folded by higher-order functions. Null for null, empty for "".
 
     State: a number for each piece so far, from its highest bits: the rank of the pair with the next piece, which is the id of
     the joined one, where it begins, and its id. A step joins the pair of the least number, so the leftmost of the least rank;
     a word of n bytes takes n - 1 steps at most. In words of more than ROUNDS bytes a step joins all pairs of the least rank,
     wherever that comes to the same; their state has ids and ranks as two arrays.
+    table: a struct with the columns of rank_map(), or what rank_map() returns, which becomes a literal.
     whole: false where the word is part of a longer one, so that it isn't an id only because it is in the vocabulary.
     """
-    # bound once: the literal is large, and plans and their descriptions would repeat it at each use
-    return _let(table, lambda t: _folded(word, t, F.lit(True) if whole is None else whole))
+    if isinstance(table, pa.Table):
+        table = F.from_json(F.lit(json.dumps(table.to_pylist()[0])), _KINDS)
+    return F.element_at(fold_all(F.array(word), table, lambda w: w, lambda w: F.lit(True) if whole is None else whole), 1)
+
+
+def fold_all(words: Column, table: Column, word: Callable[[Column], Column], whole: Callable[[Column], Column]) -> Column:
+    """fold_merges() of each of an array's elements; `word` and `whole` say what of an element is which."""
+    # each array of the table is bound once, for all words
+    def bound(names: list[str], arrays: dict[str, Column]) -> Column:
+        if names:
+            return _let(table[names[0]], lambda c: bound(names[1:], {**arrays, names[0]: c}))
+        return F.transform(words, lambda x: _folded(word(x), arrays, whole(x)))
+
+    return bound(["begins", "rows", "two", "whole", "ids"], {})
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _folded(word: Column, table: Column, whole: Column) -> Column:
-    gone = F.lit(-1).cast("bigint")
+def _folded(word: Column, table: dict[str, Column], whole: Column) -> Column:
+    big = lambda x: F.lit(x).cast("bigint")
+    piece = lambda x: x.bitwiseAND(big(_SHIFT - 1))
 
     def rank(left: Column, right: Column) -> Column:
-        key = F.shiftleft(left, 20).bitwiseOR(right)
-        place = (key % 1_000_003 + F.get(table["shifts"], key % _BUCKETS)) % F.size(table["keys"])
-        return _let(place, lambda x: F.when(F.get(table["keys"], x) == key, F.get(table["values"], x)))
+        """Of a pair, _NO_RANK for none: what is there for another left id differs from this one above the bits of a rank."""
+        there = F.get(table["rows"], F.get(table["begins"], left) + right)
+        return F.least(there.bitwiseXOR(F.shiftleft(left, 20)), big(_NO_RANK))
+
+    def some(found: Column) -> Column:
+        return _let(found, lambda r: F.when(r < _NO_RANK, r))
 
     def state(pieces: Column, pairs: Column) -> Column:
         return F.struct(pieces.alias("p"), pairs.alias("r"))
 
-    def packed(pair: Column, rest: Column) -> Column:
-        return F.shiftleft(F.coalesce(pair, F.lit(_NO_RANK)), 40).bitwiseOR(rest)
-
     def step(so_far: Column, _: Column) -> Column:
-        piece = lambda x: x.bitwiseAND(F.lit(_SHIFT - 1))
-        low = lambda x, bits: x.bitwiseAND(F.lit(bits))
-
         def join(least: Column) -> Column:
-            new = F.shiftright(least, 40)
-            first = lambda i: packed(rank(new, piece(F.get(so_far, i + 2))), low(least, (1 << 40) - _SHIFT).bitwiseOR(new))
-            before = lambda x: packed(rank(piece(x), new), low(x, (1 << 40) - 1))
-            found = F.transform(so_far, lambda x, i: F.when(x == least, first(i)).when(F.get(so_far, i + 1) == least, before(x)).when(F.get(so_far, i - 1) == least, gone).otherwise(x))
-            return F.array_remove(found, gone)
+            new, low = F.shiftright(least, 40), lambda x: x.bitwiseAND(big((1 << 40) - 1))
+            first = F.shiftright(least, 20).bitwiseAND(big(_SHIFT - 1)).cast("int")
 
-        return _let(F.array_min(so_far), lambda m: F.when(m < (_NO_RANK << 40), join(m)).otherwise(so_far))
+            def at(j: Column) -> Column:
+                here = lambda i: F.shiftleft(rank(new, piece(F.get(so_far, i + 2))), 40).bitwiseOR(F.shiftleft(i.cast("bigint"), 20)).bitwiseOR(new)
+                before = lambda x: F.shiftleft(rank(piece(x), new), 40).bitwiseOR(low(x))
+                gone = big(-1)
+                return F.array_remove(F.transform(so_far, lambda x, i: F.when(i > j + 1, x - big(_SHIFT)).when(i < j - 1, x).when(i == j, here(i)).when(i < j, before(x)).otherwise(gone)), gone)
+
+            return _let(first, at)
+
+        return _let(F.array_min(so_far), lambda m: F.when(m < big(_NO_RANK << 40), join(m)).otherwise(so_far))
 
     def all_at_once(so_far: Column, _: Column) -> Column:
         pieces, pairs = so_far["p"], so_far["r"]
 
         def joined(least: Column, here: Column) -> Column:
-            marked = F.transform(pieces, lambda x, i: F.when(F.get(here, i), least).when(F.coalesce(F.get(here, i - 1), F.lit(False)), F.lit(-1).cast("bigint")).otherwise(x))
+            marked = F.transform(pieces, lambda x, i: F.when(F.get(here, i), least).when(F.coalesce(F.get(here, i - 1), F.lit(False)), big(-1)).otherwise(x))
             return _let(F.filter(marked, lambda x: x >= 0), lambda p: state(p, neighbours(p)))
 
         def round_(least: Column) -> Column:
@@ -152,7 +167,7 @@ def _folded(word: Column, table: Column, whole: Column) -> Column:
 
             def checked(here: Column) -> Column:
                 # one by one it comes to the same unless a join makes a pair of lower rank, be it for a while
-                between = F.array_min(F.transform(here, lambda h, i: F.when(h, rank(least, F.get(pieces, i + 2)))))
+                between = F.array_min(F.transform(here, lambda h, i: F.when(h, some(rank(least, F.get(pieces, i + 2))))))
                 first = F.array_position(pairs, least).cast("int") - 1
                 alike = lambda new: F.coalesce(F.least(between, F.array_min(new["r"])) > least, F.lit(True))
                 return _let(joined(least, here), lambda new: F.when(alike(new), new).otherwise(joined(least, F.transform(pairs, lambda _, i: i == first))))
@@ -164,34 +179,40 @@ def _folded(word: Column, table: Column, whole: Column) -> Column:
         return F.when(F.size(pairs) == 0, so_far).otherwise(_let(F.array_min(pairs), lambda m: F.when(m.isNull(), ended).otherwise(round_(m))))
 
     def neighbours(pieces: Column) -> Column:
-        return F.transform(pieces, lambda x, i: rank(x, F.get(pieces, i + 1)))
+        return F.transform(pieces, lambda x, i: some(rank(x, F.get(pieces, i + 1))))
 
-    def start(digits: Column) -> Column:
+    def start(raw: Column) -> Column:
         steps = F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1)))
         # each byte as one character, so that strings are split by bytes
-        codes = F.transform(F.split(F.decode(F.encode(word, "utf-8"), "iso-8859-1"), ""), F.ascii)
-
-        id_ = lambda x: F.get(table["bytes"], x)
-        two = lambda c, x, i: F.get(table["two"], x * 256 + F.get(c, i + 1))
-        row = lambda c: F.transform(c, lambda x, i: packed(two(c, x, i), F.shiftleft(i.cast("bigint"), 20).bitwiseOR(id_(x))))
-        rows = lambda c: state(F.transform(c, id_), F.transform(c, lambda x, i: two(c, x, i)))
-        short = _let(codes, lambda c: F.aggregate(steps, row(c), step, lambda s: F.transform(s, lambda x: x.bitwiseAND(F.lit(_SHIFT - 1)))))
-        long = _let(codes, lambda c: F.aggregate(steps, rows(c), all_at_once, lambda s: s["p"]))
-        known = F.get(F.get(table["ids"], part), F.array_position(F.get(table["whole"], part), digits) - 1)
+        codes = F.transform(F.split(F.decode(raw, "iso-8859-1"), ""), F.ascii)
+        two = lambda c, x, i: F.get(table["two"], x * 257 + F.coalesce(F.get(c, i + 1), F.lit(256)))
+        row = lambda c, edge: F.transform(c, lambda x, i: two(c, x, i).bitwiseOR(F.shiftleft((i + edge).cast("bigint"), 20)))
+        short = _let(codes, lambda c: F.aggregate(steps, row(c, 0), step, lambda s: F.transform(s, piece)))
+        long = _let(_let(codes, lambda c: F.transform(c, lambda x: piece(F.get(table["two"], x * 257)))), lambda p: F.aggregate(steps, state(p, neighbours(p)), all_at_once, lambda s: s["p"]))
+        part = F.crc32(raw) % _WHOLE
+        known = F.get(F.get(table["ids"], part), F.array_position(F.get(table["whole"], part), F.hex(raw)).cast("int") - 1)
         folded = F.when(n <= ROUNDS, short).otherwise(long).cast("array<int>")
         return _let(F.when(whole, known), lambda k: F.when(k.isNotNull(), F.array(k)).otherwise(folded))
 
-    n, part = F.octet_length(word), F.crc32(F.encode(word, "utf-8")) % _WHOLE
-    return F.when(word.isNull(), F.lit(None)).when(n == 0, F.array().cast("array<int>")).otherwise(_let(F.lower(F.hex(F.encode(word, "utf-8"))), start))
+    n = F.octet_length(word)
+    return F.when(word.isNull(), F.lit(None)).when(n == 0, F.array().cast("array<int>")).otherwise(_let(F.encode(word, "utf-8"), start))
 
 
-def decode(ids: Column, path: str | None = None) -> Column:
-    """The bytes of an array of ids, concatenated from their pieces by a literal table. Unknown ids raise."""
-    pieces = sorted(ranks(path).items(), key=lambda p: p[1])
+def _pieces(table: dict[bytes, int]) -> list[str]:
+    """Pieces by id, as digits."""
+    pieces = sorted(table.items(), key=lambda p: p[1])
     if [r for _, r in pieces] != list(range(len(pieces))):
         raise ValueError("ranks have gaps")
-    table = F.from_json(F.lit(json.dumps([p.hex() for p, _ in pieces])), "array<string>")
-    return _let(table, lambda t: F.unhex(F.array_join(F.transform(ids, lambda i: F.element_at(t, i + 1)), "")))
+    return [p.hex() for p, _ in pieces]
+
+
+def decode(ids: Column, path: str | None = None) -> Column:
+    """The bytes of an array of ids, concatenated from their pieces by a literal table. Unknown ids raise."""
+    return _let(F.from_json(F.lit(json.dumps(_pieces(ranks(path)))), "array<string>"), lambda t: _decoded(ids, t))
+
+
+def _decoded(ids: Column, pieces: Column) -> Column:
+    return F.unhex(F.array_join(F.transform(ids, lambda i: F.element_at(pieces, i + 1)), ""))
 
 
 def merged(piece: bytes, table: dict[bytes, int]) -> list[int]:
@@ -304,14 +325,14 @@ def _splitter(pattern: str):
     return regex.compile(pattern).findall
 
 
-def _rank_row(spark: SparkSession, table: dict[bytes, int]) -> DataFrame:
-    """One row with the literal of the ranks, written: plans that join it hold no literal, and the driver not their text."""
-    longest = spark.conf.get("spark.sql.maxPlanStringLength")
-    spark.conf.set("spark.sql.maxPlanStringLength", "20000")  # else the driver keeps the literal's text with the plan
-    try:
-        return stored(spark.range(1).select(rank_map(table).alias("__ranks")), "bpe-ranks")
-    finally:
-        spark.conf.set("spark.sql.maxPlanStringLength", longest)
+def _rank_row(spark: SparkSession, table: dict[bytes, int], pieces: bool = False) -> DataFrame:
+    """One row with the ranks (__ranks), and with `pieces` those by id (__pieces), written: plans that join it hold neither."""
+    found = spark.createDataFrame(rank_map(table))
+    columns = [F.struct(*found.columns).alias("__ranks")]
+    if pieces:
+        found = found.crossJoin(spark.createDataFrame(pa.table({"__pieces": [_pieces(table)]})))
+        columns.append(F.col("__pieces"))
+    return stored(found.select(*columns), "bpe-ranks", 1)
 
 
 def dictionary(docs: DataFrame, text: str, ranks_: DataFrame, pattern: str) -> pa.Table:
@@ -349,7 +370,7 @@ def dictionary(docs: DataFrame, text: str, ranks_: DataFrame, pattern: str) -> p
     best = counts.where(F.col("n") >= F.lit(least)) if least is not None else counts.limit(0)
     # a row for some hundred words, since each row is joined with the ranks; dealt by number, for one task would fold all
     packs = best.withColumn("b", F.pmod(F.xxhash64("w"), F.lit(_PACKS))).repartition(4 * spark.sparkContext.defaultParallelism, "b").groupBy("b").agg(F.collect_list("w").alias("w"))
-    folded = packs.crossJoin(F.broadcast(ranks_)).select("w", F.transform("w", lambda w: fold_merges(w, F.col("__ranks"))).alias("ids")).toArrow()
+    folded = packs.crossJoin(F.broadcast(ranks_.select("__ranks"))).select("w", fold_all(F.col("w"), F.col("__ranks"), lambda w: w, lambda w: F.lit(True)).alias("ids")).toArrow()
     return pa.table({"w": folded["w"].combine_chunks().flatten(), "ids": folded["ids"].combine_chunks().flatten()})
 
 
@@ -361,7 +382,7 @@ def encode(docs: DataFrame, *keep: str, text: str = "text", path: str | None = N
     """
     spark: SparkSession = docs.sparkSession
     table = ranks(path)
-    ranks_ = _rank_row(spark, table)
+    ranks_ = _rank_row(spark, table, digests)
     sent = spark.sparkContext.broadcast((dictionary(docs, text, ranks_, pattern), table))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -412,16 +433,21 @@ def encode(docs: DataFrame, *keep: str, text: str = "text", path: str | None = N
                 if digests:
                     columns.append(pa.array([hashlib.sha256(found[i:j]).hexdigest() for i, j in pairwise(at)], pa.string()))
                     names.append("ids_sha256")
-                yield pa.RecordBatch.from_arrays([*rows.columns[: len(keep)], *columns], names=[*rows.schema.names[: len(keep)], *names])
+                columns, names = [*rows.columns[: len(keep)], *columns], [*rows.schema.names[: len(keep)], *names]
+                if digests:  # still one row, which the pieces are joined with
+                    columns, names = [pa.ListArray.from_arrays(pa.array([0, rows.num_rows], pa.int32()), pa.StructArray.from_arrays(columns, names=names))], ["__rows"]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
     plain = docs.select(*(F.col(c) for c in keep), F.col(text).alias("__text"))
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema[:-1]]
+    kept = [f"`{f.name}`: {f.dataType.simpleString()}" for f in plain.schema[:-1]]
     # a row for each batch of texts, which is joined with the row of the ranks
     cut_up = arrow_pass(plain, split, "__texts binary, __first int, __fresh array<struct<w:string,whole:boolean>>")
-    fold = F.transform("__fresh", lambda x: fold_merges(x["w"], F.col("__ranks"), x["whole"]))
-    schema = [*kept, "n_tokens long"] + ["ids array<int>"] * (ids or digests) + ["ids_sha256 string"] * digests
-    found = arrow_pass(cut_up.crossJoin(F.broadcast(ranks_)).select("__texts", "__first", fold.alias("__fresh")), join, ", ".join(schema))
+    fold = fold_all(F.col("__fresh"), F.col("__ranks"), lambda x: x["w"], lambda x: x["whole"])
+    fields = [*kept, "n_tokens: long"] + ["ids: array<int>"] * (ids or digests) + ["ids_sha256: string"] * digests
+    schema = f"__rows array<struct<{', '.join(fields)}>>" if digests else ", ".join(fields)
+    found = arrow_pass(cut_up.crossJoin(F.broadcast(ranks_.select("__ranks"))).select("__texts", "__first", fold.alias("__fresh")), join, schema)
     if not digests:
         return found
-    found = found.withColumn("decoded_sha256", F.sha2(decode(F.col("ids"), path), 256))
+    digest = lambda x: x.withField("decoded_sha256", F.sha2(_decoded(x["ids"], F.col("__pieces")), 256))
+    found = found.crossJoin(F.broadcast(ranks_.select("__pieces"))).select(F.inline(F.transform("__rows", digest)))
     return found if ids else found.drop("ids")
