@@ -36,7 +36,7 @@ _REMEMBERED_CHARS, _PLACES = 1 << 24, 1 << 20
 #: Groups of the dictionary's words, and rows of one Arrow batch of their counts.
 _PACKS, _SLICE = 1024, 1 << 16
 #: Places of the table of pairs for each of them, those that are tried at once, and what free ones hold; buckets of the table of whole words.
-_PLACES_EACH, _TRIES, _FREE, _WHOLE = 8, 1 << 16, 1 << 62, 16_384
+_PLACES_EACH, _TRIES, _FREE, _WHOLE = 4, 1 << 16, 1 << 62, 16_384
 #: Ids have 20 bits; the highest of them is no rank.
 _SHIFT, _NO_RANK = 1 << 20, (1 << 20) - 1
 

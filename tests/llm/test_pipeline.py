@@ -109,3 +109,9 @@ def test_plans_of_the_encoder_hold_no_ranks(spark, sf):
     """The driver keeps the text of plans; the literal of the ranks is megabytes of it."""
     docs = spark.createDataFrame([(1, "some words", "en", "s", 10)], SCHEMA)
     assert len(bpe.encode(docs, "doc_id")._jdf.queryExecution().toString()) < 100_000
+
+
+def test_plans_of_the_encoding_stage_hold_no_pieces(spark, sf):
+    """Nor, with decoding, the pieces that ids are decoded to: they are a joined row too."""
+    docs = spark.createDataFrame([(1, "some words", "en", "s", 10)], SCHEMA)
+    assert len(corpus_pipeline.encode_texts(spark, docs, sf)._jdf.queryExecution().toString()) < 100_000
